@@ -17,8 +17,14 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, functions as F
 
+import readflow
+
+# Send task functions to the executors by value, so the package need not be installed there.
+cloudpickle.register_pickle_by_value(readflow)
+
 ROWS_PER_BLOCK = 2048
 CELL = 32
 SCORE_DIGITS = 9  # scores closer than this are ties

@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from readflow.operators.blocks import item_blocks, map_blocks, meet, user_blocks
 from readflow.operators.recommend import score_pairs
+from readflow.session import materialize
 
 POSITIVES_PER_CHUNK = 1024
 ROWS_PER_RANK_BLOCK = 512
@@ -20,10 +21,10 @@ def rank_positives(positives: DataFrame, user_factors: DataFrame, item_factors:
 
     A positive ranks after every item that scores as high, itself not counted. Each block of items
     only reports how many of its items reach the positive's score, and those counts add up, so the
-    full ranking is never built. A user with many positives is spread over several chunks.
+    full ranking is never built. The scored pairs are written once and read three times. A user with many positives is spread over several chunks.
     """
     pairs = positives.select("user_id", "page").distinct()
-    scored = score_pairs(pairs, user_factors, item_factors)
+    scored = materialize(score_pairs(pairs, user_factors, item_factors), "positives")
     chunks = scored.groupBy("user_id").agg(F.ceil(F.count(F.lit(1)) / POSITIVES_PER_CHUNK).alias("_chunks"))
     chunk = F.pmod(F.xxhash64("page"), F.col("_chunks")).alias("chunk")
     gathered = (

@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, Window as W, functions as F
 from readflow.functions.vectors import dot
 from readflow.operators.blocks import SCORE_DIGITS, Blocks, item_blocks, map_blocks, meet, user_blocks
 from readflow.operators.tfidf import unit_arrays
+from readflow.session import materialize
 
 N_COMPONENTS = 100
 EPOCHS = 30
@@ -35,7 +36,8 @@ def train_factors(
             key, F.col("features").cast("array<double>").alias("factors"), F.lit(0.0).alias("bias")
         )
 
-    return table(model.userFactors, "user_idx", "user_id"), table(model.itemFactors, "item_idx", "page")
+    users = table(model.userFactors, "user_idx", "user_id")
+    return materialize(users, "user-factors"), materialize(table(model.itemFactors, "item_idx", "page"), "item-factors")
 
 
 def score_pairs(pairs: DataFrame, user_factors: DataFrame, item_factors: DataFrame) -> DataFrame:
@@ -103,7 +105,11 @@ def recommend_batch(
     wanted = requests.groupBy("user_id").agg(F.max("n").cast("int").alias("n"))
     valid = F.when(F.col("n") > 0, F.col("n")).otherwise(F.raise_error(F.lit("n must be greater than 0")).cast("int"))
     asked = user_factors.join(wanted.withColumn("n", valid), "user_id").select("user_id", "factors", "n")
+    return _best_items(asked, item_factors, exclude_seen)
 
+
+def _best_items(asked: DataFrame, item_factors: DataFrame, exclude_seen: DataFrame | None) -> DataFrame:
+    """The ranking behind the requests; ``asked`` has one row (user_id, factors, n) per user."""
     items = item_blocks(item_factors)
     users = user_blocks(asked, {"n": "wanted"})
     joined = meet(users, items)
@@ -143,7 +149,7 @@ def recommend_top_n(user_factors: DataFrame, item_factors: DataFrame, n: int = 1
     """Best ``n`` items of every user of the model."""
     if n <= 0:
         raise ValueError("n must be greater than 0")
-    return recommend_batch(user_factors.select("user_id", F.lit(n).alias("n")), user_factors, item_factors, exclude_seen)
+    return _best_items(user_factors.select("user_id", "factors", F.lit(n).alias("n")), item_factors, exclude_seen)
 
 
 def recommend_nested(recommendations: DataFrame) -> DataFrame:
@@ -161,10 +167,13 @@ def content_profiles(scores: DataFrame, features: DataFrame) -> DataFrame:
 
 
 def content_factors(scores: DataFrame, features: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Profiles and articles as unit vectors, so that the block scorer's dot product is their cosine."""
+    """Profiles and articles as unit vectors, so that the block scorer's dot product is their cosine.
+
+    Both are written once, because the scorer reads them twice: to count and to pack them.
+    """
     users = unit_arrays(content_profiles(scores, features), "user_id")
     items = unit_arrays(features, "page").withColumn("bias", F.lit(0.0))
-    return users, items
+    return materialize(users, "profiles"), materialize(items, "articles")
 
 
 def content_recommend(scores: DataFrame, features: DataFrame, n: int = 10, exclude_seen: bool = False) -> DataFrame:

@@ -11,7 +11,7 @@ from readflow.functions.columns import round_doubles
 from readflow.operators import analytics, distributions, evaluate, gold, history, items as articles, monitor, recommend, scaling, skew, tfidf
 from readflow.plans import training
 from readflow.plans.sql import histogram_sql, quantile_bins_sql, sql
-from readflow.session import configure, scratch_path
+from readflow.session import configure, materialize, scratch_path
 from readflow.sources import files, models, tables
 from readflow.sources.tables import AS_OF
 
@@ -39,9 +39,14 @@ def silver(spark, d):
     return history.enrich(tables.interactions(spark, d), AS_OF)
 
 
+def stored_silver(spark, d):
+    """The silver layer as a written table, as the batch pipeline leaves it for the steps after."""
+    return materialize(silver(spark, d), "silver")
+
+
 def normalized(spark, d):
     labels = scaling.label_index(tables.interactions(spark, d), "user_type")
-    return scaling.normalize_interactions(silver(spark, d), labels)
+    return scaling.normalize_interactions(stored_silver(spark, d), labels)
 
 
 def temporal(spark, d):
@@ -57,7 +62,8 @@ def cleaned(spark, d):
 
 
 def vectors(spark, d):
-    return tfidf.item_features(tfidf.hashed_tfidf(cleaned(spark, d), hashing="md5"))
+    stored = materialize(cleaned(spark, d), "cleaned")
+    return tfidf.item_features(tfidf.hashed_tfidf(stored, hashing="md5"))
 
 
 def pairs(spark, d):
@@ -65,7 +71,7 @@ def pairs(spark, d):
 
 
 def user_item_scores(spark, d):
-    return gold.user_item_scores(normalized(spark, d), tables.catalogue(spark, d))
+    return materialize(gold.user_item_scores(normalized(spark, d), tables.catalogue(spark, d)), "scores")
 
 
 def id_counts(spark, d):
@@ -513,12 +519,12 @@ def content_profile(spark, d):
          join (select page, sqrt(sum(w * w)) vn from vectors group by 1) b on b.page = v.page group by 1, 2) using (user_id, page))
     window w as (partition by user_id)) where rank <= 10""")
 def content_recommend(spark, d):
-    return recommend.content_recommend(user_item_scores(spark, d), vectors(spark, d), 10)
+    return recommend.content_recommend(user_item_scores(spark, d), materialize(vectors(spark, d), "vectors"), 10)
 
 
 @query()
 def als_recommend(spark, d):
-    matrix = gold.interaction_matrix(normalized(spark, d), tables.catalogue(spark, d))
+    matrix = materialize(gold.interaction_matrix(normalized(spark, d), tables.catalogue(spark, d)), "matrix")
     return recommend.recommend_top_n(*recommend.train_factors(matrix, rank=16, iterations=8), 10)
 
 
@@ -613,9 +619,9 @@ def top_features(spark, d):
     union all select 'user_features', feature_idx, round(abs(sum(w) / (select count(distinct user_id) from profiles)), 6) from profiles group by feature_idx""")
 def feature_column_means(spark, d):
     users, pages = tables.factor_model(spark, d)
-    features = vectors(spark, d)
-    profiles = recommend.content_profiles(user_item_scores(spark, d), features)
-    n_users = user_item_scores(spark, d).agg(F.countDistinct("user_id")).scalar()
+    features, scores = materialize(vectors(spark, d), "vectors"), user_item_scores(spark, d)
+    profiles = recommend.content_profiles(scores, features)
+    n_users = scores.agg(F.countDistinct("user_id")).scalar()
     return monitor.feature_column_means(
         users, pages, tfidf.features_long(features, "page"), id_counts(spark, d)[1], tfidf.features_long(profiles, "user_id"), n_users)
 
