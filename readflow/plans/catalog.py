@@ -125,8 +125,8 @@ def time_since_first(spark, d):
 
 
 @query("""select user_id, user_type, page, (epoch_us(e.ts) // 1000) / 1000 ts, clicks, time_on_page_ms, round(scroll_pct, 6) scroll_pct, visits
-    from (select epoch_us(ts) / 1e6 ets, ts, user_id uid, event_id from events) e
-    join (select * from inter) i on i.ts = e.ets and i.user_id = cast(e.uid as varchar)""".replace("i.ts = e.ets", "i.ts = e.ets"))
+    from (select epoch_us(ts) / 1e6 ets, ts, user_id uid from events) e
+    join inter i on i.ts = e.ets and i.user_id = cast(e.uid as varchar)""")
 def explode_history(spark, d):
     return history.explode_history(tables.raw_history(spark, d))
 
@@ -238,8 +238,8 @@ def popularity_bands(spark, d):
     return analytics.popularity_bands(analytics.users_per_item(tables.purchases(spark, d)))
 
 
-@query("""select page, round(avg_time_ms, 6) avg_time_ms, round(avg_clicks, 6) avg_clicks, round(avg_scroll_pct, 6) avg_scroll_pct,
-    round(avg_score, 6) avg_score, round(avg_time_min, 6) avg_time_min from engagement""")
+@query("""select page, round(avg_time_ms, 9) avg_time_ms, round(avg_clicks, 9) avg_clicks, round(avg_scroll_pct, 9) avg_scroll_pct,
+    round(avg_score, 9) avg_score, round(avg_time_min, 9) avg_time_min from engagement""", digits=9)
 def engagement_by_item(spark, d):
     return analytics.engagement_by_item(scored(spark, d))
 
@@ -408,14 +408,14 @@ def interaction_profile(spark, d):
     return gold.interaction_profile(normalized(spark, d), tables.catalogue(spark, d))
 
 
-@query("select user_id, " + ", ".join(f"round({c}, 6) {c}" for c in scaling.USER_VECTOR_COLUMNS) + " from user_means")
+@query("select user_id, " + ", ".join(f"round({c}, 9) {c}" for c in scaling.USER_VECTOR_COLUMNS) + " from user_means", digits=9)
 def user_features(spark, d):
     return gold.user_features(normalized(spark, d))
 
 
 @query("select user_id, " + ", ".join(
-    f"round(case when max({c}) over () = min({c}) over () then 0.5 else ({c} - min({c}) over ()) / (max({c}) over () - min({c}) over ()) end, 6) f{i}"
-    for i, c in enumerate(scaling.USER_VECTOR_COLUMNS)) + " from user_means")
+    f"round(case when max({c}) over () = min({c}) over () then 0.5 else ({c} - min({c}) over ()) / (max({c}) over () - min({c}) over ()) end, 9) f{i}"
+    for i, c in enumerate(scaling.USER_VECTOR_COLUMNS)) + " from user_means", digits=9)
 def user_feature_vectors(spark, d):
     v = gold.user_feature_vectors(gold.user_features(normalized(spark, d)))
     return v.select("user_id", *[F.col("user_features")[i].alias(f"f{i}") for i in range(len(scaling.USER_VECTOR_COLUMNS))])
