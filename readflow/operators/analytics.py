@@ -102,6 +102,11 @@ def engagement_by_item(interactions: DataFrame, fraction: float | None = None, s
     return kept if fraction is None else kept.sample(fraction=fraction, seed=seed)
 
 
+def clicks_time_sample(interactions: DataFrame, fraction: float = 0.1, seed: int = 42) -> DataFrame:
+    """A random share of (clicks, time on page) for the scatter chart."""
+    return interactions.select("clicks", "time_on_page_ms").sample(fraction=fraction, seed=seed)
+
+
 def clicks_time_corr(interactions: DataFrame) -> DataFrame:
     return interactions.agg(F.corr("clicks", "time_on_page_ms").alias("correlation"))
 

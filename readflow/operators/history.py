@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, Window as W, functions as F
 
 from readflow.functions.columns import epoch_seconds, lenient_long
 from readflow.functions.scoring import ENGAGEMENT_WEIGHTS, event_time, interaction_score, recency_weight
-from readflow.operators.skew import hot_keys
+from readflow.operators.skew import HOT_ROWS, HOT_SHARE, hot_keys
 from readflow.sources.schemas import HISTORY_LISTS
 
 TIE_BREAK = ("page", "clicks", "time_on_page_ms", "scroll_pct", "visits")
@@ -36,6 +36,12 @@ def explode_history(raw: DataFrame) -> DataFrame:
     )
 
 
+def explode_validation(raw: DataFrame) -> DataFrame:
+    """Held-out readers: one row per article of the ``history`` list, ids trimmed, blanks left out."""
+    pages = raw.select(F.trim("userId").alias("user_id"), F.col("userType").alias("user_type"), F.explode(F.split("history", r",\s*")).alias("page"))
+    return pages.withColumn("page", F.trim("page")).filter("page != ''")
+
+
 def history_quality(raw: DataFrame) -> DataFrame:
     """One row: histories, and how many are lost to a NULL list or hold lists of unequal length."""
     lengths = [F.size(F.split(c, r",\s*")) for c in HISTORY_LISTS]
@@ -60,8 +66,8 @@ def with_user_times(
     df: DataFrame,
     as_of=None,
     slice_seconds: int = 3600,
-    max_share: float = 1 / 256,
-    min_rows: int = 5_000_000,
+    max_share: float = HOT_SHARE,
+    min_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """Seconds since the user's previous reading, first reading, and seconds since it.
 

@@ -10,10 +10,14 @@ from readflow.session import materialize
 INDEX_BUCKETS = 16 ** 4
 
 
-def hot_keys(df: DataFrame, key: str, max_share: float = 1 / 256, min_rows: int = 5_000_000) -> DataFrame:
-    """Keys that hold more than ``max_share`` of all rows: at most ``1 / max_share`` rows come out.
+HOT_SHARE = 1e-5
+HOT_ROWS = 1_000_000
 
-    The count is partial on the map side, so the hot keys themselves cost one row per task.
+
+def hot_keys(df: DataFrame, key: str, max_share: float = HOT_SHARE, min_rows: int = HOT_ROWS) -> DataFrame:
+    """Keys with at least ``min_rows`` rows that hold more than ``max_share`` of all rows.
+
+    At most ``1 / max_share`` keys can, which bounds the result whatever the size of ``df``. The count is partial on the map side, so the hot keys themselves cost one row per task.
     """
     counts = df.groupBy(key).agg(F.count(F.lit(1)).alias("n"))
     total = counts.agg(F.sum("n")).scalar()

@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from readflow.functions.columns import md5_number
 from readflow.functions.text import PORTUGUESE_STOP_WORDS, clean_text, tokens
+from readflow.session import materialize
 
 N_FEATURES = 300
 
@@ -19,7 +20,7 @@ def with_clean_text(items: DataFrame, text: str = "title", out: str = "cleaned_t
 
 def term_rows(items: DataFrame, text: str = "cleaned_text", stop_words: list[str] | None = None) -> DataFrame:
     """One row per (page, token occurrence)."""
-    rows = items.select("page", F.explode(tokens(F.col(text))).alias("term"))
+    rows = items.select("page", F.explode(F.split(F.lower(text), r"\s")).alias("term")).filter("term != ''")
     return rows.filter(~F.col("term").isin([w.lower() for w in stop_words])) if stop_words else rows
 
 
@@ -33,8 +34,12 @@ def idf(documents: Column, document_frequency: Column) -> Column:
 
 
 def tfidf_terms(items: DataFrame, text: str = "cleaned_text", stop_words: list[str] | None = None) -> DataFrame:
-    """(page, term, tf, df, idf, tfidf). A common term is a hot join key; AQE splits its rows."""
-    counts = term_counts(items, text, stop_words)
+    """(page, term, tf, df, idf, tfidf).
+
+    The counts are written once, so that texts are cleaned and split once though the counts are read
+    twice. A common term is a hot key of the join; AQE splits its rows.
+    """
+    counts = materialize(term_counts(items, text, stop_words), "term-counts")
     documents = items.agg(F.count(F.lit(1))).scalar()
     frequencies = counts.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
     frequencies = frequencies.withColumn("idf", idf(documents, F.col("df")))

@@ -75,6 +75,7 @@ def build_gold(spark, normalized, with_tfidf, layout, rebuild=True):
 def train(
     spark, matrix, item_features, layout, run_id: str, created_at: str, sample_ratio: float = 1.0, test_ratio: float = 0.2,
     rank: int = recommend.N_COMPONENTS, iterations: int = recommend.EPOCHS, reg: float = recommend.REGULARISATION, seed: int = recommend.SEED,
+    evaluation_ratio: float = 1.0,
 ):
     """Sample, split, fit, save, evaluate; the run is recorded whether it succeeds or fails."""
     try:
@@ -86,7 +87,9 @@ def train(
             used.select("user_id", "page"), item_features, users, items, run_id, created_at,
             model_summary={"model_type": "ALS", "loss_function": "implicit least squares", "embedding_dim": str(rank), "epochs": str(iterations)},
             hyperparameters={"rank": float(rank), "iterations": float(iterations), "reg": reg, "seed": float(seed)},
-            test_ratio=test_ratio, seed=seed, sample_size=sample_ratio * 100.0)
+            test_ratio=test_ratio, seed=seed, sample_size=sample_ratio * 100.0, evaluation_ratio=evaluation_ratio)
+        scores = used.select("user_id", "page", "score")
+        run = training.with_full_monitoring(run, scores, item_features, users, items, test_ratio, seed)
         models.append_run(run, layout.runs)
     except Exception as error:
         models.append_run(training.failed_run(spark, run_id, created_at, str(error)), layout.runs)

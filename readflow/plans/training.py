@@ -21,6 +21,7 @@ def run_document(
     test_ratio: float = 0.2,
     seed: int = 42,
     sample_size: float = 100.0,
+    evaluation_ratio: float = 1.0,
     n_features: int = 0,
     k_values: tuple[int, ...] = (5, 10, 20),
 ) -> DataFrame:
@@ -30,6 +31,8 @@ def run_document(
     """
     marked = gold.with_split(pairs, test_ratio, seed)
     train, test = marked.filter("not is_test"), marked.filter("is_test")
+    if evaluation_ratio < 1:
+        test = gold.hash_sample(test, evaluation_ratio, seed + 1)
     n_users = pairs.agg(F.countDistinct("user_id")).scalar()
     n_items = items.agg(F.countDistinct("page")).scalar()
 
@@ -78,6 +81,38 @@ def run_document(
     )
 
 
+def with_full_monitoring(
+    run: DataFrame, scores: DataFrame, items: DataFrame, user_factors: DataFrame, item_factors: DataFrame,
+    test_ratio: float = 0.2, seed: int = 42,
+) -> DataFrame:
+    """Add to a run how interactions are distributed, how scores differ between train and test, and
+    the mean size of each factor component. ``scores`` holds (user_id, page, score)."""
+    train, test = gold.train_test_split(scores, test_ratio, seed)
+    users, pages = scores.select("user_id").distinct(), items.select("page").distinct()
+    totals = monitor.interaction_distribution(scores, users, pages)
+    bins = monitor.interaction_histograms(scores, users, pages)
+
+    def numbers(df: DataFrame):
+        names = [n for n in df.columns if n != "side"]
+        return df.select(F.create_map(*[x for n in names for x in (F.lit(n), F.col(n).cast("double"))])).scalar()
+
+    def counts(side):
+        listed = F.sort_array(F.collect_list(F.struct("bin", "count")))
+        return bins.filter(F.col("side") == side).agg(listed.alias("l")).select("l.count").scalar()
+
+    components = None
+    for name, factors in (("item_embeddings", item_factors), ("user_embeddings", user_factors)):
+        part = monitor.mean_abs_components(factors).select(F.concat(F.lit(f"{name}_"), F.col("component").cast("string")).alias("k"), "value")
+        components = part if components is None else components.unionByName(part)
+    return run.withColumns({
+        "score_stability": numbers(monitor.score_stability(train, test, user_factors, item_factors)),
+        "user_interactions": numbers(totals.filter("side = 'user'")),
+        "item_interactions": numbers(totals.filter("side = 'item'")),
+        "user_histogram": counts("user"), "item_histogram": counts("item"),
+        "component_means": components.agg(F.map_from_entries(F.collect_list(F.struct("k", "value")))).scalar(),
+    })
+
+
 def failed_run(spark: SparkSession, run_id: str, created_at: str, error: str) -> DataFrame:
     """The row recorded for a run that failed; the caller raises the error as well."""
     values = {"run_id": run_id, "created_at": created_at, "status": "error", "error": error}

@@ -45,3 +45,13 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     path = scratch_path(spark, name)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def spread(scan: DataFrame, *keys: str) -> DataFrame:
+    """Deal a scan's rows out over the cluster when its files give fewer tasks than there are cores.
+
+    Few, unsplittable files would leave per-row work such as text cleaning to a handful of tasks.
+    A scan with enough splits, as any large table has, is returned as it is: no shuffle.
+    """
+    cores = scan.sparkSession.sparkContext.defaultParallelism
+    return scan if scan.rdd.getNumPartitions() >= cores else scan.repartition(cores, *keys)

@@ -20,7 +20,8 @@ def load_factors(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
 
 def append_run(run: DataFrame, path: str) -> None:
     """Add one run document (JSON lines); files appear only when complete, so no backup copy is needed."""
-    run.select([F.col(f.name).cast(f.dataType) for f in schemas.RUNS]).write.mode("append").json(path)
+    run.select([
+        (F.col(f.name) if f.name in run.columns else F.lit(None)).cast(f.dataType).alias(f.name) for f in schemas.RUNS]).write.mode("append").json(path)
 
 
 def read_runs(spark: SparkSession, path: str) -> DataFrame:

@@ -61,4 +61,10 @@ RUNS = T.StructType([
     T.StructField("feature_importance", _METRICS),
     T.StructField("dataset_info", _COUNTS),
     T.StructField("sample_size", T.DoubleType()),
+    T.StructField("score_stability", _METRICS),
+    T.StructField("user_interactions", _METRICS),
+    T.StructField("item_interactions", _METRICS),
+    T.StructField("user_histogram", T.ArrayType(T.LongType())),
+    T.StructField("item_histogram", T.ArrayType(T.LongType())),
+    T.StructField("component_means", _METRICS),
 ])

@@ -8,6 +8,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from readflow.session import spread
+
 EVENTS_PER_HISTORY = 1024
 AS_OF = 1706745600  # 2024-02-01 00:00:00 UTC
 
@@ -62,7 +64,8 @@ def raw_articles(spark: SparkSession, sf_dir: str) -> DataFrame:
         t = start + F.make_dt_interval(F.lit(0), h.cast("int"))
         return F.concat(F.date_format(t, "yyyy-MM-dd HH:mm:ss"), F.lit("+00:00"))
 
-    return table(spark, sf_dir, "documents").select(
+    documents = spread(table(spark, sf_dir, "documents").select("doc_id", "text", "source", "lang"), "doc_id")
+    return documents.select(
         F.col("doc_id").cast("string").alias("page"), F.concat(F.lit("https://"), F.col("source")).alias("url"),
         stamp(hours).alias("issued"), stamp(hours + F.col("doc_id") % 48).alias("modified"),
         F.col("text").alias("title"), F.col("text").alias("body"), F.col("lang").alias("caption"))

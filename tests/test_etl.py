@@ -29,8 +29,9 @@ def test_job_twice_gives_the_same_rows(spark, sf, tmp_path):
     assert files.is_complete(spark, layout.interactions, layout.matrix) and not files.is_complete(spark, root + "/none")
     assert files.read_table(spark, layout.analyses + "/reads_by_hour").agg(F.sum("count")).first()[0] == 1000
 
-    bad = tmp_path / "lake" / "models" / "runs"
-    assert bad.exists()
+    latest = models.latest_run(runs).first()
+    assert sum(latest["user_histogram"]) == 15 and sum(latest["item_histogram"]) == 200
+    assert 0 <= latest["score_stability"]["ks"] <= 1 and latest["item_interactions"]["min"] == 0.0
 
 
 def test_partition_overwrite_keeps_other_dates(spark, tmp_path):

@@ -41,6 +41,11 @@ def test_history_quality(spark):
     assert tuple(df.first()) == (2, 1, 1)
 
 
+def test_explode_validation(spark):
+    df = spark.createDataFrame([(" u", "Logged", " a, b ,"), ("v", "Logged", None)], "userId string, userType string, history string")
+    assert table(history.explode_validation(df), "user_id", "page") == [("u", "a"), ("u", "b")]
+
+
 def test_lenient_long(spark):
     df = spark.createDataFrame([("12",), (" 5 ",), ("3.7",), ("-2.9",), ("x",), ("",), (None,)], "s string")
     assert [r[0] for r in df.select(lenient_long(F.col("s"))).collect()] == [12, 5, 3, -2, None, None, None]
@@ -50,7 +55,7 @@ def interactions(spark, rows):
     return spark.createDataFrame(rows, "user_id string, page string, ts double")
 
 
-@pytest.mark.parametrize("min_rows", [5_000_000, 1])
+@pytest.mark.parametrize("min_rows", [1_000_000, 1])
 def test_user_times(spark, min_rows):
     df = interactions(spark, [("a", "p", 100.0), ("b", "q", 50.0), ("a", "r", 7300.0), ("a", "s", 7300.0), ("b", "t", 90.0), ("a", "z", 7400.0)])
     out = history.with_user_times(df, 10000, slice_seconds=3600, max_share=0.1, min_rows=min_rows)
