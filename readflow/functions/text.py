@@ -1,4 +1,4 @@
-"""Text cleaning and tokens."""
+"""Text cleaning."""
 
 from __future__ import annotations
 
@@ -27,8 +27,3 @@ def clean_text(c: Column) -> Column:
     for pattern, replacement in ((URL_PATTERN, ""), (TAG_PATTERN, ""), (DISALLOWED_PATTERN, ""), (BLANKS_PATTERN, " ")):
         c = F.regexp_replace(c, pattern, replacement)
     return F.coalesce(F.trim(F.lower(c)), F.lit(""))
-
-
-def tokens(cleaned: Column) -> Column:
-    """Lower-case tokens of a cleaned text; an empty text has none."""
-    return F.filter(F.split(F.lower(cleaned), r"\s"), lambda w: w != "")

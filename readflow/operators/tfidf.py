@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.feature import IDF, CountVectorizerModel, HashingTF, Normalizer, StopWordsRemover
+from pyspark.ml import PipelineModel
+from pyspark.ml.feature import IDF, CountVectorizerModel, HashingTF, Normalizer, RegexTokenizer, StopWordsRemover
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, functions as F
 
 from readflow.functions.columns import md5_number
-from readflow.functions.text import PORTUGUESE_STOP_WORDS, clean_text, tokens
+from readflow.functions.text import PORTUGUESE_STOP_WORDS, clean_text
 from readflow.session import materialize
 
 N_FEATURES = 300
@@ -46,54 +46,60 @@ def tfidf_terms(items: DataFrame, text: str = "cleaned_text", stop_words: list[s
     return counts.join(frequencies, "term").withColumn("tfidf", F.col("tf") * F.col("idf"))
 
 
-def hashed_model(
-    items: DataFrame,
-    text: str = "cleaned_text",
-    stop_words: list[str] = PORTUGUESE_STOP_WORDS,
-    n_features: int = N_FEATURES,
-    hashing: str = "murmur3",
-) -> PipelineModel:
-    """Fit stop words → hashed term frequency → IDF. Only the IDF needs a pass: ``n_features`` sums.
+def hashing_stages(
+    text: str = "cleaned_text", stop_words: list[str] = PORTUGUESE_STOP_WORDS, n_features: int = N_FEATURES,
+) -> list:
+    """The row-by-row stages: tokens, stop words, hashed term frequency."""
+    return [
+        RegexTokenizer(inputCol=text, outputCol="words", pattern=r"\s", minTokenLength=1),
+        StopWordsRemover(inputCol="words", outputCol="filtered", stopWords=stop_words, locale="en_US"),
+        HashingTF(inputCol="filtered", outputCol="raw_features", numFeatures=n_features),
+    ]
+
+
+def hashed_frequencies(
+    items: DataFrame, text: str = "cleaned_text", stop_words: list[str] = PORTUGUESE_STOP_WORDS,
+    n_features: int = N_FEATURES, hashing: str = "murmur3",
+) -> DataFrame:
+    """Add ``words``, ``filtered`` and ``raw_features`` without any shuffle.
 
     ``hashing`` is ``murmur3`` (Spark ML's) or ``md5``, whose buckets other engines can compute too.
-    Apply it to ``with_buckets(...)`` output.
     """
-    remover = StopWordsRemover(inputCol="words", outputCol="filtered", stopWords=stop_words, locale="en_US")
+    tokenizer, remover, frequency = hashing_stages(text, stop_words, n_features)
     if hashing == "murmur3":
-        frequency = HashingTF(inputCol="filtered", outputCol="raw_features", numFeatures=n_features)
-        stages = [remover, frequency]
-        prepared = with_words(items, text)
-    elif hashing == "md5":
-        vocabulary = [str(i) for i in range(n_features)]
-        frequency = CountVectorizerModel.from_vocabulary(vocabulary, inputCol="buckets", outputCol="raw_features")
-        stages = [frequency]
-        prepared = with_words(items, text, stop_words, n_features)
-    else:
+        return PipelineModel([tokenizer, remover, frequency]).transform(items)
+    if hashing != "md5":
         raise ValueError(f"unknown hashing: {hashing}")
-    return Pipeline(stages=[*stages, IDF(inputCol="raw_features", outputCol="features")]).fit(prepared)
-
-
-def with_words(items: DataFrame, text: str = "cleaned_text", stop_words=None, n_features: int | None = None) -> DataFrame:
-    """Add ``words``, and with ``n_features`` also ``filtered`` and the MD5 ``buckets`` of its words."""
-    df = items.withColumn("words", tokens(F.col(text)))
-    if n_features is None:
-        return df
-    df = StopWordsRemover(inputCol="words", outputCol="filtered", stopWords=stop_words, locale="en_US").transform(df)
     bucket = F.transform("filtered", lambda w: (md5_number(w) % n_features).cast("string"))
-    return df.withColumn("buckets", bucket)
+    bucketed = PipelineModel([tokenizer, remover]).transform(items).withColumn("buckets", bucket)
+    vocabulary = [str(i) for i in range(n_features)]
+    counter = CountVectorizerModel.from_vocabulary(vocabulary, inputCol="buckets", outputCol="raw_features")
+    return counter.transform(bucketed).drop("buckets")
 
 
 def hashed_tfidf(
-    items: DataFrame,
-    text: str = "cleaned_text",
-    stop_words: list[str] = PORTUGUESE_STOP_WORDS,
-    n_features: int = N_FEATURES,
-    hashing: str = "murmur3",
+    items: DataFrame, text: str = "cleaned_text", stop_words: list[str] = PORTUGUESE_STOP_WORDS,
+    n_features: int = N_FEATURES, hashing: str = "murmur3", keep: list[str] | None = None,
 ) -> DataFrame:
-    """Add ``features``, a sparse TF-IDF vector, row by row: no shuffle of tokens."""
-    model = hashed_model(items, text, stop_words, n_features, hashing)
-    words = with_words(items, text) if hashing == "murmur3" else with_words(items, text, stop_words, n_features)
-    return model.transform(words)
+    """Add ``features``, a sparse TF-IDF vector, to the columns of ``hashed_frequencies`` (or to ``keep`` of them).
+
+    The frequencies are written once: the IDF fit (one pass, ``n_features`` sums) and the weighting
+    both read them, so texts are split and hashed once.
+    """
+    frequencies = hashed_frequencies(items, text, stop_words, n_features, hashing)
+    if keep is not None:
+        frequencies = frequencies.select(*keep, "raw_features")
+    stored = materialize(frequencies, "frequencies")
+    return IDF(inputCol="raw_features", outputCol="features").fit(stored).transform(stored)
+
+
+def hashed_model(
+    items: DataFrame, text: str = "cleaned_text", stop_words: list[str] = PORTUGUESE_STOP_WORDS, n_features: int = N_FEATURES,
+) -> PipelineModel:
+    """The fitted stages as one model that can be saved and applied to later articles."""
+    stored = materialize(hashed_frequencies(items, text, stop_words, n_features).select("raw_features"), "frequencies")
+    weights = IDF(inputCol="raw_features", outputCol="features").fit(stored)
+    return PipelineModel([*hashing_stages(text, stop_words, n_features), weights])
 
 
 def item_features(tfidf: DataFrame) -> DataFrame:

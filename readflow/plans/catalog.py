@@ -62,8 +62,7 @@ def cleaned(spark, d):
 
 
 def vectors(spark, d):
-    stored = materialize(cleaned(spark, d), "cleaned")
-    return tfidf.item_features(tfidf.hashed_tfidf(stored, hashing="md5"))
+    return tfidf.item_features(tfidf.hashed_tfidf(cleaned(spark, d), hashing="md5", keep=["page"]))
 
 
 def pairs(spark, d):
@@ -373,7 +372,7 @@ def tfidf_terms(spark, d):
 
 @query()
 def tfidf_hashed(spark, d):
-    return tfidf.features_long(tfidf.hashed_tfidf(cleaned(spark, d)), "page")
+    return tfidf.features_long(tfidf.hashed_tfidf(cleaned(spark, d), keep=["page"]), "page")
 
 
 # --- gold -------------------------------------------------------------------------------------

@@ -134,6 +134,17 @@ def test_hashed_totals_equal_token_totals(spark, sf, hashing):
     assert hashed.exceptAll(plain).count() == 0 and plain.exceptAll(hashed).count() == 0
 
 
+def test_saved_text_model_gives_the_same_vectors(spark, sf, tmp_path):
+    from pyspark.ml import PipelineModel
+    from readflow.plans import catalog
+    clean = catalog.cleaned(spark, sf)
+    tfidf.hashed_model(clean).write().overwrite().save(str(tmp_path / "m"))
+    loaded = PipelineModel.load(str(tmp_path / "m")).transform(clean)
+    a = tfidf.features_long(loaded, "page")
+    b = tfidf.features_long(tfidf.hashed_tfidf(clean), "page")
+    assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
+
+
 def test_interaction_matrix(spark):
     df = spark.createDataFrame([
         ("u", "a", 1.0), ("u", " a ", 2.0), ("u", "b", 0.0), ("v", "b", -1.0), ("v", "x", 5.0), ("", "a", 1.0), (None, "a", 1.0), ("v", "a", None), ("v", "b", 4.0),
