@@ -4,10 +4,10 @@ Users and items are packed into blocks of about ``ROWS_PER_BLOCK`` vectors. Ever
 every item block once, as one matrix product inside a task; what leaves the task is only what the
 caller reduces it to (best n, counts, ranges), never the pairs.
 
-Blocks meet in cells of ``CELL`` × ``CELL`` blocks: both sides are copied along the other side's
-cells and joined on the cell. A cell is one bounded join key, and each side is shuffled once per
-``CELL`` blocks of the other instead of once per block. Nothing is broadcast unless Spark finds the
-packed side below its own size threshold.
+Blocks meet in square cells: both sides are copied along the other side's cells and joined on the
+cell, so a cell is one bounded join key, and each side is shuffled once per cell width of the other
+instead of once per block. Cells are as wide as leaves a few for every core, but at most ``CELL``
+blocks. Nothing is broadcast unless Spark finds the packed side below its own size threshold.
 """
 
 from __future__ import annotations
@@ -21,12 +21,14 @@ from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, functions as F
 
 import readflow
+from readflow.functions.columns import with_row
 
 # Send task functions to the executors by value, so the package need not be installed there.
 cloudpickle.register_pickle_by_value(readflow)
 
-ROWS_PER_BLOCK = 2048
-CELL = 32
+ROWS_PER_BLOCK = 1024
+CELL = 64
+CELLS_PER_CORE = 4
 SCORE_DIGITS = 9  # scores closer than this are ties
 
 
@@ -67,15 +69,20 @@ def user_blocks(users: DataFrame, columns: dict[str, str], rows: int = ROWS_PER_
 
 def meet(users: Blocks, items: Blocks) -> DataFrame:
     """One row per (user block, item block)."""
-    def cell(block):
-        return F.floor(F.col(block) / CELL)
-
-    def all_cells(count):
-        return F.explode(F.sequence(F.lit(0).cast("bigint"), F.floor((count - 1) / CELL)))
-
-    left = users.df.select("*", cell("user_block").alias("user_cell"), all_cells(items.count).alias("item_cell"))
-    right = items.df.select("*", cell("item_block").alias("item_cell"), all_cells(users.count).alias("user_cell"))
-    return left.join(right, ["user_cell", "item_cell"]).drop("user_cell", "item_cell")
+    spark = users.df.sparkSession
+    wanted_cells = CELLS_PER_CORE * spark.sparkContext.defaultParallelism
+    width = F.floor(F.sqrt(F.col("users") * F.col("items") / wanted_cells))
+    shape = spark.range(1).select(users.count.alias("users"), items.count.alias("items")).withColumn(
+        "width", F.greatest(F.lit(1), F.least(F.lit(CELL), width)))
+
+    def cells(side: DataFrame, own: str, other: str) -> DataFrame:
+        width = F.col("_shape.width")
+        every = F.sequence(F.lit(0).cast("bigint"), F.floor((F.col(f"_shape.{other}s") - 1) / width))
+        return with_row(side, shape, "_shape").select(
+            *side.columns, F.floor(F.col(f"{own}_block") / width).alias(f"{own}_cell"), F.explode(every).alias(f"{other}_cell"))
+
+    both = cells(users.df, "user", "item").join(cells(items.df, "item", "user"), ["user_cell", "item_cell"])
+    return both.drop("user_cell", "item_cell")
 
 
 def block_scores(row) -> np.ndarray:
