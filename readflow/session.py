@@ -11,6 +11,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 SCRATCH_KEY = "spark.checkpoint.dir"
+_scratch: list[str] = []
 
 
 def configure(spark: SparkSession) -> SparkSession:
@@ -33,7 +34,19 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     if not base:
         base = tempfile.mkdtemp(prefix="readflow-")
         spark.conf.set(SCRATCH_KEY, base)
-    return f"{base.rstrip('/')}/readflow/{name}-{uuid.uuid4().hex}"
+    path = f"{base.rstrip('/')}/readflow/{name}-{uuid.uuid4().hex}"
+    _scratch.append(path)
+    return path
+
+
+def drop_scratch(spark: SparkSession) -> int:
+    """Delete the scratch tables this process has made so far; frames built on them end with them."""
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    dropped = 0
+    while _scratch:
+        path = spark._jvm.org.apache.hadoop.fs.Path(_scratch.pop())
+        dropped += bool(path.getFileSystem(conf).delete(path, True))
+    return dropped
 
 
 def materialize(df: DataFrame, name: str) -> DataFrame:

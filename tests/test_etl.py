@@ -42,3 +42,10 @@ def test_partition_overwrite_keeps_other_dates(spark, tmp_path):
     assert sorted(r["x"] for r in files.read_table(spark, path).collect()) == [1, 9]
     files.write_partitioned(df.filter("day = 1"), path)
     assert files.read_table(spark, path).count() == 1
+
+
+def test_scratch_tables_can_be_dropped(spark):
+    from readflow.session import drop_scratch, materialize
+    table = materialize(spark.range(3), "three")
+    assert table.count() == 3
+    assert drop_scratch(spark) >= 1 and drop_scratch(spark) == 0
