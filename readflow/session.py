@@ -5,6 +5,7 @@ Library code never sets a master, memory or core count; those belong to the clus
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -27,11 +28,15 @@ def configure(spark: SparkSession) -> SparkSession:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A new path under the cluster's shared checkpoint folder.
 
-    The folder is read from the session. Only where the session names none (local runs, tests)
-    a temporary folder of this machine is used.
+    The folder is read from the session. A session in one process (``local``) that names none gets a
+    temporary folder of this machine; on a cluster that is an error, as executors would each write
+    to their own disk.
     """
     base = spark.conf.get(SCRATCH_KEY, None)
     if not base:
+        master = spark.conf.get("spark.master", "")
+        if not re.fullmatch(r"local(\[.*\])?", master):
+            raise ValueError(f"set {SCRATCH_KEY} to a folder that all executors share (master is {master!r})")
         base = tempfile.mkdtemp(prefix="readflow-")
         spark.conf.set(SCRATCH_KEY, base)
     path = f"{base.rstrip('/')}/readflow/{name}-{uuid.uuid4().hex}"

@@ -6,9 +6,9 @@ import os
 import duckdb
 import pytest
 
-import __spark_entry__ as contract
+from readflow.plans import catalog
 
-QUERIES, ORACLES = contract.queries(), contract.oracle_sql()
+QUERIES, ORACLES = catalog.QUERIES, catalog.ORACLES
 
 
 @pytest.fixture(scope="module")
