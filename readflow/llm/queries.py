@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from readflow.llm import decontaminate, sharding
+from readflow.llm import decontaminate, licenses, packing, secret_scan, sharding
 from readflow.session import configure
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -34,6 +34,22 @@ def sql_words(text: str, pattern: str = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+") -> s
     return f"regexp_extract_all(translate(coalesce({text}, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '{pattern}')"
 
 
+@query()
+def op2_licenses(spark, d):
+    rows = table(spark, d, "documents").select("doc_id", licenses.license_scan(F.col("text")).alias("scan"))
+    places = F.col("scan.places")
+    return rows.select(
+        "doc_id", "scan.n_words", F.size(places).cast("bigint").alias("n_base"),
+        F.array_min(places)["first"].cast("bigint").alias("first_word"), F.array_max(places)["first"].cast("bigint").alias("last_word"),
+        licenses.labels_of(places).alias("base_labels"), licenses.labels_of(places, F.col("scan.spans")).alias("labels"),
+        licenses.scan_score(F.col("scan")).alias("score"), F.col("scan.spans").alias("spans"))
+
+
+@query()
+def op3_packing(spark, d):
+    return packing.pack(table(spark, d, "documents"))
+
+
 @query(f"""
 with item_words as (select item_id, {sql_words("text")} w from benchmark),
 sized as (select item_id, w, least(len(w), 10) size from item_words where len(w) > 0),
@@ -56,6 +72,17 @@ def op5_decontaminate(spark, d):
         F.sha2(F.array_join("items", ",").cast("binary"), 256).alias("items_sha256"), "contaminated")
 
 
+@query()
+def op6_secrets(spark, d):
+    rows = table(spark, d, "documents").select("doc_id", secret_scan.secret_spans(F.col("text")).alias("found"))
+    found = F.col("found")
+    return rows.select(
+        "doc_id", *[secret_scan.count_of(found, k).alias(f"n_{k}") for k in secret_scan.BASE_KINDS],
+        F.sha2(secret_scan.span_list(found, secret_scan.BASE_KINDS).cast("binary"), 256).alias("base_sha256"),
+        secret_scan.span_list(found).alias("spans"),
+        F.coalesce(F.array_max(F.transform(found, lambda s: s["bits"])), F.lit(0.0)).alias("most_bits"))
+
+
 @query()
 def op9_sharding(spark, d):
     rows = sharding.shard_documents(table(spark, d, "documents"), sharding.regular_tree(16), sharding.regular_tree(17))
