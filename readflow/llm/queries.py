@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from readflow.llm import decontaminate, licenses, packing, secret_scan, sharding
+from readflow.llm import decontaminate, jaccard, licenses, packing, secret_scan, sharding
 from readflow.session import configure
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -50,6 +50,20 @@ def op3_packing(spark, d):
     return packing.pack(table(spark, d, "documents"))
 
 
+@query(rf"""
+with recursive words as (select doc_id, list_filter({sql_words("text", "[^\\x20\\x09-\\x0D]+")}, lambda x: x <> '') w from documents),
+sets as (select doc_id, case when len(w) = 0 then [] when len(w) < 3 then [array_to_string(w, ' ')]
+  else list_distinct(list_transform(range(0, len(w) - 2), lambda i: array_to_string(w[i + 1 : i + 3], ' '))) end s from words),
+grams as (select doc_id, len(s) n, unnest(s) g from sets),
+pairs as (select a.doc_id a, b.doc_id b from grams a join grams b on a.g = b.g and a.doc_id <> b.doc_id
+  and 100 * a.n >= 90 * b.n and 100 * b.n >= 90 * a.n
+  group by a.doc_id, b.doc_id, a.n, b.n having 100 * count(*) >= 90 * (a.n + b.n - count(*))),
+reach as (select doc_id a, doc_id b from sets union select reach.a, pairs.b from reach join pairs on reach.b = pairs.a)
+select sets.doc_id, cast(len(s) as bigint) n_shingles, min(b) component_id from sets join reach on sets.doc_id = reach.a group by sets.doc_id, s""")
+def op4_jaccard_join(spark, d):
+    return jaccard.link_components(table(spark, d, "documents"))
+
+
 @query(f"""
 with item_words as (select item_id, {sql_words("text")} w from benchmark),
 sized as (select item_id, w, least(len(w), 10) size from item_words where len(w) > 0),
