@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from readflow.llm import decontaminate, jaccard, licenses, packing, secret_scan, sharding
+from readflow.llm import decontaminate, jaccard, licenses, near_vectors, packing, secret_scan, sharding
 from readflow.session import configure
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -97,6 +97,19 @@ def op6_secrets(spark, d):
         F.coalesce(F.array_max(F.transform(found, lambda s: s["bits"])), F.lit(0.0)).alias("most_bits"))
 
 
+@query("""
+with recursive fit as (select vec_id, cast(embedding as double[]) v from embeddings
+  where embedding is not null and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0 and list_sum(list_transform(embedding, lambda x: abs(x))) > 0),
+pairs as (select a.vec_id a, b.vec_id b from fit a join fit b on a.vec_id <> b.vec_id and len(a.v) = len(b.v) and list_cosine_similarity(a.v, b.v) >= 0.9),
+reach as (select vec_id a, vec_id b from embeddings union select reach.a, pairs.b from reach join pairs on reach.b = pairs.a),
+roots as (select a vec_id, min(b) component_id from reach group by a),
+counts as (select a vec_id, count(*) n from pairs group by a)
+select vec_id, cast(coalesce(n, 0) as bigint) n_links, component_id, vec_id = component_id kept
+from embeddings join roots using (vec_id) left join counts using (vec_id)""")
+def op7_near_vectors(spark, d):
+    return near_vectors.near_duplicates(table(spark, d, "embeddings"))
+
+
 @query()
 def op9_sharding(spark, d):
     rows = sharding.shard_documents(table(spark, d, "documents"), sharding.regular_tree(16), sharding.regular_tree(17))
