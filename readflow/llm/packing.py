@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import os
 import zlib
 from bisect import bisect_left
 from collections.abc import Iterator
@@ -18,6 +19,7 @@ from readflow.session import materialize
 CAPACITY = 2048
 TOKENIZER = "word_bpe_49k.json"
 END_ID = 0
+WORD_END, SIGNS = "</w>", frozenset(".,;:!?")
 #: Distinct blank-free strings whose ids a task remembers; when full it starts anew.
 MEMORY = 300_000
 
@@ -26,29 +28,77 @@ class TextIds:
     """Token ids of texts as little-endian unsigned 32-bit bytes.
 
     The tokenizer drops white space and never looks across it, so a text's ids are those of its parts
-    between blanks and line ends, one after the other; the ids of a part are remembered.
+    between blanks and line ends, one after the other; the ids of a part are remembered. A letter and
+    a sign after it never share a token either, so one sign at the end of a word is looked up apart.
     """
 
     def __init__(self, path: str, memory: int = MEMORY):
-        import os
-
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        vocabulary = self.tokenizer.get_vocab()
+        self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
+        self.ends[[i for token, i in vocabulary.items() if token.endswith(WORD_END)]] = True
         self.memory = memory
         self.known: dict[str, bytes] = {}
+        self.words: dict[str, bytes] = {}
 
     def of(self, texts: list[str]) -> list[bytes]:
         parts = [t.replace("\n", " ").split(" ") for t in texts]
         if len(self.known) > self.memory:
             self.known = {}
         known = self.known
-        missing = list({p for own in parts for p in own if p not in known})
-        for part, code in zip(missing, self.tokenizer.encode_batch(missing, add_special_tokens=False)):
-            known[part] = np.array(code.ids, "<u4").tobytes()
+        missing = set()
+        for own in parts:
+            missing.update(own)
+        missing.difference_update(known)
+        self._learn(missing)
         return [b"".join(map(known.__getitem__, own)) for own in parts]
 
+    def _learn(self, parts: set[str]) -> None:
+        words, signed, others = {}, {}, set()
+        for p in parts:
+            stem = p[:-1] if p[-1:] in SIGNS and p[-2:-1].isalpha() else p
+            if stem.isalpha() and _latin(stem):
+                words[p] = stem.lower()
+            else:
+                others.add(p)
+            if stem is not p and p in words:
+                signed[p] = p[-1]
+        if len(self.words) > self.memory:
+            self.words = {}
+        self._learn_words([w for w in set(words.values()) if w not in self.words])
+        others.update(s for s in set(signed.values()) if s not in self.known)
+        for part, code in zip(others, self._codes(list(others))):
+            self.known[part] = code
+        for p, word in words.items():
+            self.known[p] = self.words[word] + self.known[signed[p]] if p in signed else self.words[word]
+
+    def _learn_words(self, words: list[str]) -> None:
+        """Lower-case words of letters: each is one unit to the tokenizer, so many go in one text and are told apart by word ends."""
+        for first in range(0, len(words), 500):
+            some = words[first : first + 500]
+            ids = np.array(self.tokenizer.encode(" ".join(some), add_special_tokens=False).ids, "<u4")
+            cuts = np.flatnonzero(self.ends[ids]) + 1
+            if len(cuts) == len(some):
+                raw, ends = ids.tobytes(), (4 * cuts).tolist()
+                self.words.update((w, raw[a:b]) for w, a, b in zip(some, [0, *ends], ends))
+            else:
+                self.words.update(zip(some, self._codes(some)))
+
+    def _codes(self, texts: list[str]) -> list[bytes]:
+        return [np.array(code.ids, "<u4").tobytes() for code in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+
+
+def _latin(word: str) -> bool:
+    """Without letters that a normaliser might compose or whose lower case is not one letter."""
+    try:
+        word.encode("latin-1")
+    except UnicodeEncodeError:
+        return False
+    return True
+
 
 def pieces(docs: DataFrame, key: str = "doc_id", text: str = "text", path: str | None = None, capacity: int = CAPACITY) -> DataFrame:
     """(key, piece, start, length, ids_crc32) of every document's ids with the end id behind them.
