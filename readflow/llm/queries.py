@@ -6,7 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from readflow.llm import decontaminate, jaccard, licenses, near_vectors, packing, secret_scan, sharding
+from readflow.llm import decontaminate, jaccard, lang_id, licenses, near_vectors, packing, quality, secret_scan, sharding, toxicity
+from readflow.llm.texts import crc_mod
 from readflow.session import configure
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -34,6 +35,15 @@ def sql_words(text: str, pattern: str = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+") -> s
     return f"regexp_extract_all(translate(coalesce({text}, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '{pattern}')"
 
 
+@query()
+def op1_language(spark, d):
+    docs = table(spark, d, "documents")
+    held_out = crc_mod(F.col("doc_id"), 4) == 2
+    model = lang_id.fit(docs.filter(~held_out))
+    rows = docs.select("doc_id", held_out.alias("held_out"), lang_id.identify(F.col("text"), model).alias("found"))
+    return rows.select("doc_id", "held_out", F.col("found.lang").alias("lang_pred"), "found.score", "found.mix")
+
+
 @query()
 def op2_licenses(spark, d):
     rows = table(spark, d, "documents").select("doc_id", licenses.license_scan(F.col("text")).alias("scan"))
@@ -110,7 +120,23 @@ def op7_near_vectors(spark, d):
     return near_vectors.near_duplicates(table(spark, d, "embeddings"))
 
 
+@query()
+def op8_toxicity(spark, d):
+    docs = table(spark, d, "documents")
+    model = toxicity.fit(docs, table(spark, d, "labels"))
+    rows = docs.select("doc_id", toxicity.severity(F.col("text"), model).alias("s"))
+    return rows.select("doc_id", "s.severity", "s.p_toxic", "s.grade", (F.col("s.severity") >= toxicity.REJECT).alias("toxic"))
+
+
 @query()
 def op9_sharding(spark, d):
     rows = sharding.shard_documents(table(spark, d, "documents"), sharding.regular_tree(16), sharding.regular_tree(17))
     return rows.select("doc_id", "size", "text_crc32", F.lit("key").alias("law"), "shard", "slot", "grown_shard")
+
+
+@query()
+def op10_quality(spark, d):
+    docs, labels = table(spark, d, "documents"), table(spark, d, "labels")
+    model = quality.fit(docs, labels.filter(crc_mod(F.col("doc_id"), 5) != 0))
+    scored = quality.classify(docs.select("doc_id", "text"), model, column="score")
+    return scored.select("doc_id", (crc_mod(F.col("doc_id"), 5) == 0).alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
