@@ -45,10 +45,16 @@ def md5_number(c: Column, hex_digits: int = 8) -> Column:
     return F.conv(F.substring(F.md5(c), 1, hex_digits), 16, 10).cast("bigint")
 
 
-def hash_share(ratio: float, *keys: str, seed: int = 42) -> Column:
-    """True for a share ``ratio`` of the keys (in steps of 1/1000), the same on every run."""
-    number = md5_number(F.concat_ws("|", *[F.col(k) for k in keys], F.lit(str(seed))))
-    return number % 1000 < round(ratio * 1000)
+SHARE_DIGITS = 15  # hex digits of the hash that shares are compared with
+
+
+def hash_share(ratio: float, *keys: str, purpose: str, seed: int = 42) -> Column:
+    """True for a share ``ratio`` of the keys, the same on every run.
+
+    Shares of different purposes are independent of each other, so that a sample can be split again.
+    """
+    number = md5_number(F.concat_ws("|", *[F.col(k) for k in keys], F.lit(purpose), F.lit(str(seed))), SHARE_DIGITS)
+    return number < int(ratio * 16**SHARE_DIGITS)
 
 
 def round_doubles(df: DataFrame, digits: int = 6, skip: Iterable[str] = ()) -> DataFrame:

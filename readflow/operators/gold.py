@@ -95,18 +95,18 @@ def user_feature_vectors(features: DataFrame) -> DataFrame:
     return minmax_scale(features, columns).select("user_id", F.array(*columns).alias("user_features"))
 
 
-def hash_sample(pairs: DataFrame, ratio: float, seed: int = 42) -> DataFrame:
-    """A share of the pairs chosen by hash: the same rows on any partitioning."""
+def hash_sample(pairs: DataFrame, ratio: float, seed: int = 42, purpose: str = "sample") -> DataFrame:
+    """A share of the pairs chosen by hash: the same rows on any partitioning, other rows for another purpose."""
     if not 0 < ratio <= 1:
         raise ValueError("ratio must be in (0, 1]")
-    return pairs.filter(hash_share(ratio, "user_id", "page", seed=seed))
+    return pairs.filter(hash_share(ratio, "user_id", "page", purpose=purpose, seed=seed))
 
 
 def with_split(pairs: DataFrame, test_ratio: float = 0.2, seed: int = 42) -> DataFrame:
     """Add ``is_test``."""
     if not 0 < test_ratio < 1:
         raise ValueError("test_ratio must be in (0, 1)")
-    return pairs.withColumn("is_test", hash_share(test_ratio, "user_id", "page", seed=seed))
+    return pairs.withColumn("is_test", hash_share(test_ratio, "user_id", "page", purpose="split", seed=seed))
 
 
 def train_test_split(pairs: DataFrame, test_ratio: float = 0.2, seed: int = 42) -> tuple[DataFrame, DataFrame]:

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, Window as W, functions as F
 
 from readflow.functions.columns import epoch_seconds, lenient_long
 from readflow.functions.scoring import ENGAGEMENT_WEIGHTS, event_time, interaction_score, recency_weight
-from readflow.operators.skew import HOT_ROWS, HOT_SHARE, hot_keys
+from readflow.operators.skew import in_range_parts
 from readflow.sources.schemas import HISTORY_LISTS
 
 TIE_BREAK = ("page", "clicks", "time_on_page_ms", "scroll_pct", "visits")
@@ -62,44 +62,30 @@ def with_temporal(df: DataFrame) -> DataFrame:
     })
 
 
-def with_user_times(
-    df: DataFrame,
-    as_of=None,
-    slice_seconds: int = 3600,
-    max_share: float = HOT_SHARE,
-    min_rows: int = HOT_ROWS,
-) -> DataFrame:
+def with_user_times(df: DataFrame, as_of=None) -> DataFrame:
     """Seconds since the user's previous reading, first reading, and seconds since it.
 
-    Ordinary users are one window group each. A user holding a large share of the rows is cut into
-    time slices, each a group of its own; a table with one row per slice carries the last time of
-    the slice before. Values are the same either way, and the rows are shuffled once.
+    Rows are cut into parts along (user, time), so a user with very many rows, and the readers
+    without an id, are spread like all others. Inside a part each user is a window group; one row per
+    user and part carries the last and the first time over from the parts before.
     """
-    hot = hot_keys(df, "user_id", max_share, min_rows).withColumn("_hot", F.lit(True))
-    slice_no = F.when(F.col("_hot"), F.coalesce(F.floor(F.col("ts") / slice_seconds), F.lit(-1))).otherwise(F.lit(0))
-    sliced = df.join(F.broadcast(hot), "user_id", "left").withColumn("_slice", slice_no)
-
-    ends = (
-        sliced.filter("_hot").groupBy("user_id", "_slice")
-        .agg(F.min("ts").alias("_first"), F.max("ts").alias("_last"))
-    )
-    by_user = W.partitionBy("user_id").orderBy("_slice")
-    whole_user = W.partitionBy("user_id")
-    carried = ends.select(
-        "user_id", "_slice",
-        F.lag("_last").over(by_user).alias("_carried_last"),
-        F.min("_first").over(whole_user).alias("_carried_first"),
-    )
-    group = W.partitionBy("user_id", "_slice")
-    previous = F.lag("ts").over(group.orderBy("ts", *[c for c in TIE_BREAK if c in df.columns]))
-    rows = sliced.withColumns({"_previous": previous, "_group_first": F.min("ts").over(group)})
-    rows = rows.join(carried, ["user_id", "_slice"], "left")
-    first = F.coalesce("_carried_first", "_group_first")
-    return rows.select(
+    ties = [c for c in TIE_BREAK if c in df.columns]
+    parts = in_range_parts(df, "user_id", "ts", *ties, name="user-times")
+    by_user = W.partitionBy("user_id")
+    ends = parts.groupBy("user_id", "_part").agg(F.min("ts").alias("_first"), F.max("ts").alias("_last"))
+    # One further row per user and part, ahead of the others: it holds what the parts before say.
+    heads = ends.select(
+        "user_id", "_part", F.lag("_last").over(by_user.orderBy("_part")).alias("ts"),
+        F.min("_first").over(by_user).alias("_first"), F.lit(True).alias("_head"))
+    rows = parts.withColumn("_head", F.lit(False)).unionByName(heads, allowMissingColumns=True)
+    group = W.partitionBy("_part", "user_id")
+    rows = rows.withColumns({
+        "_previous": F.lag("ts").over(group.orderBy(F.desc("_head"), "ts", *ties)), "_first": F.max("_first").over(group)})
+    return rows.filter("not _head").select(
         *df.columns,
-        F.coalesce(F.col("ts") - F.coalesce("_previous", "_carried_last"), F.lit(0.0)).alias("time_since_last"),
-        first.alias("first_interaction"),
-        (epoch_seconds(as_of) - first).alias("time_since_first"),
+        F.coalesce(F.col("ts") - F.col("_previous"), F.lit(0.0)).alias("time_since_last"),
+        F.col("_first").alias("first_interaction"),
+        (epoch_seconds(as_of) - F.col("_first")).alias("time_since_first"),
     )
 
 

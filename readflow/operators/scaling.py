@@ -7,7 +7,6 @@ from collections.abc import Iterable
 from pyspark.sql import Column, DataFrame, functions as F
 
 from readflow.functions.columns import apply_present, with_row
-from readflow.operators.skew import dense_index
 
 LOG_COLUMNS = (
     "time_on_page_ms", "time_since_last", "time_since_first", "interaction_score",
@@ -43,20 +42,30 @@ def minmax_scale(df: DataFrame, columns: Iterable[str] = MINMAX_COLUMNS) -> Data
     }).drop("_bounds")
 
 
+MAX_LABELS = 65_536
+
+
 def label_index(df: DataFrame, column: str) -> DataFrame:
-    """Labels numbered by falling frequency, ties in alphabetical order, as (label, index)."""
+    """Labels numbered by falling frequency, ties in alphabetical order, as (label, index).
+
+    Labels are categories: their counts are gathered in one row, and more than ``MAX_LABELS`` of
+    them are an error.
+    """
     counts = df.filter(F.col(column).isNotNull()).groupBy(column).agg(F.count(F.lit(1)).alias("n"))
-    # One sortable key per label: most frequent first, then the label itself.
-    keyed = counts.select(F.struct((-F.col("n")).alias("n"), F.col(column).alias("label")).alias("key"))
-    ranked = dense_index(keyed, "key", "index", -F.floor(F.log2(-F.col("key.n"))))
-    return ranked.select(F.col("key.label").alias(column), F.col("index").cast("double").alias("index"))
+    listed = counts.agg(F.array_sort(F.collect_list(F.struct((-F.col("n")).alias("n"), F.col(column).alias("label")))).alias("l"))
+    few = F.when(F.size("l") <= MAX_LABELS, F.col("l")).otherwise(F.raise_error(F.lit(f"more than {MAX_LABELS} labels in {column}")))
+    ranked = listed.select(F.posexplode(few).alias("index", "e"))
+    return ranked.select(F.col("e.label").alias(column), F.col("index").cast("double").alias("index"))
 
 
 def index_labels(df: DataFrame, column: str = "user_type", labels: DataFrame | None = None) -> DataFrame:
-    """Replace a label column by its index; NULL gets the index after the last label."""
+    """Replace a label column by its index; NULL and labels not in ``labels`` get the index after the last label.
+
+    The labels are read as one map, a scalar subquery: the rows are neither shuffled nor joined.
+    """
     labels = label_index(df, column) if labels is None else labels
-    unknown = labels.agg(F.count(F.lit(1)).cast("double")).scalar()
-    out = df.join(labels, column, "left").withColumn(column, F.coalesce("index", unknown))
+    known = labels.agg(F.map_from_entries(F.collect_list(F.struct(column, "index"))).alias("m"))
+    out = with_row(df, known, "_labels").withColumn(column, F.coalesce(F.try_element_at("_labels.m", F.col(column)), F.size("_labels.m").cast("double")))
     return out.select(df.columns)
 
 

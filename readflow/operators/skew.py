@@ -7,39 +7,15 @@ from pyspark.sql import Column, DataFrame, Window as W, functions as F
 from readflow.functions.columns import md5_number, with_row
 from readflow.session import materialize
 
-INDEX_BUCKETS = 16 ** 4
-
-
-HOT_SHARE = 1e-5
-HOT_ROWS = 1_000_000
-
-
-def hot_keys(df: DataFrame, key: str, max_share: float = HOT_SHARE, min_rows: int = HOT_ROWS) -> DataFrame:
-    """Keys with at least ``min_rows`` rows that hold more than ``max_share`` of all rows.
-
-    At most ``1 / max_share`` keys can, which bounds the result whatever the size of ``df``. The count is partial on the map side, so the hot keys themselves cost one row per task.
-    """
-    counts = df.groupBy(key).agg(F.count(F.lit(1)).alias("n"))
-    total = counts.agg(F.sum("n")).scalar()
-    return counts.filter(F.col("n") >= min_rows).filter(F.col("n") > total * max_share).select(key)
-
-
-def dense_index(df: DataFrame, key: str, index: str, bucket: Column | None = None) -> DataFrame:
+def dense_index(df: DataFrame, key: str, index: str) -> DataFrame:
     """Map the distinct non-empty keys to 0..n-1.
 
-    Keys go to one of 65,536 buckets; the index is the bucket's offset plus the rank inside it. By
-    default the bucket is a prefix of the key's MD5, so buckets are even and the result is the same
-    on every run. A ``bucket`` that grows with the key makes the index follow the key order. The
-    table of offsets has one row per bucket, which bounds both its window and its broadcast.
+    Keys go to one of 65,536 buckets by a prefix of their MD5, so buckets are even and the result is
+    the same on every run; the index is the bucket's offset plus the rank inside it. The table of
+    offsets has one row per bucket, which bounds both its window and its broadcast.
     """
-    if bucket is None:
-        bucket = md5_number(F.col(key).cast("string"), 4)
     keys = df.select(key).filter(F.col(key).isNotNull() & (F.col(key).cast("string") != "")).distinct()
-    return _index_in_buckets(keys.withColumn("_bucket", bucket), key, index)
-
-
-def _index_in_buckets(keys: DataFrame, key: str, index: str) -> DataFrame:
-    """Number distinct keys by (``_bucket``, key)."""
+    keys = keys.withColumn("_bucket", md5_number(F.col(key).cast("string"), 4))
     sizes = keys.groupBy("_bucket").agg(F.count(F.lit(1)).alias("n"))
     before = W.orderBy("_bucket").rowsBetween(W.unboundedPreceding, -1)
     offsets = sizes.select("_bucket", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("_offset"))
@@ -52,13 +28,18 @@ def _index_in_buckets(keys: DataFrame, key: str, index: str) -> DataFrame:
 
 
 def ordered_index(df: DataFrame, key: str, index: str) -> DataFrame:
-    """``dense_index`` of an integer key, in the order of the key."""
-    keys = df.select(key).distinct()
-    span = df.agg(F.min(key).alias("lo"), F.max(key).alias("hi"))
-    lo, hi = F.col("_span.lo"), F.col("_span.hi")
-    position = (F.col(key) - lo) / F.greatest(F.lit(1.0), (hi - lo).cast("double"))
-    bucket = F.floor(position * (INDEX_BUCKETS - 1)).cast("bigint")
-    return _index_in_buckets(with_row(keys, span, "_span").withColumn("_bucket", bucket).drop("_span"), key, index)
+    """Map the distinct keys to 0..n-1 in the order of the key (NULL first), whatever its type and its gaps."""
+    counted = running_totals(df.select(key).distinct().withColumn("_one", F.lit(1)), key, ["_one"])
+    return counted.select(key, (F.col("cum__one") - 1).cast("bigint").alias(index))
+
+
+def in_range_parts(df: DataFrame, *order: str, name: str = "ranged") -> DataFrame:
+    """Rows range-partitioned by ``order`` and written once, with the number of their part as ``_part``.
+
+    Parts follow each other in that order and hold about the same number of rows, so a group of
+    rows with one key is spread over as many parts as its size asks for.
+    """
+    return materialize(df.repartitionByRange(*[F.col(c) for c in order]).withColumn("_part", F.spark_partition_id()), name)
 
 
 def running_totals(df: DataFrame, value: str, amounts: list[str]) -> DataFrame:
@@ -67,8 +48,7 @@ def running_totals(df: DataFrame, value: str, amounts: list[str]) -> DataFrame:
     Rows are range-partitioned by value and written once, so that partition totals and row totals
     come from the same split. The offsets have one row per partition.
     """
-    ranged = df.repartitionByRange(F.col(value)).withColumn("_part", F.spark_partition_id())
-    table = materialize(ranged, "running-totals")
+    table = in_range_parts(df, value, name="running-totals")
     parts = table.groupBy("_part").agg(*[F.sum(a).alias(a) for a in amounts])
     before = W.orderBy("_part").rowsBetween(W.unboundedPreceding, -1)
     offsets = parts.select("_part", *[F.coalesce(F.sum(a).over(before), F.lit(0)).alias(f"_before_{a}") for a in amounts])

@@ -10,7 +10,7 @@ from readflow.functions import scoring
 from readflow.functions.columns import round_doubles
 from readflow.operators import analytics, distributions, evaluate, gold, history, items as articles, monitor, recommend, scaling, skew, tfidf
 from readflow.plans import training
-from readflow.plans.sql import histogram_sql, quantile_bins_sql, sql
+from readflow.plans.sql import histogram_sql, quantile_bins_sql, share, sql
 from readflow.session import configure, materialize, scratch_path
 from readflow.sources import files, models, tables
 from readflow.sources.tables import AS_OF
@@ -451,11 +451,17 @@ def compact_items(spark, d):
     return interactions.join(features, "item_idx").select("user_idx", "item_idx", "score", "part_size")
 
 
-@query("select user_id, page from pairs where " + "cast('0x' || substr(md5(concat_ws('|', user_id, page, '42')), 1, 8) as bigint) % 1000 < 100")
+@query(f"select user_id, page from pairs where {share(0.1, 'sample')}")
 def hash_sample(spark, d):
     return gold.hash_sample(pairs(spark, d), 0.1)
 
 
+@query(f"select user_id, page, cast(is_test as int) is_test from split where {share(0.1, 'sample')}")
+def sampled_split(spark, d):
+    """A sample of a tenth, split again: its test part is a fifth of it."""
+    return gold.with_split(gold.hash_sample(pairs(spark, d), 0.1), 0.2).select("user_id", "page", F.col("is_test").cast("int").alias("is_test"))
+
+
 @query("select user_id, page, cast(is_test as int) is_test from split")
 def train_test_split(spark, d):
     train, test = gold.train_test_split(pairs(spark, d))

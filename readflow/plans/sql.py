@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import re
 
+from readflow.functions.columns import SHARE_DIGITS
 from readflow.functions.text import BLANKS_PATTERN, DISALLOWED_PATTERN, PORTUGUESE_STOP_WORDS, TAG_PATTERN, URL_PATTERN
 from readflow.operators.scaling import ITEM_COLUMNS, LOG_COLUMNS, MINMAX_COLUMNS, USER_VECTOR_COLUMNS
 from readflow.operators.tfidf import N_FEATURES
@@ -24,8 +25,8 @@ def md5_number(text: str, digits: int = 8) -> str:
     return f"cast('0x' || substr(md5({text}), 1, {digits}) as bigint)"
 
 
-def share(ratio_per_mille: int, seed: int = 42) -> str:
-    return md5_number(f"concat_ws('|', user_id, page, '{seed}')") + f" % 1000 < {ratio_per_mille}"
+def share(ratio: float, purpose: str, seed: int = 42) -> str:
+    return md5_number(f"concat_ws('|', user_id, page, '{purpose}', '{seed}')", SHARE_DIGITS) + f" < {int(ratio * 16**SHARE_DIGITS)}"
 
 
 def dense(source: str, key: str, index: str) -> str:
@@ -92,7 +93,7 @@ CTES: dict[str, str] = {
     "scores": """select user_id, page, sum(adjusted_score) score from norm
         where user_id <> '' and page <> '' and adjusted_score > 0 and page in (select page from catalogue) group by 1, 2""",
     "pairs": "select distinct user_id, page from inter",
-    "split": f"select user_id, page, {share(200)} is_test from pairs",
+    "split": f"select user_id, page, {share(0.2, "split")} is_test from pairs",
     "user_means": f"select user_id, arg_min(user_type, ts) user_type, {_user_means} from norm group by user_id",
     "user_factors": "select cast(vec_id as varchar) user_id, cast(list_reverse(embedding) as double[]) u from embeddings",
     "item_factors": "select cast(vec_id as varchar) page, cast(embedding as double[]) i, label * cast(0.01 as double) b from embeddings",

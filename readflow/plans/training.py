@@ -32,7 +32,7 @@ def run_document(
     marked = gold.with_split(pairs, test_ratio, seed)
     train, test = marked.filter("not is_test"), marked.filter("is_test")
     if evaluation_ratio < 1:
-        test = gold.hash_sample(test, evaluation_ratio, seed + 1)
+        test = gold.hash_sample(test, evaluation_ratio, seed, "evaluate")
     n_users = pairs.agg(F.countDistinct("user_id")).scalar()
     n_items = items.agg(F.countDistinct("page")).scalar()
 

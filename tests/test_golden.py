@@ -3,7 +3,7 @@
 import math
 
 import pytest
-from pyspark.sql import functions as F
+from pyspark.sql import Window as W, functions as F
 
 from readflow.functions import scoring
 from readflow.functions.columns import lenient_long
@@ -55,23 +55,31 @@ def interactions(spark, rows):
     return spark.createDataFrame(rows, "user_id string, page string, ts double")
 
 
-@pytest.mark.parametrize("min_rows", [1_000_000, 1])
-def test_user_times(spark, min_rows):
+def test_user_times(spark):
     df = interactions(spark, [("a", "p", 100.0), ("b", "q", 50.0), ("a", "r", 7300.0), ("a", "s", 7300.0), ("b", "t", 90.0), ("a", "z", 7400.0)])
-    out = history.with_user_times(df, 10000, slice_seconds=3600, max_share=0.1, min_rows=min_rows)
+    out = history.with_user_times(df, 10000)
     assert table(out, "user_id", "page", "time_since_last", "first_interaction", "time_since_first") == [
         ("a", "p", 0.0, 100.0, 9900.0), ("a", "r", 7200.0, 100.0, 9900.0), ("a", "s", 0.0, 100.0, 9900.0), ("a", "z", 100.0, 100.0, 9900.0),
         ("b", "q", 0.0, 50.0, 9950.0), ("b", "t", 40.0, 50.0, 9950.0)]
 
 
-def test_split_users_equal_whole_users(spark, sf):
+def test_hot_users_are_spread_and_equal_plain_windows(spark, sf, request):
     from readflow.sources import tables
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")  # a thousand rows would make one part
+    request.addfinalizer(lambda: spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled"))
     df = tables.interactions(spark, sf)
-    hot = df.withColumn("user_id", F.when(F.col("user_id").cast("int") < 6, "hot").otherwise(F.col("user_id")))
-    whole = history.with_user_times(hot, AS_OF)
-    split = history.with_user_times(hot, AS_OF, slice_seconds=1800, max_share=0.2, min_rows=1)
-    assert skew.hot_keys(hot, "user_id", 0.2, 1).count() == 1
-    assert whole.exceptAll(split).count() == 0 and split.exceptAll(whole).count() == 0
+    user = F.col("user_id").cast("int")
+    # A hot user inside one hour, readers without an id, readings without a time.
+    hot = df.withColumn("user_id", F.when(user < 4, "hot").when(user >= 6, F.col("user_id"))).withColumn(
+        "ts", F.when(F.col("user_id") == "hot", AS_OF - F.col("ts") % 3600).when(F.col("clicks") < 6, F.col("ts")))
+    out = history.with_user_times(hot, AS_OF)
+    group = W.partitionBy("user_id").orderBy("ts", *history.TIE_BREAK)
+    plain = hot.withColumn("time_since_last", F.coalesce(F.col("ts") - F.lag("ts").over(group), F.lit(0.0)))
+    plain = plain.withColumn("first_interaction", F.min("ts").over(W.partitionBy("user_id")))
+    plain = plain.withColumn("time_since_first", F.lit(AS_OF) - F.col("first_interaction"))
+    assert out.exceptAll(plain).count() == 0 and plain.exceptAll(out).count() == 0
+    parts = skew.in_range_parts(hot, "user_id", "ts").groupBy("user_id", "_part").count().filter("user_id is null or user_id = 'hot'")
+    assert parts.groupBy("user_id").count().filter("count > 1").count() == 2
 
 
 def test_scores(spark):
@@ -109,6 +117,12 @@ def test_label_index(spark):
     df = spark.createDataFrame([("b",), ("b",), ("c",), ("a",), ("d",), ("d",), ("d",), (None,)], "user_type string")
     assert table(scaling.label_index(df, "user_type"), "user_type", "index") == [("a", 2.0), ("b", 1.0), ("c", 3.0), ("d", 0.0)]
     assert scaling.index_labels(df).filter("user_type = 4").count() == 1
+    many = spark.range(3000).select(F.concat(F.lit("l"), (F.col("id") % 1000).cast("string")).alias("user_type"))
+    assert scaling.label_index(many, "user_type").agg(F.max("index")).first()[0] == 999.0
+    labels = spark.createDataFrame([("b", 0.0)], "user_type string, index double")
+    assert sorted(r[0] for r in scaling.index_labels(df, labels=labels).collect()) == [0.0, 0.0] + [1.0] * 6
+    plan = scaling.index_labels(df, labels=labels)._jdf.queryExecution().optimizedPlan().toString()
+    assert "Join" not in plan
 
 
 def test_clean_text_and_terms(spark):
@@ -161,6 +175,8 @@ def test_indexes_are_dense(spark):
     assert by_hash.select("i").distinct().count() == 5000 and by_hash.agg(F.max("i")).first()[0] == 4999
     ordered = skew.ordered_index(df, "k", "i")
     assert ordered.filter("k != i * 7 - 900").count() == 0
+    odd = spark.createDataFrame([(k,) for k in (*range(1000), 10**15, -9 * 10**18, 9 * 10**18)], "k long")
+    assert [r["i"] for r in skew.ordered_index(odd, "k", "i").orderBy("k").collect()] == list(range(1003))
     one = skew.ordered_index(df.limit(1), "k", "i").collect()
     assert [r["i"] for r in one] == [0]
 
@@ -187,6 +203,14 @@ def test_split_and_sample_do_not_depend_on_partitions(spark):
     assert gold.hash_sample(pairs, 1.0).count() == 3000
 
 
+def test_samples_are_split_in_the_same_shares(spark):
+    pairs = spark.range(200_000).select(F.col("id").cast("string").alias("user_id"), F.lit("p").alias("page"))
+    assert 50 < gold.hash_sample(pairs, 0.0004).count() < 115
+    assert 40 < 200_000 - gold.hash_sample(pairs, 0.9996).count() < 125
+    train, test = gold.train_test_split(gold.hash_sample(pairs, 0.1), 0.2)
+    assert 15_400 < train.count() < 16_700 and 3_700 < test.count() < 4_300
+
+
 def factors(spark, name, vectors, bias=0.0):
     return spark.createDataFrame([(k, v, bias) for k, v in vectors.items()], f"{name} string, factors array<double>, bias double")
 
