@@ -1,5 +1,5 @@
 """readflow: content-reading analytics and recommendation as Spark jobs."""
 
-from readflow.session import configure, drop_scratch, materialize, scratch_path
+from readflow.session import configure, materialize, scratch, scratch_path
 
-__all__ = ["configure", "drop_scratch", "materialize", "scratch_path"]
+__all__ = ["configure", "materialize", "scratch", "scratch_path"]

@@ -16,14 +16,19 @@ from readflow.session import materialize
 N_COMPONENTS = 100
 EPOCHS = 30
 REGULARISATION = 1e-6
+ALPHA = 1.0
 SEED = 42
 
 
 def train_factors(
     matrix: DataFrame, rank: int = N_COMPONENTS, iterations: int = EPOCHS, reg: float = REGULARISATION,
-    alpha: float = 1.0, seed: int = SEED,
+    alpha: float = ALPHA, seed: int = SEED, users: DataFrame | None = None, items: DataFrame | None = None,
 ) -> tuple[DataFrame, DataFrame]:
-    """Fit implicit-feedback ALS on (user_id, page, user_idx, item_idx, score); return factor tables."""
+    """Fit implicit-feedback ALS on (user_id, page, user_idx, item_idx, score); return factor tables.
+
+    ``users`` (user_id) and ``items`` (page) name the ids that the model must know; those without
+    a pair in ``matrix`` get zero vectors, so they can be scored, ranked and evaluated as well.
+    """
     ratings = matrix.select(F.col("user_idx").cast("int"), F.col("item_idx").cast("int"), F.col("score").cast("float"))
     model = ALS(
         userCol="user_idx", itemCol="item_idx", ratingCol="score", implicitPrefs=True,
@@ -36,8 +41,19 @@ def train_factors(
             key, F.col("features").cast("array<double>").alias("factors"), F.lit(0.0).alias("bias")
         )
 
-    users = table(model.userFactors, "user_idx", "user_id")
-    return materialize(users, "user-factors"), materialize(table(model.itemFactors, "item_idx", "page"), "item-factors")
+    user_factors, item_factors = table(model.userFactors, "user_idx", "user_id"), table(model.itemFactors, "item_idx", "page")
+    if users is not None:
+        user_factors = for_all_ids(user_factors, users, "user_id", rank)
+    if items is not None:
+        item_factors = for_all_ids(item_factors, items, "page", rank)
+    return materialize(user_factors, "user-factors"), materialize(item_factors, "item-factors")
+
+
+def for_all_ids(factors: DataFrame, ids: DataFrame, key: str, rank: int) -> DataFrame:
+    """Factors of every id in ``ids`` or ``factors``: zero vectors where a model has none."""
+    known = ids.select(key).filter(F.col(key).isNotNull()).distinct()
+    zeros = F.array_repeat(F.lit(0.0), rank)
+    return known.join(factors, key, "full").select(key, F.coalesce("factors", zeros).alias("factors"), F.coalesce("bias", F.lit(0.0)).alias("bias"))
 
 
 def score_pairs(pairs: DataFrame, user_factors: DataFrame, item_factors: DataFrame) -> DataFrame:

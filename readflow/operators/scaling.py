@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from readflow.functions.columns import apply_present, with_row
 
+# The columns each scaling applies to.
 LOG_COLUMNS = (
     "time_on_page_ms", "time_since_last", "time_since_first", "interaction_score",
     "recency_weight", "avg_time_on_page", "time_weight", "adjusted_score",

@@ -103,8 +103,10 @@ def hashed_model(
 
 
 def item_features(tfidf: DataFrame) -> DataFrame:
-    """(page, features), one row per page."""
-    return tfidf.select("page", "features").dropDuplicates(["page"])
+    """(page, features), one row per page: the last modified, then the last issued; rows alike in that by their vectors' hash."""
+    dates = [c for c in ("modified", "issued") if c in tfidf.columns]
+    order = F.struct(*dates, F.xxhash64(vector_to_array("features")).alias("_hash"))
+    return tfidf.groupBy("page").agg(F.max_by("features", order).alias("features"))
 
 
 def features_long(df: DataFrame, key: str, vector: str = "features") -> DataFrame:

@@ -4,13 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from readflow.functions import scoring
-from readflow.functions.columns import round_doubles
+from readflow.functions.columns import round_doubles, with_row
 from readflow.operators import analytics, distributions, evaluate, gold, history, items as articles, monitor, recommend, scaling, skew, tfidf
 from readflow.plans import training
-from readflow.plans.sql import histogram_sql, quantile_bins_sql, share, sql
+from readflow.plans.sql import CTES, histogram_sql, quantile_bins_sql, share, sql
 from readflow.session import configure, materialize, scratch_path
 from readflow.sources import files, models, tables
 from readflow.sources.tables import AS_OF
@@ -30,7 +31,7 @@ def query(oracle: str | None = None, digits: int = 6):
 
         QUERIES[fn.__name__] = run
         if oracle is not None:
-            ORACLES[fn.__name__] = sql(oracle)
+            ORACLES[fn.__name__] = oracle if oracle.startswith("with ") else sql(oracle)
         return fn
     return register
 
@@ -130,9 +131,16 @@ def explode_history(spark, d):
     return history.explode_history(tables.raw_history(spark, d))
 
 
-@query("select count(*) histories, cast(0 as bigint) dropped, cast(0 as bigint) padded from (select distinct user_id, event_id // 1024 from events)")
+@query("""select count(*) histories, count(*) filter (user_id % 7 = 0) dropped, count(*) filter (user_id % 7 <> 0 and user_id % 5 = 1 and n > 1) padded
+    from (select user_id, count(*) n from events group by user_id, event_id // 1024)""")
 def history_quality(spark, d):
-    return history.history_quality(tables.raw_history(spark, d))
+    """Histories of which some lost a whole list, and some the last value of one."""
+    raw, user = tables.raw_history(spark, d), F.col("userId").cast("bigint")
+    short = F.regexp_replace("numberOfClicksHistory", r",\s*[^,]*$", "")
+    damaged = raw.withColumns({
+        "history": F.when(user % 7 != 0, F.col("history")),
+        "numberOfClicksHistory": F.when(user % 5 == 1, short).otherwise(F.col("numberOfClicksHistory"))})
+    return history.history_quality(damaged)
 
 
 @query("select page, days_since_published, days_since_modified, year, month, day from items")
@@ -142,11 +150,13 @@ def item_dates(spark, d):
 
 # --- sources and sinks ------------------------------------------------------------------------
 
-@query("select user_id, user_type, page, clicks, time_on_page_ms, round(scroll_pct, 6) scroll_pct, visits from inter")
+@query("""select user_id, user_type, page, (epoch_us(e.ts) // 1000) / 1000 ts, clicks, time_on_page_ms, round(scroll_pct, 6) scroll_pct, visits
+    from (select epoch_us(ts) / 1e6 ets, ts, user_id uid from events) e
+    join inter i on i.ts = e.ets and i.user_id = cast(e.uid as varchar)""")
 def csv_roundtrip(spark, d):
     path = scratch_path(spark, "history-csv")
     files.write_csv(tables.raw_history(spark, d), path)
-    return history.explode_history(files.read_history(spark, path)).drop("ts")
+    return history.explode_history(files.read_history(spark, path))
 
 
 @query("select page, title, cast(year(issued) as int) as year, cast(month(issued) as int) as month, cast(day(issued) as int) as day from articles")
@@ -165,10 +175,13 @@ def partitioned_roundtrip(spark, d):
     return files.read_table(spark, path).select("user_id", "page", "ts", "year", "month", "day")
 
 
-@query("""select hour, count(*) reads from temporal where year = 2024 and month = 1 group by hour""")
+@query("""select hour, count(*) reads, count(*) filter (i.page is not null) known from temporal t left join (select page from items where year = 2023) i using (page)
+    where year = 2024 and month = 1 group by hour""")
 def sql_views(spark, d):
     files.register_views(temporal(spark, d), silver_items(spark, d))
-    return spark.sql("select hour, count(*) as reads from interactions where year = 2024 and month = 1 group by hour")
+    return spark.sql("""select hour, count(*) as reads, count_if(a.page is not null) as known
+        from interactions i left join (select page from items where year = 2023) a on a.page = i.page
+        where i.year = 2024 and i.month = 1 group by hour""")
 
 
 # --- analyses ---------------------------------------------------------------------------------
@@ -232,9 +245,21 @@ def users_per_item_exploded(spark, d):
 @query("""select cast(band_order as int) band_order, band, count(*) count from (select case when unique_users <= 10 then '1-10' when unique_users <= 100 then '11-100'
     when unique_users <= 1000 then '101-1000' when unique_users <= 10000 then '1001-10000' else '10001+' end band,
     case when unique_users <= 10 then 0 when unique_users <= 100 then 1 when unique_users <= 1000 then 2 when unique_users <= 10000 then 3 else 4 end band_order
-    from buyers) group by 1, 2""")
+    from (select unique_users from buyers union all select count(distinct user_id) from inter group by page)) group by 1, 2""")
 def popularity_bands(spark, d):
-    return analytics.popularity_bands(analytics.users_per_item(tables.purchases(spark, d)))
+    """Articles bought by few and articles read by many."""
+    bought, read = (analytics.users_per_item(t(spark, d)) for t in (tables.purchases, tables.interactions))
+    return analytics.popularity_bands(bought.unionByName(read))
+
+
+@query("select count(*) n_rows, true in_bounds from inter")
+def clicks_time_sample(spark, d):
+    """A random tenth of the readings; its size must lie within five standard deviations of a tenth."""
+    rows = tables.interactions(spark, d)
+    some = analytics.clicks_time_sample(rows, 0.1).agg(F.count(F.lit(1)).alias("k"))
+    n = F.col("n_rows")
+    return with_row(rows.agg(F.count(F.lit(1)).alias("n_rows")), some, "_some").select(
+        "n_rows", (F.abs(F.col("_some.k") - n * 0.1) <= 5 * F.sqrt(n * 0.09)).alias("in_bounds"))
 
 
 @query("""select page, round(avg_time_ms, 9) avg_time_ms, round(avg_clicks, 9) avg_clicks, round(avg_scroll_pct, 9) avg_scroll_pct,
@@ -375,6 +400,15 @@ def tfidf_hashed(spark, d):
     return tfidf.features_long(tfidf.hashed_tfidf(cleaned(spark, d), keep=["page"]), "page")
 
 
+@query("""select page, cast(count(term) as double) tokens, true within_terms from catalogue left join kept_terms using (page) group by page""")
+def tfidf_hashed_totals(spark, d):
+    """What must hold whatever the hash: frequencies add up to the kept tokens, in at most as many buckets as terms."""
+    frequencies = vector_to_array(F.col("raw_features"))
+    rows = tfidf.hashed_frequencies(cleaned(spark, d))
+    buckets = F.size(F.filter(frequencies, lambda x: x > 0))
+    return rows.select("page", F.aggregate(frequencies, F.lit(0.0), lambda a, x: a + x).alias("tokens"), (buckets <= F.size(F.array_distinct("filtered"))).alias("within_terms"))
+
+
 # --- gold -------------------------------------------------------------------------------------
 
 @query("select 'user' kind, user_id id, user_idx idx from user_idx union all select 'page', page, item_idx from item_idx")
@@ -527,10 +561,30 @@ def content_recommend(spark, d):
     return recommend.content_recommend(user_item_scores(spark, d), materialize(vectors(spark, d), "vectors"), 10)
 
 
+def als_recommendations(spark, d):
+    """The model of the reference settings over all users and the whole catalogue."""
+    pages = tables.catalogue(spark, d)
+    matrix = materialize(gold.interaction_matrix(normalized(spark, d), pages), "matrix")
+    users = tables.interactions(spark, d).select("user_id").distinct()
+    return recommend.recommend_top_n(*recommend.train_factors(matrix, users=users, items=pages), 10)
+
+
 @query()
 def als_recommend(spark, d):
-    matrix = materialize(gold.interaction_matrix(normalized(spark, d), tables.catalogue(spark, d)), "matrix")
-    return recommend.recommend_top_n(*recommend.train_factors(matrix, rank=16, iterations=8), 10)
+    return als_recommendations(spark, d)
+
+
+@query("""select user_id, cast(least(10, (select count(*) from catalogue)) as bigint) n, true ranks, true scores, true known
+    from (select distinct user_id from inter)""")
+def als_recommend_shape(spark, d):
+    """Every user gets ten articles of the catalogue, ranked 1 to 10, with scores from 0 to 1 that do not rise."""
+    pages = tables.catalogue(spark, d).select(F.col("page").alias("_known")).distinct()
+    rows = als_recommendations(spark, d).join(pages, F.col("page") == F.col("_known"), "left")
+    listed = F.array_sort(F.collect_list(F.struct("rank", "score", "page")))
+    per_user = rows.groupBy("user_id").agg(listed.alias("l"), F.count(F.lit(1)).alias("n"), F.every(F.col("_known").isNotNull()).alias("known"))
+    falling = F.aggregate("l", F.struct(F.lit(1.0).alias("s"), F.lit(True).alias("ok")), lambda a, x: F.struct(
+        x["score"].alias("s"), (a["ok"] & (x["score"] <= a["s"]) & (x["score"] >= 0)).alias("ok")), lambda a: a["ok"])
+    return per_user.select("user_id", "n", (F.col("l.rank") == F.sequence(F.lit(1), F.col("n").cast("int"))).alias("ranks"), falling.alias("scores"), "known")
 
 
 # --- evaluation -------------------------------------------------------------------------------
@@ -548,6 +602,26 @@ def metrics_by_k(spark, d):
     return metric_rows(spark, d)
 
 
+def _cold_sql():
+    """The metrics with zero vectors for every third user and every fourth page of the fixed model."""
+    text = sql("select * from metrics")
+    for name, vector, rest, n in (("user_factors", "u", "", 3), ("item_factors", "i", "b", 4)):
+        known, gone = CTES[name], f"vec_id % {n} = 0"
+        head = f"select cast(vec_id as varchar) {'user_id' if vector == 'u' else 'page'}, case when {gone} then list_transform(embedding, lambda x: cast(0 as double)) else "
+        body = "cast(list_reverse(embedding) as double[]) end u" if vector == "u" else f"cast(embedding as double[]) end i, case when {gone} then cast(0 as double) else label * cast(0.01 as double) end {rest}"
+        text = text.replace(known, f"{head}{body} from embeddings")
+    return text
+
+
+@query(_cold_sql())
+def cold_start_metrics(spark, d):
+    """Users and pages that training did not meet count like all others."""
+    users, items = tables.factor_model(spark, d)
+    warm = users.filter(F.col("user_id").cast("bigint") % 3 != 0), items.filter(F.col("page").cast("bigint") % 4 != 0)
+    full = recommend.for_all_ids(warm[0], users, "user_id", 64), recommend.for_all_ids(warm[1], items, "page", 64)
+    return evaluate.metrics_by_k(held_out(spark, d), *full)
+
+
 @query("select user_id, page, cast(r as bigint) as rank from ranks")
 def test_ranks(spark, d):
     return evaluate.rank_positives(held_out(spark, d), *tables.factor_model(spark, d))
@@ -660,10 +734,13 @@ def _runs(spark, d):
     path = scratch_path(spark, "runs")
     users, pages = tables.factor_model(spark, d)
     everything = tables.interactions(spark, d)
+    vectors_of_model = pages.select(array_to_vector("factors").alias("features"))
     for run_id, cutoff, day in (("full", AS_OF, "2024-02-01"), ("half", MID_RUN, "2024-01-16")):
         known = gold.temporal_split(everything, cutoff)[0].select("user_id", "page").distinct()
         models.append_run(training.run_document(
-            known, tables.catalogue(spark, d), users, pages, run_id=run_id, created_at=f"{day}T00:00:00"), path)
+            known, tables.catalogue(spark, d), users, pages, run_id=run_id, created_at=f"{day}T00:00:00",
+            model_summary={"model_type": "fixed"}, hyperparameters={"rank": 64.0, "alpha": 1.0, "seed": 42.0},
+            n_features=training.width_of(vectors_of_model, "features"), sizes=training.model_sizes(users, pages)), path)
     return models.read_runs(spark, path)
 
 
@@ -672,18 +749,19 @@ def _run_columns(runs):
         "run_id", "created_at", "status",
         *[F.col("performance_metrics")[m].alias(n) for m, n in (("precision@10", "precision_10"), ("recall@10", "recall_10"), ("auc", "auc"), ("ndcg@10", "ndcg_10"), ("mrr", "mrr"))],
         F.col("model_stability")["user_coverage"].alias("user_coverage"), F.col("embedding_stats")["item_embedding_norm_mean"].alias("item_norm"),
-        F.size("feature_importance").alias("n_importances"),
-        *[F.col("dataset_info")[c].alias(c) for c in ("n_users", "n_items", "n_train_interactions", "n_test_interactions")])
+        F.size("feature_importance").alias("n_importances"), F.col("model_summary")["model_type"].alias("model_type"),
+        F.col("model_summary")["parameters"].cast("bigint").alias("parameters"),
+        *[F.col("hyperparameters")[c].alias(c) for c in ("rank", "alpha", "seed")],
+        *[F.col("dataset_info")[c].alias(c) for c in ("n_users", "n_items", "n_features", "n_train_interactions", "n_test_interactions")])
 
 
 def _run_sql(run_id, day, cutoff):
-    from readflow.plans.sql import CTES
-
     before = CTES["inter"]
     text = sql(f"""select '{run_id}' run_id, '{day}T00:00:00' created_at, 'ok' status, m."precision" precision_10, m.recall recall_10, m.auc, m.ndcg ndcg_10, m.mrr,
         round((select count(distinct user_id) from split where not is_test) / cast(n_users as double), 6) user_coverage,
         (select round(avg(sqrt(list_inner_product(i, i))), 6) from item_factors) item_norm, cast(64 as int) n_importances,
-        n_users, n_items, train_interactions n_train_interactions, test_interactions n_test_interactions
+        'fixed' model_type, (select cast(2 * 65 * count(*) as bigint) from embeddings) parameters, cast(64 as double) as rank, cast(1 as double) alpha, cast(42 as double) seed,
+        n_users, n_items, cast(64 as bigint) n_features, train_interactions n_train_interactions, test_interactions n_test_interactions
         from split_sizes, (select * from metrics where k = 10) m""")
     return "(" + text.replace(before, f"select * from ({before}) where ts < {cutoff}") + ")"
 

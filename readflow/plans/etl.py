@@ -7,6 +7,7 @@ whose output is complete are kept: a job that died goes on where it stopped.
 
 from __future__ import annotations
 
+import time
 from collections.abc import Callable
 from dataclasses import dataclass
 
@@ -14,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from readflow.operators import analytics, distributions, gold, history, items as articles, recommend, scaling, tfidf
 from readflow.plans import training
-from readflow.session import configure
+from readflow.session import configure, scratch
 from readflow.sources import files, models
 
 
@@ -42,11 +43,15 @@ def _layer(spark: SparkSession, path: str, build: Callable[[], DataFrame], dated
     return files.read_table(spark, path)
 
 
-def build_silver(spark, history_path, articles_path, layout, as_of=None, rebuild=True, multi_line=True):
-    """Exploded, enriched interactions and dated items."""
+def build_silver(spark, history_path, articles_path, layout, as_of=None, rebuild=True, multi_line=False, articles_multi_line=True):
+    """Exploded, enriched interactions and dated items.
+
+    Histories are lists of numbers and ids without line breaks, so their files are split by default;
+    article texts may hold quoted line breaks.
+    """
     raw = files.read_history(spark, history_path, multi_line)
     interactions = _layer(spark, layout.interactions, lambda: history.enrich(history.explode_history(raw), as_of), True, rebuild)
-    items = _layer(spark, layout.items, lambda: articles.silver_items(files.read_articles(spark, articles_path), as_of), True, rebuild)
+    items = _layer(spark, layout.items, lambda: articles.silver_items(files.read_articles(spark, articles_path, articles_multi_line), as_of), True, rebuild)
     return interactions, items
 
 
@@ -75,19 +80,30 @@ def build_gold(spark, normalized, with_tfidf, layout, rebuild=True):
 def train(
     spark, matrix, item_features, layout, run_id: str, created_at: str, sample_ratio: float = 1.0, test_ratio: float = 0.2,
     rank: int = recommend.N_COMPONENTS, iterations: int = recommend.EPOCHS, reg: float = recommend.REGULARISATION, seed: int = recommend.SEED,
-    evaluation_ratio: float = 1.0,
+    evaluation_ratio: float = 1.0, alpha: float = recommend.ALPHA,
 ):
-    """Sample, split, fit, save, evaluate; the run is recorded whether it succeeds or fails."""
+    """Sample, split, fit, save, evaluate; the run is recorded whether it succeeds or fails.
+
+    The model knows every user of ``matrix`` and every article of ``item_features``, also those that
+    the sample or the split leaves without a pair to learn from.
+    """
     try:
         used = gold.hash_sample(matrix, sample_ratio, seed) if sample_ratio < 1 else matrix
         fit_part = gold.train_test_split(used, test_ratio, seed)[0]
-        models.save_factors(*recommend.train_factors(fit_part, rank, iterations, reg, seed=seed), layout.model)
+        began = time.monotonic()
+        factors = recommend.train_factors(
+            fit_part, rank, iterations, reg, alpha, seed, matrix.select("user_id").distinct(), item_features.select("page").distinct())
+        models.save_factors(*factors, layout.model)
+        took = time.monotonic() - began
         users, items = models.load_factors(spark, layout.model)
+        sizes = training.model_sizes(users, items)
         run = training.run_document(
             used.select("user_id", "page"), item_features, users, items, run_id, created_at,
-            model_summary={"model_type": "ALS", "loss_function": "implicit least squares", "embedding_dim": str(rank), "epochs": str(iterations)},
-            hyperparameters={"rank": float(rank), "iterations": float(iterations), "reg": reg, "seed": float(seed)},
-            test_ratio=test_ratio, seed=seed, sample_size=sample_ratio * 100.0, evaluation_ratio=evaluation_ratio)
+            model_summary={"model_type": "ALS", "loss_function": "implicit least squares", "embedding_dim": str(rank), "epochs": str(iterations),
+                           "training_time": f"{took:.3f}"},
+            hyperparameters={"rank": float(rank), "iterations": float(iterations), "reg": reg, "alpha": alpha, "seed": float(seed)},
+            test_ratio=test_ratio, seed=seed, sample_size=sample_ratio * 100.0, evaluation_ratio=evaluation_ratio,
+            n_features=training.width_of(item_features, "features"), sizes=sizes)
         scores = used.select("user_id", "page", "score")
         run = training.with_full_monitoring(run, scores, item_features, users, items, test_ratio, seed)
         models.append_run(run, layout.runs)
@@ -141,15 +157,20 @@ def write_analyses(interactions: DataFrame, items: DataFrame, layout: Layout) ->
 
 def run(
     spark: SparkSession, history_path: str, articles_path: str, root: str, run_id: str, created_at: str,
-    as_of=None, rebuild: bool = True, **training_options,
+    as_of=None, rebuild: bool = True, multi_line: bool = False, articles_multi_line: bool = True, **training_options,
 ) -> Layout:
-    """All steps in order."""
+    """All steps in order; scratch tables are removed at the end."""
     configure(spark)
     layout = Layout(root)
-    interactions, items = build_silver(spark, history_path, articles_path, layout, as_of, rebuild)
+    with scratch(spark):
+        _run_steps(spark, history_path, articles_path, layout, run_id, created_at, as_of, rebuild, multi_line, articles_multi_line, training_options)
+    return layout
+
+
+def _run_steps(spark, history_path, articles_path, layout, run_id, created_at, as_of, rebuild, multi_line, articles_multi_line, training_options):
+    interactions, items = build_silver(spark, history_path, articles_path, layout, as_of, rebuild, multi_line, articles_multi_line)
     normalized, items_normalized = build_normalized(spark, interactions, items, layout, rebuild)
     with_tfidf = build_tfidf(spark, items_normalized, layout, rebuild)
     matrix, _, item_features = build_gold(spark, normalized, with_tfidf, layout, rebuild)
     train(spark, matrix, item_features, layout, run_id, created_at, **training_options)
     write_analyses(interactions, items, layout)
-    return layout

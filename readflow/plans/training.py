@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from readflow.functions.columns import with_row
 from readflow.operators import evaluate, gold, monitor
@@ -22,12 +22,14 @@ def run_document(
     seed: int = 42,
     sample_size: float = 100.0,
     evaluation_ratio: float = 1.0,
-    n_features: int = 0,
+    n_features: int | Column = 0,
+    sizes: DataFrame | None = None,
     k_values: tuple[int, ...] = (5, 10, 20),
 ) -> DataFrame:
     """One row with everything monitored about a model on the split of ``pairs``.
 
-    All parts are one-row aggregates read as scalar subqueries of one query.
+    All parts are one-row aggregates read as scalar subqueries of one query. ``n_features`` is the
+    number of content features, ``sizes`` the one row of ``model_sizes``.
     """
     marked = gold.with_split(pairs, test_ratio, seed)
     train, test = marked.filter("not is_test"), marked.filter("is_test")
@@ -65,7 +67,8 @@ def run_document(
     return base.select(
         F.lit(run_id).alias("run_id"), F.lit(created_at).alias("created_at"), F.lit("ok").alias("status"),
         F.lit(None).cast("string").alias("error"),
-        literals(model_summary or {}, "string").alias("model_summary"),
+        (literals(model_summary or {}, "string") if sizes is None else F.map_concat(
+            literals(model_summary or {}, "string"), sizes.select(F.col("sizes").cast("map<string,string>")).scalar())).alias("model_summary"),
         literals(hyperparameters or {}, "double").alias("hyperparameters"),
         metric_map(per_k, "k", "v").alias("performance_metrics"),
         picked("sizes", ["total_interactions", "train_interactions", "test_interactions", "interactions_per_user",
@@ -74,13 +77,30 @@ def run_document(
         norms.alias("embedding_stats"),
         metric_map(monitor.feature_importance(item_factors), "feature", "importance").alias("feature_importance"),
         F.create_map(
-            F.lit("n_users"), F.col("sizes.n_users"), F.lit("n_items"), F.col("sizes.n_items"), F.lit("n_features"), F.lit(n_features).cast("bigint"),
+            F.lit("n_users"), F.col("sizes.n_users"), F.lit("n_items"), F.col("sizes.n_items"), F.lit("n_features"), (n_features if isinstance(n_features, Column) else F.lit(n_features)).cast("bigint"),
             F.lit("n_train_interactions"), F.col("sizes.train_interactions"), F.lit("n_test_interactions"), F.col("sizes.test_interactions"),
         ).alias("dataset_info"),
         F.lit(sample_size).alias("sample_size"),
     )
 
 
+def model_sizes(user_factors: DataFrame, item_factors: DataFrame) -> DataFrame:
+    """One row, a map: numbers of user and item vectors, and of the values they hold."""
+    def size(df):
+        return df.agg(F.count(F.lit(1)).alias("n"), F.sum(F.size("factors") + 1).alias("v"))
+
+    both = with_row(with_row(user_factors.sparkSession.range(1), size(user_factors), "u"), size(item_factors), "i")
+    return both.select(F.create_map(
+        F.lit("user_vectors"), F.col("u.n"), F.lit("item_vectors"), F.col("i.n"), F.lit("parameters"), F.col("u.v") + F.col("i.v")).alias("sizes"))
+
+
+def width_of(items: DataFrame, vectors: str) -> Column:
+    """The length of the items' feature vectors, as a scalar; 0 without items."""
+    from pyspark.ml.functions import vector_to_array
+
+    return items.select(F.size(vector_to_array(F.col(vectors))).alias("w")).agg(F.coalesce(F.max("w"), F.lit(0))).scalar()
+
+
 def with_full_monitoring(
     run: DataFrame, scores: DataFrame, items: DataFrame, user_factors: DataFrame, item_factors: DataFrame,
     test_ratio: float = 0.2, seed: int = 42,

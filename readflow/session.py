@@ -8,11 +8,33 @@ from __future__ import annotations
 import re
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
 SCRATCH_KEY = "spark.checkpoint.dir"
-_scratch: list[str] = []
+_paths: ContextVar[list[str]] = ContextVar("scratch_paths")
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """Remove the scratch tables made inside the block when it ends.
+
+    A block belongs to its own thread or task of the driver and may be nested; frames built inside
+    it must be stored or collected before it ends. Without a block tables stay until
+    the folder is cleaned.
+    """
+    token = _paths.set([])
+    try:
+        yield
+    finally:
+        conf = spark.sparkContext._jsc.hadoopConfiguration()
+        for name in _paths.get():
+            path = spark._jvm.org.apache.hadoop.fs.Path(name)
+            path.getFileSystem(conf).delete(path, True)
+        _paths.reset(token)
 
 
 def configure(spark: SparkSession) -> SparkSession:
@@ -40,20 +62,11 @@ def scratch_path(spark: SparkSession, name: str) -> str:
         base = tempfile.mkdtemp(prefix="readflow-")
         spark.conf.set(SCRATCH_KEY, base)
     path = f"{base.rstrip('/')}/readflow/{name}-{uuid.uuid4().hex}"
-    _scratch.append(path)
+    if (paths := _paths.get(None)) is not None:
+        paths.append(path)
     return path
 
 
-def drop_scratch(spark: SparkSession) -> int:
-    """Delete the scratch tables this process has made so far; frames built on them end with them."""
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
-    dropped = 0
-    while _scratch:
-        path = spark._jvm.org.apache.hadoop.fs.Path(_scratch.pop())
-        dropped += bool(path.getFileSystem(conf).delete(path, True))
-    return dropped
-
-
 def materialize(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` as a Parquet table in shared storage and read it back, which cuts its lineage.
 
@@ -66,10 +79,5 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
 
 
 def spread(scan: DataFrame, *keys: str) -> DataFrame:
-    """Deal a scan's rows out over the cluster when its files give fewer tasks than there are cores.
-
-    Few, unsplittable files would leave per-row work such as text cleaning to a handful of tasks.
-    A scan with enough splits, as any large table has, is returned as it is: no shuffle.
-    """
-    cores = scan.sparkSession.sparkContext.defaultParallelism
-    return scan if scan.rdd.getNumPartitions() >= cores else scan.repartition(cores, *keys)
+    """Deal a scan's rows out evenly, for per-row work such as text cleaning that costs more than a shuffle of its input."""
+    return scan.repartition(*keys)

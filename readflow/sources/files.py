@@ -11,11 +11,11 @@ from readflow.sources import schemas
 DATE_PARTITIONS = ("year", "month", "day")
 
 
-def read_csv(spark: SparkSession, path: str, schema: T.StructType, multi_line: bool = True) -> DataFrame:
+def read_csv(spark: SparkSession, path: str, schema: T.StructType, multi_line: bool = False) -> DataFrame:
     """CSV with header, ``"`` as quote and escape; broken rows keep NULLs instead of failing.
 
-    With ``multi_line`` a file is one task, because a quoted value may hold line breaks. Turn it
-    off for large files known to have none, so that Spark splits them.
+    Large files are split over many tasks. With ``multi_line`` quoted values may hold line breaks,
+    and a file is one task: only articles, whose texts may, are read so by default.
     """
     return (
         spark.read.schema(schema)
@@ -25,7 +25,7 @@ def read_csv(spark: SparkSession, path: str, schema: T.StructType, multi_line: b
     )
 
 
-def read_history(spark: SparkSession, path: str, multi_line: bool = True) -> DataFrame:
+def read_history(spark: SparkSession, path: str, multi_line: bool = False) -> DataFrame:
     return read_csv(spark, path, schemas.RAW_HISTORY, multi_line)
 
 
@@ -33,7 +33,7 @@ def read_articles(spark: SparkSession, path: str, multi_line: bool = True) -> Da
     return read_csv(spark, path, schemas.RAW_ARTICLES, multi_line)
 
 
-def read_validation(spark: SparkSession, path: str, multi_line: bool = True) -> DataFrame:
+def read_validation(spark: SparkSession, path: str, multi_line: bool = False) -> DataFrame:
     return read_csv(spark, path, schemas.RAW_VALIDATION, multi_line)
 
 

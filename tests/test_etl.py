@@ -1,5 +1,6 @@
 """The whole job from CSV files, twice."""
 
+import pytest
 from pyspark.sql import functions as F
 
 from readflow.plans import etl
@@ -45,7 +46,84 @@ def test_partition_overwrite_keeps_other_dates(spark, tmp_path):
 
 
 def test_scratch_tables_can_be_dropped(spark):
-    from readflow.session import drop_scratch, materialize
-    table = materialize(spark.range(3), "three")
-    assert table.count() == 3
-    assert drop_scratch(spark) >= 1 and drop_scratch(spark) == 0
+    from readflow.session import materialize, scratch, scratch_path
+
+    def left(path):
+        path = spark._jvm.org.apache.hadoop.fs.Path(path)
+        return path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(path)
+
+    with scratch(spark):
+        outer = materialize(spark.range(3), "three").inputFiles()[0]
+        with scratch(spark):
+            inner = materialize(spark.range(4), "four").inputFiles()[0]
+        assert left(outer) and not left(inner)
+    assert not left(outer)
+    kept = materialize(spark.range(2), "two")
+    assert kept.count() == 2 and scratch_path(spark, "x") != scratch_path(spark, "x")
+
+
+class Session:
+    """A session of which only the settings are asked for."""
+
+    def __init__(self, **settings):
+        self.settings = {k.replace("_", "."): v for k, v in settings.items()}
+        self.conf = self
+
+    def get(self, key, default=None):
+        return self.settings.get(key, default)
+
+    def set(self, key, value):
+        self.settings[key] = value
+
+
+def test_clusters_need_a_shared_folder():
+    from readflow.session import scratch_path
+
+    for master in ("yarn", "spark://h:7077", "local-cluster[2,1,1024]", ""):
+        with pytest.raises(ValueError, match="checkpoint"):
+            scratch_path(Session(spark_master=master), "x")
+    assert scratch_path(Session(spark_master="yarn", spark_checkpoint_dir="s3://b/c"), "x").startswith("s3://b/c/readflow/x-")
+    assert scratch_path(Session(spark_master="local[4]"), "x")
+
+
+def test_large_csv_files_are_split(spark, sf, tmp_path):
+    path = str(tmp_path / "history")
+    files.write_csv(tables.raw_history(spark, sf).coalesce(1), path)
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "8k")
+    try:
+        split, whole = (files.read_history(spark, path, multi_line=m) for m in (False, True))
+        assert split.rdd.getNumPartitions() > 1 and whole.rdd.getNumPartitions() == 1
+        assert split.exceptAll(whole).count() == 0 and split.count() == whole.count()
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+
+
+def test_sampled_training_keeps_a_train_part_and_all_ids(spark, tmp_path):
+    from pyspark.ml.functions import array_to_vector
+
+    pairs = spark.range(4000).select(
+        (F.col("id") % 200).alias("user_idx"), (F.col("id") % 97).alias("item_idx"), (1 + F.col("id") % 5).cast("double").alias("score"))
+    pairs = pairs.distinct().withColumns({"user_id": F.concat(F.lit("u"), "user_idx"), "page": F.concat(F.lit("p"), "item_idx")})
+    vectors = array_to_vector(F.array(F.col("id").cast("double"), F.lit(1.0)))
+    items = spark.range(100).select(F.concat(F.lit("p"), "id").alias("page"), vectors.alias("features"))
+    layout = etl.Layout(str(tmp_path))
+    users, pages = etl.train(spark, pairs, items, layout, "r", "2024-02-01T00:00:00", sample_ratio=0.1, rank=3, iterations=2, alpha=2.0)
+    assert users.count() == 200 and pages.count() == 100
+    run = models.latest_run(models.read_runs(spark, layout.runs)).first()
+    held = run["dataset_info"]
+    assert held["n_train_interactions"] > 2.5 * held["n_test_interactions"] > 0 and held["n_features"] == 2
+    assert run["hyperparameters"]["alpha"] == 2.0 and float(run["model_summary"]["training_time"]) > 0
+    assert run["model_summary"]["parameters"] == str(300 * 4)
+
+
+def test_cold_ids_are_evaluated(spark):
+    from readflow.operators import evaluate, recommend
+
+    users = spark.createDataFrame([("a", [1.0, 0.0], 0.0)], "user_id string, factors array<double>, bias double")
+    items = spark.createDataFrame([("p", [1.0, 0.0], 0.0), ("q", [0.5, 0.0], 0.0)], "page string, factors array<double>, bias double")
+    held = spark.createDataFrame([("a", "p"), ("cold", "p"), ("a", "new")], "user_id string, page string")
+    full = recommend.for_all_ids(users, held, "user_id", 2), recommend.for_all_ids(items, held, "page", 2)
+    assert evaluate.metrics_by_k(held, *full, [1]).first()["users"] == 2
+    ranks = {(r["user_id"], r["page"]): r["rank"] for r in evaluate.rank_positives(held, *full).collect()}
+    assert ranks == {("a", "p"): 0, ("cold", "p"): 2, ("a", "new"): 2}
