@@ -6,83 +6,98 @@ caller reduces it to (best n, counts, ranges), never the pairs.
 
 Blocks meet in square cells: both sides are copied along the other side's cells and joined on the
 cell, so a cell is one bounded join key, and each side is shuffled once per cell width of the other
-instead of once per block. Cells are as wide as leaves a few for every core, but at most ``CELL``
-blocks. Nothing is broadcast unless Spark finds the packed side below its own size threshold.
+instead of once per block. The width follows from the work of a cell, not from the cluster. A user
+block meets the item blocks of a cell one after the other, and its result is merged on the way: it
+leaves the task once per cell. Nothing is broadcast unless Spark finds the packed side below its
+own size threshold.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from abc import ABC, abstractmethod
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, functions as F
 
-import readflow
 from readflow.functions.columns import with_row
 
-# Send task functions to the executors by value, so the package need not be installed there.
-cloudpickle.register_pickle_by_value(readflow)
-
 ROWS_PER_BLOCK = 1024
-CELL = 64
-CELLS_PER_CORE = 4
+CELL = 64  # blocks on each side of a cell, at most
+CELL_WORK = 5e10  # multiplications of a cell, at most
 SCORE_DIGITS = 9  # scores closer than this are ties
 
 
 @dataclass(frozen=True)
 class Blocks:
-    """Packed rows and the (scalar subquery) number of blocks."""
+    """Packed rows, and one row (blocks, dims): their number and the length of a vector."""
 
     df: DataFrame
-    count: Column
+    shape: DataFrame
+
+    @property
+    def count(self) -> Column:
+        return self.shape.select("blocks").scalar()
 
 
-def _block_count(df: DataFrame, rows: int) -> Column:
-    return df.agg(F.greatest(F.lit(1), F.ceil(F.count(F.lit(1)) / rows)).cast("bigint")).scalar()
+def _shape(df: DataFrame, rows: int) -> DataFrame:
+    blocks = F.greatest(F.lit(1), F.ceil(F.count(F.lit(1)) / rows)).cast("bigint")
+    return df.agg(blocks.alias("blocks"), F.coalesce(F.max(F.size("factors")), F.lit(1)).alias("dims"))
 
 
 def item_blocks(items: DataFrame, rows: int = ROWS_PER_BLOCK) -> Blocks:
     """Items (page, factors, bias), pages unique → one row per block, sorted by page inside."""
-    count = _block_count(items, rows)
+    shape = _shape(items, rows)
     fields = F.struct("page", F.col("factors").alias("f"), F.col("bias").alias("b"))
-    packed = items.groupBy(F.pmod(F.xxhash64("page"), count).alias("item_block")).agg(
+    packed = items.groupBy(F.pmod(F.xxhash64("page"), shape.select("blocks").scalar()).alias("item_block")).agg(
         F.sort_array(F.collect_list(fields)).alias("m"))
     return Blocks(packed.select(
         "item_block", F.col("m.page").alias("pages"), F.flatten("m.f").alias("item_matrix"), F.col("m.b").alias("biases"),
-    ), count)
+    ), shape)
 
 
 def user_blocks(users: DataFrame, columns: dict[str, str], rows: int = ROWS_PER_BLOCK) -> Blocks:
     """Users (user_id, factors, …) → one row per block; ``columns`` maps further columns to list names."""
-    count = _block_count(users, rows)
+    shape = _shape(users, rows)
     key = F.xxhash64(*[c for c in ("user_id", "chunk") if c in users.columns])
     fields = F.struct("user_id", F.col("factors").alias("f"), *columns)
-    packed = users.groupBy(F.pmod(key, count).alias("user_block")).agg(F.collect_list(fields).alias("m"))
+    packed = users.groupBy(F.pmod(key, shape.select("blocks").scalar()).alias("user_block")).agg(F.sort_array(F.collect_list(fields)).alias("m"))
     return Blocks(packed.select(
         "user_block", F.col("m.user_id").alias("users"), F.flatten("m.f").alias("user_matrix"),
         *[F.col(f"m.{c}").alias(name) for c, name in columns.items()],
-    ), count)
+    ), shape)
+
+
+def with_seen(users: Blocks, items: Blocks, pairs: DataFrame) -> Blocks:
+    """User blocks with ``seen``: the pairs of their users as (item block, place of the user, place of the item).
+
+    The pairs travel with their user block to every cell; there each cell keeps its own.
+    """
+    by_user = users.df.select("user_block", F.posexplode("users").alias("u", "user_id"))
+    by_page = items.df.select("item_block", F.posexplode("pages").alias("i", "page"))
+    placed = pairs.select("user_id", "page").distinct().join(by_user, "user_id").join(by_page, "page")
+    seen = placed.groupBy("user_block").agg(F.collect_list(F.struct("item_block", "u", "i")).alias("seen"))
+    return Blocks(users.df.join(seen, "user_block", "left"), users.shape)
 
 
 def meet(users: Blocks, items: Blocks) -> DataFrame:
-    """One row per (user block, item block)."""
-    spark = users.df.sparkSession
-    wanted_cells = CELLS_PER_CORE * spark.sparkContext.defaultParallelism
-    width = F.floor(F.sqrt(F.col("users") * F.col("items") / wanted_cells))
-    shape = spark.range(1).select(users.count.alias("users"), items.count.alias("items")).withColumn(
-        "width", F.greatest(F.lit(1), F.least(F.lit(CELL), width)))
+    """One row per (user block, item block), with the cell they meet in."""
+    work = float(ROWS_PER_BLOCK**2) * F.col("dims")
+    both = with_row(users.shape.withColumnsRenamed({"blocks": "users"}), items.shape.select("blocks"), "_items")
+    shape = both.select("users", F.col("_items.blocks").alias("items"), F.greatest(
+        F.lit(1), F.least(F.lit(CELL), F.floor(F.sqrt(CELL_WORK / work)))).alias("width"))
 
     def cells(side: DataFrame, own: str, other: str) -> DataFrame:
         width = F.col("_shape.width")
         every = F.sequence(F.lit(0).cast("bigint"), F.floor((F.col(f"_shape.{other}s") - 1) / width))
-        return with_row(side, shape, "_shape").select(
-            *side.columns, F.floor(F.col(f"{own}_block") / width).alias(f"{own}_cell"), F.explode(every).alias(f"{other}_cell"))
+        out = with_row(side, shape, "_shape").withColumns({f"{own}_cell": F.floor(F.col(f"{own}_block") / width), f"{other}_cell": F.explode(every)})
+        if "seen" in side.columns:
+            out = out.withColumn("seen", F.filter("seen", lambda s: F.floor(s["item_block"] / width) == F.col("item_cell")))
+        return out.drop("_shape")
 
-    both = cells(users.df, "user", "item").join(cells(items.df, "item", "user"), ["user_cell", "item_cell"])
-    return both.drop("user_cell", "item_cell")
+    return cells(users.df, "user", "item").join(cells(items.df, "item", "user"), ["user_cell", "item_cell"])
 
 
 def block_scores(row) -> np.ndarray:
@@ -93,10 +108,33 @@ def block_scores(row) -> np.ndarray:
     return np.round(u @ i.T + np.asarray(row.biases, dtype=np.float64), SCORE_DIGITS)
 
 
-def map_blocks(joined: DataFrame, schema: str, reduce_block: Callable[..., pd.DataFrame]) -> DataFrame:
+class Reducer(ABC):
+    """What is kept of a user block while it meets the item blocks of a cell."""
+
+    @abstractmethod
+    def __init__(self, row): ...
+
+    @abstractmethod
+    def add(self, row, scores: np.ndarray) -> None:
+        """Take the scores (users × items) of one more item block."""
+
+    @abstractmethod
+    def result(self) -> pd.DataFrame: ...
+
+
+def map_blocks(joined: DataFrame, schema: str, reducer: type[Reducer]) -> DataFrame:
+    """Reduce the rows of ``meet``; a user block's rows of one cell follow each other, and leave as one result."""
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        at, held = None, None
         for batch in batches:
             for row in batch.itertuples(index=False):
-                yield reduce_block(row, block_scores(row))
+                here = (row.user_cell, row.item_cell, row.user_block)
+                if here != at:
+                    if held is not None:
+                        yield held.result()
+                    at, held = here, reducer(row)
+                held.add(row, block_scores(row))
+        if held is not None:
+            yield held.result()
 
     return joined.mapInPandas(run, schema)

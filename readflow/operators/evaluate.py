@@ -8,7 +8,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 
-from readflow.operators.blocks import item_blocks, map_blocks, meet, user_blocks
+from readflow.operators.blocks import Reducer, item_blocks, map_blocks, meet, user_blocks
 from readflow.operators.recommend import score_pairs
 from readflow.session import materialize
 
@@ -16,37 +16,43 @@ POSITIVES_PER_CHUNK = 1024
 ROWS_PER_RANK_BLOCK = 512
 
 
+class _Reached(Reducer):
+    """How many items reach the score of each positive, by the positive's place in its chunk."""
+
+    def __init__(self, row):
+        self.row, self.reached = row, [0] * len(row.users)
+
+    def add(self, row, scores):
+        scores.sort(axis=1)
+        self.reached = [r + len(s) - np.searchsorted(s, np.asarray(own), side="left") for r, s, own in zip(self.reached, scores, self.row.own_scores)]
+
+    def result(self):
+        sizes = [len(s) for s in self.row.own_scores]
+        return pd.DataFrame({
+            "user_id": np.repeat(np.asarray(self.row.users, dtype=object), sizes), "chunk": np.repeat(np.asarray(self.row.chunks), sizes),
+            "place": np.concatenate([np.arange(n) for n in sizes]), "reached": np.concatenate(self.reached)})
+
+
 def rank_positives(positives: DataFrame, user_factors: DataFrame, item_factors: DataFrame) -> DataFrame:
     """0-based rank of each held-out pair among all items of the catalogue for its user.
 
-    A positive ranks after every item that scores as high, itself not counted. Each block of items
+    A positive ranks after every item that scores as high, itself not counted. Each cell of items
     only reports how many of its items reach the positive's score, and those counts add up, so the
-    full ranking is never built. The scored pairs are written once and read three times. A user with many positives is spread over several chunks.
+    full ranking is never built. A user with many positives is spread over several chunks; only
+    scores travel to the items, and the pages are joined by their place in the chunk afterwards.
     """
     pairs = positives.select("user_id", "page").distinct()
     scored = materialize(score_pairs(pairs, user_factors, item_factors), "positives")
     chunks = scored.groupBy("user_id").agg(F.ceil(F.count(F.lit(1)) / POSITIVES_PER_CHUNK).alias("_chunks"))
     chunk = F.pmod(F.xxhash64("page"), F.col("_chunks")).alias("chunk")
-    gathered = (
-        scored.join(chunks, "user_id").groupBy("user_id", chunk)
-        .agg(F.collect_list(F.struct("page", "score")).alias("p"))
-        .select("user_id", "chunk", F.col("p.page").alias("own_pages"), F.col("p.score").alias("own_scores"))
-    )
-    rows = gathered.join(user_factors.select("user_id", "factors"), "user_id")
-    users = user_blocks(rows, {"own_pages": "own_pages", "own_scores": "own_scores"}, ROWS_PER_RANK_BLOCK)
-
-    def reduce_block(row, scores):
-        scores.sort(axis=1)
-        sizes = [len(p) for p in row.own_pages]
-        reached = [len(s) - np.searchsorted(s, np.asarray(own), side="left") for s, own in zip(scores, row.own_scores)]
-        return pd.DataFrame({
-            "user_id": np.repeat(np.asarray(row.users, dtype=object), sizes),
-            "page": np.concatenate(row.own_pages), "reached": np.concatenate(reached),
-        })
-
-    joined = meet(users, item_blocks(item_factors))
-    counts = map_blocks(joined, "user_id string, page string, reached long", reduce_block)
-    return counts.groupBy("user_id", "page").agg((F.sum("reached") - 1).alias("rank"))
+    gathered = scored.join(chunks, "user_id").groupBy("user_id", chunk).agg(F.sort_array(F.collect_list(F.struct("page", "score"))).alias("p"))
+    gathered = materialize(gathered, "positive-chunks")
+    rows = gathered.select("user_id", "chunk", F.col("p.score").alias("own_scores")).join(user_factors.select("user_id", "factors"), "user_id")
+    users = user_blocks(rows, {"own_scores": "own_scores", "chunk": "chunks"}, ROWS_PER_RANK_BLOCK)
+    counts = map_blocks(meet(users, item_blocks(item_factors)), "user_id string, chunk long, place int, reached long", _Reached)
+    ranks = counts.groupBy("user_id", "chunk", "place").agg((F.sum("reached") - 1).alias("rank"))
+    pages = gathered.select("user_id", "chunk", F.posexplode("p.page").alias("place", "page"))
+    return pages.join(ranks, ["user_id", "chunk", "place"]).select("user_id", "page", "rank")
 
 
 def user_metrics(ranks: DataFrame, n_items, k_values: Sequence[int] = (10,)) -> DataFrame:

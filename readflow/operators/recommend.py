@@ -9,7 +9,7 @@ from pyspark.ml.stat import Summarizer
 from pyspark.sql import DataFrame, Window as W, functions as F
 
 from readflow.functions.vectors import dot
-from readflow.operators.blocks import SCORE_DIGITS, Blocks, item_blocks, map_blocks, meet, user_blocks
+from readflow.operators.blocks import SCORE_DIGITS, Reducer, item_blocks, map_blocks, meet, user_blocks, with_seen
 from readflow.operators.tfidf import unit_arrays
 from readflow.session import materialize
 
@@ -64,16 +64,24 @@ def score_pairs(pairs: DataFrame, user_factors: DataFrame, item_factors: DataFra
     return pairs.join(items, "page").join(users, "user_id").withColumn("score", score).select(*pairs.columns, "score")
 
 
+class _Ranges(Reducer):
+    def __init__(self, row):
+        self.users, self.n, self.total = row.users, 0, 0.0
+        self.lo, self.hi = np.inf, -np.inf
+
+    def add(self, row, scores):
+        self.n += scores.shape[1]
+        self.total = self.total + scores.sum(axis=1)
+        self.lo, self.hi = np.minimum(self.lo, scores.min(axis=1)), np.maximum(self.hi, scores.max(axis=1))
+
+    def result(self):
+        return pd.DataFrame({"user_id": self.users, "n": self.n, "total": self.total, "lo": self.lo, "hi": self.hi})
+
+
 def score_ranges(user_factors: DataFrame, item_factors: DataFrame) -> DataFrame:
     """Score every catalogue item for every user; keep count, mean, smallest and largest score per user."""
-    def reduce_block(row, scores):
-        return pd.DataFrame({
-            "user_id": row.users, "n": np.full(len(scores), scores.shape[1]), "total": scores.sum(axis=1),
-            "lo": scores.min(axis=1), "hi": scores.max(axis=1),
-        })
-
     joined = meet(user_blocks(user_factors, {}), item_blocks(item_factors))
-    parts = map_blocks(joined, "user_id string, n long, total double, lo double, hi double", reduce_block)
+    parts = map_blocks(joined, "user_id string, n long, total double, lo double, hi double", _Ranges)
     return parts.groupBy("user_id").agg(
         F.sum("n").alias("n_items"),
         (F.sum("total") / F.sum("n")).alias("mean_score"),
@@ -82,28 +90,43 @@ def score_ranges(user_factors: DataFrame, item_factors: DataFrame) -> DataFrame:
     )
 
 
-def _best_of_block(scores: np.ndarray, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Row and column numbers of each row's best ``wanted`` entries; ties go to the lower column."""
-    width = scores.shape[1]
-    keep = min(int(wanted.max()), width)
-    floor = np.partition(scores, width - keep, axis=1)[:, width - keep]
-    rows, cols = np.nonzero(scores >= floor[:, None])
-    order = np.lexsort((cols, -scores[rows, cols], rows))
-    rows, cols = rows[order], cols[order]
-    place = np.arange(len(rows)) - np.searchsorted(rows, rows, side="left")
-    keep_rows = place < wanted[rows]
-    return rows[keep_rows], cols[keep_rows]
-
-
-def _seen_blocks(seen: DataFrame, users: Blocks, items: Blocks) -> DataFrame:
-    """Pairs already read, gathered per (user block, item block): at most block × block of them."""
-    by_user = users.df.select("user_block", F.explode("users").alias("user_id"))
-    by_page = items.df.select("item_block", F.explode("pages").alias("page"))
-    return (
-        seen.select("user_id", "page").distinct().join(by_user, "user_id").join(by_page, "page")
-        .groupBy("user_block", "item_block")
-        .agg(F.collect_list("user_id").alias("seen_users"), F.collect_list("page").alias("seen_pages"))
-    )
+class _Best(Reducer):
+    """Each user's best ``wanted`` items so far, and the range of all scores; ties go to the smaller page."""
+
+    def __init__(self, row):
+        self.users, self.wanted = np.asarray(row.users, dtype=object), np.asarray(row.wanted)
+        self.lo, self.hi = np.inf, -np.inf
+        self.rows, self.raw, self.pages = np.empty(0, np.int64), np.empty(0), np.empty(0, object)
+
+    def add(self, row, scores):
+        self.lo, self.hi = np.minimum(self.lo, scores.min(axis=1)), np.maximum(self.hi, scores.max(axis=1))
+        seen = getattr(row, "seen", None)
+        for s in seen if seen is not None else ():
+            if s["item_block"] == row.item_block:
+                scores[s["u"], s["i"]] = -np.inf
+        width = scores.shape[1]
+        keep = min(int(self.wanted.max()), width)
+        floor = np.partition(scores, width - keep, axis=1)[:, width - keep]
+        if len(self.rows):  # nothing below a full list's last entry can enter it
+            full = np.bincount(self.rows, minlength=len(self.users)) >= self.wanted
+            last = np.full(len(self.users), np.inf)
+            np.minimum.at(last, self.rows, self.raw)
+            floor = np.where(full, np.maximum(floor, last), floor)
+        rows, cols = np.nonzero((scores >= floor[:, None]) & np.isfinite(scores))
+        self.rows = np.concatenate((self.rows, rows))
+        self.raw = np.concatenate((self.raw, scores[rows, cols]))
+        self.pages = np.concatenate((self.pages, np.asarray(row.pages, dtype=object)[cols]))
+        order = np.lexsort((self.pages, -self.raw, self.rows))
+        place = np.arange(len(order)) - np.searchsorted(self.rows[order], self.rows[order], side="left")
+        order = order[place < self.wanted[self.rows[order]]]
+        self.rows, self.raw, self.pages = self.rows[order], self.raw[order], self.pages[order]
+
+    def result(self):
+        bare = np.setdiff1d(np.arange(len(self.users)), self.rows)  # all items seen: only the range counts
+        rows = np.concatenate((self.rows, bare))
+        return pd.DataFrame({
+            "user_id": self.users[rows], "page": np.concatenate((self.pages, np.full(len(bare), None, object))),
+            "raw": np.concatenate((self.raw, np.full(len(bare), np.nan))), "lo": self.lo[rows], "hi": self.hi[rows], "n": self.wanted[rows]})
 
 
 def recommend_batch(
@@ -126,30 +149,7 @@ def recommend_batch(
 
 def _best_items(asked: DataFrame, item_factors: DataFrame, exclude_seen: DataFrame | None) -> DataFrame:
     """The ranking behind the requests; ``asked`` has one row (user_id, factors, n) per user."""
-    items = item_blocks(item_factors)
-    users = user_blocks(asked, {"n": "wanted"})
-    joined = meet(users, items)
-    if exclude_seen is not None:
-        joined = joined.join(_seen_blocks(exclude_seen, users, items), ["user_block", "item_block"], "left")
-
-    def reduce_block(row, scores):
-        lo, hi = scores.min(axis=1), scores.max(axis=1)
-        wanted = np.asarray(row.wanted)
-        if getattr(row, "seen_users", None) is not None:
-            user_at = {u: k for k, u in enumerate(row.users)}
-            page_at = {p: k for k, p in enumerate(row.pages)}
-            scores[[user_at[u] for u in row.seen_users], [page_at[p] for p in row.seen_pages]] = -np.inf
-        rows, cols = _best_of_block(scores, wanted)
-        out = pd.DataFrame({
-            "user_id": np.asarray(row.users, dtype=object)[rows],
-            "page": np.asarray(row.pages, dtype=object)[cols],
-            "raw": scores[rows, cols], "lo": lo[rows], "hi": hi[rows], "n": wanted[rows],
-        })
-        # Where all items are seen only the block's score range counts.
-        out.loc[~np.isfinite(out["raw"]), ["page", "raw"]] = None
-        return out
-
-    candidates = map_blocks(joined, "user_id string, page string, raw double, lo double, hi double, n int", reduce_block)
+    candidates = _candidates(asked, item_factors, exclude_seen)
     user = W.partitionBy("user_id")
     ranked = candidates.withColumns({
         "_lo": F.min("lo").over(user), "_hi": F.max("hi").over(user),
@@ -161,6 +161,16 @@ def _best_items(asked: DataFrame, item_factors: DataFrame, exclude_seen: DataFra
         "user_id", "rank", "page", scaled.alias("score"))
 
 
+def _candidates(asked: DataFrame, item_factors: DataFrame, exclude_seen: DataFrame | None) -> DataFrame:
+    """The best ``n`` items of every user from each cell of items."""
+    items = item_blocks(item_factors)
+    users = user_blocks(asked, {"n": "wanted"})
+    if exclude_seen is not None:
+        users = with_seen(users, items, exclude_seen)
+    found = map_blocks(meet(users, items), "user_id string, page string, raw double, lo double, hi double, n int", _Best)
+    return found.withColumn("raw", F.nanvl("raw", F.lit(None).cast("double")))
+
+
 def recommend_top_n(user_factors: DataFrame, item_factors: DataFrame, n: int = 10, exclude_seen: DataFrame | None = None) -> DataFrame:
     """Best ``n`` items of every user of the model."""
     if n <= 0:

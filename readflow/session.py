@@ -10,31 +10,30 @@ import tempfile
 import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
-from contextvars import ContextVar
+from threading import get_ident
 
 from pyspark.sql import DataFrame, SparkSession
 
 SCRATCH_KEY = "spark.checkpoint.dir"
-_paths: ContextVar[list[str]] = ContextVar("scratch_paths")
+_blocks: dict[int, list[list[str]]] = {}  # per thread of the driver, the tables of its open blocks
 
 
 @contextmanager
 def scratch(spark: SparkSession) -> Iterator[None]:
     """Remove the scratch tables made inside the block when it ends.
 
-    A block belongs to its own thread or task of the driver and may be nested; frames built inside
-    it must be stored or collected before it ends. Without a block tables stay until
-    the folder is cleaned.
+    A block belongs to its own thread of the driver and may be nested; frames built inside it must be
+    stored or collected before it ends. Without a block tables stay until the folder is cleaned.
     """
-    token = _paths.set([])
+    own = _blocks.setdefault(get_ident(), [])
+    own.append([])
     try:
         yield
     finally:
         conf = spark.sparkContext._jsc.hadoopConfiguration()
-        for name in _paths.get():
+        for name in own.pop():
             path = spark._jvm.org.apache.hadoop.fs.Path(name)
             path.getFileSystem(conf).delete(path, True)
-        _paths.reset(token)
 
 
 def configure(spark: SparkSession) -> SparkSession:
@@ -62,8 +61,8 @@ def scratch_path(spark: SparkSession, name: str) -> str:
         base = tempfile.mkdtemp(prefix="readflow-")
         spark.conf.set(SCRATCH_KEY, base)
     path = f"{base.rstrip('/')}/readflow/{name}-{uuid.uuid4().hex}"
-    if (paths := _paths.get(None)) is not None:
-        paths.append(path)
+    if own := _blocks.get(get_ident()):
+        own[-1].append(path)
     return path
 
 
