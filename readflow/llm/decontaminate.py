@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from readflow.llm.texts import word_array
+from readflow.llm.texts import broadcast_if_small, word_array
 from readflow.session import materialize
 
 WINDOW = 10
@@ -96,7 +96,7 @@ def remove_documents(docs: DataFrame, items: DataFrame, key: str = "doc_id", tex
     """The documents without any benchmark window, with all their columns and repeats."""
     found = hits(docs, items, key, text, **names).select(F.col("doc").alias("_doc_"), F.col("text_hash").alias("_text_hash_"))
     same = F.col(key).eqNullSafe(F.col("_doc_")) & (text_hash(F.coalesce(F.col(text), F.lit(""))) == F.col("_text_hash_"))
-    return docs.join(found, same, "left_anti")
+    return docs.join(broadcast_if_small(found, "contaminated"), same, "left_anti")
 
 
 def remove_spans(docs: DataFrame, items: DataFrame, key: str = "doc_id", text: str = "text", **names) -> DataFrame:

@@ -14,7 +14,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window as W, functions as F
 
 from readflow.llm.graph import components
-from readflow.llm.texts import ascii_lower, in_slices
+from readflow.llm.texts import ascii_lower, broadcast_if_small, in_slices
 from readflow.session import materialize
 
 #: A word: everything between ASCII blanks.
@@ -292,7 +292,7 @@ def link_components(docs: DataFrame, key: str = "doc_id", text: str = "text", wi
     cells = members.join(sizes, "block").withColumn("part", F.pmod(F.xxhash64("rep"), F.col("c")).cast("int"))
     cells = cells.select("rep", "block", "part", F.explode(F.sequence(F.lit(0), F.col("c") - 1)).alias("other"))
     cells = cells.select("rep", "block", F.least("part", "other").alias("i"), F.greatest("part", "other").alias("j"), "part")
-    texts = rows.join(cells, F.col("doc") == F.col("rep")).select("block", "i", "j", "part", "doc", "text")
+    texts = rows.join(broadcast_if_small(cells, "cells"), F.col("doc") == F.col("rep")).select("block", "i", "j", "part", "doc", "text")
     placed = texts.repartition("block", "i", "j").sortWithinPartitions("block", "i", "j", "doc")
     links = placed.mapInArrow(lambda b: _cell_links(b, width, percent), "a bigint, b bigint")
     same = filled.join(first.select("hi", "lo", "rep"), ["hi", "lo"]).select(F.col("doc").alias("a"), F.col("rep").alias("b"))
@@ -310,4 +310,4 @@ def keep_one(docs: DataFrame, key: str = "doc_id", text: str = "text", **options
     document.
     """
     gone = link_components(docs, key, text, **options).filter(F.col(key) != F.col("component_id")).select(F.col(key).alias("_gone_")).distinct()
-    return docs.join(gone, F.col(key) == F.col("_gone_"), "left_anti")
+    return docs.join(broadcast_if_small(gone, "near-copies"), F.col(key) == F.col("_gone_"), "left_anti")

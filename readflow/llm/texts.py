@@ -7,6 +7,8 @@ from collections.abc import Iterable, Iterator
 
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
+from readflow.session import materialize
+
 #: A word: letters and digits of ASCII (after lower-casing) and everything beyond ASCII.
 WORD_PATTERN = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 WORD = re.compile(WORD_PATTERN)
@@ -63,6 +65,19 @@ def bounded_sample(df: DataFrame, by: str, rows: int, salt: str, key: str = "doc
     return df.withColumn(rank, F.row_number().over(order)).filter(F.col(rank) <= rows).drop(rank)
 
 
+#: Rows of ids up to which a table is broadcast (some 100 bytes each in memory); larger ones are joined by a shuffle.
+BROADCAST_ROWS = 1_000_000
+
+
+def broadcast_if_small(ids: DataFrame, name: str) -> DataFrame:
+    """A narrow table, written once and counted: marked for broadcast up to ``BROADCAST_ROWS`` rows, left as it is beyond.
+
+    It spares joins that pick few documents a shuffle of all texts.
+    """
+    stored = materialize(ids, name)
+    return F.broadcast(stored) if stored.count() <= BROADCAST_ROWS else stored
+
+
 def in_slices(texts: Iterable[str], chars: int = 1_000_000) -> Iterator[list[str]]:
     """Texts in order, in lists of about ``chars`` characters, so that a batch of long texts stays small."""
     held, size = [], 0
