@@ -18,9 +18,9 @@ from readflow.session import materialize
 SAMPLE = 5_000  # labelled rows of each label that are fitted on, at most
 FEATURES = 1_000  # words with a weight, at most
 MIN_DOCS = 4  # documents of the sample that hold a word
-MIN_EVIDENCE = 15.0  # log-likelihood ratio of a word against chance
 GRADES = 3  # 0: not toxic, 1 … GRADES - 1: toxic, by rising evidence
-RIDGE = 0.1
+EVIDENCE = 1.6  # log-likelihood ratio a word needs, times the log of their number: of m words without a bearing some m^0.2 get there
+RIDGE = 0.01
 HEADS = (4, 5, 6, 7)  # lengths of the word beginnings that are features beside whole words
 LEAST = (1, 2, 3)  # distinct words that share a beginning
 STEPS = 400
@@ -89,6 +89,8 @@ def fit(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "te
         return Model({}, (math.inf,) * (grades - 1))
     held = sample.select((F.col("y") > 0).cast("int").alias("bad"), F.explode("w").alias("word"))
     counts = held.groupBy("word").agg(F.sum("bad").alias("b"), F.sum(1 - F.col("bad")).alias("g")).filter(F.col("b") + F.col("g") >= MIN_DOCS)
+    counts = materialize(counts, "toxicity-words")
+    least = EVIDENCE * math.log(max(counts.count(), 2))
     share = (F.col("b") + F.col("g")) / float(good + bad)
 
     def part(n: Column, expected: Column) -> Column:
@@ -97,7 +99,7 @@ def fit(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "te
     evidence = 2 * (part(F.col("b"), share * bad) + part(F.col("g"), share * good)
                     + part(bad - F.col("b"), (1 - share) * bad) + part(good - F.col("g"), (1 - share) * good))
     odds = F.log((F.col("b") + 0.5) / (bad + 1)) - F.log((F.col("g") + 0.5) / (good + 1))
-    chosen = counts.select("word", odds.alias("odds"), evidence.alias("evidence")).filter(F.col("evidence") >= MIN_EVIDENCE)
+    chosen = counts.select("word", odds.alias("odds"), evidence.alias("evidence")).filter(F.col("evidence") >= least)
     chosen = chosen.orderBy(F.desc("evidence"), "word").limit(features).collect()
     words = {r["word"]: i for i, r in enumerate(chosen)}
     rows_held = sample.select("y", "scale", F.array_intersect("w", F.array(*map(F.lit, words)) if words else F.array().cast("array<string>")).alias("w"))
