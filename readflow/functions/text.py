@@ -7,10 +7,7 @@ from pyspark.sql import Column, functions as F
 # What the cleaner removes, in this order, and the stop words of the default language.
 URL_PATTERN = r"(https?:\/\/\S+)|(www\.\S+)"
 TAG_PATTERN = r"<[^>]+>"
-DISALLOWED_PATTERN = (
-    r"[^A-Za-z0-9ÁÉÍÓÚÀÈÌÒÙÂÊÎÔÛÃÕÇáéíóúàèìòùâêîôûãõç\s"
-    r"""!"#$%&\'()*+,\-./:;<=>?@\[\]\\^_`{|}~]"""
-)
+DISALLOWED_PATTERN = r"""[^A-Za-z0-9ÁÉÍÓÚÀÈÌÒÙÂÊÎÔÛÃÕÇáéíóúàèìòùâêîôûãõç\s!"#$%&\'()*+,\-./:;<=>?@\[\]\\^_`{|}~]"""
 BLANKS_PATTERN = r"\s+"
 PORTUGUESE_STOP_WORDS = [
     "a", "o", "as", "os", "um", "uma", "para", "com", "de", "do", "da", "em", "no", "na",

@@ -11,10 +11,7 @@ DECILES = [i / 10 for i in range(11)]
 
 
 def value_counts(df: DataFrame, value: str, out: str = "value") -> DataFrame:
-    """(value, n) of the non-NULL values: the small form in which the exact quantiles below are taken.
-
-    Meant for counts. Values that are counts of N rows have at most sqrt(2 N) distinct values.
-    """
+    """(value, n) of the non-NULL values: the form in which the exact quantiles below are taken."""
     return df.filter(F.col(value).isNotNull()).groupBy(F.col(value).alias(out)).agg(F.count(F.lit(1)).alias("n"))
 
 
@@ -43,9 +40,8 @@ def histogram(df: DataFrame, value: str, bins: int = 50) -> DataFrame:
 
 def box_plot(df: DataFrame, value: str) -> DataFrame:
     """One row: quartiles, fences at 1.5 IQR, whiskers inside them, number of points outside."""
-    counts = value_counts(df, value)
-    quartiles = counts.agg(F.percentile("value", F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75)), F.col("n")).alias("q"))
-    quartiles = quartiles.select(F.col("q")[0].alias("q1"), F.col("q")[1].alias("median"), F.col("q")[2].alias("q3")).withColumns({
+    counts = running_totals(value_counts(df, value), "value", ["n"])
+    quartiles = quantiles(counts, [0.25, 0.5, 0.75]).select(F.col("q")[0].alias("q1"), F.col("q")[1].alias("median"), F.col("q")[2].alias("q3")).withColumns({
         "fence_low": F.col("q1") - 1.5 * (F.col("q3") - F.col("q1")),
         "fence_high": F.col("q3") + 1.5 * (F.col("q3") - F.col("q1"))})
     inside = F.col("value").between(F.col("_q.fence_low"), F.col("_q.fence_high"))
@@ -63,9 +59,8 @@ def quantile_bins(df: DataFrame, value: str, probabilities: list[float] = DECILE
 
     Returns (bin, low, high, count) with bins from 1. A constant input gives one bin.
     """
-    counts = value_counts(df, value)
-    at = F.array(*[F.lit(float(p)) for p in probabilities])
-    edges = counts.agg(F.array_distinct(F.percentile("value", at, F.col("n"))).alias("edges"))
+    counts = running_totals(value_counts(df, value), "value", ["n"])
+    edges = quantiles(counts, probabilities).select(F.array_distinct("q").alias("edges"))
     e = F.col("_e.edges")
     bin_no = F.greatest(F.lit(1), F.size(F.filter(e, lambda x: x < F.col("value"))))
     filled = with_row(counts, edges, "_e").groupBy(bin_no.alias("bin")).agg(F.sum("n").alias("n"))
@@ -94,16 +89,32 @@ def linear_trend(df: DataFrame, x: str, ys: list[str]) -> DataFrame:
     return df.agg(F.array(*fits).alias("f")).select(F.inline("f"))
 
 
-def median_of(df: DataFrame, value: str) -> DataFrame:
-    """Exact median of any number of distinct doubles, by rank; no task holds all values."""
-    ranked = running_totals(value_counts(df, value), "value", ["n"])
+def quantiles(ranked: DataFrame, probabilities: list[float]) -> DataFrame:
+    """One row ``q``: exact quantiles, linear between ranks, of any number of distinct values.
+
+    ``ranked`` are ``running_totals`` of ``value_counts``; no task holds all values.
+    """
     last = ranked.agg((F.sum("n") - 1).alias("rank"))
-    def holds(rank):
-        return (F.col("cum_n") > rank) & (F.col("cum_n") - F.col("n") <= rank)
+
     def at(rank):
-        return F.max(F.when(holds(rank), F.col("value")))
-    half = F.col("_last.rank") / 2
-    return with_row(ranked, last, "_last").agg(((at(F.floor(half)) + at(F.ceil(half))) / 2.0).alias("median"))
+        return F.max(F.when((F.col("cum_n") > rank) & (F.col("cum_n") - F.col("n") <= rank), F.col("value").cast("double")))
+
+    def quantile(p):
+        rank = F.col("_last.rank") * F.lit(float(p))
+        low, high = F.floor(rank), F.ceil(rank)
+        return at(low), at(high), F.max(rank - low)
+
+    parts = [c.alias(f"{name}{i}") for i, p in enumerate(probabilities) for name, c in zip(("low", "high", "share"), quantile(p))]
+    row = with_row(ranked, last, "_last").agg(*parts)
+    return row.select(F.array(*[
+        F.when(F.col(f"low{i}") == F.col(f"high{i}"), F.col(f"low{i}"))
+        .otherwise(F.col(f"low{i}") * (1 - F.col(f"share{i}")) + F.col(f"high{i}") * F.col(f"share{i}"))
+        for i in range(len(probabilities))]).alias("q"))
+
+
+def median_of(df: DataFrame, value: str) -> DataFrame:
+    """Exact median of any number of distinct doubles."""
+    return quantiles(running_totals(value_counts(df, value), "value", ["n"]), [0.5]).select(F.col("q")[0].alias("median"))
 
 
 def two_sample_ks(a: DataFrame, b: DataFrame, value: str) -> DataFrame:

@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window as W, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from readflow.functions.vectors import norm
 from readflow.operators.distributions import histogram, median_of, two_sample_ks
 from readflow.operators.recommend import score_pairs
+from readflow.operators.skew import running_totals
 
 TOTAL_DIGITS = 6
 
@@ -125,11 +126,11 @@ def gini(counts: DataFrame, count: str) -> DataFrame:
     """Gini coefficient of item counts.
 
     Items with equal counts are handled as one row with multiplicity c: ranks before + 1 .. before + c
-    sum to c·before + c(c+1)/2. The window runs over distinct counts, of which N rows have at most sqrt(2 N).
+    sum to c·before + c(c+1)/2.
     """
     groups = counts.groupBy(F.col(count).cast("double").alias("v")).agg(F.count(F.lit(1)).cast("double").alias("c"))
-    before = F.coalesce(F.sum("c").over(W.orderBy("v").rowsBetween(W.unboundedPreceding, -1)), F.lit(0.0))
-    ranks = groups.withColumn("rank_sum", F.col("c") * before + F.col("c") * (F.col("c") + 1) / 2)
+    ranks = running_totals(groups, "v", ["c"])
+    ranks = ranks.withColumn("rank_sum", F.col("c") * (F.col("cum_c") - F.col("c")) + F.col("c") * (F.col("c") + 1) / 2)
     n, total = F.sum("c"), F.sum(F.col("v") * F.col("c"))
     value = F.try_divide(2 * F.sum(F.col("v") * F.col("rank_sum")), n * total) - F.try_divide(n + 1, n)
     return ranks.agg(n.cast("bigint").alias("n_items"), F.coalesce(value, F.lit(0.0)).alias("gini"))

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import types as T
 
-# Raw reading history: the last six columns are parallel comma-separated lists.
+# The columns of the raw files. In a reading history the last six columns are parallel comma-separated lists.
 HISTORY_LISTS = (
     "history", "timestampHistory", "numberOfClicksHistory", "timeOnPageHistory",
     "scrollPercentageHistory", "pageVisitsCountHistory",
