@@ -43,6 +43,8 @@ def configure(spark: SparkSession) -> SparkSession:
     spark.conf.set("spark.sql.adaptive.skewJoin.enabled", "true")
     # Split a hot join key even when the join's output partitioning is used later on.
     spark.conf.set("spark.sql.adaptive.forceOptimizeSkewedJoin", "true")
+    # Long texts: what goes to a Python worker at once is bounded in bytes, not only in rows.
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(8 << 20))
     return spark
 
 
