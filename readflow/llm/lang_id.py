@@ -84,15 +84,18 @@ def forward_backward(scores: np.ndarray, lengths: np.ndarray, moves: np.ndarray,
 
 
 def fit(docs: DataFrame, text: str = "text", lang: str = "lang", key: str = "doc_id", rows: int = SAMPLE) -> Model:
-    """Fit on at most ``rows`` texts of each of the ``LANGUAGES`` most frequent languages; null languages and texts are left out.
+    """Fit on at most ``rows`` keys of each of the ``LANGUAGES`` most frequent languages; null languages, texts and keys are left out.
+
+    The keys are chosen first, so that no text is moved before it is known to be in the sample.
 
     Training sequences join stretches of texts of different languages, so that the learned
     transitions allow for code switching. Without labelled texts the model knows no label.
     """
-    known = docs.select(F.col(key).alias("k"), F.col(text).alias("t"), F.col(lang).alias("l")).filter("t is not null and l is not null")
+    known = docs.select(F.col(key).alias("k"), F.col(text).alias("t"), F.col(lang).alias("l")).filter("t is not null and l is not null and k is not null")
     top = known.groupBy("l").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "l").limit(LANGUAGES).select("l")
-    chosen = bounded_sample(known.join(F.broadcast(top), "l"), "l", rows, "lang", "k")
-    sample = sorted(((r["l"], words_of(r["t"])) for r in chosen.select("l", "t").collect()), key=lambda x: (x[0], len(x[1]), x[1][:20]))
+    chosen = bounded_sample(known.select("k", "l").join(F.broadcast(top), "l"), "l", rows, "lang", "k")
+    few = known.join(F.broadcast(chosen.distinct()), ["k", "l"])
+    sample = sorted(((r["l"], words_of(r["t"])) for r in few.select("l", "t").collect()), key=lambda x: (x[0], len(x[1]), x[1][:20]))
     return fit_texts([s for s in sample if s[1]])
 
 
