@@ -22,6 +22,8 @@ BLANKS = re.compile(r"[\x20\x09-\x0D]+")
 SHINGLE = 3
 #: Links need ``100 * |common| >= PERCENT * |union|``.
 PERCENT = 90
+#: What ``keep_one`` takes for near copies: word 5-grams and a similarity of 0.8 or more.
+COPY_SHINGLE, COPY_PERCENT = 5, 80
 #: Shingles that one cell of a candidate block should hold; larger blocks are cut into parts that meet pair by pair.
 CELL_SHINGLES = 2_000_000
 WORD_MEMORY = 400_000
@@ -78,11 +80,14 @@ def _parts(level: int, percent: int) -> tuple[int, int]:
 
     Linked x, y differ in |x − y| + |y − x| <= (1 − t)/(1 + t) · (|x| + |y|) grams, and their sizes
     lie below r^(level + 1) and r^(level + 2) with r = 1/t. With that many differences d, cutting the
-    sets into d + 1 + spare parts leaves spare + 1 parts or more that are equal in both.
+    sets into d + 1 + spare parts leaves spare + 1 parts or more that are equal in both. Where parts
+    hold few grams on average, more of them are weak, and more spare ones make up for that.
     """
     r = 100 / percent
     most = int((r - 1) / (r + 1) * (r ** (level + 1) + r ** (level + 2)) + 1e-6)
-    spare = 0 if not most else min(4, 1 + most // 8)
+    spare = 0 if not most else 1 + most // 8
+    if r**level >= 6 * (most + 1):
+        spare = min(4, spare)
     return most + 1 + spare, spare
 
 
@@ -92,7 +97,9 @@ def signatures(grams: np.ndarray, percent: int = PERCENT) -> list[tuple[int, np.
     The grams are cut by hash into ``_parts`` parts, and a key is a hash of a whole part. Parts of
     fewer than three grams say little and would tie strangers together, so they are left out
     where the spare parts make up for them: with at most ``spare`` such parts in a set, one of the
-    ``spare + 1`` equal parts is a good one. Sets with more weak parts also give the keys of those.
+    ``spare + 1`` equal parts is a good one. A set with more of them leaves out only parts of fewer than
+    two grams, or only empty ones, or none. Linked sets may differ in that: the equal part that is good
+    by the stricter of their two bounds is given by both.
     """
     out = []
     own = _level(len(grams), percent)
@@ -106,8 +113,8 @@ def signatures(grams: np.ndarray, percent: int = PERCENT) -> list[tuple[int, np.
         sums = np.zeros(k, np.uint64)
         filled = sizes > 0
         sums[filled] = np.add.reduceat(strong[order], starts[filled])
-        weak = sizes < 3
-        wanted = np.arange(k) if weak.sum() > spare else np.flatnonzero(~weak)
+        least = next(least for least in (3, 2, 1, 0) if (sizes < least).sum() <= spare)
+        wanted = np.flatnonzero(sizes >= least)
         out.append((level, _mix(sums[wanted] ^ _mix(np.uint64(level * 1_000_003) + wanted.astype(np.uint64)))))
     return out
 
@@ -303,11 +310,11 @@ def link_components(docs: DataFrame, key: str = "doc_id", text: str = "text", wi
     )
 
 
-def keep_one(docs: DataFrame, key: str = "doc_id", text: str = "text", **options) -> DataFrame:
-    """The documents whose key is the smallest of its component, with all their columns.
+def keep_one(docs: DataFrame, key: str = "doc_id", text: str = "text", width: int = COPY_SHINGLE, percent: int = COPY_PERCENT, **options) -> DataFrame:
+    """The documents whose key is the smallest of its component of near copies, with all their columns.
 
     Rows with a null key are kept. Repeated rows with the smallest key are all kept: they are one
     document.
     """
-    gone = link_components(docs, key, text, **options).filter(F.col(key) != F.col("component_id")).select(F.col(key).alias("_gone_")).distinct()
+    gone = link_components(docs, key, text, width, percent, **options).filter(F.col(key) != F.col("component_id")).select(F.col(key).alias("_gone_")).distinct()
     return docs.join(broadcast_if_small(gone, "near-copies"), F.col(key) == F.col("_gone_"), "left_anti")

@@ -71,7 +71,7 @@ pairs as (select a.doc_id a, b.doc_id b from grams a join grams b on a.g = b.g a
 reach as (select doc_id a, doc_id b from sets union select reach.a, pairs.b from reach join pairs on reach.b = pairs.a)
 select sets.doc_id, cast(len(s) as bigint) n_shingles, min(b) component_id from sets join reach on sets.doc_id = reach.a group by sets.doc_id, s""")
 def op4_jaccard_join(spark, d):
-    return jaccard.link_components(table(spark, d, "documents"))
+    return jaccard.link_components(table(spark, d, "documents"), width=3, percent=90)
 
 
 @query(f"""

@@ -107,3 +107,64 @@ def test_graph(spark, seed):
     out = graph.components(spark.createDataFrame(pairs, "a long, b long")).collect()
     assert sorted(map(tuple, out)) == sorted((x, find(x)) for x in nodes)
     assert graph.components(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
+def plain_kept(rows, width, percent):
+    """Keys that are the smallest of their component; keys are unique and not null."""
+    sets, root = [], {k: k for k, _ in rows}
+    for k, text in rows:
+        w = [x for x in jaccard.BLANKS.split(ascii_lower(text or "")) if x]
+        sets.append((k, {tuple(w[i : i + width]) for i in range(max(1, len(w) - width + 1))} if w else set()))
+
+    def find(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+
+    for i, (a, s) in enumerate(sets):
+        for b, t in sets[:i]:
+            if s and t and 100 * len(s & t) >= percent * len(s | t):
+                lo, hi = sorted((find(a), find(b)))
+                root[hi] = lo
+    return {k for k in root if find(k) == k}
+
+
+def appended_copies():
+    """Texts whose copies have about an eighth of new words at the end: a similarity of 0.88."""
+    rnd = random.Random(8)
+    rows = []
+    for size in (24, 60, 300, 900):
+        base = [f"w{rnd.randrange(10**6)}" for _ in range(size)]
+        rows += [" ".join(base), " ".join(base + [f"n{rnd.randrange(10**6)}" for _ in range(size * 40 // 300)])]
+    return [(10_000 + i, t) for i, t in enumerate(rows)]
+
+
+@pytest.mark.parametrize("cell", [2_000_000, 300])
+def test_copies_of_the_stage(spark, cell):
+    rows = [(i, t) for i, (_, t) in enumerate(near_copies(5))] + appended_copies()
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    want = plain_kept(rows, 5, 80)
+    assert {k for k in want if k >= 10_000} == {10_000, 10_002, 10_004, 10_006} and want != plain_kept(rows, 3, 90)
+    assert {r["doc_id"] for r in jaccard.keep_one(docs, cell=cell).collect()} == want
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.integers(1, 900), st.integers(0, 10**9), st.sampled_from([50, 80, 90]))
+def test_linked_sets_share_a_signature_at_any_percent(size, seed, percent):
+    rnd = np.random.default_rng(seed)
+    a = np.unique(jaccard._mix(rnd.integers(0, 2**62, size).astype(np.uint64)))
+    most = int(size * (100 / percent - 1)) + 1
+    gone = int(rnd.integers(0, most + 1))
+    new = int(rnd.integers(0, max(1, most - gone) + 1))
+    b = np.unique(np.concatenate([a[gone:], jaccard._mix(rnd.integers(0, 2**62, new).astype(np.uint64))]))
+    common = len(np.intersect1d(a, b))
+    if len(b) and 100 * common >= percent * (len(a) + len(b) - common):
+        keys = [{(level, k) for level, ks in jaccard.signatures(x, percent) for k in ks.tolist()} for x in (a, b)]
+        assert keys[0] & keys[1]
+
+
+def test_strangers_share_no_signature():
+    """At 80 % no part is so weak that sets without a common gram meet in it."""
+    rnd = np.random.default_rng(2)
+    keys = [{(level, k) for level, ks in jaccard.signatures(np.unique(jaccard._mix(rnd.integers(0, 2**62, 300).astype(np.uint64))), 80) for k in ks.tolist()} for _ in range(60)]
+    assert sum(len(keys[i] & keys[j]) > 0 for i in range(60) for j in range(i)) <= 60

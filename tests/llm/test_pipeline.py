@@ -72,3 +72,11 @@ def test_stages_on_odd_rows(spark, sf, edges, no_rows):
             if docs is edges:
                 assert out.filter(F.col("text").isNull()).count() == 1
         assert corpus_pipeline.STAGES[-1][1](spark, docs, sf).count() >= docs.count()
+
+
+def test_copies_at_five_words_and_four_fifths(spark, sf, staged):
+    before, after = map(by_id, staged[1])
+    assert set(after) == test_jaccard.plain_kept([(k, r["text"]) for k, r in before.items()], 5, 80)
+    rows = test_jaccard.appended_copies()
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    assert set(by_id(corpus_pipeline.drop_near_copies(spark, docs, sf))) == {10_000, 10_002, 10_004, 10_006}
