@@ -19,20 +19,20 @@ def _windows(words: Column, size: Column) -> Column:
 
 
 def benchmark_windows(items: DataFrame, item: str = "item_id", text: str = "text", window: int = WINDOW) -> DataFrame:
-    """(h, gram, size, items): distinct word windows of all items, hashed, each with the ids of the items that hold it.
+    """(h, gram, size, items, unnamed): distinct word windows of all items, hashed, each with the ids of the items that hold it.
 
-    An item of fewer words than ``window``, but not none, is one window. Items with null ids are
-    left out: there is nothing to report them by.
+    An item of fewer words than ``window``, but not none, is one window. Windows of items with null
+    ids are windows like others; ``unnamed`` tells that such an item holds it.
     """
-    rows = items.filter(F.col(item).isNotNull()).select(F.col(item).cast("string").alias("item"), word_array(F.col(text)).alias("w"))
+    rows = items.select(F.col(item).cast("string").alias("item"), word_array(F.col(text)).alias("w"))
     rows = rows.withColumn("size", F.least(F.size("w"), F.lit(window))).filter(F.col("size") > 0)
     grams = rows.withColumn("at", F.explode(_windows(F.col("w"), F.col("size"))))
     grams = grams.select("item", "size", F.slice("w", F.col("at") + 1, F.col("size")).alias("gram"))
-    return grams.groupBy("gram", "size").agg(F.collect_set("item").alias("items")).withColumn("h", F.xxhash64("gram"))
+    return grams.groupBy("gram", "size").agg(F.collect_set("item").alias("items"), F.max(F.col("item").isNull()).alias("unnamed")).withColumn("h", F.xxhash64("gram"))
 
 
 def hits(docs: DataFrame, items: DataFrame, key: str = "doc_id", text: str = "text", item: str = "item_id", item_text: str = "text", window: int = WINDOW) -> DataFrame:
-    """Per distinct (key, text) with an occurring window: doc, text_hash, n_hit, items (sorted), spans.
+    """Per distinct (key, text) with an occurring window: doc, text_hash, n_hit, items (sorted), unnamed, spans.
 
     Each window of a document is hashed and looked up in the set of benchmark windows; a hit counts
     once its words are compared as well. ``spans`` are the hit windows as (start, size) in words;
@@ -49,16 +49,17 @@ def hits(docs: DataFrame, items: DataFrame, key: str = "doc_id", text: str = "te
     for size in sorted(per_size):
         scan = rows.select("doc", "text_hash", "w", F.explode(_windows(F.col("w"), F.lit(size))).alias("at"))
         scan = scan.withColumn("h", F.xxhash64(F.slice("w", F.col("at") + 1, size)))
-        known = grams.filter(F.col("size") == size).select("h", "gram", "items")
+        known = grams.filter(F.col("size") == size).select("h", "gram", "items", "unnamed")
         scan = scan.join(F.broadcast(known) if small else known, "h")
-        scan = scan.filter(F.slice("w", F.col("at") + 1, size) == F.col("gram")).select("doc", "text_hash", "at", F.lit(size).alias("size"), "items")
+        scan = scan.filter(F.slice("w", F.col("at") + 1, size) == F.col("gram")).select("doc", "text_hash", "at", F.lit(size).alias("size"), "items", "unnamed")
         found = scan if found is None else found.unionByName(scan)
     if found is None:
-        found = spark.createDataFrame([], "doc string, text_hash string, at int, size int, items array<string>")
+        found = spark.createDataFrame([], "doc string, text_hash string, at int, size int, items array<string>, unnamed boolean")
         found = found.withColumn("doc", F.col("doc").cast(dict(docs.select(F.col(key)).dtypes)[key]))
     spans = F.array_sort(F.collect_set(F.struct("at", "size")))
     gathered = found.groupBy("doc", "text_hash").agg(
-        spans.alias("spans"), F.array_sort(F.array_distinct(F.flatten(F.collect_set("items")))).alias("items"))
+        spans.alias("spans"), F.array_sort(F.array_distinct(F.flatten(F.collect_set("items")))).alias("items"),
+        F.max("unnamed").alias("unnamed"))
     start = F.struct(F.lit(0).alias("end"), F.lit(0).alias("n"))
     covered = F.aggregate(
         "spans", start,
@@ -75,7 +76,8 @@ def text_hash(text: Column) -> Column:
 
 
 def contamination(docs: DataFrame, items: DataFrame, key: str = "doc_id", text: str = "text", **names) -> DataFrame:
-    """One row per document: key, n_words, n_hit, items (sorted strings), spans, contaminated.
+    """One row per document: key, n_words, n_hit, items (sorted strings), unnamed (whether an item
+    without an id is hit), spans, contaminated.
 
     Null and empty texts have no words and no hits; repeated rows each get their row; null keys are
     kept. An empty benchmark marks nothing. Other columns of either table are not read.
@@ -88,6 +90,7 @@ def contamination(docs: DataFrame, items: DataFrame, key: str = "doc_id", text:
         F.col(key), "n_words",
         F.coalesce("n_hit", F.lit(0)).alias("n_hit"),
         F.coalesce("items", F.array().cast("array<string>")).alias("items"),
+        F.coalesce("unnamed", F.lit(False)).alias("unnamed"),
         F.coalesce("spans", F.array().cast("array<struct<at:int,size:int>>")).alias("spans"),
         F.col("n_hit").isNotNull().alias("contaminated"))
 

@@ -4,7 +4,7 @@ import hashlib
 
 import pytest
 
-from readflow.llm import decontaminate
+from readflow.llm import decontaminate, queries
 from readflow.llm.texts import words_of
 
 ITEMS = [(1, "one two three four five six seven eight nine ten eleven"), (2, "Short item"), (3, None), (4, "..."), (None, "has no id but ten words one two three four"),
@@ -65,3 +65,20 @@ def test_shuffled_set(edges, items, monkeypatch):
     want = sorted(map(repr, decontaminate.contamination(edges, items).collect()))
     monkeypatch.setattr(decontaminate, "BROADCAST_WINDOWS", 0)
     assert sorted(map(repr, decontaminate.contamination(edges, items).collect())) == want
+
+
+def test_items_without_an_id_count(spark, items, tmp_path):
+    duckdb = pytest.importorskip("duckdb")
+    texts = [(1, "it has no id but ten words one two three four"), (2, "short item, has no id but ten words one two three four"), (3, "has no id but ten words"), (4, "short item")]
+    docs = spark.createDataFrame(texts, "doc_id long, text string")
+    rows = {r["doc_id"]: r for r in decontaminate.contamination(docs, items).collect()}
+    assert {k: (r["n_hit"], r["items"], r["contaminated"]) for k, r in rows.items()} == {
+        1: (10, [], True), 2: (12, ["2"], True), 3: (0, [], False), 4: (2, ["2"], True)}
+    assert {r["doc_id"] for r in decontaminate.remove_documents(docs, items).collect()} == {3}
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    items.write.parquet(f"{tmp_path}/benchmark.parquet")
+    db = duckdb.connect()
+    for name in ("documents", "benchmark"):
+        db.execute(f"create view {name} as select * from read_parquet('{tmp_path}/{name}.parquet/*.parquet')")
+    want = db.execute(queries.ORACLES["op5_decontaminate"]).fetchall()
+    assert sorted(map(tuple, queries.QUERIES["op5_decontaminate"](spark, str(tmp_path)).collect())) == sorted(want)
