@@ -16,6 +16,8 @@ COSINE = 0.9
 CELL = 1024  # vectors that a cell holds on average
 MAX_CELL = 4096  # vectors a cell may hold before it is cut into parts that meet pair by pair
 SAMPLE = 20_000  # vectors, at most about, whose medians place the cuts
+PILOTS = 256  # directions in which the sample's spread around the medians is measured
+CROWDED = 0.95  # share of the sampled vectors of a dimension whose neighbours are parted no more often than planned for
 SPILL = 0.15  # half-width of the window that a vector keeps around itself at a cut
 PROJECTIONS, WINDOW = 32, 0.6  # projections counted in a cell, and the half-width of a window
 TABLE_RECALL, COUNT_RECALL = 0.97, 0.995  # chances that a pair at the threshold is met in a cell, and passes the count
@@ -27,20 +29,42 @@ def _gap(cosine: float) -> float:
     return math.sqrt(2 - 2 * cosine)
 
 
-def table_plan(vectors: int, cosine: float = COSINE, cell: int = CELL) -> tuple[int, int]:
+def table_plan(vectors: int, cosine: float = COSINE, cell: int = CELL, parted: float = 0.0) -> tuple[int, int]:
     """(tables, cuts per table): cells of about ``cell`` vectors, and tables enough for ``TABLE_RECALL`` at the threshold.
 
     A cut parts a pair only if both windows end on their own side of it, which has a chance of about
-    φ(0)·E[(|Δ| − 2·SPILL)+] for a cut at the median.
+    φ(0)·E[(|Δ| − 2·SPILL)+] for a cut at the median of vectors in all directions. ``parted`` is that
+    chance as measured (``parted_chances``); it counts where it is larger, as it is for vectors that
+    share a direction.
     """
     cuts = max(0, math.ceil(math.log2(max(vectors, 1) / cell)))
     s, z = _gap(cosine), 2 * SPILL / _gap(cosine)
     excess = 2 * s * (math.exp(-z * z / 2) / math.sqrt(2 * math.pi) - z * 0.5 * math.erfc(z / math.sqrt(2)))
-    together = (1 - excess / math.sqrt(2 * math.pi)) ** cuts
+    together = (1 - max(parted, excess / math.sqrt(2 * math.pi))) ** cuts
     tables = 1 if cuts == 0 else math.ceil(math.log(1 - TABLE_RECALL) / math.log(1 - together))
     return tables, cuts
 
 
+def parted_chances(leans: np.ndarray, cosine: float = COSINE) -> np.ndarray:
+    """Per vector (row of values less medians, a column per direction) the mean chance that a cut parts it from a partner at the threshold.
+
+    The partner's value differs by a normal number of deviation ``_gap``, and a pair is parted if both
+    lie more than ``SPILL`` from the cut, on different sides.
+    """
+    far = np.abs(leans)
+    z = (far + SPILL) / (_gap(cosine) * math.sqrt(2))
+    return np.where(far > SPILL, 0.5 * _erfc(z), 0.0).mean(1)
+
+
+def _erfc(z: np.ndarray) -> np.ndarray:
+    """erfc for z >= 0, to 1e-6: interpolated in a table."""
+    return np.interp(z, _ERFC_AT, _ERFC, right=0.0)
+
+
+_ERFC_AT = np.linspace(0, 6, 6001)
+_ERFC = np.array([math.erfc(x) for x in _ERFC_AT])
+
+
 def count_threshold(cosine: float = COSINE, projections: int = PROJECTIONS, window: float = WINDOW) -> int:
     """The largest count that a pair at the threshold reaches with a chance of ``COUNT_RECALL``."""
     p = math.erf(window / _gap(cosine) / math.sqrt(2))
@@ -126,10 +150,11 @@ def linked_pairs(units: np.ndarray, side: np.ndarray | None, cosine: float = COS
 def _first_shared(codes: np.ndarray, a: np.ndarray, b: np.ndarray, cell: int) -> np.ndarray:
     """Whether ``cell`` is the first cell that both vectors belong to; ``codes`` is sorted per row and padded with -1."""
     out = np.empty(len(a), bool)
-    for part in range(0, len(a), 20_000):
-        x, y = codes[a[part : part + 20_000]], codes[b[part : part + 20_000]]
+    step = max(1, min(20_000, 16_000_000 // codes.shape[1] ** 2))
+    for part in range(0, len(a), step):
+        x, y = codes[a[part : part + step]], codes[b[part : part + step]]
         shared = (x[:, :, None] == y[:, None, :]).any(2) & (x >= 0)
-        out[part : part + 20_000] = np.where(shared, x, np.iinfo(np.int64).max).min(1) == cell
+        out[part : part + step] = np.where(shared, x, np.iinfo(np.int64).max).min(1) == cell
     return out
 
 
@@ -201,7 +226,7 @@ def near_duplicates(vectors: DataFrame, key: str = "vec_id", embedding: str = "e
     2. Cells: each table cuts the classes at the medians of a few projections (from a bounded sample;
        all classes are placed). A class whose window around its own value crosses a cut goes to both
        sides. The number of cuts follows the number of classes, the number of tables follows from
-       the recall wanted (``table_plan``). A cell of more than ``MAX_CELL`` classes is cut into parts
+       the recall wanted and from how crowded the sample is around its medians (``table_plan``). A cell of more than ``MAX_CELL`` classes is cut into parts
        by hash, and every pair of parts is compared, so a cluster is never cut short.
     3. In a cell, many projections are sorted, collisions in query-centred windows are counted per
        pair, and pairs that reach the calibrated count are verified by their cosine in doubles.
@@ -224,10 +249,12 @@ def near_duplicates(vectors: DataFrame, key: str = "vec_id", embedding: str = "e
     medians: dict[int, np.ndarray] = {}
     if cuts:
         chosen = classes.filter(F.pmod(F.xxhash64(F.lit(SEED), "cid"), F.lit(1 << 30)) < F.lit(int((1 << 30) * min(1.0, SAMPLE / total))))
-        values = chosen.mapInArrow(lambda b: _projected(b, tables * cuts), "dim int, p array<double>")
-        middle = values.select("dim", F.posexplode("p").alias("at", "x")).groupBy("dim", "at").agg(F.median("x").alias("m"))
-        for r in middle.collect():  # one row per dimension and cut
-            medians.setdefault(r["dim"], np.zeros(tables * cuts))[r["at"]] = r["m"]
+        chosen = materialize(chosen.select("dim", "v"), "vector-sample")
+        centre = _medians(chosen, PILOTS, 2)
+        chances = chosen.mapInArrow(lambda b: _parted(b, centre, cosine), "dim int, parted double")
+        crowded = chances.groupBy("dim").agg(F.percentile("parted", F.lit(CROWDED)).alias("p")).agg(F.max("p").alias("p")).first()["p"]
+        tables, cuts = table_plan(total, cosine, cell, crowded or 0.0)
+        medians = _medians(chosen, tables * cuts, 0)
     placed = classes.mapInArrow(
         lambda b: _placed(b, medians, tables, cuts), "dim int, rep bigint, cid bigint, weight bigint, codes array<bigint>, v array<double>")
     placed = placed.withColumn("code", F.explode("codes"))
@@ -257,10 +284,27 @@ def _by_dim(batch: pa.RecordBatch) -> Iterator[tuple[int, pa.RecordBatch]]:
         yield dim, batch.take(pa.array(np.flatnonzero(dims == dim)))
 
 
-def _projected(batches: Iterator[pa.RecordBatch], n: int) -> Iterator[pa.RecordBatch]:
+def _medians(sample: DataFrame, n: int, salt: int) -> dict[int, np.ndarray]:
+    """Per dimension the medians of the sample in ``n`` directions."""
+    values = sample.mapInArrow(lambda b: _projected(b, n, salt), "dim int, p array<double>")
+    middle = values.select("dim", F.posexplode("p").alias("at", "x")).groupBy("dim", "at").agg(F.median("x").alias("m"))
+    out: dict[int, np.ndarray] = {}
+    for r in middle.collect():  # one row per dimension and direction
+        out.setdefault(r["dim"], np.zeros(n))[r["at"]] = r["m"]
+    return out
+
+
+def _parted(batches: Iterator[pa.RecordBatch], centre: dict[int, np.ndarray], cosine: float) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for dim, own in _by_dim(batch):
+            leans = _unit(own.column("v"), dim) @ _directions(dim, PILOTS, 2) - centre[dim]
+            yield pa.RecordBatch.from_arrays([own.column("dim"), pa.array(parted_chances(leans, cosine))], names=["dim", "parted"])
+
+
+def _projected(batches: Iterator[pa.RecordBatch], n: int, salt: int) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for dim, own in _by_dim(batch):
-            values = _unit(own.column("v"), dim) @ _directions(dim, n, 0)
+            values = _unit(own.column("v"), dim) @ _directions(dim, n, salt)
             yield pa.RecordBatch.from_arrays([own.column("dim"), pa.array(values.tolist(), pa.list_(pa.float64()))], names=["dim", "p"])
 
 
