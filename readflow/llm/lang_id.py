@@ -14,6 +14,7 @@ from pyspark.sql.types import DataType
 
 from readflow.llm.texts import bounded_sample, in_slices, words_of
 
+LONGEST = 30  # characters of a word that is labelled whole; longer runs are cut
 SAMPLE = 300  # labelled texts of each language that are fitted on, at most
 LANGUAGES = 64  # languages with the most texts that are learned, at most
 BUCKETS = 1 << 15  # hashed features
@@ -35,11 +36,26 @@ class Model(NamedTuple):
     lexicon: dict[str, int]  # word -> bit set of the languages whose lexicon holds it
 
 
+def tokens_of(text: str) -> list[str]:
+    """The words of a text, in order; runs of more than ``LONGEST`` characters are cut into equal consecutive pieces.
+
+    Scripts without blanks make a word of a whole sentence or text, and each piece gets its own label.
+    """
+    out = []
+    for w in words_of(text):
+        if len(w) <= LONGEST:
+            out.append(w)
+        else:
+            n = -(-len(w) // LONGEST)
+            out += [w[len(w) * i // n : len(w) * (i + 1) // n] for i in range(n)]
+    return out
+
+
 def word_features(word: str, lexicon: dict[str, int]) -> list[int]:
     """Hashed features of a lower-case word: its ends, its letter groups, its lexicon entries and its kind."""
     marked = f"^{word}$"
     names = [f"p{word[:n]}" for n in (1, 2, 3)] + [f"s{word[-n:]}" for n in (1, 2, 3, 4)]
-    names += [marked[i : i + 3] for i in range(min(len(marked) - 2, 30))]
+    names += [marked[i : i + 3] for i in range(len(marked) - 2)]
     known = lexicon.get(word)
     if known is not None:
         names += [f"w{word}", f"l{known}"]
@@ -95,7 +111,7 @@ def fit(docs: DataFrame, text: str = "text", lang: str = "lang", key: str = "doc
     top = known.groupBy("l").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "l").limit(LANGUAGES).select("l")
     chosen = bounded_sample(known.select("k", "l").join(F.broadcast(top), "l"), "l", rows, "lang", "k")
     few = known.join(F.broadcast(chosen.distinct()), ["k", "l"])
-    sample = sorted(((r["l"], words_of(r["t"])) for r in few.select("l", "t").collect()), key=lambda x: (x[0], len(x[1]), x[1][:20]))
+    sample = sorted(((r["l"], tokens_of(r["t"])) for r in few.select("l", "t").collect()), key=lambda x: (x[0], len(x[1]), x[1][:20]))
     return fit_texts([s for s in sample if s[1]])
 
 
@@ -201,7 +217,7 @@ def identify(text: Column, model: Model) -> Column:
         for batch in batches:
             out = []
             for texts in in_slices((t.as_py() or "" for t in batch), SLICE):
-                split = [words_of(t) if labels and any(map(str.isalpha, t)) else [] for t in texts]
+                split = [tokens_of(t) if labels and any(map(str.isalpha, t)) else [] for t in texts]
                 chances, lengths = labeller.chances(split)
                 filled = np.flatnonzero(lengths)
                 rows = [(UNKNOWN, 0.0, [])] * len(texts)
@@ -224,7 +240,7 @@ _IDENTIFIED = pa.struct([("lang", pa.string()), ("score", pa.float64()), ("mix",
 
 
 def label_words(text: Column, model: Model) -> Column:
-    """The likeliest language of each word, in order: the spans of code-switched text. Null and empty texts have none."""
+    """The likeliest language of each token (``tokens_of``), in order: the spans of code-switched text. Null and empty texts have none."""
 
     @F.arrow_udf("array<string>")
     def labelled(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
@@ -232,7 +248,7 @@ def label_words(text: Column, model: Model) -> Column:
         for batch in batches:
             out = []
             for texts in in_slices((t.as_py() or "" for t in batch), SLICE):
-                chances, lengths = labeller.chances([words_of(t) if model.labels else [] for t in texts])
+                chances, lengths = labeller.chances([tokens_of(t) if model.labels else [] for t in texts])
                 best = iter(np.argmax(chances, 1).tolist() if len(chances) else ())
                 out += [[model.labels[next(best)] for _ in range(n)] for n in lengths.tolist()]
             yield pa.array(out, pa.list_(pa.string()))

@@ -151,3 +151,21 @@ def test_model_features_are_those_of_training():
     assert {"2^alph", "1^alpi", "2^alphabe", "be", "1^be"} <= every and "3^alph" not in every and "3^alp" not in every
     heads = {n: {"alph"} if n == 4 else set() for n in toxicity.HEADS}
     assert toxicity.features_of(words, heads) == words | {"1^alph", "2^alph"}
+
+
+def test_language_of_texts_without_blanks(spark):
+    rnd = np.random.default_rng(6)
+    alphabets = {"ja": [chr(c) for c in range(0x3042, 0x3072)], "zh": [chr(c) for c in range(0x4E00, 0x4E40)]}
+
+    def run(lang, n):
+        return "".join(rnd.choice(alphabets[lang], n))
+
+    model = lang_id.fit_texts([(k, lang_id.tokens_of(run(k, 200))) for k in alphabets for _ in range(20)], steps=20)
+    text = run("zh", 90) + run("ja", 310)
+    df = spark.createDataFrame([(text,), ("x" * 64 + " " + run("ja", 29),)], "t string")
+    rows = df.select(lang_id.identify(F.col("t"), model).alias("i"), lang_id.label_words(F.col("t"), model).alias("w")).collect()
+    assert rows[0]["i"]["lang"] == "ja" and {m["lang"] for m in rows[0]["i"]["mix"]} == {"ja", "zh"}
+    assert rows[0]["w"][:3] == ["zh"] * 3 and rows[0]["w"][4:] == ["ja"] * 10 and len(rows[1]["w"]) == 4
+    for body in (text, "a b", "y" * 30, "z" * 31):
+        pieces = lang_id.tokens_of(body)
+        assert "".join(pieces) == body.replace(" ", "") and max(map(len, pieces)) <= lang_id.LONGEST
