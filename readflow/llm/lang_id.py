@@ -16,7 +16,8 @@ from readflow.llm.texts import bounded_sample, in_slices, words_of
 
 LONGEST = 30  # characters of a word that is labelled whole; longer runs are cut
 SAMPLE = 300  # labelled texts of each language that are fitted on, at most
-LANGUAGES = 64  # languages with the most texts that are learned, at most
+TEXTS = 64 * 64 * SAMPLE  # bound of texts times languages that are fitted on: with many languages each gets fewer texts, but one at least
+CELLS = 4_000_000  # chances (words times languages) that are held at once in fitting
 BUCKETS = 1 << 15  # hashed features
 LEXICON = 400  # most frequent words of a language that make its lexicon
 SEGMENT = 32  # words of a training sequence
@@ -100,7 +101,10 @@ def forward_backward(scores: np.ndarray, lengths: np.ndarray, moves: np.ndarray,
 
 
 def fit(docs: DataFrame, text: str = "text", lang: str = "lang", key: str = "doc_id", rows: int = SAMPLE) -> Model:
-    """Fit on at most ``rows`` keys of each of the ``LANGUAGES`` most frequent languages; null languages, texts and keys are left out.
+    """Fit on at most ``rows`` keys of every language; null languages, texts and keys are left out.
+
+    The cost of fitting grows with texts times languages. That product is bounded by ``TEXTS``, shared
+    evenly: 300 texts each up to 64 languages, 39 at 176, one at least. No language is left out.
 
     The keys are chosen first, so that no text is moved before it is known to be in the sample.
 
@@ -108,47 +112,63 @@ def fit(docs: DataFrame, text: str = "text", lang: str = "lang", key: str = "doc
     transitions allow for code switching. Without labelled texts the model knows no label.
     """
     known = docs.select(F.col(key).alias("k"), F.col(text).alias("t"), F.col(lang).alias("l")).filter("t is not null and l is not null and k is not null")
-    top = known.groupBy("l").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "l").limit(LANGUAGES).select("l")
-    chosen = bounded_sample(known.select("k", "l").join(F.broadcast(top), "l"), "l", rows, "lang", "k")
+    languages = known.select("l").distinct().count()
+    chosen = bounded_sample(known.select("k", "l"), "l", texts_each(languages, rows), "lang", "k")
     few = known.join(F.broadcast(chosen.distinct()), ["k", "l"])
     sample = sorted(((r["l"], tokens_of(r["t"])) for r in few.select("l", "t").collect()), key=lambda x: (x[0], len(x[1]), x[1][:20]))
     return fit_texts([s for s in sample if s[1]])
 
 
+def texts_each(languages: int, rows: int = SAMPLE) -> int:
+    """Texts of each language that are fitted on, at most."""
+    return min(rows, max(1, TEXTS // max(1, languages) ** 2))
+
+
 def fit_texts(sample: list[tuple[str, list[str]]], steps: int = STEPS) -> Model:
     labels = tuple(sorted({label for label, _ in sample}))
     n = len(labels)
     if not n:
         return Model((), np.zeros((BUCKETS, 0)), np.zeros((0, 0)), np.zeros(0), {})
     lexicon: dict[str, int] = {}
-    for k, label in enumerate(labels):
-        counts = Counter(w for own, words in sample if own == label for w in words)
-        for w, _ in sorted(counts.items(), key=lambda x: (-x[1], x[0]))[:LEXICON]:
+    place = {label: k for k, label in enumerate(labels)}
+    counts = [Counter() for _ in labels]
+    for label, words in sample:
+        counts[place[label]].update(words)
+    for k, own in enumerate(counts):
+        for w, _ in sorted(own.items(), key=lambda x: (-x[1], x[0]))[:LEXICON]:
             lexicon[w] = lexicon.get(w, 0) | 1 << k
     index: dict[str, int] = {}
-    coded = [(labels.index(label), np.array([index.setdefault(w, len(index)) for w in words])) for label, words in sample]
+    coded = [(place[label], np.array([index.setdefault(w, len(index)) for w in words])) for label, words in sample]
     sequences = _switching(coded, np.random.default_rng(SEED))
-    words, truth = (np.concatenate([s[i] for s in sequences]) for i in (0, 1))
-    lengths = np.array([len(s[0]) for s in sequences])
-    features = [word_features(w, lexicon) for w in index]
-    owner = np.repeat(np.arange(len(features)), [len(f) for f in features])
-    feature = np.concatenate([np.array(f) for f in features])
-    inner = np.ones(len(words), bool)
-    inner[np.cumsum(lengths) - lengths] = False
-    seen = {
-        "w": np.stack([np.bincount(feature, np.bincount(words, truth == k, len(index))[owner], BUCKETS) for k in range(n)], 1),
-        "m": np.bincount(truth[:-1][inner[1:]] * n + truth[1:][inner[1:]], minlength=n * n).reshape(n, n).astype(float),
-        "s": np.bincount(truth[~inner], minlength=n).astype(float),
-    }
+    features = [np.array(word_features(w, lexicon)) for w in index]
+    seen = {"w": np.zeros((BUCKETS, n)), "m": np.zeros((n, n)), "s": np.zeros(n)}
+    parts, step = [], max(1, CELLS // (n * SEGMENT))
+    for first in range(0, len(sequences), step):
+        some = sequences[first : first + step]
+        words, truth = (np.concatenate([s[i] for s in some]) for i in (0, 1))
+        lengths = np.array([len(s[0]) for s in some])
+        used, words = np.unique(words, return_inverse=True)
+        owner = np.repeat(np.arange(len(used)), [len(features[i]) for i in used])
+        feature = np.concatenate([features[i] for i in used])
+        inner = np.ones(len(words), bool)
+        inner[np.cumsum(lengths) - lengths] = False
+        for k in range(n):
+            seen["w"][:, k] += np.bincount(feature, np.bincount(words, truth == k, len(used))[owner], BUCKETS)
+        seen["m"] += np.bincount(truth[:-1][inner[1:]] * n + truth[1:][inner[1:]], minlength=n * n).reshape(n, n)
+        seen["s"] += np.bincount(truth[~inner], minlength=n)
+        parts.append((words, lengths, len(used), owner, feature, inner))
     held = {"w": np.zeros((BUCKETS, n)), "m": np.zeros((n, n)), "s": np.zeros(n)}
     mean, square = ({k: np.zeros_like(v) for k, v in held.items()} for _ in range(2))
     for step in range(1, steps + 1):
-        by_word = np.stack([np.bincount(owner, held["w"][feature, k], len(index)) for k in range(n)], 1)
-        chances, pairs, _ = forward_backward(by_word[words], lengths, held["m"], held["s"])
-        told = np.stack([np.bincount(words, chances[:, k], len(index)) for k in range(n)], 1)
-        expected = {
-            "w": np.stack([np.bincount(feature, told[owner, k], BUCKETS) for k in range(n)], 1),
-            "m": pairs, "s": chances[~inner].sum(0)}
+        expected = {k: np.zeros_like(v) for k, v in held.items()}
+        for words, lengths, used, owner, feature, inner in parts:
+            by_word = np.stack([np.bincount(owner, held["w"][feature, k], used) for k in range(n)], 1)
+            chances, pairs, _ = forward_backward(by_word[words], lengths, held["m"], held["s"])
+            for k in range(n):
+                told = np.bincount(words, chances[:, k], used)
+                expected["w"][:, k] += np.bincount(feature, told[owner], BUCKETS)
+            expected["m"] += pairs
+            expected["s"] += chances[~inner].sum(0)
         for k, x in held.items():
             slope = (seen[k] - expected[k]) / len(sequences) - RIDGE * x
             mean[k] = 0.9 * mean[k] + 0.1 * slope
@@ -182,7 +202,7 @@ class Labeller:
 
     def chances(self, texts: list[list[str]]) -> tuple[np.ndarray, np.ndarray]:
         """(chances of all words one after the other, words per text)."""
-        if len(self.places) > MEMORY:
+        if len(self.places) > _share(MEMORY, self.model):
             self.places, self.scores = {}, self.scores[:0]
         places = self.places
         new = []
@@ -203,6 +223,11 @@ class Labeller:
         return forward_backward(self.scores[ids], lengths[filled], self.model.moves, self.model.start)[0], lengths
 
 
+def _share(bound: int, model: Model) -> int:
+    """A bound meant for up to eight languages, less for models with more: what is held grows with both."""
+    return bound * 8 // max(8, len(model.labels))
+
+
 def identify(text: Column, model: Model) -> Column:
     """Struct (lang, score, mix) per text.
 
@@ -216,7 +241,7 @@ def identify(text: Column, model: Model) -> Column:
         labeller, labels = Labeller(model), model.labels
         for batch in batches:
             out = []
-            for texts in in_slices((t.as_py() or "" for t in batch), SLICE):
+            for texts in in_slices((t.as_py() or "" for t in batch), _share(SLICE, model)):
                 split = [tokens_of(t) if labels and any(map(str.isalpha, t)) else [] for t in texts]
                 chances, lengths = labeller.chances(split)
                 filled = np.flatnonzero(lengths)
@@ -225,7 +250,7 @@ def identify(text: Column, model: Model) -> Column:
                     starts = (np.cumsum(lengths) - lengths)[filled]
                     means = np.add.reduceat(chances.astype(np.float64), starts, axis=0) / lengths[filled, None]
                     best = np.argmax(chances, 1)
-                    shares = np.add.reduceat(np.eye(len(labels))[best], starts, axis=0) / lengths[filled, None]
+                    shares = np.add.reduceat(np.eye(len(labels), dtype=np.float32)[best], starts, axis=0, dtype=np.float64) / lengths[filled, None]
                     for i, mean, share in zip(filled.tolist(), means, shares):
                         k = int(mean.argmax())
                         mix = [{"lang": labels[j], "share": float(share[j])} for j in np.argsort(-share, kind="stable") if share[j]]
@@ -247,7 +272,7 @@ def label_words(text: Column, model: Model) -> Column:
         labeller = Labeller(model)
         for batch in batches:
             out = []
-            for texts in in_slices((t.as_py() or "" for t in batch), SLICE):
+            for texts in in_slices((t.as_py() or "" for t in batch), _share(SLICE, model)):
                 chances, lengths = labeller.chances([tokens_of(t) if model.labels else [] for t in texts])
                 best = iter(np.argmax(chances, 1).tolist() if len(chances) else ())
                 out += [[model.labels[next(best)] for _ in range(n)] for n in lengths.tolist()]

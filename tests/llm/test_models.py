@@ -169,3 +169,24 @@ def test_language_of_texts_without_blanks(spark):
     for body in (text, "a b", "y" * 30, "z" * 31):
         pieces = lang_id.tokens_of(body)
         assert "".join(pieces) == body.replace(" ", "") and max(map(len, pieces)) <= lang_id.LONGEST
+
+
+def test_every_language_is_learned(spark):
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    words = {f"l{i:02d}": [a + b + c for a in letters[i % 26] for b in letters[i // 26 * 8 : i // 26 * 8 + 8] for c in letters[:6]] for i in range(70)}
+    rows = [(100 * i + j, " ".join(own[j::3]), k) for i, (k, own) in enumerate(words.items()) for j in range(4 if i < 64 else 3)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    model = lang_id.fit(docs)
+    assert model.labels == tuple(words)
+    found = docs.select("lang", lang_id.identify(F.col("text"), model)["lang"].alias("l")).filter("lang >= 'l64'").collect()
+    assert len(found) == 18 and all(r["l"] == r["lang"] for r in found)
+    assert lang_id.texts_each(64) == lang_id.SAMPLE and lang_id.texts_each(176) == 39 and lang_id.texts_each(10**6) == 1
+
+
+def test_fit_in_parts(monkeypatch):
+    rnd = np.random.default_rng(9)
+    sample = [(k, ["".join(rnd.choice(list(a), 4)) for _ in range(60)]) for k, a in (("x", "abcde"), ("y", "cdefg")) for _ in range(8)]
+    whole = lang_id.fit_texts(sample, steps=10)
+    monkeypatch.setattr(lang_id, "CELLS", 300)
+    parts = lang_id.fit_texts(sample, steps=10)
+    assert np.allclose(whole.weights, parts.weights, atol=1e-4) and np.allclose(whole.moves, parts.moves, atol=1e-4) and whole.lexicon == parts.lexicon
