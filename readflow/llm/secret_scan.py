@@ -19,9 +19,12 @@ ASSIGN_CHARS, ACCESS_CHARS = 6, 20
 
 #: Kind of the spans that the guess-cost method adds: values in credential context that are hard to guess.
 GUESS = "guess"
+#: ``key`` ends any name (SECRET_KEY, api key). After : or = the scheme of an authorization header is not the value.
+#: Behind blanks alone the value is only looked at, so that what follows is searched as well.
 CONTEXT = re.compile(
-    r"""(?:pass(?:word|wd|phrase|code)?|pwd|secret|token|api[_-]?key|access[_-]?key|private[_-]?key|client[_-]?id|credentials?|auth|bearer)["']?\s*(?:=>|[:=])\s*(?:"([^"\n]+)"|'([^'\n]+)'|([^\s"',;]+))""",
+    r"""(?:pass(?:word|wd|phrase|code)?|pwd|secret|token|key|client[_-]?id|credentials?|auth(?:orization)?|bearer)["']?\s*(?:=>|[:=])\s*(?:(?:bearer|basic|digest|token)[ \t]+)?(?:"([^"\n]+)"|'([^'\n]+)'|([^\s"',;]+))|(?:authorization|bearer)[ \t]+(?=([^\s"',;]+))""",
     re.A | re.I)
+_WORDS = re.compile(r"(?:[A-Z]?[a-z]+|[A-Z]+)(?:[-./:!?)\]]+(?:[A-Z]?[a-z]+|[A-Z]+))*[-./:!?)\]]*")
 CONTEXT_KEYS = (b"pass", b"pwd", b"secret", b"token", b"api", b"key", b"client", b"credential", b"auth", b"bearer")
 MIN_BITS = 40.0
 MIN_CHARS = 8
@@ -107,7 +110,8 @@ def find_spans(text: str) -> list[tuple[int, int, str, float]]:
 
     The base kinds take their whole matches, leftmost and without overlap per kind, and carry the
     guess cost of the value (group 2 of ``assign``). ``guess`` takes the values in credential context
-    of at least ``MIN_CHARS`` characters that cost ``MIN_BITS`` or more. A text without any of the
+    of at least ``MIN_CHARS`` characters that cost ``MIN_BITS`` or more; behind a blank alone (``bearer
+    certificates``) plain words are not values. A text without any of the
     cheap signs (key words, AKIA, a run of 24 hex digits) is not searched further.
     """
     raw = text.encode("utf-8", "surrogatepass")
@@ -119,6 +123,8 @@ def find_spans(text: str) -> list[tuple[int, int, str, float]]:
                 spans.append((m.start(), m.end(), 0, guess_bits(m[2])))
         for m in CONTEXT.finditer(text):
             value = m[m.lastindex]
+            if m.lastindex == 4 and _WORDS.fullmatch(value):
+                continue
             if len(value) >= MIN_CHARS and (bits := guess_bits(value)) >= MIN_BITS:
                 spans.append((m.start(m.lastindex), m.end(m.lastindex), 3, bits))
     if b"AKIA" in raw:

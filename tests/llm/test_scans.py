@@ -149,3 +149,19 @@ def test_redaction():
     text = 'see token = "f3ef4d6b2755a36d7d9c25bd72c4d5f67e061fda" there'
     assert secret_scan.redact(text) == 'see <assign>" there'
     assert secret_scan.redact("nothing here") == "nothing here"
+
+
+@pytest.mark.parametrize("context", [
+    "SECRET_KEY = '%s'", "Authorization: Bearer %s", "authorization: basic %s", '-H "Authorization: Bearer %s"', "Authorization Bearer %s", "sent bearer %s to it",
+    "api key: %s", "signing-key=%s", "bearer token: %s", "access key = %s", "API_KEY=%s"])
+def test_forms_of_context(context):
+    value = "qX7fT2mL9zKd4Wv8"
+    text = "see " + context % value + " end"
+    assert text.index(value) in {s for s, e, k, _ in secret_scan.find_spans(text) if k == secret_scan.GUESS and text[s:e] == value}
+    assert value not in secret_scan.redact(text)
+
+
+def test_words_behind_a_blank_are_no_values():
+    for text in ("the bearer certificates, of authorization requirements.", "Authorization Bearer tokens", "bearer securities/instruments!"):
+        assert secret_scan.redact(text) == text
+    assert not secret_scan.find_spans("key " * 50_000)
