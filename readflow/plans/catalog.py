@@ -9,9 +9,9 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from readflow.functions import scoring
 from readflow.functions.columns import round_doubles, with_row
-from readflow.operators import analytics, distributions, evaluate, gold, history, items as articles, monitor, recommend, scaling, skew, tfidf
+from readflow.operators import analytics, distributions, evaluate, fold_in, gold, history, items as articles, monitor, recommend, scaling, skew, tfidf
 from readflow.plans import training
-from readflow.plans.sql import CTES, histogram_sql, quantile_bins_sql, share, sql
+from readflow.plans.sql import CTES, histogram_sql, md5_number as md5_sql, quantile_bins_sql, share, sql
 from readflow.session import configure, materialize, scratch_path
 from readflow.sources import files, models, tables
 from readflow.sources.tables import AS_OF
@@ -587,6 +587,69 @@ def als_recommend_shape(spark, d):
     return per_user.select("user_id", "n", (F.col("l.rank") == F.sequence(F.lit(1), F.col("n").cast("int"))).alias("ranks"), falling.alias("scores"), "known")
 
 
+# --- what a model has not seen ------------------------------------------------------------------
+
+def hashed_pairs(spark, d):
+    """Two features per page, so that the equations of the feature map can be solved by hand."""
+    return tfidf.item_features(tfidf.hashed_tfidf(cleaned(spark, d), hashing="md5", n_features=2, keep=["page"]))
+
+
+_TWO_FEATURES = f"""with two as (select page, {md5_sql("term")} % 2 b, count(*) tf from kept_terms group by 1, 2),
+idfs as (select b, ln(((select count(*) from catalogue) + 1.0) / (count(*) + 1.0)) w from two group by b),
+x as (select page, coalesce(sum(tf * w) filter (b = 0), 0) x0, coalesce(sum(tf * w) filter (b = 1), 0) x1 from catalogue left join two using (page) left join idfs using (b) group by page),
+taught as (select page, x0, x1, list_append(i, b) y from x join item_factors using (page)),
+sums as (select sum(x0 * x0) + 1.0 a, sum(x0 * x1) b, sum(x1 * x1) + 1.0 c from taught),
+sides as (select j, sum(x0 * y[j]) p, sum(x1 * y[j]) q from taught, unnest(range(1, len(y) + 1)) t(j) group by j),
+solution as (select j, (c * p - b * q) / (a * c - b * b) m0, (a * q - b * p) / (a * c - b * b) m1 from sides, sums)"""
+
+
+@query("select * from (" + _TWO_FEATURES + """
+select page, page not in (select page from item_factors) cold, round(sum(case when j <= n then z end), 5) total, round(max(case when j > n then z end), 5) bias
+from (select page, j, x0 * m0 + x1 * m1 z, (select max(len(i)) from item_factors) n from x, solution where page not in (select page from item_factors)
+  union all select page, unnest(range(1, len(i) + 2)), unnest(list_append(i, b)), len(i) from item_factors) group by page)""", digits=5)
+def cold_item_factors(spark, d):
+    """Factors of pages the model has no vector for, by a map learned from two features of those it has."""
+    features, (_, factors) = materialize(hashed_pairs(spark, d), "features"), tables.factor_model(spark, d)
+    rows = fold_in.with_cold_items(factors, features, fold_in.feature_map(features, factors))
+    return rows.select("page", "cold", F.aggregate("factors", F.lit(0.0), lambda a, x: a + x).alias("total"), "bias")
+
+
+@query(f"select cast(i as int) feature_idx, cast(0 as double) residual, true solved from range({tfidf.N_FEATURES}) r(i)")
+def feature_map_residuals(spark, d):
+    """The map of all features satisfies its normal equations, feature by feature, and gives cold pages factors."""
+    features, (_, factors) = materialize(vectors(spark, d), "features"), tables.factor_model(spark, d)
+    weights = fold_in.feature_map(features, factors)
+    cold = fold_in.with_cold_items(factors, features, weights).filter("cold").join(tfidf.features_long(features, "page").select("page").distinct(), "page")
+    solved = cold.agg(F.coalesce(F.every(fold_in.KNOWN), F.lit(True))).scalar()
+    return fold_in.map_residuals(features, factors, weights).withColumn("solved", solved)
+
+
+def two_factors(spark, d):
+    """The first two factors of every vector, so that a reader's equations can be solved by hand."""
+    return tables.factor_model(spark, d)[1].withColumn("factors", F.slice("factors", 1, 2))
+
+
+def clicks_per_page(spark, d):
+    return tables.interactions(spark, d).select("user_id", "page", (1 + F.col("clicks")).alias("score"))
+
+
+@query(f"""select user_id, n, round((a22 * b1 - a12 * b2) / (a11 * a22 - a12 * a12), 5) first, round((a11 * b2 - a12 * b1) / (a11 * a22 - a12 * a12), 5) as second
+from (select user_id, count(*) n, s11 + sum(c * y1 * y1) + count(*) * {recommend.REGULARISATION} a11, s12 + sum(c * y1 * y2) a12,
+  s22 + sum(c * y2 * y2) + count(*) * {recommend.REGULARISATION} a22, sum((1 + c) * y1) b1, sum((1 + c) * y2) b2
+  from (select user_id, page, sum(1 + clicks) c from inter group by all) join (select page, i[1] y1, i[2] y2 from item_factors) using (page),
+  (select sum(i[1] * i[1]) s11, sum(i[1] * i[2]) s12, sum(i[2] * i[2]) s22 from item_factors) group by user_id, s11, s12, s22)""", digits=5)
+def fold_in_readers(spark, d):
+    """Factors of readers who came after training, two per reader."""
+    rows = fold_in.fold_in_readers(clicks_per_page(spark, d), two_factors(spark, d))
+    return rows.select("user_id", "n", F.col("factors")[0].alias("first"), F.col("factors")[1].alias("second"))
+
+
+@query("select user_id, count(distinct page) n, cast(0 as double) residual from inter join item_factors using (page) group by user_id")
+def fold_in_residuals(spark, d):
+    """Readers' factors of full width satisfy their equations; readers of unknown pages only have none."""
+    return fold_in.fold_in_readers(clicks_per_page(spark, d), tables.factor_model(spark, d)[1]).select("user_id", "n", "residual")
+
+
 # --- evaluation -------------------------------------------------------------------------------
 
 def held_out(spark, d):
