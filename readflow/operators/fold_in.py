@@ -16,7 +16,8 @@ from readflow.operators.recommend import ALPHA, REGULARISATION
 from readflow.session import materialize
 
 RIDGE = 1.0
-KNOWN = F.exists("factors", lambda x: x != 0)
+#: True for articles of which a model knows something.
+KNOWN = "exists(factors, x -> x <> 0)"
 
 
 def gramian(rows: DataFrame, vector: str, width: int) -> np.ndarray:

@@ -8,9 +8,9 @@ from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from readflow.functions import scoring
-from readflow.functions.columns import round_doubles, with_row
-from readflow.operators import analytics, distributions, evaluate, fold_in, gold, history, items as articles, monitor, recommend, scaling, skew, tfidf
-from readflow.plans import training
+from readflow.functions.columns import md5_number, round_doubles, with_row
+from readflow.operators import analytics, distributions, evaluate, fold_in, gold, history, items as articles, monitor, readers, recommend, scaling, skew, tfidf
+from readflow.plans import incremental, training
 from readflow.plans.sql import CTES, histogram_sql, md5_number as md5_sql, quantile_bins_sql, share, sql
 from readflow.session import configure, materialize, scratch_path
 from readflow.sources import files, models, tables
@@ -184,6 +184,72 @@ def sql_views(spark, d):
         where i.year = 2024 and i.month = 1 group by hour""")
 
 
+# --- layers that grow -------------------------------------------------------------------------
+
+def in_two_batches(spark, d):
+    """Readings of the first half of the month but for some that come late, then the rest; the second batch is loaded twice."""
+    layer, state = scratch_path(spark, "silver"), scratch_path(spark, "reader-times")
+    rows = materialize(tables.interactions(spark, d), "readings")
+    first = (F.col("ts") < MID_RUN) & (md5_number(F.col("page")) % 10 != 0)
+    for batch, part in (("first", rows.filter(first)), ("second", rows.filter(~first)), ("second", rows.filter(~first))):
+        incremental.load_readings(part, layer, state, batch)
+    return incremental.read_readings(spark, layer, state, AS_OF)
+
+
+@query("select user_id, page, ts, year, month, day, round(time_since_last, 6) time_since_last, round(time_since_first, 3) time_since_first from user_times")
+def incremental_user_times(spark, d):
+    rows = in_two_batches(spark, d).select("user_id", "page", "ts", "year", "month", "day", "time_since_last", "time_since_first")
+    return rows.withColumn("time_since_first", F.round("time_since_first", 3))
+
+
+@query("select page, feature_idx, round(w, 6) as value from vectors")
+def incremental_features(spark, d):
+    """Document frequencies counted in two batches, stored, and added up for the weights of all articles."""
+    path = scratch_path(spark, "document-counts")
+    frequencies = materialize(tfidf.hashed_frequencies(cleaned(spark, d), hashing="md5").select("page", "raw_features"), "frequencies")
+    odd = md5_number(F.col("page")) % 2 == 1
+    for batch, part in (("even", ~odd), ("odd", odd), ("odd", odd)):
+        incremental.save_part(incremental.document_counts(frequencies.filter(part)), path, batch)
+    counts = incremental.load_parts(spark, path, incremental.total_counts)
+    return tfidf.features_long(incremental.weigh(frequencies, counts, tfidf.N_FEATURES), "page")
+
+
+@query("""select user_id, page, ts, year, month, day from temporal
+    where ts >= epoch(timestamp '2024-01-09 06:30:00') and ts < epoch(timestamp '2024-01-20 18:00:00')""")
+def date_range(spark, d):
+    path = scratch_path(spark, "interactions")
+    files.write_partitioned(temporal(spark, d), path)
+    rows = files.read_table(spark, path).filter(files.date_range("2024-01-09T06:30:00", "2024-01-20T18:00:00"))
+    return rows.select("user_id", "page", "ts", "year", "month", "day")
+
+
+def stored_daily_readers(spark, d, keys):
+    rows = temporal(spark, d)
+    return materialize(readers.daily_readers(rows, skew.dense_index(rows, "user_id", "user_idx"), keys), "daily-readers")
+
+
+@query("""select page, cast(date_trunc('week', t) as date)::varchar start, count(distinct user_id) unique_users from temporal group by 1, 2""")
+def weekly_readers_per_page(spark, d):
+    rows = readers.readers_per_window(stored_daily_readers(spark, d, ["page"]), ["page"], "week")
+    return rows.withColumn("start", F.col("start").cast("string"))
+
+
+@query("""select user_type, cast(date_trunc('month', t) as date)::varchar start, count(distinct user_id) unique_users from temporal group by 1, 2""")
+def monthly_readers_by_type(spark, d):
+    rows = readers.readers_per_window(stored_daily_readers(spark, d, ["user_type"]), ["user_type"], "month")
+    return rows.withColumn("start", F.col("start").cast("string"))
+
+
+@query("select cast(date_trunc('week', t) as date)::varchar start, true close from temporal group by 1")
+def weekly_readers_estimated(spark, d):
+    """Sketches of days, merged to weeks, lie within 5 % of the true count."""
+    rows = temporal(spark, d)
+    sketches = materialize(readers.daily_sketches(rows, []), "sketches")
+    true = rows.groupBy(F.trunc(F.make_date("year", "month", "day"), "week").alias("start")).agg(F.count_distinct("user_id").alias("n"))
+    joined = readers.estimated_readers(sketches, [], "week").join(true, "start")
+    return joined.select(F.col("start").cast("string").alias("start"), (F.abs(F.col("unique_users") - F.col("n")) <= 1 + 0.05 * F.col("n")).alias("close"))
+
+
 # --- analyses ---------------------------------------------------------------------------------
 
 @query("select * from reads")
@@ -620,7 +686,7 @@ def feature_map_residuals(spark, d):
     features, (_, factors) = materialize(vectors(spark, d), "features"), tables.factor_model(spark, d)
     weights = fold_in.feature_map(features, factors)
     cold = fold_in.with_cold_items(factors, features, weights).filter("cold").join(tfidf.features_long(features, "page").select("page").distinct(), "page")
-    solved = cold.agg(F.coalesce(F.every(fold_in.KNOWN), F.lit(True))).scalar()
+    solved = cold.agg(F.coalesce(F.every(F.expr(fold_in.KNOWN)), F.lit(True))).scalar()
     return fold_in.map_residuals(features, factors, weights).withColumn("solved", solved)
 
 

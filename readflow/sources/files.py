@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from collections.abc import Iterable
+from datetime import datetime, timezone
 
-from pyspark.sql import DataFrame, SparkSession, types as T
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from readflow.sources import schemas
 
@@ -46,6 +47,26 @@ def read_table(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.option("mergeSchema", False).parquet(path)
 
 
+def date_range(start: str | None = None, end: str | None = None, seconds: str = "ts") -> Column:
+    """True for rows from ``start`` up to but not including ``end`` (UTC, ISO format), of a layer partitioned by date.
+
+    The bounds are said of year, month and day as well, so that Spark reads the folders in between only.
+    """
+    def day(text: str) -> tuple[datetime, list[Column]]:
+        t = datetime.fromisoformat(text)
+        t = t.replace(tzinfo=timezone.utc) if t.tzinfo is None else t.astimezone(timezone.utc)
+        return t, [F.lit(v) for v in (t.year, t.month, t.day)]
+
+    parts, out = [F.col(c) for c in DATE_PARTITIONS], F.lit(True)
+    if start is not None:
+        at, (y, m, d) = day(start)
+        out = out & ((parts[0] > y) | ((parts[0] == y) & ((parts[1] > m) | ((parts[1] == m) & (parts[2] >= d))))) & (F.col(seconds) >= at.timestamp())
+    if end is not None:
+        at, (y, m, d) = day(end)
+        out = out & ((parts[0] < y) | ((parts[0] == y) & ((parts[1] < m) | ((parts[1] == m) & (parts[2] <= d))))) & (F.col(seconds) < at.timestamp())
+    return out
+
+
 def write_table(df: DataFrame, path: str, records_per_file: int = 0) -> None:
     """Unpartitioned Parquet, replacing what was there."""
     df.write.mode("overwrite").option("compression", "snappy").option("maxRecordsPerFile", records_per_file).parquet(path)

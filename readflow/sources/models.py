@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import hashlib
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from readflow.sources import schemas
@@ -18,10 +21,30 @@ def load_factors(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
     return users, items
 
 
-def append_run(run: DataFrame, path: str) -> None:
-    """Add one run document (JSON lines); files appear only when complete, so no backup copy is needed."""
-    run.select([
-        (F.col(f.name) if f.name in run.columns else F.lit(None)).cast(f.dataType).alias(f.name) for f in schemas.RUNS]).write.mode("append").json(path)
+def append_run(run: DataFrame, path: str) -> bool:
+    """Add one run document (a JSON line) under its ``run_id``; False if that run was there already.
+
+    The document is written aside and read back, then moved to a name that follows from the run's id:
+    readers see it whole or not at all, and a retry adds no second copy.
+    """
+    spark = run.sparkSession
+    named = run.select([(F.col(f.name) if f.name in run.columns else F.lit(None)).cast(f.dataType).alias(f.name) for f in schemas.RUNS])
+    aside = f"{path}/_aside/{uuid.uuid4().hex}"
+    named.coalesce(1).write.json(aside)
+    try:
+        written = read_runs(spark, aside).select("run_id").take(2)
+        if len(written) != 1 or written[0]["run_id"] is None:
+            raise ValueError("a run is one document with a run_id")
+        hadoop = spark._jvm.org.apache.hadoop.fs
+        place = hadoop.Path(f"{path}/run-{hashlib.sha256(written[0]['run_id'].encode()).hexdigest()[:32]}.json")
+        system = place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+        if system.exists(place):
+            return False
+        document = next(s.getPath() for s in system.listStatus(hadoop.Path(aside)) if s.getPath().getName().startswith("part-") and s.getLen())
+        return system.rename(document, place)
+    finally:
+        where = spark._jvm.org.apache.hadoop.fs.Path(aside)
+        where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
 
 
 def read_runs(spark: SparkSession, path: str) -> DataFrame:
