@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import os
+import re
 import zlib
+from array import array
 from bisect import bisect_left
 from collections.abc import Iterator
 
@@ -13,23 +15,46 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, functions as F
 
 from readflow.llm.ranks import with_rank
-from readflow.llm.texts import in_slices
+from readflow.llm.texts import in_slices, release_memory
 from readflow.session import materialize
 
 CAPACITY = 2048
 TOKENIZER = "word_bpe_49k.json"
 END_ID = 0
-WORD_END, SIGNS = "</w>", frozenset(".,;:!?")
-#: Distinct blank-free strings whose ids a task remembers; when full it starts anew.
+#: Lower-case letters of ASCII and Latin-1, which no normaliser composes, and signs of ASCII behind them.
+WORD_AND_SIGNS = re.compile(r"^([a-zªµºß-öø-ÿ]+)([!-/:-@\[-`{-~]*)$", re.M)
+#: Characters whose lower case or composition may depend on others.
+BEYOND = re.compile(r"[^\x00-\xff]")
+#: Distinct blank-free strings whose ids a generation of the memory holds.
 MEMORY = 300_000
+#: Characters of text that are tokenised at once.
+SLICE = 4_000_000
+
+
+class Generations(dict):
+    """A bounded memory: when full, what was used since the last time stays for one more generation."""
+
+    def __init__(self, size: int):
+        self.size, self.old = size, {}
+
+    def missing(self, keys: set[str]) -> set[str]:
+        """Those of ``keys`` that are not known; the others are at hand until the next call."""
+        if len(self) > self.size:
+            self.old = dict(self)
+            self.clear()
+        unknown = keys.difference(self)
+        again = self.old.keys() & unknown
+        self.update(zip(again, map(self.old.__getitem__, again)))
+        return unknown - again if again else unknown
 
 
 class TextIds:
     """Token ids of texts as little-endian unsigned 32-bit bytes.
 
     The tokenizer drops white space and never looks across it, so a text's ids are those of its parts
-    between blanks and line ends, one after the other; the ids of a part are remembered. A letter and
-    a sign after it never share a token either, so one sign at the end of a word is looked up apart.
+    between blanks and line ends, one after the other; the ids of a part are remembered. It lower-cases,
+    which for texts of ASCII and Latin-1 may be done at once. Letters and the signs behind them never
+    share a token, so both are looked up apart, and a word of letters goes to the vocabulary's merges.
     """
 
     def __init__(self, path: str, memory: int = MEMORY):
@@ -37,67 +62,42 @@ class TextIds:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        vocabulary = self.tokenizer.get_vocab()
-        self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
-        self.ends[[i for token, i in vocabulary.items() if token.endswith(WORD_END)]] = True
-        self.memory = memory
-        self.known: dict[str, bytes] = {}
-        self.words: dict[str, bytes] = {}
+        split = self.tokenizer.pre_tokenizer.pre_tokenize_str
+        self.written = str.maketrans({c: split(c)[0][0] for c in map(chr, range(256)) if WORD_AND_SIGNS.match(c)})
+        self.known = Generations(memory)
 
     def of(self, texts: list[str]) -> list[bytes]:
-        parts = [t.replace("\n", " ").split(" ") for t in texts]
-        if len(self.known) > self.memory:
-            self.known = {}
-        known = self.known
-        missing = set()
+        parts = [(t if BEYOND.search(t) else t.lower()).replace("\n", " ").split(" ") for t in texts]
+        distinct = set()
         for own in parts:
-            missing.update(own)
-        missing.difference_update(known)
-        self._learn(missing)
-        return [b"".join(map(known.__getitem__, own)) for own in parts]
+            distinct.update(own)
+        self._learn(self.known.missing(distinct))
+        known = self.known.__getitem__
+        return [b"".join(map(known, own)) for own in parts]
 
     def _learn(self, parts: set[str]) -> None:
-        words, signed, others = {}, {}, set()
-        for p in parts:
-            stem = p[:-1] if p[-1:] in SIGNS and p[-2:-1].isalpha() else p
-            if stem.isalpha() and _latin(stem):
-                words[p] = stem.lower()
-            else:
-                others.add(p)
-            if stem is not p and p in words:
-                signed[p] = p[-1]
-        if len(self.words) > self.memory:
-            self.words = {}
-        self._learn_words([w for w in set(words.values()) if w not in self.words])
-        others.update(s for s in set(signed.values()) if s not in self.known)
-        for part, code in zip(others, self._codes(list(others))):
-            self.known[part] = code
-        for p, word in words.items():
-            self.known[p] = self.words[word] + self.known[signed[p]] if p in signed else self.words[word]
-
-    def _learn_words(self, words: list[str]) -> None:
-        """Lower-case words of letters: each is one unit to the tokenizer, so many go in one text and are told apart by word ends."""
-        for first in range(0, len(words), 500):
-            some = words[first : first + 500]
-            ids = np.array(self.tokenizer.encode(" ".join(some), add_special_tokens=False).ids, "<u4")
-            cuts = np.flatnonzero(self.ends[ids]) + 1
-            if len(cuts) == len(some):
-                raw, ends = ids.tobytes(), (4 * cuts).tolist()
-                self.words.update((w, raw[a:b]) for w, a, b in zip(some, [0, *ends], ends))
-            else:
-                self.words.update(zip(some, self._codes(some)))
+        known, merge, written = self.known, self.tokenizer.model.tokenize, self.written
+        found = WORD_AND_SIGNS.findall("\n".join(parts))
+        for word in {word for word, signs in found if word not in known}:
+            known[word] = array("I", [t.id for t in merge(word.translate(written))]).tobytes()
+        signed = [x for x in found if x[1]]
+        others = parts.difference(known, [word + signs for word, signs in signed])
+        others.update({signs for _, signs in signed}.difference(known))
+        known.update(zip(others, self._codes(list(others))))
+        known.update((word + signs, known[word] + known[signs]) for word, signs in signed)
 
     def _codes(self, texts: list[str]) -> list[bytes]:
         return [np.array(code.ids, "<u4").tobytes() for code in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
 
-def _latin(word: str) -> bool:
-    """Without letters that a normaliser might compose or whose lower case is not one letter."""
-    try:
-        word.encode("latin-1")
-    except UnicodeEncodeError:
-        return False
-    return True
+_loaded: dict[str, TextIds] = {}
+
+
+def text_ids(path: str) -> TextIds:
+    """The ids of a vocabulary, with one memory for all tasks of a worker."""
+    if path not in _loaded:
+        _loaded[path] = TextIds(path)
+    return _loaded[path]
 
 
 def pieces(docs: DataFrame, key: str = "doc_id", text: str = "text", path: str | None = None, capacity: int = CAPACITY) -> DataFrame:
@@ -111,10 +111,10 @@ def pieces(docs: DataFrame, key: str = "doc_id", text: str = "text", path: str |
     fields = [("piece", pa.int32()), ("start", pa.int64()), ("length", pa.int64()), ("ids_crc32", pa.int64())]
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ids = TextIds(path)
+        ids = text_ids(path)
         for batch in batches:
             at, rows, made = 0, [], []
-            for own in in_slices(t.as_py() or "" for t in batch.column(1)):
+            for own in in_slices((t.as_py() or "" for t in batch.column(1)), SLICE):
                 for code in ids.of(own):
                     code += end
                     for n, start in enumerate(range(0, len(code), 4 * capacity)):
@@ -126,6 +126,7 @@ def pieces(docs: DataFrame, key: str = "doc_id", text: str = "text", path: str |
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0).take(pa.array(rows, pa.int64())), *(pa.array(c, t) for c, (_, t) in zip(columns, fields))],
                 names=["key", *(n for n, _ in fields)])
+        release_memory()
 
     kind = docs.select(F.col(key).alias("key")).schema["key"].dataType.simpleString()
     rows = docs.select(F.col(key).alias("key"), F.col(text).alias("text"))

@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import ctypes
 import re
 from collections.abc import Iterable, Iterator
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from readflow.session import materialize
@@ -89,3 +91,12 @@ def in_slices(texts: Iterable[str], chars: int = 1_000_000) -> Iterator[list[str
             held, size = [], 0
     if held:
         yield held
+
+
+def release_memory() -> None:
+    """Give freed memory back to the system at the end of a task, as the worker lives on for other tasks."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except AttributeError:  # not the GNU C library
+        pass

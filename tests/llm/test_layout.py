@@ -52,7 +52,7 @@ def test_pack_edges(edges, no_rows):
     assert packing.pack(no_rows).count() == 0
 
 
-@pytest.mark.parametrize("text", ["á ́b", "x\x1cy\x85z　q\xa0r", "It's we'll 'S <|endoftext|> a<|startoftext|>b", "İΣ ΑΣ ß K", "\r\n\t a", "1234 a1b2", "  ", "ñ̃​·é"])
+@pytest.mark.parametrize("text", ["á ́b", "x\x1cy\x85z　q\xa0r", "It's we'll 'S <|endoftext|> a<|startoftext|>b", "İΣ ΑΣ ß K", "ÀÉ Straße... ÿÝ!? µm ªº x×y ÷ 'Re A's don't. (quoted) end&&& a\u00ad", "\r\n\t a", "1234 a1b2", "  ", "ñ̃​·é"])
 def test_ids_by_parts(text):
     path = public_tokenizers.path(packing.TOKENIZER)
     whole = Tokenizer.from_file(path).encode(text, add_special_tokens=False).ids
@@ -69,9 +69,36 @@ def test_plan(counts):
         for length, each in held:
             packed[length] += n * each
     assert packed == Counter({k: v for k, v in counts.items() if v})
-    total = sum(k * v for k, v in counts.items())
-    large = sum(v for k, v in counts.items() if 2 * k > 60)
-    assert sum(n for n, _ in bins) <= max(large, 1.5 * total / 60 + 1)
+
+
+def fewest_bins(sizes, capacity):
+    """By trying every place of every piece."""
+    best = len(sizes)
+
+    def place(i, gaps):
+        nonlocal best
+        if len(gaps) >= best:
+            return
+        if i == len(sizes):
+            best = len(gaps)
+            return
+        for gap in sorted({g for g in gaps if g >= sizes[i]}):
+            at = gaps.index(gap)
+            place(i + 1, gaps[:at] + [gap - sizes[i]] + gaps[at + 1 :])
+        place(i + 1, gaps + [capacity - sizes[i]])
+
+    sizes = sorted(sizes, reverse=True)
+    place(0, [])
+    return best
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.lists(st.integers(1, 60), max_size=9))
+def test_plan_against_the_optimum(sizes):
+    bins, least = sum(n for n, _ in packing.plan_bins(Counter(sizes), 60)), fewest_bins(sizes, 60)
+    assert least <= bins <= least + 1
+    if all(3 * s > 60 for s in sizes):
+        assert bins == least
 
 
 def test_plan_is_grouped():
