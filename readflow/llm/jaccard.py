@@ -14,7 +14,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window as W, functions as F
 
 from readflow.llm.graph import components
-from readflow.llm.texts import ascii_lower, broadcast_if_small, in_slices
+from readflow.llm.texts import ascii_lower, broadcast_if_small, in_slices, release_memory, spare_name
 from readflow.session import materialize
 
 #: A word: everything between ASCII blanks.
@@ -25,8 +25,8 @@ PERCENT = 90
 #: What ``keep_one`` takes for near copies: word 5-grams and a similarity of 0.8 or more.
 COPY_SHINGLE, COPY_PERCENT = 5, 80
 #: Shingles that one cell of a candidate block should hold; larger blocks are cut into parts that meet pair by pair.
-CELL_SHINGLES = 2_000_000
-WORD_MEMORY = 400_000
+CELL_SHINGLES = 600_000
+WORD_MEMORY = 50_000
 
 
 class WordHashes(dict):
@@ -165,6 +165,7 @@ def _signature_rows(batches: Iterator[pa.RecordBatch], width: int, percent: int)
                 pairs = np.unique(np.stack([y, y[first][back]], 1)[y != y[first][back]], axis=0)
                 if len(pairs):
                     yield made(2, len(pairs), x=pa.array(pairs[:, 0].copy()), y=pa.array(pairs[:, 1].copy()))
+    release_memory()
 
 
 SIGNATURE_FIELDS = [
@@ -266,6 +267,7 @@ def _cell_links(batches: Iterator[pa.RecordBatch], width: int, percent: int) ->
             sets.append(shingle_set(text.as_py(), known, width))
     if len(sets) > 1:
         yield links()
+    release_memory()
 
 
 def link_components(docs: DataFrame, key: str = "doc_id", text: str = "text", width: int = SHINGLE, percent: int = PERCENT, cell: int = CELL_SHINGLES) -> DataFrame:
@@ -289,7 +291,7 @@ def link_components(docs: DataFrame, key: str = "doc_id", text: str = "text", wi
     signed = materialize(rows.mapInArrow(lambda b: _signature_rows(b, width, percent), SIGNATURE_TYPE), "signatures")
     sets = signed.filter("kind = 0").select("doc", "n", "hi", "lo", "nodes")
     filled = sets.filter("n > 0 and doc is not null")
-    lowest = F.min("y").over(W.partitionBy("x"))
+    lowest = F.min("y").over(W.partitionBy("x"))  # a join with the minima would move all signatures twice
     keyed = signed.filter("kind = 1").select("x", "y").withColumn("m", lowest).filter("y != m").select(F.col("y").alias("a"), F.col("m").alias("b"))
     blocks = components(keyed.unionByName(signed.filter("kind = 2").select(F.col("x").alias("a"), F.col("y").alias("b"))))
     first = materialize(filled.groupBy("hi", "lo").agg(F.min("doc").alias("rep"), F.first("n").alias("n"), F.first("nodes").alias("nodes")), "sets")
@@ -316,5 +318,6 @@ def keep_one(docs: DataFrame, key: str = "doc_id", text: str = "text", width: in
     Rows with a null key are kept. Repeated rows with the smallest key are all kept: they are one
     document.
     """
-    gone = link_components(docs, key, text, width, percent, **options).filter(F.col(key) != F.col("component_id")).select(F.col(key).alias("_gone_")).distinct()
-    return docs.join(broadcast_if_small(gone, "near-copies"), F.col(key) == F.col("_gone_"), "left_anti")
+    gone = spare_name(docs, "_gone_")
+    copies = link_components(docs, key, text, width, percent, **options).filter(F.col(key) != F.col("component_id")).select(F.col(key).alias(gone)).distinct()
+    return docs.join(broadcast_if_small(copies, "near-copies"), F.col(key) == F.col(gone), "left_anti")
