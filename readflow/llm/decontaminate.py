@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from readflow.llm.texts import broadcast_if_small, word_array
+from readflow.llm.texts import broadcast_if_small, spare_name, word_array
 from readflow.session import materialize
 
 WINDOW = 10
@@ -97,8 +97,9 @@ def contamination(docs: DataFrame, items: DataFrame, key: str = "doc_id", text:
 
 def remove_documents(docs: DataFrame, items: DataFrame, key: str = "doc_id", text: str = "text", **names) -> DataFrame:
     """The documents without any benchmark window, with all their columns and repeats."""
-    found = hits(docs, items, key, text, **names).select(F.col("doc").alias("_doc_"), F.col("text_hash").alias("_text_hash_"))
-    same = F.col(key).eqNullSafe(F.col("_doc_")) & (text_hash(F.coalesce(F.col(text), F.lit(""))) == F.col("_text_hash_"))
+    doc, same_text = spare_name(docs, "_doc_"), spare_name(docs, "_text_hash_")
+    found = hits(docs, items, key, text, **names).select(F.col("doc").alias(doc), F.col("text_hash").alias(same_text))
+    same = F.col(key).eqNullSafe(F.col(doc)) & (text_hash(F.coalesce(F.col(text), F.lit(""))) == F.col(same_text))
     return docs.join(broadcast_if_small(found, "contaminated"), same, "left_anti")
 
 
@@ -107,14 +108,15 @@ def remove_spans(docs: DataFrame, items: DataFrame, key: str = "doc_id", text: s
 
     The text around a removed span is kept as it is, joined by one blank.
     """
-    found = hits(docs, items, key, text, **names).select(F.col("doc").alias("_doc_"), F.col("text_hash").alias("_text_hash_"), F.col("spans").alias("_spans_"))
+    doc, same_text, spans = (spare_name(docs, n) for n in ("_doc_", "_text_hash_", "_spans_"))
+    found = hits(docs, items, key, text, **names).select(F.col("doc").alias(doc), F.col("text_hash").alias(same_text), F.col("spans").alias(spans))
     body = F.coalesce(F.col(text), F.lit(""))
-    joined = docs.join(found, F.col(key).eqNullSafe(F.col("_doc_")) & (text_hash(body) == F.col("_text_hash_")), "left")
+    joined = docs.join(found, F.col(key).eqNullSafe(F.col(doc)) & (text_hash(body) == F.col(same_text)), "left")
     # word + what follows it, so that concatenating the kept pieces gives the text back
     pieces = F.regexp_extract_all(body, F.lit(r"([^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]*)"), 1)
-    hit = F.array_distinct(F.flatten(F.transform("_spans_", lambda s: F.sequence(s["at"], s["at"] + s["size"] - 1))))
+    hit = F.array_distinct(F.flatten(F.transform(spans, lambda s: F.sequence(s["at"], s["at"] + s["size"] - 1))))
     lead = F.regexp_extract(body, r"^[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]*", 0)
     bits = F.map_from_entries(F.transform(hit, lambda p: F.struct(p, F.lit(True))))
     kept = F.filter(pieces, lambda _, i: ~F.map_contains_key(bits, i))
     cut = F.concat(lead, F.array_join(kept, ""))
-    return joined.withColumn(text, F.when(F.col("_spans_").isNull(), F.col(text)).otherwise(cut)).drop("_doc_", "_text_hash_", "_spans_")
+    return joined.withColumn(text, F.when(F.col(spans).isNull(), F.col(text)).otherwise(cut)).drop(doc, same_text, spans)

@@ -31,6 +31,10 @@ def _count(t: Column, sign: str) -> Column:
     return F.char_length(t) - F.char_length(F.replace(t, F.lit(sign), F.lit("")))
 
 
+#: What the names of the columns of statistics begin with.
+PREFIX = "_q_"
+
+
 def statistics(text: Column) -> dict[str, Column]:
     """Statistics of a text that do not grow with its length; an empty or null text has 0 in all but ``chars``.
 
@@ -55,7 +59,7 @@ def statistics(text: Column) -> dict[str, Column]:
     }
 
 
-def with_statistics(df: DataFrame, text: str = "text", prefix: str = "_q_") -> DataFrame:
+def with_statistics(df: DataFrame, text: str = "text", prefix: str = PREFIX) -> DataFrame:
     return df.withColumns({prefix + name: c.cast("double") for name, c in statistics(F.col(text)).items()})
 
 
@@ -109,13 +113,14 @@ def fit(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "te
     return Rules(float(lasso.intercept), [(w, p) for w, p in zip(weights, paths) if w])
 
 
-def _rule(path: tuple[Condition, ...]) -> Column:
-    return reduce(lambda a, b: a & b, [(F.col(n) <= bound) if sign == "<=" else (F.col(n) > bound) for n, sign, bound in path])
+def _rule(path: tuple[Condition, ...], prefix: str) -> Column:
+    named = [(F.col(prefix + n.removeprefix(PREFIX)), sign, bound) for n, sign, bound in path]
+    return reduce(lambda a, b: a & b, [(c <= bound) if sign == "<=" else (c > bound) for c, sign, bound in named])
 
 
-def score(model: Rules) -> Column:
-    """The chance of label 1 as one expression over the columns of ``with_statistics``."""
-    total = reduce(lambda a, b: a + b, [F.when(_rule(p), w).otherwise(0.0) for w, p in model.rules], F.lit(model.intercept))
+def score(model: Rules, prefix: str = PREFIX) -> Column:
+    """The chance of label 1 as one expression over the columns of ``with_statistics`` with the same ``prefix``."""
+    total = reduce(lambda a, b: a + b, [F.when(_rule(p, prefix), w).otherwise(0.0) for w, p in model.rules], F.lit(model.intercept))
     return 1 / (1 + F.exp(-total))
 
 
@@ -123,4 +128,7 @@ def classify(docs: DataFrame, model: Rules, text: str = "text", column: str = "q
     """``docs`` with ``column``: 0 to 1, higher where label 1 is likelier. Null and empty texts are scored by their statistics too."""
     if column in docs.columns:
         raise ValueError(f"there is a column {column} already")
-    return with_statistics(docs, text).withColumn(column, score(model)).drop(*["_q_" + n for n in statistics(F.lit(""))])
+    names, prefix = list(statistics(F.lit(""))), PREFIX
+    while {(prefix + n).lower() for n in names} & {c.lower() for c in docs.columns}:
+        prefix += "_"
+    return with_statistics(docs, text, prefix).withColumn(column, score(model, prefix)).drop(*[prefix + n for n in names])
