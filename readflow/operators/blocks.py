@@ -32,10 +32,14 @@ SCORE_DIGITS = 9  # scores closer than this are ties
 
 @dataclass(frozen=True)
 class Blocks:
-    """Packed rows, and one row (blocks, dims): their number and the length of a vector."""
+    """Packed rows, and one row (blocks, dims): their number and the length of a vector.
+
+    ``seen`` are places of pairs (user_block, item_block, u, i), where users have any.
+    """
 
     df: DataFrame
     shape: DataFrame
+    seen: DataFrame | None = None
 
     @property
     def count(self) -> Column:
@@ -71,19 +75,18 @@ def user_blocks(users: DataFrame, columns: dict[str, str], rows: int = ROWS_PER_
 
 
 def with_seen(users: Blocks, items: Blocks, pairs: DataFrame) -> Blocks:
-    """User blocks with ``seen``: the pairs of their users as (item block, place of the user, place of the item).
-
-    The pairs travel with their user block to every cell; there each cell keeps its own.
-    """
+    """User blocks with the places of their users' pairs; ``meet`` gathers them per user block and cell."""
     by_user = users.df.select("user_block", F.posexplode("users").alias("u", "user_id"))
     by_page = items.df.select("item_block", F.posexplode("pages").alias("i", "page"))
     placed = pairs.select("user_id", "page").distinct().join(by_user, "user_id").join(by_page, "page")
-    seen = placed.groupBy("user_block").agg(F.collect_list(F.struct("item_block", "u", "i")).alias("seen"))
-    return Blocks(users.df.join(seen, "user_block", "left"), users.shape)
+    return Blocks(users.df, users.shape, placed.select("user_block", "item_block", "u", "i"))
 
 
 def meet(users: Blocks, items: Blocks) -> DataFrame:
-    """One row per (user block, item block), with the cell they meet in."""
+    """One row per (user block, item block), with the cell they meet in.
+
+    A row carries those ``seen`` pairs of its user block that lie in its cell, and no others.
+    """
     work = float(ROWS_PER_BLOCK**2) * F.col("dims")
     both = with_row(users.shape.withColumnsRenamed({"blocks": "users"}), items.shape.select("blocks"), "_items")
     shape = both.select("users", F.col("_items.blocks").alias("items"), F.greatest(
@@ -93,11 +96,14 @@ def meet(users: Blocks, items: Blocks) -> DataFrame:
         width = F.col("_shape.width")
         every = F.sequence(F.lit(0).cast("bigint"), F.floor((F.col(f"_shape.{other}s") - 1) / width))
         out = with_row(side, shape, "_shape").withColumns({f"{own}_cell": F.floor(F.col(f"{own}_block") / width), f"{other}_cell": F.explode(every)})
-        if "seen" in side.columns:
-            out = out.withColumn("seen", F.filter("seen", lambda s: F.floor(s["item_block"] / width) == F.col("item_cell")))
         return out.drop("_shape")
 
-    return cells(users.df, "user", "item").join(cells(items.df, "item", "user"), ["user_cell", "item_cell"])
+    own = cells(users.df, "user", "item")
+    if users.seen is not None:
+        item_cell = F.floor(F.col("item_block") / F.col("_shape.width")).alias("item_cell")
+        seen = with_row(users.seen, shape, "_shape").groupBy("user_block", item_cell).agg(F.collect_list(F.struct("item_block", "u", "i")).alias("seen"))
+        own = own.join(seen, ["user_block", "item_cell"], "left")
+    return own.join(cells(items.df, "item", "user"), ["user_cell", "item_cell"])
 
 
 def block_scores(row) -> np.ndarray:

@@ -5,16 +5,12 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from readflow.functions.columns import with_row
+from readflow.operators.selection import select_quantiles, stored_values
 from readflow.operators.skew import running_totals
 
 DECILES = [i / 10 for i in range(11)]
 
 
-def value_counts(df: DataFrame, value: str, out: str = "value") -> DataFrame:
-    """(value, n) of the non-NULL values: the form in which the exact quantiles below are taken."""
-    return df.filter(F.col(value).isNotNull()).groupBy(F.col(value).alias(out)).agg(F.count(F.lit(1)).alias("n"))
-
-
 def histogram(df: DataFrame, value: str, bins: int = 50) -> DataFrame:
     """Equal-width bins over [min, max]; the last bin is closed and empty bins are listed.
 
@@ -39,19 +35,21 @@ def histogram(df: DataFrame, value: str, bins: int = 50) -> DataFrame:
 
 
 def box_plot(df: DataFrame, value: str) -> DataFrame:
-    """One row: quartiles, fences at 1.5 IQR, whiskers inside them, number of points outside."""
-    counts = running_totals(value_counts(df, value), "value", ["n"])
-    quartiles = quantiles(counts, [0.25, 0.5, 0.75]).select(F.col("q")[0].alias("q1"), F.col("q")[1].alias("median"), F.col("q")[2].alias("q3")).withColumns({
-        "fence_low": F.col("q1") - 1.5 * (F.col("q3") - F.col("q1")),
-        "fence_high": F.col("q3") + 1.5 * (F.col("q3") - F.col("q1"))})
-    inside = F.col("value").between(F.col("_q.fence_low"), F.col("_q.fence_high"))
-    return with_row(counts, quartiles, "_q").groupBy("_q").agg(
+    """One row: quartiles, fences at 1.5 IQR, whiskers inside them, number of points outside. No values, no row."""
+    values = stored_values(df, value)
+    q1, median, q3 = select_quantiles(values, [0.25, 0.5, 0.75])
+    row = {"q1": q1, "median": median, "q3": q3, "fence_low": None, "fence_high": None}
+    if values.rows:
+        row |= {"fence_low": q1 - 1.5 * (q3 - q1), "fence_high": q3 + 1.5 * (q3 - q1)}
+    known = {name: F.lit(x).cast("double") for name, x in row.items()}
+    inside = F.col("value").between(known["fence_low"], known["fence_high"])
+    return values.table.agg(
         F.sum("n").alias("n"),
         F.min("value").cast("double").alias("minimum"), F.max("value").cast("double").alias("maximum"),
         F.min(F.when(inside, F.col("value"))).cast("double").alias("whisker_low"),
         F.max(F.when(inside, F.col("value"))).cast("double").alias("whisker_high"),
         F.coalesce(F.sum(F.when(~inside, F.col("n"))), F.lit(0)).alias("outliers"),
-    ).select("*", "_q.*").drop("_q")
+    ).filter(F.col("n") > 0).withColumns(known)
 
 
 def quantile_bins(df: DataFrame, value: str, probabilities: list[float] = DECILES) -> DataFrame:
@@ -59,16 +57,15 @@ def quantile_bins(df: DataFrame, value: str, probabilities: list[float] = DECILE
 
     Returns (bin, low, high, count) with bins from 1. A constant input gives one bin.
     """
-    counts = running_totals(value_counts(df, value), "value", ["n"])
-    edges = quantiles(counts, probabilities).select(F.array_distinct("q").alias("edges"))
-    e = F.col("_e.edges")
-    bin_no = F.greatest(F.lit(1), F.size(F.filter(e, lambda x: x < F.col("value"))))
-    filled = with_row(counts, edges, "_e").groupBy(bin_no.alias("bin")).agg(F.sum("n").alias("n"))
-    bins = df.sparkSession.range(len(probabilities)).select((F.col("id") + 1).cast("int").alias("bin"))
-    bins = with_row(bins, edges, "_e").filter(F.col("bin") <= F.greatest(F.lit(1), F.size(e) - 1))
-    return bins.join(F.broadcast(filled), "bin", "left").select(
-        "bin", e[F.col("bin") - 1].alias("low"), e[F.least(F.col("bin"), F.size(e) - 1)].alias("high"),
-        F.coalesce("n", F.lit(0)).alias("count"))
+    values = stored_values(df, value)
+    edges = list(dict.fromkeys(select_quantiles(values, probabilities)))
+    lows, highs = (edges[:-1], edges[1:]) if len(edges) > 1 else (edges, edges)
+    inner = F.array(*[F.lit(x).cast("double") for x in lows[1:]]) if len(lows) > 1 else F.array().cast("array<double>")
+    bin_no = F.lit(1) + F.size(F.filter(inner, lambda x: x < F.col("value")))
+    filled = values.table.groupBy(bin_no.alias("bin")).agg(F.sum("n").alias("n"))
+    ends = F.array(*[F.struct(F.lit(a).cast("double").alias("low"), F.lit(b).cast("double").alias("high")) for a, b in zip(lows, highs)])
+    bins = df.sparkSession.range(1).select(F.posexplode(ends).alias("at", "e")).select((F.col("at") + 1).alias("bin"), "e.*")
+    return bins.join(F.broadcast(filled), "bin", "left").select("bin", "low", "high", F.coalesce("n", F.lit(0)).alias("count"))
 
 
 def cumulative_share(bins: DataFrame) -> DataFrame:
@@ -89,32 +86,10 @@ def linear_trend(df: DataFrame, x: str, ys: list[str]) -> DataFrame:
     return df.agg(F.array(*fits).alias("f")).select(F.inline("f"))
 
 
-def quantiles(ranked: DataFrame, probabilities: list[float]) -> DataFrame:
-    """One row ``q``: exact quantiles, linear between ranks, of any number of distinct values.
-
-    ``ranked`` are ``running_totals`` of ``value_counts``; no task holds all values.
-    """
-    last = ranked.agg((F.sum("n") - 1).alias("rank"))
-
-    def at(rank):
-        return F.max(F.when((F.col("cum_n") > rank) & (F.col("cum_n") - F.col("n") <= rank), F.col("value").cast("double")))
-
-    def quantile(p):
-        rank = F.col("_last.rank") * F.lit(float(p))
-        low, high = F.floor(rank), F.ceil(rank)
-        return at(low), at(high), F.max(rank - low)
-
-    parts = [c.alias(f"{name}{i}") for i, p in enumerate(probabilities) for name, c in zip(("low", "high", "share"), quantile(p))]
-    row = with_row(ranked, last, "_last").agg(*parts)
-    return row.select(F.array(*[
-        F.when(F.col(f"low{i}") == F.col(f"high{i}"), F.col(f"low{i}"))
-        .otherwise(F.col(f"low{i}") * (1 - F.col(f"share{i}")) + F.col(f"high{i}") * F.col(f"share{i}"))
-        for i in range(len(probabilities))]).alias("q"))
-
-
 def median_of(df: DataFrame, value: str) -> DataFrame:
     """Exact median of any number of distinct doubles."""
-    return quantiles(running_totals(value_counts(df, value), "value", ["n"]), [0.5]).select(F.col("q")[0].alias("median"))
+    median, = select_quantiles(stored_values(df, value), [0.5])
+    return df.sparkSession.range(1).select(F.lit(median).cast("double").alias("median"))
 
 
 def two_sample_ks(a: DataFrame, b: DataFrame, value: str) -> DataFrame:

@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from readflow.functions.vectors import norm
-from readflow.operators.distributions import histogram, median_of, two_sample_ks
+from readflow.operators.distributions import histogram, two_sample_ks
 from readflow.operators.recommend import score_pairs
+from readflow.operators.selection import select_quantiles, stored_values
 from readflow.operators.skew import running_totals
 
 TOTAL_DIGITS = 6
@@ -19,12 +20,13 @@ def totals_per_key(scores: DataFrame, ids: DataFrame, key: str) -> DataFrame:
 
 
 def total_statistics(totals: DataFrame, side: str) -> DataFrame:
-    """Mean, exact median, population deviation, smallest and largest total."""
-    median = median_of(totals, "total").scalar()
-    return totals.agg(
-        F.avg("total").alias("mean"), F.stddev_pop("total").alias("std"),
-        F.min("total").alias("min"), F.max("total").alias("max"),
-    ).select(F.lit(side).alias("side"), "mean", median.alias("median"), "std", "min", "max")
+    """Mean, exact median, population deviation, smallest and largest total, over totals that are computed once."""
+    values = stored_values(totals, "total", counted=False)
+    median, = select_quantiles(values, [0.5])
+    return values.table.agg(
+        F.avg("value").alias("mean"), F.stddev_pop("value").alias("std"),
+        F.min("value").alias("min"), F.max("value").alias("max"),
+    ).select(F.lit(side).alias("side"), "mean", F.lit(median).cast("double").alias("median"), "std", "min", "max")
 
 
 def interaction_distribution(scores: DataFrame, users: DataFrame, items: DataFrame) -> DataFrame:

@@ -49,11 +49,12 @@ MAX_LABELS = 65_536
 def label_index(df: DataFrame, column: str) -> DataFrame:
     """Labels numbered by falling frequency, ties in alphabetical order, as (label, index).
 
-    Labels are categories: their counts are gathered in one row, and more than ``MAX_LABELS`` of
-    them are an error.
+    Labels are categories: more than ``MAX_LABELS`` of them are an error, told from one label more, so
+    that what is gathered in one row is bounded beforehand.
     """
     counts = df.filter(F.col(column).isNotNull()).groupBy(column).agg(F.count(F.lit(1)).alias("n"))
-    listed = counts.agg(F.array_sort(F.collect_list(F.struct((-F.col("n")).alias("n"), F.col(column).alias("label")))).alias("l"))
+    first = counts.orderBy(F.desc("n"), column).limit(MAX_LABELS + 1)
+    listed = first.agg(F.array_sort(F.collect_list(F.struct((-F.col("n")).alias("n"), F.col(column).alias("label")))).alias("l"))
     few = F.when(F.size("l") <= MAX_LABELS, F.col("l")).otherwise(F.raise_error(F.lit(f"more than {MAX_LABELS} labels in {column}")))
     ranked = listed.select(F.posexplode(few).alias("index", "e"))
     return ranked.select(F.col("e.label").alias(column), F.col("index").cast("double").alias("index"))
