@@ -2,7 +2,8 @@
 
 Values become 64-bit keys in their own order. A round counts the keys that share the digits found so
 far by their next digit, and keeps for each wanted rank the digit that holds it. Keys that differ in
-few bits (counts of anything) need one or two rounds, doubles of all sizes at most six.
+few bits (counts of anything) need one or two rounds, doubles of all sizes at most six; once some
+thousands of rows are left, one round settles all their digits.
 """
 
 from __future__ import annotations
@@ -11,7 +12,8 @@ import math
 import struct
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Window as W, functions as F
+import numpy as np
+from pyspark.sql import Column, DataFrame, functions as F
 
 from readflow.session import materialize
 
@@ -56,22 +58,27 @@ def stored_values(df: DataFrame, value: str, counted: bool = True) -> Values:
 
 
 def select_ranks(values: Values, ranks: list[int]) -> dict[int, float]:
-    """The values at ``ranks`` (from 0) in ascending order. One row per rank comes back from a round."""
+    """The values at ``ranks`` (from 0) in ascending order. The counters of a round come back, at most 2**DIGIT per rank."""
     bits = (values.first ^ values.last).bit_length() if (values.first < 0) == (values.last < 0) else 64
     shared = values.first >> bits if bits < 64 else 0
     found = {r: (shared, r) for r in set(ranks)}  # rank -> digits so far, rank among the keys that share them
+    left = values.rows
     while bits:
-        width, bits = bits, max(0, bits - DIGIT)
-        wanted = [F.struct(F.lit(p).cast("bigint").alias("prefix"), F.lit(i).cast("bigint").alias("inner")) for p, i in set(found.values())]
-        targets = values.table.sparkSession.range(1).select(F.inline(F.array(*wanted)))
+        # few enough keys left: all their digits at once
+        width, bits = bits, 0 if left <= 1 << DIGIT else max(0, bits - DIGIT)
         prefix = F.shiftright("key", width) if width < 64 else F.lit(0).cast("bigint")
         some = values.table.filter(prefix.isin([p for p, _ in set(found.values())]))
         counts = some.groupBy(prefix.alias("prefix"), F.shiftright("key", bits).alias("next")).agg(F.sum("n").alias("n"))
-        upto = F.sum("n").over(W.partitionBy("prefix").orderBy("next").rowsBetween(W.unboundedPreceding, W.currentRow))
-        held = counts.withColumn("upto", upto).join(F.broadcast(targets), "prefix")
-        held = held.filter((F.col("inner") < F.col("upto")) & (F.col("inner") >= F.col("upto") - F.col("n")))
-        step = {(r["prefix"], r["inner"]): (r["next"], r["inner"] - r["upto"] + r["n"]) for r in held.collect()}  # one row per rank
-        found = {r: step[at] for r, at in found.items()}
+        ordered: dict[int, list[tuple[int, int]]] = {}
+        for r in counts.collect():
+            ordered.setdefault(r["prefix"], []).append((r["next"], r["n"]))
+        upto = {p: np.cumsum([n for _, n in sorted(own)]) for p, own in ordered.items()}
+        step, held = {}, {}
+        for p, inner in set(found.values()):
+            i = int(np.searchsorted(upto[p], inner, "right"))
+            digits, n = sorted(ordered[p])[i]
+            step[p, inner], held[digits] = (digits, inner - int(upto[p][i]) + n), n
+        left, found = sum(held.values()), {r: step[at] for r, at in found.items()}
     return {r: value_of(key, values.kind) for r, (key, _) in found.items()}
 
 

@@ -15,8 +15,9 @@ def values(spark, xs, kind, **how):
     return selection.stored_values(spark.createDataFrame([(x,) for x in xs], f"x {kind}"), "x", **how)
 
 
-@pytest.mark.parametrize("counted", [True, False])
-def test_every_rank(spark, counted):
+@pytest.mark.parametrize("counted, digit", [(True, 12), (False, 3)])
+def test_every_rank(spark, counted, digit, monkeypatch):
+    monkeypatch.setattr(selection, "DIGIT", digit)  # three bits: many rounds
     rng = random.Random(5)
     longs = [rng.choice([-(1 << 63), (1 << 63) - 1, -1, 0, 1, 4095, 4096, rng.getrandbits(62)]) for _ in range(60)] + [None]
     doubles = DOUBLES * 3 + [rng.gauss(0, 1) for _ in range(40)] + [None]
@@ -54,6 +55,7 @@ def test_shared_digits_are_not_counted(spark, monkeypatch):
     """Keys that differ in nine bits take one round, whatever their size and however many rows one of them has."""
     shifts, plain = [], selection.F.shiftright
     monkeypatch.setattr(selection.F, "shiftright", lambda c, n: shifts.append(n) or plain(c, n))
+    monkeypatch.setattr(selection, "DIGIT", 9)
     base = 10_000_000_000 >> 9 << 9
     xs = [base + 9] * 600 + [base + i for i in range(500)]
     assert selection.select_quantiles(values(spark, xs, "bigint"), [0.5]) == [base + 9.0]
