@@ -10,6 +10,7 @@ from readflow.session import materialize
 WINDOW = 10
 #: Up to this many windows (8 bytes of hash and some 100 of words each) the set is broadcast; beyond, it is shuffled.
 BROADCAST_WINDOWS = 1_000_000
+BLOCK = 1024  # words whose windows are hashed at once
 
 
 def _windows(words: Column, size: Column) -> Column:
@@ -18,48 +19,71 @@ def _windows(words: Column, size: Column) -> Column:
     return F.when(n > 0, F.sequence(F.lit(0), n - 1)).otherwise(F.array().cast("array<int>"))
 
 
-def benchmark_windows(items: DataFrame, item: str = "item_id", text: str = "text", window: int = WINDOW) -> DataFrame:
-    """(h, gram, size, items, unnamed): distinct word windows of all items, hashed, each with the ids of the items that hold it.
-
-    An item of fewer words than ``window``, but not none, is one window. Windows of items with null
-    ids are windows like others; ``unnamed`` tells that such an item holds it.
-    """
+def _item_windows(items: DataFrame, item: str, text: str, window: int) -> DataFrame:
+    """(item, size, gram): the word windows of every item; fewer words than ``window``, but not none, are one window."""
     rows = items.select(F.col(item).cast("string").alias("item"), word_array(F.col(text)).alias("w"))
     rows = rows.withColumn("size", F.least(F.size("w"), F.lit(window))).filter(F.col("size") > 0)
     grams = rows.withColumn("at", F.explode(_windows(F.col("w"), F.col("size"))))
-    grams = grams.select("item", "size", F.slice("w", F.col("at") + 1, F.col("size")).alias("gram"))
-    return grams.groupBy("gram", "size").agg(F.collect_set("item").alias("items"), F.max(F.col("item").isNull()).alias("unnamed")).withColumn("h", F.xxhash64("gram"))
+    return grams.select("item", "size", F.slice("w", F.col("at") + 1, F.col("size")).alias("gram"))
+
+
+def benchmark_windows(items: DataFrame, item: str = "item_id", text: str = "text", window: int = WINDOW) -> tuple[DataFrame, DataFrame]:
+    """(no, h, size, gram) of the distinct word windows of all items, and (no, item) of the items that hold them.
+
+    Windows of items with null ids are windows like others; their ``item`` is null. A window that all
+    items share is one window, whose number travels in place of its items. Both tables are stored, so
+    that numbers stay.
+    """
+    grams = _item_windows(items, item, text, window)
+    distinct = grams.select("gram", "size").distinct()
+    windows = materialize(distinct.select(F.monotonically_increasing_id().alias("no"), F.xxhash64("gram").alias("h"), "size", "gram"), "benchmark-windows")
+    owners = materialize(grams.join(windows.select("no", "size", "gram"), ["gram", "size"]).select("no", "item").distinct(), "window-owners")
+    return windows, owners
+
+
+def _hashed_windows(docs: DataFrame, key: str, text: str, sizes: list[int]) -> DataFrame:
+    """(doc, text_hash, at, size, h) of all word windows of the given sizes, from one scan.
+
+    A text is cut into blocks of words that overlap by one window, so that no row but the first holds
+    a whole text and what leaves a block are hashes and places.
+    """
+    body = F.coalesce(F.col(text), F.lit(""))
+    rows = docs.select(F.col(key).alias("doc"), text_hash(body).alias("text_hash"), word_array(body).alias("w"))
+    starts = F.when(F.size("w") > 0, F.sequence(F.lit(0), F.size("w") - 1, F.lit(BLOCK))).otherwise(F.array().cast("array<int>"))
+    block = F.transform(starts, lambda s: F.struct(s.alias("base"), F.slice("w", s + 1, BLOCK + max(sizes) - 1).alias("w")))
+    blocks = rows.select("doc", "text_hash", F.inline(block))
+
+    def windows(size: int) -> Column:
+        places = F.filter(_windows(F.col("w"), F.lit(size)), lambda at: at < BLOCK)
+        return F.transform(places, lambda at: F.struct(
+            (F.col("base") + at).alias("at"), F.lit(size).alias("size"), F.xxhash64(F.slice("w", at + 1, size)).alias("h")))
+
+    return blocks.select("doc", "text_hash", F.inline(F.flatten(F.array(*map(windows, sizes)))))
 
 
 def hits(docs: DataFrame, items: DataFrame, key: str = "doc_id", text: str = "text", item: str = "item_id", item_text: str = "text", window: int = WINDOW) -> DataFrame:
     """Per distinct (key, text) with an occurring window: doc, text_hash, n_hit, items (sorted), unnamed, spans.
 
     Each window of a document is hashed and looked up in the set of benchmark windows; a hit counts
-    once its words are compared as well. ``spans`` are the hit windows as (start, size) in words;
-    ``n_hit`` counts the words inside any of them. The starts of one document are gathered per row,
-    as many as the document has words.
+    once its words are compared as well, in a second pass over the documents found. ``spans`` are the
+    hit windows as (at, size) in words; ``n_hit`` counts the words inside any of them. The starts of
+    one document are gathered per row, as many as the document has words.
     """
-    spark = docs.sparkSession
-    grams = materialize(benchmark_windows(items, item, item_text, window), "benchmark-windows")
-    per_size = {r["size"]: r["n"] for r in grams.groupBy("size").agg(F.count(F.lit(1)).alias("n")).collect()}  # at most ``window`` rows
+    known, owners = benchmark_windows(items, item, item_text, window)
+    per_size = {r["size"]: r["n"] for r in known.groupBy("size").agg(F.count(F.lit(1)).alias("n")).collect()}  # at most ``window`` rows
     small = sum(per_size.values()) <= BROADCAST_WINDOWS
+    scan = _hashed_windows(docs, key, text, sorted(per_size) or [window])
+    found = scan.join(F.broadcast(known) if small else known, ["h", "size"])
+    places = F.collect_set(F.struct("at", "size", "no", "gram"))
+    found = materialize(found.groupBy("doc", "text_hash").agg(places.alias("places")), "window-hits")
+
     body = F.coalesce(F.col(text), F.lit(""))
-    rows = docs.select(F.col(key).alias("doc"), text_hash(body).alias("text_hash"), word_array(body).alias("w"))
-    found = None
-    for size in sorted(per_size):
-        scan = rows.select("doc", "text_hash", "w", F.explode(_windows(F.col("w"), F.lit(size))).alias("at"))
-        scan = scan.withColumn("h", F.xxhash64(F.slice("w", F.col("at") + 1, size)))
-        known = grams.filter(F.col("size") == size).select("h", "gram", "items", "unnamed")
-        scan = scan.join(F.broadcast(known) if small else known, "h")
-        scan = scan.filter(F.slice("w", F.col("at") + 1, size) == F.col("gram")).select("doc", "text_hash", "at", F.lit(size).alias("size"), "items", "unnamed")
-        found = scan if found is None else found.unionByName(scan)
-    if found is None:
-        found = spark.createDataFrame([], "doc string, text_hash string, at int, size int, items array<string>, unnamed boolean")
-        found = found.withColumn("doc", F.col("doc").cast(dict(docs.select(F.col(key)).dtypes)[key]))
-    spans = F.array_sort(F.collect_set(F.struct("at", "size")))
-    gathered = found.groupBy("doc", "text_hash").agg(
-        spans.alias("spans"), F.array_sort(F.array_distinct(F.flatten(F.collect_set("items")))).alias("items"),
-        F.max("unnamed").alias("unnamed"))
+    rows = docs.select(F.col(key).alias("key"), text_hash(body).alias("hash"), body.alias("body"))
+    same = F.col("key").eqNullSafe(F.col("doc")) & (F.col("hash") == F.col("text_hash"))
+    rows = rows.join(broadcast_if_small(found.select("doc", "text_hash"), "texts-hit"), same, "left_semi").dropDuplicates(["key", "hash"])
+    true = F.filter("places", lambda p: F.slice("w", p["at"] + 1, p["size"]) == p["gram"])
+    spans = F.array_sort(F.array_distinct(F.transform(true, lambda p: F.struct(p["at"].alias("at"), p["size"].alias("size")))))
+    checked = rows.withColumn("w", word_array(F.col("body"))).join(found, same).select("doc", "text_hash", spans.alias("spans"), F.array_distinct(F.transform(true, lambda p: p["no"])).alias("numbers"))
     start = F.struct(F.lit(0).alias("end"), F.lit(0).alias("n"))
     covered = F.aggregate(
         "spans", start,
@@ -67,7 +91,12 @@ def hits(docs: DataFrame, items: DataFrame, key: str = "doc_id", text: str = "te
             F.greatest(acc["end"], s["at"] + s["size"]).alias("end"),
             (acc["n"] + F.greatest(F.lit(0), s["at"] + s["size"] - F.greatest(acc["end"], s["at"]))).alias("n")),
         lambda acc: acc["n"])
-    return gathered.withColumn("n_hit", covered.cast("bigint"))
+    checked = materialize(checked.filter(F.size("spans") > 0).withColumn("n_hit", covered.cast("bigint")), "texts-with-hits")
+
+    named = checked.select("doc", "text_hash", F.explode("numbers").alias("no")).join(owners, "no").groupBy("doc", "text_hash").agg(
+        F.array_sort(F.collect_set("item")).alias("items"), F.max(F.col("item").isNull()).alias("unnamed"))
+    named = named.select(F.col("doc").alias("key"), F.col("text_hash").alias("hash"), "items", "unnamed")
+    return checked.join(named, same).select("doc", "text_hash", "n_hit", "items", "unnamed", "spans")
 
 
 def text_hash(text: Column) -> Column:

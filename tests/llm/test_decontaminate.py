@@ -67,6 +67,30 @@ def test_shuffled_set(edges, items, monkeypatch):
     assert sorted(map(repr, decontaminate.contamination(edges, items).collect())) == want
 
 
+def test_blocks_of_words(edges, items, monkeypatch):
+    want = sorted(map(repr, decontaminate.contamination(edges, items).collect()))
+    monkeypatch.setattr(decontaminate, "BLOCK", 3)
+    assert sorted(map(repr, decontaminate.contamination(edges, items).collect())) == want
+
+
+def test_one_scan_and_narrow_rows(spark, items):
+    """All window sizes come from one scan, and no exchange moves words."""
+    docs = spark.createDataFrame([(1, "short item", "x")], "doc_id long, text string, w string")
+    scan = decontaminate._hashed_windows(docs, "doc_id", "text", list(range(1, 11)))
+    assert scan.columns == ["doc", "text_hash", "at", "size", "h"]
+    plan = scan._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Scan ExistingRDD") == 1 and "Union" not in plan and "Python" not in plan
+    assert sorted((r["at"], r["size"]) for r in scan.collect()) == [(0, 1), (0, 2), (1, 1)]
+
+
+def test_equal_hashes_are_compared(spark, items, monkeypatch):
+    """Windows with one hash are told apart by their words."""
+    monkeypatch.setattr(decontaminate.F, "xxhash64", lambda *c: decontaminate.F.lit(7).cast("bigint"))
+    texts = [(1, "one two"), (2, "a short item b"), (3, None)]
+    rows = decontaminate.contamination(spark.createDataFrame(texts, "doc_id long, text string"), items).collect()
+    assert sorted((r["doc_id"], r["n_hit"], r["items"]) for r in rows) == [(1, 0, []), (2, 2, ["2"]), (3, 0, [])]
+
+
 def test_items_without_an_id_count(spark, items, tmp_path):
     duckdb = pytest.importorskip("duckdb")
     texts = [(1, "it has no id but ten words one two three four"), (2, "short item, has no id but ten words one two three four"), (3, "has no id but ten words"), (4, "short item")]
