@@ -10,6 +10,10 @@ instead of once per block. The width follows from the work of a cell, not from t
 block meets the item blocks of a cell one after the other, and its result is merged on the way: it
 leaves the task once per cell. Nothing is broadcast unless Spark finds the packed side below its
 own size threshold.
+
+Items may be packed by the length of their vectors. Blocks are dealt to the cells in turn, so each
+cell begins with long vectors, and a reducer that knows its users' last places can pass over blocks
+whose vectors are too short to change them.
 """
 
 from __future__ import annotations
@@ -28,18 +32,22 @@ ROWS_PER_BLOCK = 1024
 CELL = 64  # blocks on each side of a cell, at most
 CELL_WORK = 5e10  # multiplications of a cell, at most
 SCORE_DIGITS = 9  # scores closer than this are ties
+NORM_CLASSES = 64  # classes of vector lengths, at most
+CLASSES_PER_HALVING = 4  # of them, between a length and its half
 
 
 @dataclass(frozen=True)
 class Blocks:
     """Packed rows, and one row (blocks, dims): their number and the length of a vector.
 
-    ``seen`` are places of pairs (user_block, item_block, u, i), where users have any.
+    ``seen`` are places of pairs (user_block, item_block, u, i), where users have any. ``ordered``
+    blocks are met in their order.
     """
 
     df: DataFrame
     shape: DataFrame
     seen: DataFrame | None = None
+    ordered: bool = False
 
     @property
     def count(self) -> Column:
@@ -51,15 +59,45 @@ def _shape(df: DataFrame, rows: int) -> DataFrame:
     return df.agg(blocks.alias("blocks"), F.coalesce(F.max(F.size("factors")), F.lit(1)).alias("dims"))
 
 
-def item_blocks(items: DataFrame, rows: int = ROWS_PER_BLOCK) -> Blocks:
-    """Items (page, factors, bias), pages unique → one row per block, sorted by page inside."""
-    shape = _shape(items, rows)
+def _norm_class(items: DataFrame) -> DataFrame:
+    """Items with ``_class``: 0 for the longest vectors, one more for every quarter of a halving, the last for all others."""
+    square = F.aggregate("factors", F.lit(0.0), lambda acc, x: acc + x * x)
+    sized = items.withColumn("_norm", F.sqrt(F.coalesce(square, F.lit(0.0))))
+    peak = sized.agg(F.max("_norm")).scalar()
+    steps = F.when(F.col("_norm") > 0, F.floor(CLASSES_PER_HALVING * F.log2(peak / F.col("_norm"))))
+    return sized.withColumn("_class", F.least(F.coalesce(steps, F.lit(NORM_CLASSES)), F.lit(NORM_CLASSES - 1)).cast("int")).drop("_norm")
+
+
+def _by_norm(items: DataFrame, rows: int) -> tuple[DataFrame, DataFrame]:
+    """Items with ``item_block``, long vectors in low blocks, and the shape. A class is dealt over its blocks by hash: nothing is sorted."""
+    classed = _norm_class(items)
+    counts = classed.groupBy("_class").agg(
+        F.ceil(F.count(F.lit(1)) / rows).cast("bigint").alias("_blocks"), F.max(F.size("factors")).alias("dims"))
+    shape = counts.agg(F.greatest(F.lit(1), F.coalesce(F.sum("_blocks"), F.lit(1))).cast("bigint").alias("blocks"), F.coalesce(F.max("dims"), F.lit(1)).alias("dims"))
+    # At most NORM_CLASSES rows: one map from class to (first block, blocks) goes to every row.
+    listed = counts.agg(F.array_sort(F.collect_list(F.struct("_class", "_blocks"))).alias("classes"))
+    before = F.aggregate(
+        F.filter("_of.classes", lambda c: c["_class"] < F.col("_class")), F.lit(0).cast("bigint"), lambda acc, c: acc + c["_blocks"])
+    own = F.element_at(F.filter("_of.classes", lambda c: c["_class"] == F.col("_class")), 1)["_blocks"]
+    placed = with_row(classed, listed, "_of").withColumn("item_block", before + F.pmod(F.xxhash64("page"), own))
+    return placed.drop("_of", "_class"), shape
+
+
+def item_blocks(items: DataFrame, rows: int = ROWS_PER_BLOCK, by_norm: bool = False) -> Blocks:
+    """Items (page, factors, bias), pages unique → one row per block, sorted by page inside.
+
+    ``by_norm`` puts vectors of like length into one block, the longest into block 0.
+    """
+    if by_norm:
+        placed, shape = _by_norm(items, rows)
+    else:
+        shape = _shape(items, rows)
+        placed = items.withColumn("item_block", F.pmod(F.xxhash64("page"), shape.select("blocks").scalar()))
     fields = F.struct("page", F.col("factors").alias("f"), F.col("bias").alias("b"))
-    packed = items.groupBy(F.pmod(F.xxhash64("page"), shape.select("blocks").scalar()).alias("item_block")).agg(
-        F.sort_array(F.collect_list(fields)).alias("m"))
+    packed = placed.groupBy("item_block").agg(F.sort_array(F.collect_list(fields)).alias("m"))
     return Blocks(packed.select(
         "item_block", F.col("m.page").alias("pages"), F.flatten("m.f").alias("item_matrix"), F.col("m.b").alias("biases"),
-    ), shape)
+    ), shape, ordered=by_norm)
 
 
 def user_blocks(users: DataFrame, columns: dict[str, str], rows: int = ROWS_PER_BLOCK) -> Blocks:
@@ -85,33 +123,44 @@ def with_seen(users: Blocks, items: Blocks, pairs: DataFrame) -> Blocks:
 def meet(users: Blocks, items: Blocks) -> DataFrame:
     """One row per (user block, item block), with the cell they meet in.
 
-    A row carries those ``seen`` pairs of its user block that lie in its cell, and no others.
+    A row carries those ``seen`` pairs of its user block that lie in its cell, and no others. Where
+    Spark broadcasts a side, ``ordered`` blocks may be met in any order.
     """
     work = float(ROWS_PER_BLOCK**2) * F.col("dims")
     both = with_row(users.shape.withColumnsRenamed({"blocks": "users"}), items.shape.select("blocks"), "_items")
     shape = both.select("users", F.col("_items.blocks").alias("items"), F.greatest(
         F.lit(1), F.least(F.lit(CELL), F.floor(F.sqrt(CELL_WORK / work)))).alias("width"))
 
+    def last_cell(side: str) -> Column:
+        return F.floor((F.col(f"_shape.{side}s") - 1) / F.col("_shape.width"))
+
+    def cell_of(side: str) -> Column:  # dealt in turn, so that low blocks begin every cell
+        return F.pmod(F.col(f"{side}_block"), last_cell(side) + 1)
+
     def cells(side: DataFrame, own: str, other: str) -> DataFrame:
-        width = F.col("_shape.width")
-        every = F.sequence(F.lit(0).cast("bigint"), F.floor((F.col(f"_shape.{other}s") - 1) / width))
-        out = with_row(side, shape, "_shape").withColumns({f"{own}_cell": F.floor(F.col(f"{own}_block") / width), f"{other}_cell": F.explode(every)})
-        return out.drop("_shape")
+        every = F.sequence(F.lit(0).cast("bigint"), last_cell(other))
+        return with_row(side, shape, "_shape").withColumns({f"{own}_cell": cell_of(own), f"{other}_cell": F.explode(every)}).drop("_shape")
 
     own = cells(users.df, "user", "item")
     if users.seen is not None:
-        item_cell = F.floor(F.col("item_block") / F.col("_shape.width")).alias("item_cell")
-        seen = with_row(users.seen, shape, "_shape").groupBy("user_block", item_cell).agg(F.collect_list(F.struct("item_block", "u", "i")).alias("seen"))
+        seen = with_row(users.seen, shape, "_shape").groupBy("user_block", cell_of("item").alias("item_cell")).agg(F.collect_list(F.struct("item_block", "u", "i")).alias("seen"))
         own = own.join(seen, ["user_block", "item_cell"], "left")
-    return own.join(cells(items.df, "item", "user"), ["user_cell", "item_cell"])
+    met = cells(items.df, "item", "user")
+    if items.ordered:  # the join's own shuffle and sort, with one more key
+        met = met.repartition("user_cell", "item_cell").sortWithinPartitions("user_cell", "item_cell", "item_block")
+    return own.join(met, ["user_cell", "item_cell"])
+
+
+def matrices(row) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Users, items (a vector per line) and the items' biases of one joined row."""
+    u = np.asarray(row.user_matrix, dtype=np.float64).reshape(len(row.users), -1)
+    i = np.asarray(row.item_matrix, dtype=np.float64).reshape(len(row.pages), -1)
+    return u, i, np.asarray(row.biases, dtype=np.float64)
 
 
-def block_scores(row) -> np.ndarray:
-    """Rounded score matrix (users × items) of one joined row."""
-    n_users, n_items = len(row.users), len(row.pages)
-    u = np.asarray(row.user_matrix, dtype=np.float64).reshape(n_users, -1)
-    i = np.asarray(row.item_matrix, dtype=np.float64).reshape(n_items, -1)
-    return np.round(u @ i.T + np.asarray(row.biases, dtype=np.float64), SCORE_DIGITS)
+def scores_of(u: np.ndarray, i: np.ndarray, biases: np.ndarray) -> np.ndarray:
+    """Rounded score matrix (users × items)."""
+    return np.round(u @ i.T + biases, SCORE_DIGITS)
 
 
 class Reducer(ABC):
@@ -121,8 +170,8 @@ class Reducer(ABC):
     def __init__(self, row): ...
 
     @abstractmethod
-    def add(self, row, scores: np.ndarray) -> None:
-        """Take the scores (users × items) of one more item block."""
+    def add(self, row) -> None:
+        """Take one more item block."""
 
     @abstractmethod
     def result(self) -> pd.DataFrame: ...
@@ -139,7 +188,7 @@ def map_blocks(joined: DataFrame, schema: str, reducer: type[Reducer]) -> DataFr
                     if held is not None:
                         yield held.result()
                     at, held = here, reducer(row)
-                held.add(row, block_scores(row))
+                held.add(row)
         if held is not None:
             yield held.result()
 

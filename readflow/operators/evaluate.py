@@ -8,7 +8,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 
-from readflow.operators.blocks import Reducer, item_blocks, map_blocks, meet, user_blocks
+from readflow.operators.blocks import Reducer, item_blocks, map_blocks, matrices, meet, scores_of, user_blocks
 from readflow.operators.recommend import score_pairs
 from readflow.session import materialize
 
@@ -22,7 +22,8 @@ class _Reached(Reducer):
     def __init__(self, row):
         self.row, self.reached = row, [0] * len(row.users)
 
-    def add(self, row, scores):
+    def add(self, row):
+        scores = scores_of(*matrices(row))
         scores.sort(axis=1)
         self.reached = [r + len(s) - np.searchsorted(s, np.asarray(own), side="left") for r, s, own in zip(self.reached, scores, self.row.own_scores)]
 

@@ -9,7 +9,7 @@ from pyspark.ml.stat import Summarizer
 from pyspark.sql import DataFrame, Window as W, functions as F
 
 from readflow.functions.vectors import dot
-from readflow.operators.blocks import SCORE_DIGITS, Reducer, item_blocks, map_blocks, meet, user_blocks, with_seen
+from readflow.operators.blocks import SCORE_DIGITS, Reducer, item_blocks, map_blocks, matrices, meet, scores_of, user_blocks, with_seen
 from readflow.operators.tfidf import unit_arrays
 from readflow.session import materialize
 
@@ -69,7 +69,8 @@ class _Ranges(Reducer):
         self.users, self.n, self.total = row.users, 0, 0.0
         self.lo, self.hi = np.inf, -np.inf
 
-    def add(self, row, scores):
+    def add(self, row):
+        scores = scores_of(*matrices(row))
         self.n += scores.shape[1]
         self.total = self.total + scores.sum(axis=1)
         self.lo, self.hi = np.minimum(self.lo, scores.min(axis=1)), np.maximum(self.hi, scores.max(axis=1))
@@ -91,29 +92,57 @@ def score_ranges(user_factors: DataFrame, item_factors: DataFrame) -> DataFrame:
 
 
 class _Best(Reducer):
-    """Each user's best ``wanted`` items so far, and the range of all scores; ties go to the smaller page."""
+    """Each user's best ``wanted`` items so far, and the range of all scores; ties go to the smaller page.
+
+    By Cauchy's inequality no score of a block lies further from its biases than the user's length
+    times the block's greatest. A user whose list is full, and whose range and last place lie beyond
+    that, is left out of the product; a block that leaves out all users counts as ``skipped``.
+    """
+
+    ranged = True  # the smallest score is wanted as well
 
     def __init__(self, row):
         self.users, self.wanted = np.asarray(row.users, dtype=object), np.asarray(row.wanted)
-        self.lo, self.hi = np.inf, -np.inf
+        self.lo, self.hi = np.full(len(self.users), np.inf), np.full(len(self.users), -np.inf)
         self.rows, self.raw, self.pages = np.empty(0, np.int64), np.empty(0), np.empty(0, object)
-
-    def add(self, row, scores):
-        self.lo, self.hi = np.minimum(self.lo, scores.min(axis=1)), np.maximum(self.hi, scores.max(axis=1))
+        self.skipped = 0
+
+    def _last(self) -> np.ndarray:
+        """The score of each user's last place, -inf while the list is not full."""
+        last = np.full(len(self.users), np.inf)
+        np.minimum.at(last, self.rows, self.raw)
+        return np.where(np.bincount(self.rows, minlength=len(self.users)) >= self.wanted, last, -np.inf)
+
+    def _open(self, u: np.ndarray, i: np.ndarray, biases: np.ndarray, last: np.ndarray) -> np.ndarray:
+        """The users for whom a block may change something; ``slack`` covers rounding."""
+        reach = np.linalg.norm(u, axis=1) * np.linalg.norm(i, axis=1).max()
+        slack = 1e-9 * (1 + reach + np.abs(biases).max()) + 10.0**-SCORE_DIGITS
+        closed = reach + biases.max() + slack < last
+        if self.ranged:
+            closed &= biases.min() - reach - slack > self.lo
+        return np.flatnonzero(~closed)
+
+    def add(self, row):
+        u, i, biases = matrices(row)
+        last = self._last()
+        taken = self._open(u, i, biases, last)
+        if not len(taken):
+            self.skipped += 1
+            return
+        scores = scores_of(u[taken], i, biases)
+        self.lo[taken] = np.minimum(self.lo[taken], scores.min(axis=1))
+        self.hi[taken] = np.maximum(self.hi[taken], scores.max(axis=1))
         seen = getattr(row, "seen", None)
+        line = np.full(len(self.users), -1)
+        line[taken] = np.arange(len(taken))
         for s in seen if seen is not None else ():
-            if s["item_block"] == row.item_block:
-                scores[s["u"], s["i"]] = -np.inf
+            if s["item_block"] == row.item_block and line[s["u"]] >= 0:
+                scores[line[s["u"]], s["i"]] = -np.inf
         width = scores.shape[1]
         keep = min(int(self.wanted.max()), width)
-        floor = np.partition(scores, width - keep, axis=1)[:, width - keep]
-        if len(self.rows):  # nothing below a full list's last entry can enter it
-            full = np.bincount(self.rows, minlength=len(self.users)) >= self.wanted
-            last = np.full(len(self.users), np.inf)
-            np.minimum.at(last, self.rows, self.raw)
-            floor = np.where(full, np.maximum(floor, last), floor)
+        floor = np.maximum(np.partition(scores, width - keep, axis=1)[:, width - keep], last[taken])  # nothing below a last place can enter
         rows, cols = np.nonzero((scores >= floor[:, None]) & np.isfinite(scores))
-        self.rows = np.concatenate((self.rows, rows))
+        self.rows = np.concatenate((self.rows, taken[rows]))
         self.raw = np.concatenate((self.raw, scores[rows, cols]))
         self.pages = np.concatenate((self.pages, np.asarray(row.pages, dtype=object)[cols]))
         order = np.lexsort((self.pages, -self.raw, self.rows))
@@ -129,53 +158,63 @@ class _Best(Reducer):
             "raw": np.concatenate((self.raw, np.full(len(bare), np.nan))), "lo": self.lo[rows], "hi": self.hi[rows], "n": self.wanted[rows]})
 
 
+class _BestRaw(_Best):
+    """Without the smallest score, so that long vectors alone decide where all scores are positive too."""
+
+    ranged = False
+
+
 def recommend_batch(
     requests: DataFrame,
     user_factors: DataFrame,
     item_factors: DataFrame,
     exclude_seen: DataFrame | None = None,
+    scaled: bool = True,
 ) -> DataFrame:
     """Best ``n`` items of every request (user_id, n), as (user_id, rank, page, score).
 
-    Scores are min-max scaled per user over the whole catalogue (0.5 when all are equal). Unknown
+    Scores are min-max scaled per user over the whole catalogue (0.5 when all are equal), or the
+    model's own where ``scaled`` is off, which lets more of the catalogue be passed over. Unknown
     users get no rows. Ties go to the smaller page id. ``exclude_seen`` leaves out pairs already read.
     A request with ``n`` below 1 fails.
     """
     wanted = requests.groupBy("user_id").agg(F.max("n").cast("int").alias("n"))
     valid = F.when(F.col("n") > 0, F.col("n")).otherwise(F.raise_error(F.lit("n must be greater than 0")).cast("int"))
     asked = user_factors.join(wanted.withColumn("n", valid), "user_id").select("user_id", "factors", "n")
-    return _best_items(asked, item_factors, exclude_seen)
+    return _best_items(asked, item_factors, exclude_seen, scaled)
 
 
-def _best_items(asked: DataFrame, item_factors: DataFrame, exclude_seen: DataFrame | None) -> DataFrame:
+def _best_items(asked: DataFrame, item_factors: DataFrame, exclude_seen: DataFrame | None, scaled: bool = True) -> DataFrame:
     """The ranking behind the requests; ``asked`` has one row (user_id, factors, n) per user."""
-    candidates = _candidates(asked, item_factors, exclude_seen)
+    candidates = _candidates(asked, item_factors, exclude_seen, scaled)
     user = W.partitionBy("user_id")
     ranked = candidates.withColumns({
         "_lo": F.min("lo").over(user), "_hi": F.max("hi").over(user),
         "rank": F.row_number().over(user.orderBy(F.desc_nulls_last("raw"), "page")),
     })
-    scaled = F.when(F.col("_hi") == F.col("_lo"), F.lit(0.5)).otherwise(
+    score = F.col("raw") if not scaled else F.when(F.col("_hi") == F.col("_lo"), F.lit(0.5)).otherwise(
         (F.col("raw") - F.col("_lo")) / (F.col("_hi") - F.col("_lo")))
     return ranked.filter((F.col("rank") <= F.col("n")) & F.col("raw").isNotNull()).select(
-        "user_id", "rank", "page", scaled.alias("score"))
+        "user_id", "rank", "page", score.alias("score"))
 
 
-def _candidates(asked: DataFrame, item_factors: DataFrame, exclude_seen: DataFrame | None) -> DataFrame:
+def _candidates(asked: DataFrame, item_factors: DataFrame, exclude_seen: DataFrame | None, scaled: bool = True) -> DataFrame:
     """The best ``n`` items of every user from each cell of items."""
-    items = item_blocks(item_factors)
+    items = item_blocks(item_factors, by_norm=True)
     users = user_blocks(asked, {"n": "wanted"})
     if exclude_seen is not None:
         users = with_seen(users, items, exclude_seen)
-    found = map_blocks(meet(users, items), "user_id string, page string, raw double, lo double, hi double, n int", _Best)
+    found = map_blocks(meet(users, items), "user_id string, page string, raw double, lo double, hi double, n int", _Best if scaled else _BestRaw)
     return found.withColumn("raw", F.nanvl("raw", F.lit(None).cast("double")))
 
 
-def recommend_top_n(user_factors: DataFrame, item_factors: DataFrame, n: int = 10, exclude_seen: DataFrame | None = None) -> DataFrame:
+def recommend_top_n(
+    user_factors: DataFrame, item_factors: DataFrame, n: int = 10, exclude_seen: DataFrame | None = None, scaled: bool = True,
+) -> DataFrame:
     """Best ``n`` items of every user of the model."""
     if n <= 0:
         raise ValueError("n must be greater than 0")
-    return _best_items(user_factors.select("user_id", "factors", F.lit(n).alias("n")), item_factors, exclude_seen)
+    return _best_items(user_factors.select("user_id", "factors", F.lit(n).alias("n")), item_factors, exclude_seen, scaled)
 
 
 def recommend_nested(recommendations: DataFrame) -> DataFrame:

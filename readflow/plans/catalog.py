@@ -593,6 +593,12 @@ def recommend_top_n(spark, d):
     return recommend.recommend_top_n(*tables.factor_model(spark, d), 10)
 
 
+@query("select user_id, cast(rank as int) as rank, page, round(score, 6) score from scaled_scores where rank <= 10")
+def recommend_top_scores(spark, d):
+    """The model's own scores: no range is wanted, so short vectors can be passed over."""
+    return recommend.recommend_top_n(*tables.factor_model(spark, d), 10, scaled=False)
+
+
 @query("""select user_id, cast(row_number() over (partition by user_id order by score desc, page) as int) as rank, page, round((score - lo) / (hi - lo), 6) score
     from scaled_scores where (user_id, page) not in (select (user_id, page) from pairs)
     qualify row_number() over (partition by user_id order by score desc, page) <= 10""")

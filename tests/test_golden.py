@@ -255,14 +255,14 @@ def test_many_blocks_equal_one(spark, sf, monkeypatch):
         return table(recommend.recommend_top_n(users, pages, 5), "user_id", "rank", "page"), table(
             evaluate.rank_positives(positives, users, pages), "user_id", "page", "rank")
     one = both()
-    monkeypatch.setattr(blocks.item_blocks, "__defaults__", (40,))
+    monkeypatch.setattr(blocks.item_blocks, "__defaults__", (40, False))
     monkeypatch.setattr(blocks.user_blocks, "__defaults__", (70,))
     monkeypatch.setattr(evaluate, "ROWS_PER_RANK_BLOCK", 3)
     monkeypatch.setattr(evaluate, "POSITIVES_PER_CHUNK", 2)
     monkeypatch.setattr(blocks, "CELL", 2)
     assert both() == one
-    n_items, n_users = pages.count(), users.count()
-    cells = -(-(-(-n_items // 40)) // 2)
+    n_users = users.count()
+    cells = -(-blocks.item_blocks(pages, 40, by_norm=True).shape.first().blocks // 2)
     asked = users.select("user_id", "factors", F.lit(5).alias("n"))
     seen = tables.interactions(spark, sf).select("user_id", "page")
     before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")

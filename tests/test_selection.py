@@ -3,10 +3,12 @@
 import math
 import random
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from readflow.operators import blocks, distributions, scaling, selection
+from readflow.operators import blocks, distributions, recommend, scaling, selection
+from readflow.session import materialize
 
 DOUBLES = [-math.inf, -1e300, -2.5, -5e-324, -0.0, 0.0, 5e-324, 1e-300, 1.0, math.nextafter(1.0, 2.0), 1e300, math.inf]
 
@@ -73,10 +75,87 @@ def test_seen_pairs_stay_in_their_cell(spark, monkeypatch):
     rows = blocks.meet(blocks.with_seen(users, items, pairs), items).collect()
     held = {(r.user_block, r.item_cell): r.seen for r in rows}
     assert len(rows) == len({(r.user_block, r.item_block) for r in rows}) == users.df.count() * items.df.count()
-    assert all(s.item_block // 2 == cell for (_, cell), seen in held.items() for s in seen or ())
+    assert all(s.item_block % 6 == cell for (_, cell), seen in held.items() for s in seen or ())
     assert sum(len(seen or ()) for seen in held.values()) == 91
 
 
+def varied_model(spark, n_users=60, n_items=2_000, bias=0.0):
+    """Lengths from 1 to some 10,000, and zero vectors; scores of both signs."""
+    def gaussian(salt, n):
+        return F.array(*[F.randn(salt + k) for k in range(n)])
+    users = spark.range(n_users).repartition(2).select(F.concat(F.lit("u"), "id").alias("user_id"), gaussian(1, 8).alias("f"), "id")
+    users = users.select("user_id", F.when(F.col("id") == 0, F.array_repeat(F.lit(0.0), 8)).otherwise(F.col("f")).alias("factors"), F.lit(0.0).alias("bias"))
+    items = spark.range(n_items).repartition(3).select(F.concat(F.lit("p"), "id").alias("page"), gaussian(50, 8).alias("f"), "id")
+    length = F.when(F.col("id") % 50 == 0, F.lit(0.0)).otherwise(F.pow(F.lit(0.99), F.col("id") % 900) * 10_000)
+    items = items.select("page", F.transform("f", lambda x: x * length).alias("factors"), (bias * (F.col("id") % 7)).alias("bias"))
+    return materialize(users, "users"), materialize(items, "items")
+
+
+def plain_best(users, items, n, seen=()):
+    u, i = users.collect(), items.collect()
+    scores = np.round(np.array([r.factors for r in u]) @ np.array([r.factors for r in i]).T + np.array([r.bias for r in i]), 9)
+    out = {}
+    for r, own in zip(u, scores):
+        kept = sorted((-s, q.page) for s, q in zip(own, i) if (r.user_id, q.page) not in seen)[:n]
+        out[r.user_id] = [(p, own.min(), own.max(), -s) for s, p in kept]
+    return out
+
+
+@pytest.mark.parametrize("bias", [0.0, 300.0])
+@pytest.mark.parametrize("threshold", ["-1", "10MB"])
+def test_the_norm_bound_changes_nothing(spark, monkeypatch, bias, threshold):
+    monkeypatch.setattr(blocks.item_blocks, "__defaults__", (64, False))
+    monkeypatch.setattr(blocks.user_blocks, "__defaults__", (16,))
+    monkeypatch.setattr(blocks, "CELL", 8)
+    users, items = varied_model(spark, bias=bias)
+    seen = spark.createDataFrame([("u1", f"p{k}") for k in range(0, 2_000, 3)] + [("u2", "p1")], "user_id string, page string")
+    want = plain_best(users, items, 7, {(r.user_id, r.page) for r in seen.collect()})
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    try:
+        for scaled in (True, False):
+            rows = recommend.recommend_top_n(users, items, 7, exclude_seen=seen, scaled=scaled).orderBy("user_id", "rank").collect()
+            found = {}
+            for r in rows:
+                found.setdefault(r.user_id, []).append((r.page, r.score))
+            assert {k: [p for p, _ in v] for k, v in found.items()} == {k: [p for p, *_ in v] for k, v in want.items()}
+            for k, v in found.items():
+                for (_, score), (_, lo, hi, raw) in zip(v, want[k]):
+                    assert score == pytest.approx(raw if not scaled else 0.5 if hi == lo else (raw - lo) / (hi - lo), abs=1e-9)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+@pytest.mark.parametrize("kind, least", [("_Best", 0.5), ("_BestRaw", 0.5)])
+def test_blocks_of_short_vectors_are_skipped(spark, kind, least):
+    users, items = varied_model(spark)
+    packed = blocks.user_blocks(users.filter("user_id <> 'u0'").withColumn("n", F.lit(5)), {"n": "wanted"}, rows=16)
+    met = blocks.meet(packed, blocks.item_blocks(items, 64, by_norm=True)).toPandas()
+    skipped = 0
+    for _, own in met.sort_values(["user_block", "item_block"]).groupby("user_block"):
+        held = None
+        for row in own.itertuples(index=False):
+            held = held or getattr(recommend, kind)(row)
+            held.add(row)
+        skipped += held.skipped
+    assert least * len(met) < skipped < len(met)
+
+
+def test_blocks_by_length(spark):
+    """Every page is in one block, no block is longer than wanted by much, and lengths fall from block to block by class."""
+    _, items = varied_model(spark)
+    packed = blocks.item_blocks(items, 64, by_norm=True)
+    rows = sorted(packed.df.collect(), key=lambda r: r.item_block)
+    assert packed.shape.first().blocks >= len(rows) and sum(len(r.pages) for r in rows) == len({p for r in rows for p in r.pages}) == 2_000
+    longest = [np.linalg.norm(np.array(r.item_matrix).reshape(len(r.pages), -1), axis=1).max() for r in rows]
+    shortest = [np.linalg.norm(np.array(r.item_matrix).reshape(len(r.pages), -1), axis=1).min() for r in rows]
+    assert all(b <= a * 2**0.25 * (1 + 1e-9) or a == 0 for a, b in zip(shortest, longest[1:]))
+    none = blocks.item_blocks(items.limit(0), 64, by_norm=True)
+    assert none.df.count() == 0 and none.shape.first().blocks == 1
+    zero = blocks.item_blocks(items.withColumn("factors", F.array(F.lit(0.0))), 64, by_norm=True)
+    assert zero.shape.first().blocks == 32 and zero.df.select(F.sum(F.size("pages"))).first()[0] == 2_000
+
+
 def test_too_many_labels_are_an_error(spark, monkeypatch):
     monkeypatch.setattr(scaling, "MAX_LABELS", 3)
     df = spark.createDataFrame([(x,) for x in "abcda"], "label string")
