@@ -7,7 +7,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from readflow.llm.graph import components
 from readflow.session import materialize
@@ -21,6 +21,7 @@ CROWDED = 0.95  # share of the sampled vectors of a dimension whose neighbours a
 SPILL = 0.15  # half-width of the window that a vector keeps around itself at a cut
 PROJECTIONS, WINDOW = 32, 0.6  # projections counted in a cell, and the half-width of a window
 TABLE_RECALL, COUNT_RECALL = 0.97, 0.995  # chances that a pair at the threshold is met in a cell, and passes the count
+PLAIN_RANGE = (1e-60, 1e60)  # largest components whose squares, and products of squares, are doubles
 SEED = 20240229
 
 
@@ -219,6 +220,24 @@ def _cell_links(batches: Iterator[pa.RecordBatch], cosine: float) -> Iterator[pa
         yield links()
 
 
+def in_range(v: Column) -> Column:
+    """``v`` where it has a direction, null where it is empty or zero or holds null or non-finite components.
+
+    Squares of components beyond some 1e154 leave the doubles, and those below 1e-162 vanish. Vectors
+    whose largest component lies outside ``PLAIN_RANGE`` are divided by the power of two below it,
+    which loses no digit of the components that count.
+    """
+    sizes = F.transform(v, lambda x: F.abs(x))
+    whole = F.coalesce(F.forall(v, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf"))), F.lit(False))
+    peak = F.array_max(sizes)
+    plain = peak.between(*PLAIN_RANGE)
+    # Two factors: the inverse of a subnormal power of two is no double.
+    half = F.floor(F.log2(peak) / 2)
+    rest = F.floor(F.log2(peak)) - half
+    scaled = F.transform(v, lambda x: x * F.pow(F.lit(2.0), -half) * F.pow(F.lit(2.0), -rest))
+    return F.when(whole & (peak > 0), F.when(plain, v).otherwise(scaled))
+
+
 def near_duplicates(vectors: DataFrame, key: str = "vec_id", embedding: str = "embedding", cosine: float = COSINE, cell: int = CELL) -> DataFrame:
     """Per vector: key (bigint), n_links, component_id, kept.
 
@@ -233,14 +252,12 @@ def near_duplicates(vectors: DataFrame, key: str = "vec_id", embedding: str = "e
 
     Links may be missed with a small chance (by design below 5 % at the threshold itself, less for
     closer pairs); none is reported below it. With one cell per table nothing is cut. Vectors that
-    are null, empty, zero, or hold null or non-finite components, and rows with a null key link
+    are null, empty, zero, or hold null or non-finite components (``in_range``), and rows with a null key link
     with nothing: 0 links, their own key as component. Vectors of different dimensions never
     link. Repeated rows are vectors of their own that share a key. Other columns are not read.
     """
     rows = vectors.select(F.col(key).cast("bigint").alias("id"), F.col(embedding).cast("array<double>").alias("v"))
-    norm = F.aggregate("v", F.lit(0.0), lambda acc, x: acc + x * x)
-    fit = F.col("id").isNotNull() & F.coalesce((norm > 0) & (norm < float("inf")), F.lit(False))
-    rows = rows.withColumn("v", F.when(fit, F.col("v")))
+    rows = rows.withColumn("v", F.when(F.col("id").isNotNull(), in_range(F.col("v"))))
     classes = rows.filter(F.col("v").isNotNull()).groupBy("v").agg(F.min("id").alias("rep"), F.count(F.lit(1)).alias("weight"))
     classes = materialize(classes.select("rep", F.xxhash64("v").alias("cid"), "weight", F.size("v").alias("dim"), "v"), "vector-classes")
     total = classes.count()

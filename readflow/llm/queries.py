@@ -108,8 +108,9 @@ def op6_secrets(spark, d):
 
 
 @query("""
-with recursive fit as (select vec_id, cast(embedding as double[]) v from embeddings
-  where embedding is not null and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0 and list_sum(list_transform(embedding, lambda x: abs(x))) > 0),
+with recursive sized as (select vec_id, cast(embedding as double[]) v, list_max(list_transform(cast(embedding as double[]), lambda x: abs(x))) peak from embeddings
+  where embedding is not null and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0),
+fit as (select vec_id, case when peak between 1e-60 and 1e60 then v else list_transform(v, lambda x: x / peak) end v from sized where peak > 0),
 pairs as (select a.vec_id a, b.vec_id b from fit a join fit b on a.vec_id <> b.vec_id and len(a.v) = len(b.v) and list_cosine_similarity(a.v, b.v) >= 0.9),
 reach as (select vec_id a, vec_id b from embeddings union select reach.a, pairs.b from reach join pairs on reach.b = pairs.a),
 roots as (select a vec_id, min(b) component_id from reach group by a),

@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import json
 import math
 import re
 from collections.abc import Iterator
+from functools import cache
 
+import public_tokenizers
 import pyarrow as pa
 from pyspark.sql import Column, functions as F
 from pyspark.sql.types import DataType
@@ -19,14 +22,15 @@ ASSIGN_CHARS, ACCESS_CHARS = 6, 20
 
 #: Kind of the spans that the guess-cost method adds: values in credential context that are hard to guess.
 GUESS = "guess"
-#: ``key`` ends any name (SECRET_KEY, api key). After : or = the scheme of an authorization header is not the value.
+#: ``key`` is a word, the last part of a name (SECRET_KEY, apiKey, api key) or ends one of the names listed, but not turkey. After : or = the scheme of an authorization header is not the value.
 #: Behind blanks alone the value is only looked at, so that what follows is searched as well.
 CONTEXT = re.compile(
-    r"""(?:pass(?:word|wd|phrase|code)?|pwd|secret|token|key|client[_-]?id|credentials?|auth(?:orization)?|bearer)["']?\s*(?:=>|[:=])\s*(?:(?:bearer|basic|digest|token)[ \t]+)?(?:"([^"\n]+)"|'([^'\n]+)'|([^\s"',;]+))|(?:authorization|bearer)[ \t]+(?=([^\s"',;]+))""",
+    r"""(?:pass(?:word|wd|phrase|code)?|pwd|secret|token|(?:(?<![a-z])|(?-i:(?=K))|(?:api|access|secret|private|auth|session|master|shared|account|ssh|encryption|signing|license))key|client[_-]?id|credentials?|auth(?:orization)?|bearer)["']?\s*(?:=>|[:=])\s*(?:(?:bearer|basic|digest|token)[ \t]+)?(?:"([^"\n]+)"|'([^'\n]+)'|([^\s"',;]+))|(?:authorization|bearer)[ \t]+(?=([^\s"',;]+))""",
     re.A | re.I)
 _WORDS = re.compile(r"(?:[A-Z]?[a-z]+|[A-Z]+)(?:[-./:!?)\]]+(?:[A-Z]?[a-z]+|[A-Z]+))*[-./:!?)\]]*")
 CONTEXT_KEYS = (b"pass", b"pwd", b"secret", b"token", b"api", b"key", b"client", b"credential", b"auth", b"bearer")
 MIN_BITS = 40.0
+PROSE_SIGNS = "-.,:;!?()[]…'"
 MIN_CHARS = 8
 
 # Frequent parts of chosen passwords, most frequent first.
@@ -40,8 +44,24 @@ COMMON_WORDS = (
 KEYBOARD_ROWS = ("`1234567890-=", "qwertyuiop[]\\", "asdfghjkl;'", "zxcvbnm,./")
 LEET = str.maketrans("@4310$57!", "aaeiossti")
 
-_RANK = {w: i + 1 for i, w in enumerate(COMMON_WORDS)}
-_LONGEST = max(map(len, COMMON_WORDS))
+#: The file of a public tokenizer: its whole words, in the order in which it learned them, are words of common language by frequency.
+DICTIONARY = "word_bpe_49k.json"
+WORD_END = "</w>"
+LONGEST_WORD = 24
+
+
+@cache
+def word_ranks() -> dict[str, int]:
+    """Ranks from 1: parts of chosen passwords, then the words of letters (3 to ``LONGEST_WORD``) of the tokenizer's vocabulary.
+
+    The vocabulary is a fixed file of some 49,000 entries, read once per process.
+    """
+    with open(public_tokenizers.path(DICTIONARY), encoding="utf-8") as f:
+        entries = json.load(f)["model"]["vocab"]
+    ends = [w.removesuffix(WORD_END) for w in sorted(entries, key=entries.__getitem__) if w.endswith(WORD_END)]
+    words = [*COMMON_WORDS, *(w for w in ends if 3 <= len(w) <= LONGEST_WORD and w.isascii() and w.isalpha())]
+    return {w: i for i, w in enumerate(dict.fromkeys(words), 1)}
+
 _PLACE = {c: (y, x) for y, row in enumerate(KEYBOARD_ROWS) for x, c in enumerate(row)}
 _DATE = re.compile(r"(?:19|20)\d\d([-/._]?)(?:0[1-9]|1[0-2])\1(?:0[1-9]|[12]\d|3[01])|(?:0[1-9]|[12]\d|3[01])([-/._]?)(?:0[1-9]|1[0-2])\2(?:19|20)\d\d|(?:19|20)\d\d")
 _ALPHABET = ((str.isdigit, 10), (str.islower, 26), (str.isupper, 26))
@@ -69,6 +89,7 @@ def guess_bits(value: str) -> float:
     number of pieces, which makes the cost linear in the length. Every piece but brute force pays one
     bit for its kind and its place. The empty value costs 0.
     """
+    ranks = word_ranks()
     n = len(value)
     plain = value.lower()
     leet = plain.translate(LEET)
@@ -92,9 +113,9 @@ def guess_bits(value: str) -> float:
         if walk_end[i] - i >= 3:
             length = walk_end[i] - i
             offer(walk_end[i], 1 + math.log2(len(_PLACE)) + math.log2(length) + 0.5 * length)
-        for end in range(i + 3, min(n, i + _LONGEST) + 1):
-            rank = _RANK.get(plain[i:end])
-            if rank is None and (rank := _RANK.get(leet[i:end])) is not None:
+        for end in range(i + 3, min(n, i + LONGEST_WORD) + 1):
+            rank = ranks.get(plain[i:end])
+            if rank is None and (rank := ranks.get(leet[i:end])) is not None:
                 rank *= 4
             if rank is not None:
                 piece = value[i:end]
@@ -105,13 +126,20 @@ def guess_bits(value: str) -> float:
     return best[n]
 
 
+def is_prose(value: str) -> bool:
+    """Blank-separated words (two or more), all of them, but for signs around them, in the dictionary: a sentence or title."""
+    words = value.lower().split()
+    return len(words) > 1 and all((w := x.strip(PROSE_SIGNS)) in word_ranks() or len(w) < 3 and w.isalpha() for x in words)
+
+
 def find_spans(text: str) -> list[tuple[int, int, str, float]]:
     """(start, end, kind, bits) by start, then kind as listed; code points, end exclusive.
 
     The base kinds take their whole matches, leftmost and without overlap per kind, and carry the
     guess cost of the value (group 2 of ``assign``). ``guess`` takes the values in credential context
     of at least ``MIN_CHARS`` characters that cost ``MIN_BITS`` or more; behind a blank alone (``bearer
-    certificates``) plain words are not values. A text without any of the
+    certificates``) plain words are not values, nor are several words in quotation marks (``is_prose``) unless a password is
+    named before them. A text without any of the
     cheap signs (key words, AKIA, a run of 24 hex digits) is not searched further.
     """
     raw = text.encode("utf-8", "surrogatepass")
@@ -123,7 +151,7 @@ def find_spans(text: str) -> list[tuple[int, int, str, float]]:
                 spans.append((m.start(), m.end(), 0, guess_bits(m[2])))
         for m in CONTEXT.finditer(text):
             value = m[m.lastindex]
-            if m.lastindex == 4 and _WORDS.fullmatch(value):
+            if m.lastindex == 4 and _WORDS.fullmatch(value) or m.lastindex < 3 and m[0][:1] not in "pP" and is_prose(value):
                 continue
             if len(value) >= MIN_CHARS and (bits := guess_bits(value)) >= MIN_BITS:
                 spans.append((m.start(m.lastindex), m.end(m.lastindex), 3, bits))

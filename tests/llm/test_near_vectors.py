@@ -21,7 +21,7 @@ def brute(rows, cosine=0.9):
     for i, (a, v) in enumerate(rows):
         for j, (b, w) in enumerate(rows[:i]):
             if None not in (a, b) and fit(v) and fit(w) and len(v) == len(w):
-                x, y = np.array(v, float), np.array(w, float)
+                x, y = (np.array(z, float) / np.abs(np.array(z, float)).max() for z in (v, w))
                 if x @ y / np.sqrt((x @ x) * (y @ y)) >= cosine:
                     links[i] += 1
                     links[j] += 1
@@ -45,6 +45,18 @@ def clusters(seed, n=300, dim=16):
 
 ODD = [(5000, None), (5001, []), (5002, [0.0] * 16), (5003, [1.0, None] + [0.5] * 14), (5004, [float("nan")] * 16), (5005, [float("inf")] + [1.0] * 15),
        (5006, [1.0, 0.0]), (5007, [1.0, 0.1]), (None, [1.0, 0.0]), (5008, [2.0, 0.0]), (5009, [2.0, 0.0]), (5009, [2.0, 0.0])]
+HUGE = [(1, [1e200, 1e200]), (2, [1e200, 1e200]), (3, [1e308, 1.7e308]), (4, [3e-320, 5e-320]), (5, [5e-324, 0.0]), (6, [1e-200, 1e-320]), (7, [-1e250, 1e250]),
+        (8, [3.0, 3.0]), (9, [-1e-3, 1e-3]), (10, [1e-170, -1e-170]), (11, [1e200, -0.0]), (12, [0.0, -0.0]), (13, [1e200, float("nan")])]
+
+
+def test_huge_and_tiny_vectors(spark):
+    """Squares that overflow or vanish make no vector unfit."""
+    df = spark.createDataFrame(HUGE, "vec_id long, embedding array<double>")
+    out = found(near_vectors.near_duplicates(df.repartition(3)))
+    assert out == brute(HUGE)
+    roots = {int(k): (n, r) for k, n, r in out}
+    assert roots[1][1] == roots[2][1] == roots[3][1] == roots[4][1] == roots[8][1] == "1" and roots[5][1] == roots[6][1] == roots[11][1]
+    assert roots[7][1] == roots[9][1] == "7" and roots[12] == (0, "12") and roots[13] == (0, "13")
 
 
 @pytest.mark.parametrize("most", [4096, 40])
