@@ -60,6 +60,7 @@ MIN_MATCH = 3  # words of a match that may be chained
 MAX_GAP = 12  # words a chain may skip in the document
 MIN_COVERAGE = 0.6  # covered share of a template that makes a span
 MIN_WORDS = 20  # or so many covered words, for parts of long templates
+SHORT_SPAN = 8  # a span of fewer covered words must hold the words that tell its label
 
 
 class Span(NamedTuple):
@@ -76,6 +77,12 @@ class Automaton:
         sequences = [(label, words_of(text)) for label, text in templates] + [(label, p.split()) for p, label in phrases.items()]
         self.words = {w: i for i, w in enumerate(dict.fromkeys(w for _, ws in sequences for w in ws))}
         self.labels = [label for label, _ in sequences]
+        holders: dict[str, set[str]] = defaultdict(set)
+        for label, ws in sequences[: len(templates)]:
+            for w in ws:
+                holders[w].add(label)
+        #: Per template the words that no template of another label holds.
+        self.telling = [{self.words[w] for w in ws if len(holders[w]) == 1} for _, ws in sequences[: len(templates)]]
         self.sizes = [len(ws) for _, ws in sequences]
         self.next: list[dict[int, int]] = [{}]
         self.link, self.length = [-1], [0]
@@ -157,7 +164,9 @@ def scan_words(automaton: Automaton, words: list[str], n_templates: int) -> Scan
 
     Words that no template holds break every match, so only runs of known words are streamed through
     the automaton. A match that the next word does not prolong is kept with its place in each
-    template; per template the matches are chained in order of both texts (``chain``).
+    template; per template the matches are chained in order of both texts (``chain``). A span of fewer
+    than ``SHORT_SPAN`` covered words also holds every word that only templates of its label hold
+    (``mit``; ``cc`` and ``nc``): a few common words alone are no licence.
     """
     codes = np.fromiter((automaton.words.get(w, -1) for w in words), np.int32, len(words))
     known = np.flatnonzero(np.diff(np.concatenate(([0], (codes >= 0).view(np.int8), [0]))))
@@ -178,7 +187,12 @@ def scan_words(automaton: Automaton, words: list[str], n_templates: int) -> Scan
                     places.append((at + 1 - size, automaton.labels[t]))
             before = (state, held)
             at += 1
-    spans = [s for t, own in matches.items() for s in chain(own, automaton.sizes[t], automaton.labels[t])]
+    spans = []
+    for t, own in matches.items():
+        for s in chain(own, automaton.sizes[t], automaton.labels[t]):
+            covered = s.coverage * automaton.sizes[t]
+            if covered > SHORT_SPAN - 0.5 or automaton.telling[t] and automaton.telling[t] <= set(codes[s.first : s.end].tolist()):
+                spans.append(s)
     return Scan(len(words), sorted(places), sorted(set(spans)))
 
 
