@@ -55,7 +55,11 @@ def user_type_by_day(interactions: DataFrame) -> DataFrame:
 
 def recency_access(interactions: DataFrame, items: DataFrame) -> DataFrame:
     """Reads by issue date and age of the article; reads are counted per page before the join."""
-    reads = _count(interactions, "page", name="reads")
+    return recency_of_counts(_count(interactions, "page", name="reads"), items)
+
+
+def recency_of_counts(reads: DataFrame, items: DataFrame) -> DataFrame:
+    """``recency_access`` from reads (page, reads). Tables bucketed alike by page join without a shuffle."""
     return (
         reads.join(items.select("page", "year", "month", "day", "days_since_published"), "page")
         .groupBy(

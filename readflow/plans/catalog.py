@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
+from contextlib import contextmanager
 
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -293,6 +295,29 @@ def recency_access(spark, d):
     return analytics.recency_access(tables.interactions(spark, d), silver_items(spark, d))
 
 
+LAYER_BUCKETS = 32
+
+
+@contextmanager
+def co_located(spark, d):
+    """Reads per page and article dates as two tables of equal buckets by page. Reads are summed first: no page is hot."""
+    names = [f"layer_{uuid.uuid4().hex}" for _ in range(2)]
+    reads = tables.interactions(spark, d).groupBy("page").agg(F.count(F.lit(1)).alias("reads"))
+    dates = silver_items(spark, d).select("page", "year", "month", "day", "days_since_published")
+    try:
+        yield [files.write_bucketed(df, name, scratch_path(spark, "layer"), ["page"], LAYER_BUCKETS) for name, df in zip(names, (reads, dates))]
+    finally:
+        for name in names:
+            spark.sql(f"drop table if exists {name}")
+
+
+@query("select item_year, item_month, item_day, days_since_published, access_count from access")
+def recency_access_bucketed(spark, d):
+    """Recency over stored layers: pages meet where they lie, and only counts per date are shuffled."""
+    with co_located(spark, d) as (reads, dates):
+        return materialize(analytics.recency_of_counts(reads, dates), "recency")
+
+
 @query("select days_since_published, cast(sum(access_count) as bigint) access_count from access group by 1")
 def recency_curve(spark, d):
     return analytics.recency_curve(analytics.recency_access(tables.interactions(spark, d), silver_items(spark, d)))

@@ -93,6 +93,21 @@ def write_partitioned(
     )
 
 
+def write_bucketed(df: DataFrame, name: str, path: str, keys: Iterable[str], buckets: int) -> DataFrame:
+    """A catalogue table of ``buckets`` buckets by ``keys`` at ``path``, replacing one of that name.
+
+    Grouping by the keys, and joining with another table of as many buckets by the same keys, needs
+    no shuffle. Rows go to their bucket's task before they are written, so a bucket is one file; all
+    rows of one key are in one bucket, so hot keys belong in ``write_partitioned``.
+    """
+    keys = list(keys)
+    (
+        df.repartition(buckets, *keys).write.mode("overwrite").format("parquet").option("compression", "snappy")
+        .option("path", path).bucketBy(buckets, *keys).sortBy(*keys).saveAsTable(name)
+    )
+    return df.sparkSession.table(name)
+
+
 def register_views(interactions: DataFrame, items: DataFrame) -> None:
     """Names under which SQL users find the two silver layers."""
     interactions.createOrReplaceTempView("interactions")

@@ -127,3 +127,21 @@ def test_cold_ids_are_evaluated(spark):
     assert evaluate.metrics_by_k(held, *full, [1]).first()["users"] == 2
     ranks = {(r["user_id"], r["page"]): r["rank"] for r in evaluate.rank_positives(held, *full).collect()}
     assert ranks == {("a", "p"): 0, ("cold", "p"): 2, ("a", "new"): 2}
+
+
+def test_bucketed_layers_join_in_place(spark, sf):
+    from readflow.operators import analytics
+    from readflow.plans import catalog
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        with catalog.co_located(spark, sf) as (reads, dates):
+            out = analytics.recency_of_counts(reads, dates)
+            plan = out._jdf.queryExecution().executedPlan().toString()
+            assert plan.count("Exchange hashpartitioning") == 1 and "SortMergeJoin" in plan
+            assert "Exchange" not in plan[plan.index("SortMergeJoin") :] and "Bucketed: true" in plan
+            assert {r["page"] for r in reads.collect()} and sum(r["access_count"] for r in out.collect()) > 0
+            name = spark.sql("show tables").filter("tableName like 'layer_%'").count()
+        assert name == 2 and spark.sql("show tables").filter("tableName like 'layer_%'").count() == 0
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
