@@ -100,14 +100,14 @@ def fit(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "te
     seen = {r["y"] for r in sample.select("y").distinct().collect()}
     if seen != {0, 1}:
         return Rules({(): 0.0, (0,): -10.0, (1,): 10.0}[tuple(seen)], [])
-    names = [c for c in sample.columns if c.startswith("_q_")]
+    names = [c for c in sample.columns if c.startswith(PREFIX)]
     vectors = VectorAssembler(inputCols=names, outputCol="features").transform(sample)
     forest = RandomForestClassifier(labelCol="y", weightCol="scale", numTrees=TREES, maxDepth=DEPTH, seed=SEED, featureSubsetStrategy="onethird").fit(vectors)
     paths = sorted(tree_paths(forest.toDebugString, names))
     if not paths:
         share = sample.agg((F.sum(F.col("y") * F.col("scale")) / F.sum("scale")).alias("p")).select(F.log(F.col("p") / (1 - F.col("p")))).first()[0]
         return Rules(share, [])
-    ruled = sample.select("y", "scale", array_to_vector(F.array(*[_rule(p).cast("double") for p in paths])).alias("features"))
+    ruled = sample.select("y", "scale", array_to_vector(F.array(*[_rule(p, PREFIX).cast("double") for p in paths])).alias("features"))
     lasso = LogisticRegression(labelCol="y", weightCol="scale", elasticNetParam=1.0, regParam=LASSO, maxIter=100, standardization=False).fit(ruled)
     weights = lasso.coefficients.toArray().tolist()
     return Rules(float(lasso.intercept), [(w, p) for w, p in zip(weights, paths) if w])

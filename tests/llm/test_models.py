@@ -98,6 +98,14 @@ def test_tree_paths():
         (("a", ">", 0.5),), (("a", "<=", 0.75), ("a", ">", 0.5)), (("a", ">", 0.75),)}
 
 
+def test_quality_rules_are_fitted(spark):
+    """Two kinds of text and labels for both: the forest has paths, and the rules made of them tell the kinds apart."""
+    docs = spark.createDataFrame([(i, f"a plain line of {i} words" if i % 2 else "| $ | # " * (3 + i % 5)) for i in range(60)], "doc_id long, text string")
+    model = quality.fit(docs, docs.select("doc_id", (F.col("doc_id") % 2).cast("int").alias("quality")))
+    rows = quality.classify(docs, model).collect()
+    assert model.rules and all((r["quality_score"] > 0.5) == (r["doc_id"] % 2 == 1) for r in rows)
+
+
 def test_quality_edges(spark, edges, no_rows, larger):
     labels = spark.createDataFrame([(1, None, 0), (None, 1, 1), (4, 1, 0), (5, 0, 1), (8, 1, 0), (8, 0, None), (77, 1, 1)], "doc_id long, quality int, toxic int")
     for some in (labels, labels.filter("quality = 1"), labels.limit(0)):
