@@ -162,3 +162,34 @@ def test_too_many_labels_are_an_error(spark, monkeypatch):
     assert scaling.label_index(df.filter("label <> 'd'"), "label").count() == 3
     with pytest.raises(Exception, match="more than 3 labels"):
         scaling.label_index(df, "label").collect()
+
+
+def test_blocks_are_not_broadcast(spark):
+    """Vectors alike take next to no room in files, and all of it once they are packed."""
+    users, items = varied_model(spark)
+    zeros = materialize(items.withColumn("factors", F.array_repeat(F.lit(0.0), 8)), "zeros")
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "10MB")
+    try:
+        plan = blocks.meet(blocks.user_blocks(users, {}), blocks.item_blocks(zeros))._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert "SortMergeJoin" in plan and "BroadcastHashJoin" not in plan
+
+
+def test_ties_of_a_zero_catalogue_are_passed_over(spark):
+    """Pages the model knows nothing of all score alike: few rows are held, and blocks of later pages are skipped."""
+    users, items = varied_model(spark, n_users=20, n_items=1_200)
+    known = F.substring("page", 2, 9).cast("int") < 3
+    items = materialize(items.withColumn("factors", F.when(known, F.col("factors")).otherwise(F.array_repeat(F.lit(0.0), 8))), "mostly-zeros")
+    want = plain_best(users, items, 7)
+    got = {}
+    for r in recommend.recommend_top_n(users, items, 7).orderBy("user_id", "rank").collect():
+        got.setdefault(r.user_id, []).append(r.page)
+    assert got == {k: [p for p, *_ in v] for k, v in want.items()}
+    packed = blocks.user_blocks(users.withColumn("n", F.lit(7)), {"n": "wanted"}, rows=32)
+    met = blocks.meet(packed, blocks.item_blocks(items, 64, by_norm=True)).toPandas().sort_values("item_block")
+    held = recommend._Best(met.iloc[0])
+    for row in met.itertuples(index=False):
+        held.add(row)
+    assert held.skipped > 0 and len(held.rows) == 7 * 20
