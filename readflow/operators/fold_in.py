@@ -53,16 +53,28 @@ def map_residuals(features: DataFrame, item_factors: DataFrame, weights: np.ndar
 
     Summed once more from the articles themselves: features times the error of each article's prediction.
     """
-    rows = predicted(features.join(item_factors.filter(KNOWN), "page"), weights, "page string, features_array array<double>, factors array<double>, bias double",
-                     lambda df: df.select("page", vector_to_array("features").alias("features_array"), "factors", F.coalesce("bias", F.lit(0.0)).alias("bias")))
-    target = F.concat("factors", F.array("bias"))
-    error = F.zip_with(target, "predicted", lambda t, p: t - p)
-    terms = rows.select(F.posexplode("features_array").alias("feature_idx", "x"), error.alias("e"), target.alias("t")).filter("x != 0")
-    weighted = terms.select("feature_idx", *[array_to_vector(F.transform(c, lambda v: v * F.col("x"))).alias(c) for c in ("e", "t")])
+    rows = features.join(item_factors.filter(KNOWN), "page").select(
+        vector_to_array("features").alias("x"), F.concat("factors", F.array(F.coalesce("bias", F.lit(0.0)))).alias("target"))
+
+    def add_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        errors, targets, met = np.zeros(weights.shape), np.zeros(weights.shape), np.zeros(len(weights), bool)
+        for batch in batches:
+            x, t = (batch.column(c).flatten().to_numpy(zero_copy_only=False).reshape(-1, n) for c, n in ((0, len(weights)), (1, weights.shape[1])))
+            errors += x.T @ (t - x @ weights)
+            targets += x.T @ t
+            met |= (x != 0).any(axis=0)
+        at = np.flatnonzero(met)
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(at, pa.int32()), *[pa.array(list(m[at]), pa.list_(pa.float64())) for m in (errors, targets)]], names=["feature_idx", "e", "t"])
+
+    # One row per feature leaves a task, whatever the number of its articles.
+    parts = rows.mapInArrow(add_up, "feature_idx int, e array<double>, t array<double>")
+    weighted = parts.select("feature_idx", *[array_to_vector(c).alias(c) for c in ("e", "t")])
     sums = weighted.groupBy("feature_idx").agg(*[Summarizer.sum(F.col(c)).alias(c) for c in ("e", "t")])
+    sums = sums.select("feature_idx", *[vector_to_array(c).alias(c) for c in ("e", "t")])
     table = features.sparkSession.createDataFrame([(i, (ridge * row).tolist()) for i, row in enumerate(weights)], "feature_idx int, pull array<double>")
-    off = F.zip_with(F.coalesce(vector_to_array("e"), F.transform("pull", lambda _: F.lit(0.0))), "pull", lambda e, p: F.abs(e - p))
-    largest = sums.agg(F.max(F.array_max(F.transform(vector_to_array("t"), F.abs)))).scalar()
+    off = F.zip_with(F.coalesce("e", F.transform("pull", lambda _: F.lit(0.0))), "pull", lambda e, p: F.abs(e - p))
+    largest = sums.agg(F.max(F.array_max(F.transform("t", F.abs)))).scalar()
     return table.join(sums, "feature_idx", "left").select("feature_idx", (F.array_max(off) / largest).alias("residual"))
 
 

@@ -2,6 +2,7 @@
 
 import numpy as np
 import pytest
+from pyspark.ml.functions import array_to_vector
 from pyspark.ml.linalg import Vectors
 from pyspark.sql import functions as F
 
@@ -150,3 +151,14 @@ def test_feature_map(spark):
     assert max(r["residual"] for r in fold_in.map_residuals(features, items, weights, 1e-9).collect()) < 1e-9
     with pytest.raises(ValueError):
         fold_in.feature_map(features, items.limit(0))
+
+
+def test_map_residuals_sum_inside_tasks(spark):
+    """No row per article and feature: a task gives one row per feature; features nobody has are off by nothing."""
+    rows = spark.range(40).repartition(3).select(F.concat(F.lit("p"), "id").alias("page"), F.col("id").cast("double").alias("x"))
+    features = rows.select("page", array_to_vector(F.array("x", F.lit(0.0), F.lit(1.0))).alias("features"))
+    items = rows.select("page", F.array(F.col("x") * 2, F.col("x") - 1).alias("factors"), F.lit(None).cast("double").alias("bias"))
+    out = fold_in.map_residuals(features, items, fold_in.feature_map(features, items))
+    assert "Generate" not in out._jdf.queryExecution().executedPlan().toString()
+    found = {r.feature_idx: r.residual for r in out.collect()}
+    assert sorted(found) == [0, 1, 2] and max(found.values()) < 1e-12
