@@ -193,3 +193,13 @@ def test_ties_of_a_zero_catalogue_are_passed_over(spark):
     for row in met.itertuples(index=False):
         held.add(row)
     assert held.skipped > 0 and len(held.rows) == 7 * 20
+
+
+def test_copies_of_wide_blocks_grow_like_their_rows(spark):
+    """A catalogue four times as large, of wide vectors, is cut into as many cells; the users' copies are no more."""
+    def cells(n):
+        side = spark.range(n * 8).select("id", F.col("id").cast("string").alias("k"), F.array_repeat(F.lit(1.0), 3_000).alias("factors"), F.lit(0.0).alias("bias"))
+        users, items = materialize(side.filter("id < 16").withColumnRenamed("k", "user_id"), "users"), materialize(side.withColumnRenamed("k", "page"), "items")
+        met = blocks.meet(blocks.user_blocks(users, {}, rows=8), blocks.item_blocks(items, rows=8))
+        return len({r.item_cell for r in met.select("item_cell").collect()})
+    assert cells(16) <= blocks.ITEM_CELLS and cells(64) <= blocks.ITEM_CELLS
