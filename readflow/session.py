@@ -12,7 +12,7 @@ from collections.abc import Iterator
 from contextlib import contextmanager
 from threading import get_ident
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 SCRATCH_KEY = "spark.checkpoint.dir"
 _blocks: dict[int, list[list[str]]] = {}  # per thread of the driver, the tables of its open blocks
@@ -79,6 +79,17 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+#: Bytes of text that a task of a spread scan takes, about: its words, each with a count, take some twenty times as much memory.
+SPREAD_BYTES = 16 << 20
+
+
 def spread(scan: DataFrame, *keys: str) -> DataFrame:
-    """Deal a scan's rows out evenly, for per-row work such as text cleaning that costs more than a shuffle of its input."""
-    return scan.repartition(*keys)
+    """Deal a scan's rows out evenly, for per-row work such as text cleaning that costs more than a shuffle of its input.
+
+    The number of parts follows the bytes of the scan's texts, which are summed first, so that a task's share stays as it
+    is when the input grows; a small scan is cut into as many parts as the session shuffles to, of a megabyte or more.
+    """
+    sizes = [F.sum(F.octet_length(f.name)) for f in scan.schema if isinstance(f.dataType, T.StringType)]
+    size = sum(n or 0 for n in scan.agg(*sizes).first()) if sizes else 0
+    few = min(int(scan.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-size // (1 << 20)))
+    return scan.repartition(max(1, few, -(-size // SPREAD_BYTES)), *keys)

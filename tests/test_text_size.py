@@ -3,6 +3,7 @@
 from pyspark.sql import functions as F
 
 from readflow.functions import text
+from readflow.session import configure, spread
 
 
 def test_clean_text_equals_the_fixed_patterns(spark):
@@ -19,3 +20,17 @@ def test_clean_text_equals_the_fixed_patterns(spark):
 
 def test_plain_characters_need_no_negated_class():
     assert not text.DISALLOWED_PLAIN.startswith("[^") and "\\uD8" not in text.DISALLOWED_PLAIN
+
+
+def test_parts_follow_the_bytes_of_texts(spark):
+    configure(spark)
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "2")
+    try:
+        def parts(n):
+            return spread(spark.range(n).select(F.col("id").cast("string").alias("page"), F.repeat(F.lit("ab "), 350_000).alias("text")), "page").rdd.getNumPartitions()
+
+        assert [parts(n) for n in (1, 8, 48, 96)] == [2, 2, 4, 7]
+        assert spread(spark.createDataFrame([], "page string, text string"), "page").count() == 0
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
