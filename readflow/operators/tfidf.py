@@ -12,6 +12,8 @@ from readflow.functions.text import PORTUGUESE_STOP_WORDS, clean_text
 from readflow.session import materialize
 
 N_FEATURES = 300
+#: Terms whose document frequencies are sent to all tasks, at most.
+COMMON_TERMS = 100_000
 
 
 def with_clean_text(items: DataFrame, text: str = "title", out: str = "cleaned_text") -> DataFrame:
@@ -33,17 +35,39 @@ def idf(documents: Column, document_frequency: Column) -> Column:
     return F.log((documents + F.lit(1.0)) / (document_frequency + F.lit(1.0)))
 
 
+def join_frequencies(counts: DataFrame, frequencies: DataFrame, common_terms: int = COMMON_TERMS) -> DataFrame:
+    """Rows of ``counts`` with the row of their term in ``frequencies`` (one row per term, both stored).
+
+    Terms of the largest document frequencies, ``common_terms`` at most, hold most rows; these meet their frequencies without
+    a shuffle. Rows of the other terms, few each, are shuffled. Terms are told apart by the binary digits of their frequency.
+    """
+    digits = F.length(F.bin("df"))
+    sizes = frequencies.groupBy(digits.alias("digits")).agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("digits")).collect()  # 64 rows at most
+    held, since = 0, 65
+    for row in sizes:
+        held += row["n"]
+        if held > common_terms:
+            break
+        since = row["digits"]
+    common = F.broadcast(frequencies.filter(digits >= since))
+    out = counts.join(common, "term")
+    if held <= common_terms:
+        return out
+    rare = counts.join(F.broadcast(frequencies.filter(digits >= since).select("term")), "term", "left_anti")
+    return out.unionByName(rare.join(frequencies.filter(digits < since), "term"))
+
+
 def tfidf_terms(items: DataFrame, text: str = "cleaned_text", stop_words: list[str] | None = None) -> DataFrame:
     """(page, term, tf, df, idf, tfidf).
 
     The counts are written once, so that texts are cleaned and split once though the counts are read
-    twice. A common term is a hot key of the join; AQE splits its rows.
+    several times; so are the document frequencies.
     """
     counts = materialize(term_counts(items, text, stop_words), "term-counts")
     documents = items.agg(F.count(F.lit(1))).scalar()
     frequencies = counts.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
-    frequencies = frequencies.withColumn("idf", idf(documents, F.col("df")))
-    return counts.join(frequencies, "term").withColumn("tfidf", F.col("tf") * F.col("idf"))
+    frequencies = materialize(frequencies.withColumn("idf", idf(documents, F.col("df"))), "document-frequencies")
+    return join_frequencies(counts, frequencies).withColumn("tfidf", F.col("tf") * F.col("idf"))
 
 
 def hashing_stages(

@@ -3,6 +3,7 @@
 from pyspark.sql import functions as F
 
 from readflow.functions import text
+from readflow.operators import tfidf
 from readflow.session import configure, spread
 
 
@@ -34,3 +35,18 @@ def test_parts_follow_the_bytes_of_texts(spark):
         assert spread(spark.createDataFrame([], "page string, text string"), "page").count() == 0
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", before)
+
+
+def test_common_terms_meet_their_frequencies_without_a_shuffle(spark, tmp_path):
+    configure(spark)
+    rows = [(f"p{p}", f"t{t}", p + t) for p in range(40) for t in range(12) if p % (t + 1) == 0]
+    counts = spark.createDataFrame([*rows, (None, "t0", 7)], "page string, term string, tf bigint")
+    counts.write.parquet(f"{tmp_path}/counts")
+    counts = spark.read.parquet(f"{tmp_path}/counts")
+    counts.groupBy("term").agg(F.count(F.lit(1)).alias("df")).write.parquet(f"{tmp_path}/frequencies")
+    frequencies = spark.read.parquet(f"{tmp_path}/frequencies")
+    want = sorted(map(repr, counts.join(frequencies, "term").collect()))
+    for n in (0, 1, 3, 12, 100):
+        joined = tfidf.join_frequencies(counts, frequencies, n)
+        assert sorted(map(repr, joined.collect())) == want, n
+    assert "BroadcastHashJoin" in tfidf.join_frequencies(counts, frequencies)._jdf.queryExecution().sparkPlan().toString()
