@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import heapq
-import itertools
 import math
 import re
 from collections.abc import Iterator
@@ -14,7 +12,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window as W, functions as F
 
 from readflow.llm.graph import components
-from readflow.llm.texts import ascii_lower, broadcast_if_small, in_slices, release_memory, spare_name
+from readflow.llm.texts import broadcast_if_small, in_slices, release_memory, spare_name
 from readflow.session import materialize
 
 #: A word: everything between ASCII blanks.
@@ -26,36 +24,34 @@ PERCENT = 90
 COPY_SHINGLE, COPY_PERCENT = 5, 80
 #: Shingles that one cell of a candidate block should hold; larger blocks are cut into parts that meet pair by pair.
 CELL_SHINGLES = 600_000
-WORD_MEMORY = 50_000
 
 
-class WordHashes(dict):
-    """64-bit hashes of words, remembered."""
-
-    def __missing__(self, word: str) -> int:
-        if len(self) > WORD_MEMORY:
-            self.clear()
-        code = self[word] = xxhash.xxh3_64_intdigest(word.encode("utf-8", "surrogatepass"))
-        return code
-
-
-def shingle_set(text: str | None, known: WordHashes, width: int = SHINGLE) -> np.ndarray:
+def shingle_set(text: str | None, width: int = SHINGLE) -> np.ndarray:
     """Sorted distinct 64-bit hashes of the word ``width``-grams of a text.
 
     With fewer words, the whole sequence is one gram; without words the set is empty. Two different
     grams of the two texts under comparison share a hash with a chance of about 2^-44 for sets of
     a thousand; only then could a count be off by one.
+
+    Bytes know no letters and no blanks but those of ASCII, so lowering and splitting them takes one
+    pass each, and hashing a word takes no longer than looking its hash up would.
     """
-    words = [w for w in BLANKS.split(ascii_lower(text or "")) if w]
+    words = (text or "").encode("utf-8", "surrogatepass").lower().split()
     n = len(words)
     if not n:
         return np.empty(0, np.uint64)
-    codes = np.fromiter(map(known.__getitem__, words), np.uint64, n)
+    codes = np.fromiter(map(xxhash.xxh3_64_intdigest, words), np.uint64, n)
     size = min(n, width)
     grams = np.full(n - size + 1, size, np.uint64)
     for i in range(size):
         grams = (grams ^ (grams >> np.uint64(29))) * np.uint64(0x9E3779B97F4A7C15) + codes[i : n - size + 1 + i]
-    return np.unique(_mix(grams))
+    return _distinct(_mix(grams))
+
+
+def _distinct(x: np.ndarray) -> np.ndarray:
+    """Sorted distinct numbers; for short arrays a plain sort is quicker than ``np.unique``."""
+    x = np.sort(x)
+    return x[np.concatenate(([True], x[1:] != x[:-1]))] if len(x) else x
 
 
 def _mix(x: np.ndarray) -> np.ndarray:
@@ -92,7 +88,7 @@ def _parts(level: int, percent: int) -> tuple[int, int]:
 
 
 def signatures(grams: np.ndarray, percent: int = PERCENT) -> list[tuple[int, np.ndarray]]:
-    """(level, keys) for a set's own class and the one below: linked sets share a key of some level.
+    """(level, keys) for a set's own class and then the one below: linked sets share a key of the smaller one's class.
 
     The grams are cut by hash into ``_parts`` parts, and a key is a hash of a whole part. Parts of
     fewer than three grams say little and would tie strangers together, so they are left out
@@ -104,15 +100,12 @@ def signatures(grams: np.ndarray, percent: int = PERCENT) -> list[tuple[int, np.
     out = []
     own = _level(len(grams), percent)
     strong = _mix(grams + np.uint64(0x5851F42D4C957F2D))
-    for level in {own, max(own - 1, 0)}:
+    for level in sorted({own, max(own - 1, 0)}, reverse=True):
         k, spare = _parts(level, percent)
         part = (grams % np.uint64(k)).astype(np.int64)
-        order = np.argsort(part, kind="stable")
         sizes = np.bincount(part, minlength=k)
-        starts = np.concatenate(([0], np.cumsum(sizes)[:-1]))
         sums = np.zeros(k, np.uint64)
-        filled = sizes > 0
-        sums[filled] = np.add.reduceat(strong[order], starts[filled])
+        np.add.at(sums, part, strong)
         least = next(least for least in (3, 2, 1, 0) if (sizes < least).sum() <= spare)
         wanted = np.flatnonzero(sizes >= least)
         out.append((level, _mix(sums[wanted] ^ _mix(np.uint64(level * 1_000_003) + wanted.astype(np.uint64)))))
@@ -125,7 +118,6 @@ def _signature_rows(batches: Iterator[pa.RecordBatch], width: int, percent: int)
     A node is a set hash mixed with a level. Signatures that repeat inside a slice of the batch are
     turned into node pairs at once, so a key that very many documents share makes one row per slice.
     """
-    known = WordHashes()
 
     def made(kind, rows, **columns):
         arrays = [pa.array(np.full(rows, kind, np.int8))]
@@ -138,7 +130,7 @@ def _signature_rows(batches: Iterator[pa.RecordBatch], width: int, percent: int)
         for texts in in_slices((t.as_py() or "" for t in batch.column(1)), 8_000_000):
             sizes, his, los, nodes, keys, owners, seen = [], [], [], [], [], [], set()
             for text in texts:
-                grams = shingle_set(text, known, width)
+                grams = shingle_set(text, width)
                 raw = xxhash.xxh3_128_intdigest(grams.tobytes())
                 hi, lo = raw >> 64, raw & 0xFFFFFFFFFFFFFFFF
                 sizes.append(len(grams))
@@ -195,20 +187,27 @@ class InvertedLists:
         """Sets linked with set ``q``; ``skip`` maps an array of candidates to a mask of those not wanted (any more).
 
         A partner shares at least T = ``needed(|q|)`` grams with q. The T − 1 longest lists are set
-        aside, so that it must occur in one of the short ones: those are merged by a heap, which
-        counts each candidate's occurrences; the long lists are then probed for it by binary search.
+        aside, so that it must occur in one of the short ones: those are merged by one sort, whose
+        runs are each candidate's occurrences; the long lists are then probed for it by binary search,
+        unless it would fall short of its own size's overlap even if it were in all of them.
         """
         size = int(self.sizes[q])
         own = self.grams[self.ends[q] - size : self.ends[q]]
         least = needed(size, self.percent)
         own = own[np.argsort(self.lengths[own], kind="stable")]
-        short, long = own[: size - least + 1], own[size - least + 1 :]
-        lists = [(self.postings[self.starts[g] : self.starts[g + 1]] - g * self.count).tolist() for g in short.tolist() if self.lengths[g] > 1]
-        found = [(d, sum(1 for _ in run)) for d, run in itertools.groupby(heapq.merge(*lists) if len(lists) > 1 else itertools.chain(*lists)) if d != q]
-        if not found:
+        short, long = own[: size - least + 1], np.sort(own[size - least + 1 :])  # probes in order are quicker
+        short = short[self.lengths[short] > 1]
+        if not len(short):
             return
-        cands, seen = np.array(found, np.int64).T
-        fits = (self.sizes[cands] >= least) & (self.percent * self.sizes[cands] <= 100 * size)
+        runs = self.lengths[short]
+        place = np.arange(runs.sum()) + np.repeat(self.starts[short] - (np.cumsum(runs) - runs), runs)
+        merged = np.sort(self.postings[place] - np.repeat(short * self.count, runs))
+        firsts = np.flatnonzero(np.concatenate(([True], merged[1:] != merged[:-1])))
+        cands, seen = merged[firsts], np.diff(firsts, append=len(merged))
+        sizes = self.sizes[cands]
+        fits = (cands != q) & (sizes >= least) & (self.percent * sizes <= 100 * size)
+        fits &= (100 + self.percent) * (seen + len(long)) >= self.percent * (size + sizes)
+        fits[fits] = ~skip(cands[fits])
         order = np.flatnonzero(fits)[np.argsort(-seen[fits], kind="stable")]
         cands, seen = cands[order], seen[order]
         for first in range(0, len(cands), 64):
@@ -247,7 +246,6 @@ def spanning_links(sets: list[np.ndarray], side: np.ndarray | None = None, perce
 
 def _cell_links(batches: Iterator[pa.RecordBatch], width: int, percent: int) -> Iterator[pa.RecordBatch]:
     """Links inside each cell; rows come sorted by cell: (block, i, j, part, doc, text)."""
-    known = WordHashes()
     cell, docs, parts, sets = None, [], [], []
 
     def links():
@@ -264,7 +262,7 @@ def _cell_links(batches: Iterator[pa.RecordBatch], width: int, percent: int) ->
                 cell, docs, parts, sets = tuple(here), [], [], []
             docs.append(doc)
             parts.append(part)
-            sets.append(shingle_set(text.as_py(), known, width))
+            sets.append(shingle_set(text.as_py(), width))
     if len(sets) > 1:
         yield links()
     release_memory()
@@ -275,7 +273,8 @@ def link_components(docs: DataFrame, key: str = "doc_id", text: str = "text", wi
 
     1. Every set gives its ``signatures``; sets that share one are tied together, and the components
        of that graph are candidate blocks: linked sets are always in a common block. Nothing is
-       emitted per pair, and equal sets are one node.
+       emitted per pair, and equal sets are one node. Sets of one size class meet in a block of that
+       class, so a block whose sets are all there for the class below their own is passed over.
     2. One document per different set goes to its block. A block of more than ``cell`` shingles is
        cut into parts by hash, and every pair of parts is a cell of its own, so no task holds more
        than two parts; work then grows with the square of the different texts in one block.
@@ -295,9 +294,10 @@ def link_components(docs: DataFrame, key: str = "doc_id", text: str = "text", wi
     keyed = signed.filter("kind = 1").select("x", "y").withColumn("m", lowest).filter("y != m").select(F.col("y").alias("a"), F.col("m").alias("b"))
     blocks = components(keyed.unionByName(signed.filter("kind = 2").select(F.col("x").alias("a"), F.col("y").alias("b"))))
     first = materialize(filled.groupBy("hi", "lo").agg(F.min("doc").alias("rep"), F.first("n").alias("n"), F.first("nodes").alias("nodes")), "sets")
-    members = first.select("rep", "n", F.explode("nodes").alias("node")).join(blocks, "node").select(F.col("root").alias("block"), "rep", "n")
+    members = first.select("rep", "n", F.posexplode("nodes").alias("below", "node")).join(blocks, "node").select(F.col("root").alias("block"), "rep", "n", "below")
     members = materialize(members, "members")
-    sizes = members.groupBy("block").agg(F.ceil(F.sum("n") / cell).cast("int").alias("c"), F.count(F.lit(1)).alias("m")).filter("m > 1")
+    sizes = members.groupBy("block").agg(F.ceil(F.sum("n") / cell).cast("int").alias("c"), F.count(F.lit(1)).alias("m"), F.min("below").alias("below"))
+    sizes = sizes.filter("m > 1 and below = 0").select("block", "c")
     cells = members.join(sizes, "block").withColumn("part", F.pmod(F.xxhash64("rep"), F.col("c")).cast("int"))
     cells = cells.select("rep", "block", "part", F.explode(F.sequence(F.lit(0), F.col("c") - 1)).alias("other"))
     cells = cells.select("rep", "block", F.least("part", "other").alias("i"), F.greatest("part", "other").alias("j"), "part")

@@ -168,3 +168,48 @@ def test_strangers_share_no_signature():
     rnd = np.random.default_rng(2)
     keys = [{(level, k) for level, ks in jaccard.signatures(np.unique(jaccard._mix(rnd.integers(0, 2**62, 300).astype(np.uint64))), 80) for k in ks.tolist()} for _ in range(60)]
     assert sum(len(keys[i] & keys[j]) > 0 for i in range(60) for j in range(i)) <= 60
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.text(st.sampled_from("aAzZÀßİıK é\x85\x1c\x1f 　\t\n\x0b\x0c\r \x00"), max_size=40))
+def test_shingles_know_ascii_only(text):
+    """Only A-Z are lowered and only ASCII blanks part words; every distinct gram has one hash, in order."""
+    for some in (text, text.upper() + " " + text):
+        plain = jaccard.shingle_set(" ".join(w for w in jaccard.BLANKS.split(ascii_lower(some)) if w))
+        found = jaccard.shingle_set(some)
+        assert found.tolist() == plain.tolist() == sorted(set(found.tolist())) and len(found) == len(plain_set(some))
+
+
+@pytest.mark.parametrize("percent", [50, 80, 90])
+def test_hopeless_candidates_are_not_probed(percent):
+    """Enough grams in common for the smaller set, but not for the larger one's size: known before any long list is probed."""
+    share = jaccard.needed(100, percent) + 3
+    sets = [np.arange(100, dtype=np.uint64), np.arange(100 - share, 100 - share + 10_000 // percent, dtype=np.uint64)]
+    asked = []
+    assert not list(jaccard.InvertedLists(sets, percent).search(0, lambda c: asked.extend(c.tolist()) or np.zeros(len(c), bool)))
+    assert not asked
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.integers(1, 900), st.integers(0, 10**9), st.sampled_from([50, 80, 90]))
+def test_sets_of_one_class_share_a_signature_of_that_class(size, seed, percent):
+    rnd = np.random.default_rng(seed)
+    a = np.unique(jaccard._mix(rnd.integers(0, 2**62, size).astype(np.uint64)))
+    gone, new = rnd.integers(0, int(size * (100 / percent - 1)) // 2 + 2, 2)
+    b = np.unique(np.concatenate([a[gone:], jaccard._mix(rnd.integers(0, 2**62, new).astype(np.uint64))]))
+    common = len(np.intersect1d(a, b))
+    if len(b) and 100 * common >= percent * (len(a) + len(b) - common):
+        (one, x), (other, y) = (jaccard.signatures(s, percent)[0] for s in (a, b))
+        assert abs(one - other) <= 1 and (one != other or set(x.tolist()) & set(y.tolist()))
+
+
+def test_sets_of_one_class_meet_once(spark, monkeypatch):
+    """Near copies of one size class have two levels in common, but are read and searched in one block only."""
+    rnd = random.Random(4)
+    base = [f"w{rnd.randrange(10**6)}" for _ in range(200)]
+    rows = [(k, " ".join(base[:k] + [f"n{k}"] + base[k + 1 :])) for k in range(0, 200, 20)]
+    cells, stored = [], jaccard.broadcast_if_small
+    monkeypatch.setattr(jaccard, "broadcast_if_small", lambda df, name: cells.append(stored(df, name)) or cells[-1])
+    out = jaccard.link_components(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert sorted(map(tuple, out)) == [(k, 198, 0) for k, _ in rows]
+    assert sorted(r["rep"] for r in cells[0].collect()) == [k for k, _ in rows]
