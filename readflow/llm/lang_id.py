@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+import itertools
 import zlib
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from typing import NamedTuple
 
 import numpy as np
@@ -24,6 +25,7 @@ SEGMENT = 32  # words of a training sequence
 SWITCH = (4, 24)  # words before a training sequence changes to another text
 STEPS, RATE, RIDGE = 50, 0.15, 1e-3
 MEMORY = 300_000  # words whose scores a task remembers
+NEW_WORDS = 50_000  # words whose features are made at once
 SLICE = 8_000_000  # characters handled at once
 SEED = 11
 UNKNOWN = "und"
@@ -42,8 +44,11 @@ def tokens_of(text: str) -> list[str]:
 
     Scripts without blanks make a word of a whole sentence or text, and each piece gets its own label.
     """
+    words = words_of(text)
+    if max(map(len, words), default=0) <= LONGEST:
+        return words
     out = []
-    for w in words_of(text):
+    for w in words:
         if len(w) <= LONGEST:
             out.append(w)
         else:
@@ -52,16 +57,61 @@ def tokens_of(text: str) -> list[str]:
     return out
 
 
-def word_features(word: str, lexicon: dict[str, int]) -> list[int]:
-    """Hashed features of a lower-case word: its ends, its letter groups, its lexicon entries and its kind."""
-    marked = f"^{word}$"
-    names = [f"p{word[:n]}" for n in (1, 2, 3)] + [f"s{word[-n:]}" for n in (1, 2, 3, 4)]
-    names += [marked[i : i + 3] for i in range(len(marked) - 2)]
-    known = lexicon.get(word)
-    if known is not None:
-        names += [f"w{word}", f"l{known}"]
-    names.append("d" if word.isdigit() else "n" if any(map(str.isdigit, word)) else "a" if word.isascii() else "u")
-    return [zlib.crc32(n.encode("utf-8", "surrogatepass")) % BUCKETS for n in names]
+def word_features(words: list[str], lexicon: dict[str, int]) -> tuple[np.ndarray, np.ndarray]:
+    """Hashed features of lower-case words, one word's after the other's, and their number per word.
+
+    In order: its first 1 to 3 letters, its last 1 to 4, its letter groups with the ends marked, its
+    lexicon entries and its kind.
+    """
+    size = np.fromiter(map(len, words), np.int64, len(words))
+    data = np.frombuffer("".join(f"^{w}$" for w in words).encode("utf-8", "surrogatepass"), np.uint8)
+    at = np.append(np.flatnonzero((data & 0xC0) != 0x80), len(data))  # where each character starts
+    first = np.cumsum(size + 2) - size - 1  # each word's first character, and the one past its last
+    last = first + size
+    entries = [lexicon.get(w) for w in words]
+    known = np.array([e is not None for e in entries], bool)
+    counts = size + 8 + 2 * known
+    starts = np.cumsum(counts) - counts
+    out = np.empty(counts.sum(), np.int64)
+    for n in (1, 2, 3):
+        out[starts + n - 1] = _buckets(data, at[first], at[np.minimum(first + n, last)], b"p")
+    for n in (1, 2, 3, 4):
+        out[starts + n + 2] = _buckets(data, at[np.maximum(last - n, first)], at[last], b"s")
+    inside = np.arange(size.sum()) - np.repeat(np.cumsum(size) - size, size)
+    group = np.repeat(first - 1, size) + inside
+    out[np.repeat(starts + 7, size) + inside] = _buckets(data, at[group], at[group + 3])
+    for i in np.flatnonzero(known).tolist():
+        end = starts[i] + counts[i]
+        out[end - 3 : end - 1] = _bucket(f"w{words[i]}"), _bucket(f"l{entries[i]}")
+    kinds = {kind: _bucket(kind) for kind in "dnau"}
+    out[starts + counts - 1] = [kinds["d" if w.isdigit() else "n" if any(map(str.isdigit, w)) else "a" if w.isascii() else "u"] for w in words]
+    return out, counts
+
+
+def _features_in_goes(words: Iterable[str], lexicon: dict[str, int]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """``word_features`` of any number of words, ``NEW_WORDS`` at a time."""
+    left = iter(words)
+    while some := list(itertools.islice(left, NEW_WORDS)):
+        yield word_features(some, lexicon)
+
+
+def _bucket(name: str) -> int:
+    return zlib.crc32(name.encode("utf-8", "surrogatepass")) % BUCKETS
+
+
+#: The table of CRC-32: what each low byte of the state does to the rest of it.
+_CRC = np.array([zlib.crc32(bytes([b ^ 0xFF])) ^ 0xFF000000 for b in range(256)], np.uint32)
+
+
+def _buckets(data: np.ndarray, start: np.ndarray, end: np.ndarray, prefix: bytes = b"") -> np.ndarray:
+    """``zlib.crc32(prefix + data[start:end]) % BUCKETS`` of many short pieces, byte by byte."""
+    state = np.full(len(start), zlib.crc32(prefix) ^ 0xFFFFFFFF, np.uint32)
+    size = end - start
+    for i in range(int(size.max(initial=0))):
+        on = slice(None) if i < size.min() else np.flatnonzero(size > i)
+        now = state[on]
+        state[on] = _CRC[(now ^ data[start[on] + i]) & np.uint32(0xFF)] ^ (now >> np.uint32(8))
+    return ((state ^ np.uint32(0xFFFFFFFF)) % np.uint32(BUCKETS)).astype(np.int64)
 
 
 def forward_backward(scores: np.ndarray, lengths: np.ndarray, moves: np.ndarray, start: np.ndarray) -> tuple[np.ndarray, np.ndarray, float]:
@@ -140,7 +190,9 @@ def fit_texts(sample: list[tuple[str, list[str]]], steps: int = STEPS) -> Model:
     index: dict[str, int] = {}
     coded = [(place[label], np.array([index.setdefault(w, len(index)) for w in words])) for label, words in sample]
     sequences = _switching(coded, np.random.default_rng(SEED))
-    features = [np.array(word_features(w, lexicon)) for w in index]
+    features = []
+    for flat, sizes in _features_in_goes(index, lexicon):
+        features += np.split(flat, np.cumsum(sizes)[:-1])
     seen = {"w": np.zeros((BUCKETS, n)), "m": np.zeros((n, n)), "s": np.zeros(n)}
     parts, step = [], max(1, CELLS // (n * SEGMENT))
     for first in range(0, len(sequences), step):
@@ -192,31 +244,31 @@ def _switching(coded: list[tuple[int, np.ndarray]], rnd: np.random.Generator) ->
     return [(words[i : i + SEGMENT], truth[i : i + SEGMENT]) for i in range(0, len(words), SEGMENT)]
 
 
+class _Places(dict):
+    """Numbers of words, given in the order in which they are first asked for."""
+
+    def __missing__(self, word: str) -> int:
+        place = self[word] = len(self)
+        return place
+
+
 class Labeller:
     """Label chances of the words of texts under a model; the scores of words are remembered."""
 
     def __init__(self, model: Model):
         self.model = model
-        self.places: dict[str, int] = {}
+        self.places = _Places()
         self.scores = np.empty((0, len(model.labels)), np.float32)
 
     def chances(self, texts: list[list[str]]) -> tuple[np.ndarray, np.ndarray]:
         """(chances of all words one after the other, words per text)."""
         if len(self.places) > _share(MEMORY, self.model):
-            self.places, self.scores = {}, self.scores[:0]
-        places = self.places
-        new = []
-        for words in texts:
-            for w in set(words).difference(places):
-                places[w] = len(places)
-                new.append(w)
-        if new:
-            found = [word_features(w, self.model.lexicon) for w in new]
-            starts = np.cumsum([0, *map(len, found[:-1])])
-            flat = np.fromiter((f for own in found for f in own), np.int64)
-            self.scores = np.concatenate((self.scores, np.add.reduceat(self.model.weights[flat], starts, axis=0)))
+            self.places, self.scores = _Places(), self.scores[:0]
         lengths = np.array([len(words) for words in texts])
-        ids = np.fromiter((p for words in texts for p in map(places.__getitem__, words)), np.int64, lengths.sum())
+        ids = np.fromiter(map(self.places.__getitem__, itertools.chain.from_iterable(texts)), np.int64, lengths.sum())
+        new = itertools.islice(self.places, len(self.scores), None)
+        for flat, sizes in _features_in_goes(new, self.model.lexicon):
+            self.scores = np.concatenate((self.scores, np.add.reduceat(self.model.weights[flat], np.cumsum(sizes) - sizes, axis=0)))
         filled = lengths > 0
         if not filled.any():
             return np.empty((0, len(self.model.labels)), np.float32), lengths

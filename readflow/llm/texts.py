@@ -16,12 +16,11 @@ WORD_PATTERN = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 WORD = re.compile(WORD_PATTERN)
 NOT_WORD_PATTERN = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
-_LOWER = str.maketrans(UPPER, LOWER)
 
 
 def ascii_lower(text: str) -> str:
-    """Lower-case A-Z and nothing else."""
-    return text.lower() if text.isascii() else text.translate(_LOWER)
+    """Lower-case A-Z and nothing else, as ``bytes.lower`` does; a table of letters takes some ten times as long."""
+    return text.lower() if text.isascii() else text.encode("utf-8", "surrogatepass").lower().decode("utf-8", "surrogatepass")
 
 
 def words_of(text: str) -> list[str]:

@@ -198,3 +198,32 @@ def test_fit_in_parts(monkeypatch):
     monkeypatch.setattr(lang_id, "CELLS", 300)
     parts = lang_id.fit_texts(sample, steps=10)
     assert np.allclose(whole.weights, parts.weights, atol=1e-4) and np.allclose(whole.moves, parts.moves, atol=1e-4) and whole.lexicon == parts.lexicon
+
+
+def plain_features(word, lexicon):
+    marked = f"^{word}$"
+    names = [f"p{word[:n]}" for n in (1, 2, 3)] + [f"s{word[-n:]}" for n in (1, 2, 3, 4)] + [marked[i : i + 3] for i in range(len(marked) - 2)]
+    names += [f"w{word}", f"l{lexicon[word]}"] if word in lexicon else []
+    names.append("d" if word.isdigit() else "n" if any(map(str.isdigit, word)) else "a" if word.isascii() else "u")
+    return [zlib.crc32(n.encode("utf-8", "surrogatepass")) % lang_id.BUCKETS for n in names]
+
+
+def test_features_of_many_words():
+    """All words at once give each word's features, in order, whatever its letters; no words give none."""
+    words = ["a", "ab", "the", "über", "straße", "12", "x12", "１２", "漢字かな", "a😀b", "\ud800x", "zz", "l" * lang_id.LONGEST]
+    lexicon = {"the": 5, "über": 2, "a": 15}
+    for some in (words, words[::-1], words[3:4], []):
+        flat, counts = lang_id.word_features(some, lexicon)
+        assert [f.tolist() for f in np.split(flat, np.cumsum(counts))[:-1]] == [plain_features(w, lexicon) for w in some]
+
+
+def test_chances_with_little_memory(monkeypatch, larger):
+    """Words known before, new ones in several goes, and a memory that is dropped all give the same chances."""
+    texts = [lang_id.tokens_of(r["text"] or "") for r in larger[0].orderBy("doc_id").limit(60).collect()]
+    model = lang_id.fit_texts([(k, t) for k, t in zip("ab" * 30, texts) if t], steps=3)
+    want = lang_id.Labeller(model).chances(texts)[0]
+    monkeypatch.setattr(lang_id, "NEW_WORDS", 7)
+    monkeypatch.setattr(lang_id, "MEMORY", 500)
+    labeller = lang_id.Labeller(model)
+    parts = [labeller.chances(texts[i : i + 10]) for i in range(0, 60, 10)]
+    assert np.allclose(np.concatenate([p[0] for p in parts]), want, atol=1e-5) and sum(p[1].sum() for p in parts) == len(want)
