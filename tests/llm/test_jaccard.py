@@ -180,6 +180,12 @@ def test_shingles_know_ascii_only(text):
         assert found.tolist() == plain.tolist() == sorted(set(found.tolist())) and len(found) == len(plain_set(some))
 
 
+@settings(max_examples=300, deadline=None)
+@given(st.text(st.characters() | st.sampled_from("AZßİıKÀ\ud800"), max_size=40))
+def test_ascii_lower(text):
+    assert ascii_lower(text) == "".join(c.lower() if "A" <= c <= "Z" else c for c in text)
+
+
 @pytest.mark.parametrize("percent", [50, 80, 90])
 def test_hopeless_candidates_are_not_probed(percent):
     """Enough grams in common for the smaller set, but not for the larger one's size: known before any long list is probed."""
