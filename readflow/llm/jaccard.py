@@ -9,7 +9,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window as W, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from readflow.llm.graph import components
 from readflow.llm.texts import broadcast_if_small, in_slices, release_memory, spare_name
@@ -112,58 +112,129 @@ def signatures(grams: np.ndarray, percent: int = PERCENT) -> list[tuple[int, np.
     return out
 
 
-def _signature_rows(batches: Iterator[pa.RecordBatch], width: int, percent: int) -> Iterator[pa.RecordBatch]:
-    """Rows of three kinds: 0 a document (key, n, set hash, nodes), 1 a signature (x: key, y: node), 2 two nodes that share one.
+#: Parts that signatures are dealt into by the first bits of their keys; one part at a time is compared in a task.
+KEY_PARTS = 4096
+#: Bytes of a key beyond its part, and of a node: what one signature takes in a shuffle is twice as much.
+KEY_BYTES = 5
+
+
+def _nodes(hi: int, n: int, percent: int) -> list[int]:
+    """What stands for a set in the graph of signatures, for each of its levels: a hash of ``KEY_BYTES`` bytes.
 
-    A node is a set hash mixed with a level. Signatures that repeat inside a slice of the batch are
-    turned into node pairs at once, so a key that very many documents share makes one row per slice.
+    Sets that share one by chance, some 400 pairs among 15 million sets, are candidates too many and no more.
     """
+    own = _level(n, percent)
+    mixed = [(hi + level * 0x9E3779B97F4A7C15) & 0xFFFFFFFFFFFFFFFF for level in sorted({own, max(own - 1, 0)}, reverse=True)]
+    return (_mix(np.array(mixed, np.uint64)) >> np.uint64(64 - 8 * KEY_BYTES)).tolist()
 
-    def made(kind, rows, **columns):
-        arrays = [pa.array(np.full(rows, kind, np.int8))]
-        for f in SIGNATURE_FIELDS[1:]:
-            arrays.append(columns[f.name] if f.name in columns else pa.nulls(rows, f.type))
-        return pa.RecordBatch.from_arrays(arrays, schema=pa.schema(SIGNATURE_FIELDS))
 
+def _set_rows(batches: Iterator[pa.RecordBatch], width: int, percent: int) -> Iterator[pa.RecordBatch]:
+    """A row per document: key, size of its set, hash of the set in two halves, nodes."""
     for batch in batches:
         at = 0
         for texts in in_slices((t.as_py() or "" for t in batch.column(1)), 8_000_000):
-            sizes, his, los, nodes, keys, owners, seen = [], [], [], [], [], [], set()
+            sizes, his, los, nodes = [], [], [], []
             for text in texts:
                 grams = shingle_set(text, width)
                 raw = xxhash.xxh3_128_intdigest(grams.tobytes())
-                hi, lo = raw >> 64, raw & 0xFFFFFFFFFFFFFFFF
                 sizes.append(len(grams))
-                his.append(hi)
-                los.append(lo)
-                own = []
-                if len(grams):
-                    signed = signatures(grams, percent)
-                    own = [int(_mix(np.array([(hi + level * 0x9E3779B97F4A7C15) & 0xFFFFFFFFFFFFFFFF], np.uint64))[0].astype(np.int64)) for level, _ in signed]
-                    if raw not in seen:
-                        for node, (_, some) in zip(own, signed):
-                            keys.append(some)
-                            owners.append(np.full(len(some), node, np.int64))
+                his.append(raw >> 64)
+                los.append(raw & 0xFFFFFFFFFFFFFFFF)
+                nodes.append(_nodes(raw >> 64, len(grams), percent) if len(grams) else [])
+            yield pa.RecordBatch.from_arrays([
+                batch.column(0).slice(at, len(texts)), pa.array(sizes, pa.int64()), pa.array(np.array(his, np.uint64).astype(np.int64)),
+                pa.array(np.array(los, np.uint64).astype(np.int64)), pa.array(nodes, pa.list_(pa.int64()))], names=["doc", "n", "hi", "lo", "nodes"])
+            at += len(texts)
+    release_memory()
+
+
+def _packed(key: np.ndarray, node: np.ndarray) -> np.ndarray:
+    """Keys and nodes as lines of ``2 * KEY_BYTES`` bytes; of a key, what follows the bits that name its part."""
+    rest = key << np.uint64((KEY_PARTS - 1).bit_length()) >> np.uint64(64 - 8 * KEY_BYTES)
+    lines = np.stack([rest, node.astype(np.uint64)], 1).astype("<u8").view(np.uint8).reshape(-1, 2, 8)
+    return np.ascontiguousarray(lines[:, :, :KEY_BYTES]).reshape(-1)
+
+
+def _unpacked(lines: bytes) -> np.ndarray:
+    """Keys (without their part) and nodes of ``_packed`` lines, as two rows of numbers."""
+    wide = np.zeros((len(lines) // (2 * KEY_BYTES), 2, 8), np.uint8)
+    wide[:, :, :KEY_BYTES] = np.frombuffer(lines, np.uint8).reshape(-1, 2, KEY_BYTES)
+    return wide.view("<u8")[:, :, 0].T.astype(np.int64)
+
+
+def _distinct_pairs(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Different pairs of different numbers, a pair per line."""
+    apart = a != b
+    a, b = a[apart], b[apart]
+    order = np.lexsort((b, a))
+    a, b = a[order], b[order]
+    new = np.concatenate(([True], (a[1:] != a[:-1]) | (b[1:] != b[:-1])))[: len(a)]
+    return np.stack([a[new], b[new]], 1)
+
+
+def _signature_rows(batches: Iterator[pa.RecordBatch], width: int, percent: int) -> Iterator[pa.RecordBatch]:
+    """Rows (part, lines, ties) of each slice of the texts: a part's signatures as ``_packed`` lines, or nodes that share one.
+
+    A signature takes ten bytes, as few rows hold very many of them. Signatures that repeat inside a slice are
+    turned into pairs of nodes at once, so a key that very many documents share makes one line per slice.
+    """
+    bits = np.uint64(64 - (KEY_PARTS - 1).bit_length())
+    names = ["part", "lines", "ties"]
+    for batch in batches:
+        for texts in in_slices((t.as_py() or "" for t in batch.column(0)), 8_000_000):
+            keys, owners, seen = [], [], set()
+            for text in texts:
+                grams = shingle_set(text, width)
+                raw = xxhash.xxh3_128_intdigest(grams.tobytes())
+                if len(grams) and raw not in seen:
                     seen.add(raw)
-                nodes.append(own)
-            n = len(texts)
-            yield made(0, n, doc=batch.column(0).slice(at, n), n=pa.array(sizes, pa.int64()), hi=pa.array(np.array(his, np.uint64).astype(np.int64)),
-                       lo=pa.array(np.array(los, np.uint64).astype(np.int64)), nodes=pa.array(nodes, pa.list_(pa.int64())))
-            at += n
-            if keys:
-                x, y = np.concatenate(keys).astype(np.int64), np.concatenate(owners)
-                distinct, first, back = np.unique(x, return_index=True, return_inverse=True)
-                yield made(1, len(distinct), x=pa.array(distinct), y=pa.array(y[first]))
-                pairs = np.unique(np.stack([y, y[first][back]], 1)[y != y[first][back]], axis=0)
-                if len(pairs):
-                    yield made(2, len(pairs), x=pa.array(pairs[:, 0].copy()), y=pa.array(pairs[:, 1].copy()))
+                    for node, (_, some) in zip(_nodes(raw >> 64, len(grams), percent), signatures(grams, percent)):
+                        keys.append(some)
+                        owners.append(np.full(len(some), node, np.int64))
+            if not keys:
+                continue
+            x, y = np.concatenate(keys), np.concatenate(owners)
+            del keys, owners
+            distinct, first, back = np.unique(x, return_index=True, return_inverse=True)
+            part = (distinct >> bits).astype(np.int32)
+            starts = np.flatnonzero(np.concatenate(([True], part[1:] != part[:-1])))
+            ends = (np.append(starts, len(part)) * 2 * KEY_BYTES).astype(np.int32)
+            lines = pa.Array.from_buffers(pa.binary(), len(starts), [None, pa.py_buffer(ends), pa.py_buffer(_packed(distinct, y[first]))])
+            yield pa.RecordBatch.from_arrays([pa.array(part[starts]), lines, pa.nulls(len(starts), pa.binary())], names=names)
+            pairs = _distinct_pairs(y, y[first][back])
+            if len(pairs):
+                yield pa.RecordBatch.from_arrays([pa.array([int(pairs[0, 0] % KEY_PARTS)], pa.int32()), pa.nulls(1, pa.binary()), pa.array([pairs.tobytes()], pa.binary())], names=names)
+    release_memory()
+
+
+def _shared_signatures(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Pairs of nodes that share a signature, each with the smallest node that has it; rows come sorted by part."""
+    def tied(lines, ties):
+        key, node = _unpacked(b"".join(lines))
+        order = np.lexsort((node, key))
+        key, node = key[order], node[order]
+        first = np.concatenate(([True], key[1:] != key[:-1]))[: len(key)]
+        lowest = node[first][np.cumsum(first) - 1]
+        inside = np.frombuffer(b"".join(ties), np.int64).reshape(-1, 2)
+        pairs = _distinct_pairs(np.concatenate((node, inside[:, 0])), np.concatenate((lowest, inside[:, 1])))
+        return pa.RecordBatch.from_arrays([pa.array(pairs[:, 0].copy()), pa.array(pairs[:, 1].copy())], names=["a", "b"])
+
+    part, lines, ties = None, [], []
+    for batch in batches:
+        for here, *some in zip(*(batch.column(c).to_pylist() for c in range(3))):
+            if here != part:
+                if lines or ties:
+                    yield tied(lines, ties)
+                part, lines, ties = here, [], []
+            for held, value in zip((lines, ties), some):
+                if value is not None:
+                    held.append(value)
+    if lines or ties:
+        yield tied(lines, ties)
     release_memory()
 
 
-SIGNATURE_FIELDS = [
-    pa.field("kind", pa.int8()), pa.field("doc", pa.int64()), pa.field("n", pa.int64()), pa.field("hi", pa.int64()), pa.field("lo", pa.int64()),
-    pa.field("nodes", pa.list_(pa.int64())), pa.field("x", pa.int64()), pa.field("y", pa.int64())]
-SIGNATURE_TYPE = "kind tinyint, doc bigint, n bigint, hi bigint, lo bigint, nodes array<bigint>, x bigint, y bigint"
+SET_TYPE = "doc bigint, n bigint, hi bigint, lo bigint, nodes array<bigint>"
 
 
 class InvertedLists:
@@ -271,8 +342,8 @@ def _cell_links(batches: Iterator[pa.RecordBatch], width: int, percent: int) ->
 def link_components(docs: DataFrame, key: str = "doc_id", text: str = "text", width: int = SHINGLE, percent: int = PERCENT, cell: int = CELL_SHINGLES) -> DataFrame:
     """Per document: key (bigint), n_shingles, component_id.
 
-    1. Every set gives its ``signatures``; sets that share one are tied together, and the components
-       of that graph are candidate blocks: linked sets are always in a common block. Nothing is
+    1. Every set gives its ``signatures``, ten bytes each in one shuffle; sets that share one are tied together, and the
+       components of that graph are candidate blocks: linked sets are always in a common block. Nothing is
        emitted per pair, and equal sets are one node. Sets of one size class meet in a block of that
        class, so a block whose sets are all there for the class below their own is passed over.
     2. One document per different set goes to its block. A block of more than ``cell`` shingles is
@@ -287,12 +358,12 @@ def link_components(docs: DataFrame, key: str = "doc_id", text: str = "text", wi
     A null key gives a null ``component_id`` and takes no part. Other columns are not read.
     """
     rows = docs.select(F.col(key).cast("bigint").alias("doc"), F.col(text).alias("text"))
-    signed = materialize(rows.mapInArrow(lambda b: _signature_rows(b, width, percent), SIGNATURE_TYPE), "signatures")
-    sets = signed.filter("kind = 0").select("doc", "n", "hi", "lo", "nodes")
+    sets = materialize(rows.mapInArrow(lambda b: _set_rows(b, width, percent), SET_TYPE), "signed-sets")
     filled = sets.filter("n > 0 and doc is not null")
-    lowest = F.min("y").over(W.partitionBy("x"))  # a join with the minima would move all signatures twice
-    keyed = signed.filter("kind = 1").select("x", "y").withColumn("m", lowest).filter("y != m").select(F.col("y").alias("a"), F.col("m").alias("b"))
-    blocks = components(keyed.unionByName(signed.filter("kind = 2").select(F.col("x").alias("a"), F.col("y").alias("b"))))
+    # Signatures are made from the texts again: they take most of the room, and are in no table besides the shuffle.
+    signed = rows.filter("doc is not null").select("text").mapInArrow(lambda b: _signature_rows(b, width, percent), "part int, lines binary, ties binary")
+    dealt = signed.repartition("part").sortWithinPartitions("part")
+    blocks = components(dealt.mapInArrow(_shared_signatures, "a bigint, b bigint"))
     first = materialize(filled.groupBy("hi", "lo").agg(F.min("doc").alias("rep"), F.first("n").alias("n"), F.first("nodes").alias("nodes")), "sets")
     members = first.select("rep", "n", F.posexplode("nodes").alias("below", "node")).join(blocks, "node").select(F.col("root").alias("block"), "rep", "n", "below")
     members = materialize(members, "members")

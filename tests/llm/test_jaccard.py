@@ -3,7 +3,9 @@
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
+import xxhash
 from hypothesis import given, settings, strategies as st
 
 from readflow.llm import graph, jaccard
@@ -219,3 +221,50 @@ def test_sets_of_one_class_meet_once(spark, monkeypatch):
     out = jaccard.link_components(spark.createDataFrame(rows, "doc_id long, text string")).collect()
     assert sorted(map(tuple, out)) == [(k, 198, 0) for k, _ in rows]
     assert sorted(r["rep"] for r in cells[0].collect()) == [k for k, _ in rows]
+
+
+def text_batches(texts, rows):
+    return (pa.RecordBatch.from_arrays([pa.array(texts[i : i + rows])], names=["text"]) for i in range(0, len(texts), rows))
+
+
+@pytest.mark.parametrize("rows", [1000, 7])
+def test_signatures_take_ten_bytes_and_tie_all_that_share_one(rows):
+    """In one slice or over many, the ties make the components that the signatures themselves make."""
+    texts = [t for _, t in near_copies(3)] + [None, ""]
+    made = [r for b in jaccard._signature_rows(text_batches(texts, rows), 5, 80) for r in b.to_pylist()]
+    sets = {s.tobytes(): s for s in (jaccard.shingle_set(t, 5) for t in texts) if len(s)}
+    nodes = {k: jaccard._nodes(xxhash.xxh3_128_intdigest(k) >> 64, len(s), 80) for k, s in sets.items()}
+    owners = {}
+    for k, s in sets.items():
+        for node, (_, keys) in zip(nodes[k], jaccard.signatures(s, 80)):
+            for key in keys.tolist():
+                owners.setdefault(key, set()).add(node)
+    held = sum(len(r["lines"] or b"") for r in made)
+    assert held == 10 * len(owners) if rows == 1000 else held <= 10 * sum(map(len, owners.values()))
+    assert all(len({r["part"] for r in made}) <= jaccard.KEY_PARTS and (r["lines"] is None) != (r["ties"] is None) for r in made)
+    made.sort(key=lambda r: r["part"])
+    pairs = [(r["a"], r["b"]) for b in jaccard._shared_signatures([pa.RecordBatch.from_pylist(made, schema=pa.schema(
+        [("part", pa.int32()), ("lines", pa.binary()), ("ties", pa.binary())]))]) for r in b.to_pylist()]
+
+    def roots(edges):
+        root = {}
+
+        def find(x):
+            while root.setdefault(x, x) != x:
+                x = root[x]
+            return x
+
+        for a, b in edges:
+            root[max(find(a), find(b))] = min(find(a), find(b))
+        return {x: find(x) for x in root if find(x) != x}
+
+    assert roots(pairs) == roots((a, min(own)) for own in owners.values() for a in own) and pairs
+
+
+def test_no_table_holds_the_signatures(spark, monkeypatch):
+    """A document is some hundred signatures: stored and dealt out as rows of their own they are most of the disk."""
+    docs = [(k, f"{' '.join(f'w{k}x{i}' for i in range(300))}") for k in range(40)]
+    rows, stored = [], jaccard.materialize
+    monkeypatch.setattr(jaccard, "materialize", lambda df, name: rows.append(stored(df, name)) or rows[-1])
+    assert jaccard.keep_one(spark.createDataFrame(docs, "doc_id long, text string")).count() == 40
+    assert rows and max(df.count() for df in rows) <= 2 * 40
