@@ -9,9 +9,14 @@ cell, so a cell is one bounded join key, and each side is shuffled once per cell
 instead of once per block. Cells are few while blocks are few, so that the copies grow no faster than
 the rows, until a cell holds ``CELL_BYTES`` of a side; the cluster plays no part in it. A user
 block meets the item blocks of a cell one after the other, and its result is merged on the way: it
-leaves the task once per cell. Blocks are never broadcast: Spark goes by the size of the files, and
+leaves the task once per cell. Vectors go to the reducing task once per cell and side: a head row without
+vectors stands before the blocks of either side, the join's row of a head and a block carries the
+block, and the rows of two blocks only name them. Blocks are never broadcast: Spark goes by the size of the files, and
 a catalogue of zero vectors is a thousand times its files once it is packed and copied.
 
+Scores are compared in single precision first; those within its error of a decision, and those that are kept, are
+computed again in double precision, so the results are those of double precision.
+
 Items may be packed by the length of their vectors. Blocks are dealt to the cells in turn, so each
 cell begins with long vectors, and a reducer that knows its users' last places can pass over blocks
 whose vectors are too short to change them.
@@ -19,6 +24,7 @@ whose vectors are too short to change them.
 
 from __future__ import annotations
 
+import math
 from abc import ABC, abstractmethod
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -37,6 +43,8 @@ USER_CELLS, ITEM_CELLS = 4, 16  # as many on a side, before cells get larger
 SCORE_DIGITS = 9  # scores closer than this are ties
 NORM_CLASSES = 64  # classes of vector lengths, at most
 CLASSES_PER_HALVING = 4  # of them, between a length and its half
+HEAD = -1  # the block without vectors that stands before all others of its side in a cell
+LONGEST = 1e12  # vectors and biases beyond that are scored in double precision only
 
 
 @dataclass(frozen=True)
@@ -123,46 +131,108 @@ def with_seen(users: Blocks, items: Blocks, pairs: DataFrame) -> Blocks:
     return Blocks(users.df, users.shape, placed.select("user_block", "item_block", "u", "i"))
 
 
-def meet(users: Blocks, items: Blocks) -> DataFrame:
-    """One row per (user block, item block), with the cell they meet in.
+def meet(users: Blocks, items: Blocks, once: bool = False) -> DataFrame:
+    """One row per (user block, item block), with the cell they meet in, by the item block inside a user block of a cell.
 
-    A row carries those ``seen`` pairs of its user block that lie in its cell, and no others.
+    A row carries those ``seen`` pairs of its user block that lie in its cell, and no others. With ``once``, which is what
+    ``map_blocks`` takes, only rows with a ``HEAD`` on the other side carry what a block holds; they come first.
     """
-    work, size = float(ROWS_PER_BLOCK**2) * F.col("dims"), float(ROWS_PER_BLOCK * 8) * F.col("dims")
-
-    def width(blocks: Column, cells: int) -> Column:
-        wanted = F.greatest(F.floor(F.sqrt(CELL_WORK / work)), F.ceil(blocks / cells))
-        return F.greatest(F.lit(1), F.least(F.lit(CELL), F.floor(CELL_BYTES / size), wanted))
+    shape = users.shape.first()  # one row, as that of the items
+    sides, dims = {"user": shape["blocks"], "item": items.shape.first()["blocks"]}, shape["dims"]
+    work, size = ROWS_PER_BLOCK**2 * dims, ROWS_PER_BLOCK * 8 * dims
 
-    both = with_row(users.shape.withColumnsRenamed({"blocks": "users"}), items.shape.select("blocks"), "_items")
-    shape = both.select("users", F.col("_items.blocks").alias("items"), width(F.col("users"), USER_CELLS).alias("user_width"),
-                        width(F.col("_items.blocks"), ITEM_CELLS).alias("item_width"))
+    def n_cells(side: str, cells: int) -> int:
+        wanted = max(math.floor(math.sqrt(CELL_WORK / work)), -(-sides[side] // cells))
+        return -(-sides[side] // max(1, min(CELL, CELL_BYTES // size, wanted)))
 
-    def last_cell(side: str) -> Column:
-        return F.floor((F.col(f"_shape.{side}s") - 1) / F.col(f"_shape.{side}_width"))
+    many = {"user": n_cells("user", USER_CELLS), "item": n_cells("item", ITEM_CELLS)}
 
     def cell_of(side: str) -> Column:  # dealt in turn, so that low blocks begin every cell
-        return F.pmod(F.col(f"{side}_block"), last_cell(side) + 1)
+        return F.pmod(F.col(f"{side}_block"), F.lit(many[side]))
+
+    def every(side: str) -> Column:
+        return F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(many[side] - 1).cast("bigint")))
 
     def cells(side: DataFrame, own: str, other: str) -> DataFrame:
-        every = F.sequence(F.lit(0).cast("bigint"), last_cell(other))
-        return with_row(side, shape, "_shape").withColumns({f"{own}_cell": cell_of(own), f"{other}_cell": F.explode(every)}).drop("_shape")
+        return side.withColumns({f"{own}_cell": cell_of(own), f"{other}_cell": every(other)})
 
     own = cells(users.df, "user", "item")
     if users.seen is not None:
-        seen = with_row(users.seen, shape, "_shape").groupBy("user_block", cell_of("item").alias("item_cell")).agg(F.collect_list(F.struct("item_block", "u", "i")).alias("seen"))
+        seen = users.seen.groupBy("user_block", cell_of("item").alias("item_cell")).agg(F.collect_list(F.struct("item_block", "u", "i")).alias("seen"))
         own = own.join(seen, ["user_block", "item_cell"], "left")
     met = cells(items.df, "item", "user")
-    if items.ordered:  # the join's own shuffle and sort, with one more key
-        met = met.repartition("user_cell", "item_cell").sortWithinPartitions("user_cell", "item_cell", "item_block")
-    return own.join(met.hint("merge"), ["user_cell", "item_cell"])
-
-
-def matrices(row) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Users, items (a vector per line) and the items' biases of one joined row."""
-    u = np.asarray(row.user_matrix, dtype=np.float64).reshape(len(row.users), -1)
-    i = np.asarray(row.item_matrix, dtype=np.float64).reshape(len(row.pages), -1)
-    return u, i, np.asarray(row.biases, dtype=np.float64)
+    held = [[c for c in side.columns if c not in ("user_cell", "item_cell", "user_block", "item_block")] for side in (own, met)]
+    if once:
+        heads = users.df.sparkSession.range(1).select(every("user").alias("user_cell")).select("user_cell", every("item").alias("item_cell"))
+        own, met = (side.unionByName(heads.withColumn(f"{name}_block", F.lit(HEAD).cast("bigint")), True) for side, name in ((own, "user"), (met, "item")))
+    joined = _in_order(own, "user").join(_in_order(met, "item").hint("merge"), ["user_cell", "item_cell"])
+    if not once:
+        return joined
+    kept = [F.when(F.col(f"{other}_block") == HEAD, F.col(c)).alias(c) for columns, other in zip(held, ("item", "user")) for c in columns]
+    return joined.filter(f"user_block <> {HEAD} or item_block <> {HEAD}").select(
+        "user_cell", "item_cell", "user_block", "item_block", "user_place", "item_place", *kept)
+
+
+def _in_order(side: DataFrame, name: str) -> DataFrame:
+    """The join's own shuffle and sort, with the block as one more key; ``…_place`` is there because Spark drops a sort right under a join.
+
+    The number of partitions is fixed: small cells may be much work, and a split cell would part blocks from their heads.
+    """
+    parts = int(side.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    dealt = side.repartition(parts, "user_cell", "item_cell").sortWithinPartitions("user_cell", "item_cell", f"{name}_block")
+    return dealt.withColumn(f"{name}_place", F.monotonically_increasing_id())
+
+
+class Items:
+    """One item block: pages, a vector per line, biases; and what bounds its scores, worked out once."""
+
+    def __init__(self, row):
+        self.item_block, self.pages = row.item_block, np.asarray(row.pages, dtype=object)
+        self.matrix = np.asarray(row.item_matrix, dtype=np.float64).reshape(len(self.pages), -1)
+        self.biases = np.asarray(row.biases, dtype=np.float64)
+        self.longest = np.linalg.norm(self.matrix, axis=1).max()
+        if self.longest == 0 and not self.matrix.any():
+            self.matrix = np.broadcast_to(0.0, self.matrix.shape)  # a catalogue of zero vectors takes no memory
+        self.low, self.high = self.biases.min(), self.biases.max()
+        self.bias = max(abs(self.low), abs(self.high))
+        self.near = bool(self.longest <= LONGEST and self.bias <= LONGEST)
+
+    @classmethod
+    def of(cls, row) -> Items:
+        return row if isinstance(row, cls) else cls(row)
+
+
+class Users:
+    """The vectors of a user block, a line each, in both precisions, and their lengths."""
+
+    def __init__(self, row):
+        self.matrix = np.asarray(row.user_matrix, dtype=np.float64).reshape(len(row.users), -1)
+        self.lengths = np.linalg.norm(self.matrix, axis=1)
+        self.near = bool(self.lengths.max() <= LONGEST)
+        self.single = self.matrix.astype(np.float32) if self.near else None
+
+    def scores(self, taken, block: Items) -> np.ndarray:
+        """Rounded scores (users × items)."""
+        return scores_of(self.matrix[taken], block.matrix, block.biases)
+
+    def near_scores(self, taken, block: Items) -> tuple[np.ndarray, np.ndarray]:
+        """Scores in single precision, columns filled up with -inf to a multiple of 8, and how far each user's may lie from the rounded ones.
+
+        A sum of d products, in any order, lies within (d + 2) 2^-24 of |u| |i|, and the conversions of
+        factors, bias and thresholds add a few such parts.
+        """
+        n, dims = block.matrix.shape
+        wide = np.zeros((-(-n // 8) * 8, dims), np.float32)
+        wide[:n] = block.matrix
+        biases = np.full(len(wide), -np.inf, np.float32)
+        biases[:n] = block.biases
+        scores = self.single[taken] @ wide.T
+        scores += biases
+        return scores, (dims + 10) * 2.0**-24 * (self.lengths[taken] * block.longest + block.bias) + 2 * 10.0**-SCORE_DIGITS
+
+    def of_pairs(self, rows: np.ndarray, cols: np.ndarray, block: Items) -> np.ndarray:
+        """Rounded scores of single pairs."""
+        return np.round(np.einsum("ij,ij->i", self.matrix[rows], block.matrix[cols]) + block.biases[cols], SCORE_DIGITS)
 
 
 def scores_of(u: np.ndarray, i: np.ndarray, biases: np.ndarray) -> np.ndarray:
@@ -180,24 +250,34 @@ class Reducer(ABC):
 
     @abstractmethod
     def add(self, row) -> None:
-        """Take one more item block."""
+        """Take one more item block, as a row or as ``Items``."""
 
     @abstractmethod
     def result(self) -> pd.DataFrame: ...
 
 
 def map_blocks(joined: DataFrame, schema: str, reducer: type[Reducer]) -> DataFrame:
-    """Reduce the rows of ``meet``; a user block's rows of one cell follow each other, and leave as one result."""
+    """Reduce the rows of ``meet(…, once=True)``; a user block's rows of one cell follow each other, and leave as one result.
+
+    A task holds the item blocks of one cell and a single user block.
+    """
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        at, held = None, None
+        cell, blocks, at, held = None, {}, None, None
         for batch in batches:
             for row in batch.itertuples(index=False):
-                here = (row.user_cell, row.item_cell, row.user_block)
-                if here != at:
+                if (row.user_cell, row.item_cell) != cell:
+                    cell, blocks = (row.user_cell, row.item_cell), {}
+                if row.user_block == HEAD:
+                    blocks[row.item_block] = Items(row)
+                    continue
+                if row.item_block == HEAD:
                     if held is not None:
                         yield held.result()
-                    at, held = here, reducer(row)
-                held.add(row)
+                    at, held = (*cell, row.user_block), reducer(row)
+                    continue
+                if at != (*cell, row.user_block):
+                    raise RuntimeError("a user block came without its vectors")
+                held.add(blocks[row.item_block])
         if held is not None:
             yield held.result()
 

@@ -9,7 +9,7 @@ from pyspark.ml.stat import Summarizer
 from pyspark.sql import DataFrame, Window as W, functions as F
 
 from readflow.functions.vectors import dot
-from readflow.operators.blocks import SCORE_DIGITS, Reducer, item_blocks, map_blocks, matrices, meet, scores_of, user_blocks, with_seen
+from readflow.operators.blocks import SCORE_DIGITS, Items, Reducer, Users, item_blocks, map_blocks, meet, user_blocks, with_seen
 from readflow.operators.tfidf import unit_arrays
 from readflow.session import materialize
 
@@ -66,11 +66,11 @@ def score_pairs(pairs: DataFrame, user_factors: DataFrame, item_factors: DataFra
 
 class _Ranges(Reducer):
     def __init__(self, row):
-        self.users, self.n, self.total = row.users, 0, 0.0
+        self.users, self.own, self.n, self.total = row.users, Users(row), 0, 0.0
         self.lo, self.hi = np.inf, -np.inf
 
     def add(self, row):
-        scores = scores_of(*matrices(row))
+        scores = self.own.scores(slice(None), Items.of(row))
         self.n += scores.shape[1]
         self.total = self.total + scores.sum(axis=1)
         self.lo, self.hi = np.minimum(self.lo, scores.min(axis=1)), np.maximum(self.hi, scores.max(axis=1))
@@ -81,7 +81,7 @@ class _Ranges(Reducer):
 
 def score_ranges(user_factors: DataFrame, item_factors: DataFrame) -> DataFrame:
     """Score every catalogue item for every user; keep count, mean, smallest and largest score per user."""
-    joined = meet(user_blocks(user_factors, {}), item_blocks(item_factors))
+    joined = meet(user_blocks(user_factors, {}), item_blocks(item_factors), once=True)
     parts = map_blocks(joined, "user_id string, n long, total double, lo double, hi double", _Ranges)
     return parts.groupBy("user_id").agg(
         F.sum("n").alias("n_items"),
@@ -104,50 +104,111 @@ class _Best(Reducer):
 
     def __init__(self, row):
         self.users, self.wanted = np.asarray(row.users, dtype=object), np.asarray(row.wanted)
+        self.own, self.seen = Users(row), {}
+        seen = getattr(row, "seen", None)
+        for s in seen if seen is not None else ():
+            self.seen.setdefault(s["item_block"], []).append((s["u"], s["i"]))
         self.lo, self.hi = np.full(len(self.users), np.inf), np.full(len(self.users), -np.inf)
         self.rows, self.raw, self.pages = np.empty(0, np.int64), np.empty(0), np.empty(0, object)
         self.skipped = 0
+        self._ended()
 
-    def _last(self) -> tuple[np.ndarray, np.ndarray]:
-        """The score of each user's last place, -inf while the list is not full, and the page there."""
+    def _ended(self) -> None:
+        """Each user's score of the last place, -inf while the list is not full, and the page there."""
         ends = np.searchsorted(self.rows, np.arange(len(self.users)), side="right")
         full = np.bincount(self.rows, minlength=len(self.users)) >= self.wanted
-        last, page = np.full(len(self.users), -np.inf), np.full(len(self.users), None, object)
-        last[full], page[full] = self.raw[ends[full] - 1], self.pages[ends[full] - 1]
-        return last, page
-
-    def _open(self, u: np.ndarray, i: np.ndarray, biases: np.ndarray, first: str) -> tuple[np.ndarray, np.ndarray]:
-        """The users for whom a block, whose smallest page is ``first``, may change something, and all last places; ``slack`` covers rounding."""
-        last, page = self._last()
-        reach = np.linalg.norm(u, axis=1) * np.linalg.norm(i, axis=1).max()
-        slack = 1e-9 * (1 + reach + np.abs(biases).max()) + 10.0**-SCORE_DIGITS
-        closed = reach + biases.max() + slack < last
+        self.last, self.page = np.full(len(self.users), -np.inf), np.full(len(self.users), None, object)
+        self.last[full], self.page[full] = self.raw[ends[full] - 1], self.pages[ends[full] - 1]
+
+    def _open(self, block: Items) -> np.ndarray:
+        """The users for whom a block may change something; ``slack`` covers rounding."""
+        reach = self.own.lengths * block.longest
+        slack = 1e-9 * (1 + reach + block.bias) + 10.0**-SCORE_DIGITS
+        closed = reach + block.high + slack < self.last
         exact = reach == 0
-        low, high = np.round(biases.min(), SCORE_DIGITS), np.round(biases.max(), SCORE_DIGITS)
-        for k in np.flatnonzero(exact & (last >= high)):
-            closed[k] = last[k] > high or (first is not None and (page[k] is None or page[k] < first))
+        low, high, first = np.round(block.low, SCORE_DIGITS), np.round(block.high, SCORE_DIGITS), block.pages[0]
+        level = exact & (self.last >= high)
+        closed[level] = self.last[level] > high[()]
+        if first is not None:
+            tied = np.flatnonzero(exact & (self.last == high))
+            closed[tied] = [p is None or p < first for p in self.page[tied]]
         if self.ranged:
-            closed &= np.where(exact, low >= self.lo, biases.min() - reach - slack > self.lo)
-        return np.flatnonzero(~closed), last
+            closed &= np.where(exact, low >= self.lo, block.low - reach - slack > self.lo)
+        return np.flatnonzero(~closed)
 
     def add(self, row):
-        u, i, biases = matrices(row)
-        taken, last = self._open(u, i, biases, row.pages[0])
+        block = Items.of(row)
+        taken = self._open(block)
         if not len(taken):
             self.skipped += 1
             return
-        scores = scores_of(u[taken], i, biases)
+        short = np.isneginf(self.last[taken]) if self.own.near and block.near else np.full(len(taken), True)
+        found = [self._nearly(taken[~short], block), self._wholly(taken[short], block)]
+        rows, cols, raw = (np.concatenate(x) for x in zip(*found))
+        if not len(rows):
+            return
+        mine = np.zeros(len(self.users), bool)
+        mine[rows] = True
+        rest = ~mine[self.rows]  # the lists of all other users stay as they are
+        rows = np.concatenate((self.rows[~rest], rows))
+        raw = np.concatenate((self.raw[~rest], raw))
+        pages = np.concatenate((self.pages[~rest], block.pages[cols]))
+        order = np.lexsort((-raw, rows))
+        ordered = rows[order], raw[order]
+        tied = (ordered[0][1:] == ordered[0][:-1]) & (ordered[1][1:] == ordered[1][:-1])
+        if tied.any():  # to compare pages takes longer than all the rest
+            order = np.lexsort((pages, -raw, rows))
+        place = np.arange(len(order)) - np.searchsorted(rows[order], rows[order], side="left")
+        order = order[place < self.wanted[rows[order]]]
+        rows, raw, pages = (np.concatenate((x[rest], y[order])) for x, y in ((self.rows, rows), (self.raw, raw), (self.pages, pages)))
+        order = np.argsort(rows, kind="stable")
+        self.rows, self.raw, self.pages = rows[order], raw[order], pages[order]
+        self._ended()
+
+    def _nearly(self, taken, block: Items):
+        """``_wholly`` for users with full lists: single precision names the pairs that may enter a list or widen a range."""
+        if not len(taken):
+            return taken, taken, np.empty(0)
+        scores, error = self.own.near_scores(taken, block)
+        width = len(block.pages)
+        floor = (self.last[taken] - error).astype(np.float32)
+        lines = np.flatnonzero(scores.max(axis=1) >= floor)
+        rows, cols = np.divmod(np.flatnonzero(scores[lines] >= floor[lines, None]), scores.shape[1])
+        rows = lines[rows]
+        crowded = np.bincount(rows, minlength=len(taken)) > width // 8  # of ties, most are passed over at once
+        kept = ~crowded[rows]
+        rows, cols = taken[rows[kept]], cols[kept]
+        raw = self.own.of_pairs(rows, cols, block)
+        np.maximum.at(self.hi, rows, raw)
+        if self.ranged:
+            scores = scores[:, :width]
+            ceiling = (self.lo[taken] + error).astype(np.float32)
+            lines = np.flatnonzero((scores.min(axis=1) <= ceiling) & ~crowded)
+            under, at = np.nonzero(scores[lines] <= ceiling[lines, None])
+            under = taken[lines[under]]
+            np.minimum.at(self.lo, under, self.own.of_pairs(under, at, block))
+        kept = raw >= self.last[rows]
+        if seen := self.seen.get(block.item_block):
+            u, i = np.array(seen).T
+            kept &= ~np.isin(rows * width + cols, u * width + i)
+        found = rows[kept], cols[kept], raw[kept]
+        return found if not crowded.any() else [np.concatenate(x) for x in zip(found, self._wholly(taken[crowded], block))]
+
+    def _wholly(self, taken, block: Items):
+        """(user, column, score) of what may enter the users' lists, from all scores of the block; the range widens."""
+        if not len(taken):
+            return taken, taken, np.empty(0)
+        scores = self.own.scores(taken, block)
         self.lo[taken] = np.minimum(self.lo[taken], scores.min(axis=1))
         self.hi[taken] = np.maximum(self.hi[taken], scores.max(axis=1))
-        seen = getattr(row, "seen", None)
         line = np.full(len(self.users), -1)
         line[taken] = np.arange(len(taken))
-        for s in seen if seen is not None else ():
-            if s["item_block"] == row.item_block and line[s["u"]] >= 0:
-                scores[line[s["u"]], s["i"]] = -np.inf
+        for u, i in self.seen.get(block.item_block, ()):
+            if line[u] >= 0:
+                scores[line[u], i] = -np.inf
         width = scores.shape[1]
         keep = min(int(self.wanted.max()), width)
-        floor = last[taken]  # nothing below a last place can enter
+        floor = self.last[taken]  # nothing below a last place can enter
         short = np.flatnonzero(np.isneginf(floor))
         if len(short):
             floor[short] = np.partition(scores[short], width - keep, axis=1)[:, width - keep]
@@ -159,15 +220,7 @@ class _Best(Reducer):
             before = np.concatenate(([0], nth))[np.searchsorted(rows, rows, side="left")]
             kept = ~tied | (nth - before <= keep)
             rows, cols, raw = rows[kept], cols[kept], raw[kept]
-        if not len(rows):
-            return
-        self.rows = np.concatenate((self.rows, taken[rows]))
-        self.raw = np.concatenate((self.raw, raw))
-        self.pages = np.concatenate((self.pages, np.asarray(row.pages, dtype=object)[cols]))
-        order = np.lexsort((self.pages, -self.raw, self.rows))
-        place = np.arange(len(order)) - np.searchsorted(self.rows[order], self.rows[order], side="left")
-        order = order[place < self.wanted[self.rows[order]]]
-        self.rows, self.raw, self.pages = self.rows[order], self.raw[order], self.pages[order]
+        return taken[rows], cols, raw
 
     def result(self):
         bare = np.setdiff1d(np.arange(len(self.users)), self.rows)  # all items seen: only the range counts
@@ -223,7 +276,7 @@ def _candidates(asked: DataFrame, item_factors: DataFrame, exclude_seen: DataFra
     users = user_blocks(asked, {"n": "wanted"})
     if exclude_seen is not None:
         users = with_seen(users, items, exclude_seen)
-    found = map_blocks(meet(users, items), "user_id string, page string, raw double, lo double, hi double, n int", _Best if scaled else _BestRaw)
+    found = map_blocks(meet(users, items, once=True), "user_id string, page string, raw double, lo double, hi double, n int", _Best if scaled else _BestRaw)
     return found.withColumn("raw", F.nanvl("raw", F.lit(None).cast("double")))
 
 

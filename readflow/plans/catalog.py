@@ -5,6 +5,7 @@ from __future__ import annotations
 import uuid
 from collections.abc import Callable
 from contextlib import contextmanager
+from functools import reduce
 
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -895,12 +896,16 @@ def _runs(spark, d):
     users, pages = tables.factor_model(spark, d)
     everything = tables.interactions(spark, d)
     vectors_of_model = pages.select(array_to_vector("factors").alias("features"))
-    for run_id, cutoff, day in (("full", AS_OF, "2024-02-01"), ("half", MID_RUN, "2024-01-16")):
-        known = gold.temporal_split(everything, cutoff)[0].select("user_id", "page").distinct()
+    runs = [(run_id, day, gold.temporal_split(everything, cutoff)[0].select("user_id", "page").distinct())
+            for run_id, cutoff, day in (("full", AS_OF, "2024-02-01"), ("half", MID_RUN, "2024-01-16"))]
+    # The model is the same in both, so the pairs that either holds out are ranked once.
+    held = reduce(DataFrame.unionByName, [gold.train_test_split(known)[1] for *_, known in runs])
+    ranks = materialize(evaluate.rank_positives(held, users, pages), "ranks")
+    for run_id, day, known in runs:
         models.append_run(training.run_document(
             known, tables.catalogue(spark, d), users, pages, run_id=run_id, created_at=f"{day}T00:00:00",
             model_summary={"model_type": "fixed"}, hyperparameters={"rank": 64.0, "alpha": 1.0, "seed": 42.0},
-            n_features=training.width_of(vectors_of_model, "features"), sizes=training.model_sizes(users, pages)), path)
+            n_features=training.width_of(vectors_of_model, "features"), sizes=training.model_sizes(users, pages), ranks=ranks), path)
     return models.read_runs(spark, path)
 
 

@@ -25,11 +25,13 @@ def run_document(
     n_features: int | Column = 0,
     sizes: DataFrame | None = None,
     k_values: tuple[int, ...] = (5, 10, 20),
+    ranks: DataFrame | None = None,
 ) -> DataFrame:
     """One row with everything monitored about a model on the split of ``pairs``.
 
     All parts are one-row aggregates read as scalar subqueries of one query. ``n_features`` is the
-    number of content features, ``sizes`` the one row of ``model_sizes``.
+    number of content features, ``sizes`` the one row of ``model_sizes``, ``ranks`` the ranks of held-out pairs
+    where they are known already (``evaluate.metrics_by_k``).
     """
     marked = gold.with_split(pairs, test_ratio, seed)
     train, test = marked.filter("not is_test"), marked.filter("is_test")
@@ -47,7 +49,7 @@ def run_document(
             F.struct(F.concat("side", F.lit("_embedding_norm_mean")).alias("k"), F.col("norm_mean").alias("v")),
             F.struct(F.concat("side", F.lit("_embedding_norm_std")).alias("k"), F.col("norm_std").alias("v")))).alias("e")).select("e.*"),
         "k", "v")
-    ranked = evaluate.metrics_by_k(test, user_factors, item_factors, k_values)
+    ranked = evaluate.metrics_by_k(test, user_factors, item_factors, k_values, ranks)
     per_k = ranked.select(F.explode(F.flatten(F.array(
         F.array(*[F.struct(F.concat(F.lit(f"{m}@"), F.col("k").cast("string")).alias("k"), F.col(m).alias("v"))
                   for m in ("precision", "recall", "f1", "hit_rate", "ndcg")]),
