@@ -183,12 +183,22 @@ def _in_order(side: DataFrame, name: str) -> DataFrame:
     return dealt.withColumn(f"{name}_place", F.monotonically_increasing_id())
 
 
+@dataclass(frozen=True)
+class Row:
+    """What a row of ``meet`` holds of its item block."""
+
+    item_block: int
+    pages: np.ndarray
+    item_matrix: np.ndarray
+    biases: np.ndarray
+
+
 class Items:
     """One item block: pages, a vector per line, biases; and what bounds its scores, worked out once."""
 
     def __init__(self, row):
         self.item_block, self.pages = row.item_block, np.asarray(row.pages, dtype=object)
-        self.matrix = np.asarray(row.item_matrix, dtype=np.float64).reshape(len(self.pages), -1)
+        self.matrix = np.asarray(row.item_matrix, dtype=np.float64).reshape(len(self.pages), -1 if len(row.item_matrix) else 0)
         self.biases = np.asarray(row.biases, dtype=np.float64)
         self.longest = np.linalg.norm(self.matrix, axis=1).max()
         if self.longest == 0 and not self.matrix.any():
@@ -196,11 +206,25 @@ class Items:
         self.low, self.high = self.biases.min(), self.biases.max()
         self.bias = max(abs(self.low), abs(self.high))
         self.near = bool(self.longest <= LONGEST and self.bias <= LONGEST)
+        self.flat = bool(self.longest == 0 and np.isfinite(self.biases).all())  # all users give an item the same score
+        self.places = {self.item_block: np.arange(len(self.pages))}
 
     @classmethod
     def of(cls, row) -> Items:
         return row if isinstance(row, cls) else cls(row)
 
+    @classmethod
+    def together(cls, blocks: list[Items]) -> Items:
+        """Flat blocks as one, in order of their pages; ``places`` tells where the rows of each have gone."""
+        pages = np.concatenate([b.pages for b in blocks])
+        order = np.array(sorted(range(len(pages)), key=lambda k: (pages[k] is not None, pages[k] or "")))
+        place = np.empty(len(order), np.int64)
+        place[order] = np.arange(len(order))
+        whole = cls(Row(blocks[0].item_block, pages[order], np.empty(0), np.concatenate([b.biases for b in blocks])[order]))
+        ends = np.cumsum([len(b.pages) for b in blocks])
+        whole.places = {b.item_block: place[end - len(b.pages) : end] for b, end in zip(blocks, ends)}
+        return whole
+
 
 class Users:
     """The vectors of a user block, a line each, in both precisions, and their lengths."""
@@ -208,6 +232,7 @@ class Users:
     def __init__(self, row):
         self.matrix = np.asarray(row.user_matrix, dtype=np.float64).reshape(len(row.users), -1)
         self.lengths = np.linalg.norm(self.matrix, axis=1)
+        self.sound = np.isfinite(self.matrix).all(axis=1)
         self.near = bool(self.lengths.max() <= LONGEST)
         self.single = self.matrix.astype(np.float32) if self.near else None
 
@@ -243,7 +268,12 @@ def scores_of(u: np.ndarray, i: np.ndarray, biases: np.ndarray) -> np.ndarray:
 
 
 class Reducer(ABC):
-    """What is kept of a user block while it meets the item blocks of a cell."""
+    """What is kept of a user block while it meets the item blocks of a cell.
+
+    ``flat_together``: the flat blocks of a cell come as one, in place of the first of them.
+    """
+
+    flat_together = False
 
     @abstractmethod
     def __init__(self, row): ...
@@ -262,11 +292,11 @@ def map_blocks(joined: DataFrame, schema: str, reducer: type[Reducer]) -> DataFr
     A task holds the item blocks of one cell and a single user block.
     """
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        cell, blocks, at, held = None, {}, None, None
+        cell, blocks, at, held, whole = None, {}, None, None, False
         for batch in batches:
             for row in batch.itertuples(index=False):
                 if (row.user_cell, row.item_cell) != cell:
-                    cell, blocks = (row.user_cell, row.item_cell), {}
+                    cell, blocks, whole = (row.user_cell, row.item_cell), {}, not reducer.flat_together
                 if row.user_block == HEAD:
                     blocks[row.item_block] = Items(row)
                     continue
@@ -277,7 +307,13 @@ def map_blocks(joined: DataFrame, schema: str, reducer: type[Reducer]) -> DataFr
                     continue
                 if at != (*cell, row.user_block):
                     raise RuntimeError("a user block came without its vectors")
-                held.add(blocks[row.item_block])
+                if not whole:
+                    whole, flat = True, [b for b in blocks.values() if b.flat]
+                    blocks |= {b.item_block: None for b in flat}
+                    if flat:
+                        blocks[flat[0].item_block] = Items.together(flat)
+                if (block := blocks[row.item_block]) is not None:
+                    held.add(block)
         if held is not None:
             yield held.result()
 

@@ -101,6 +101,7 @@ class _Best(Reducer):
     """
 
     ranged = True  # the smallest score is wanted as well
+    flat_together = True
 
     def __init__(self, row):
         self.users, self.wanted = np.asarray(row.users, dtype=object), np.asarray(row.wanted)
@@ -142,9 +143,15 @@ class _Best(Reducer):
         if not len(taken):
             self.skipped += 1
             return
+        if block.flat:
+            self._merge(block, *self._flatly(taken, block))
+            return
         short = np.isneginf(self.last[taken]) if self.own.near and block.near else np.full(len(taken), True)
         found = [self._nearly(taken[~short], block), self._wholly(taken[short], block)]
-        rows, cols, raw = (np.concatenate(x) for x in zip(*found))
+        self._merge(block, *(np.concatenate(x) for x in zip(*found)))
+
+    def _merge(self, block: Items, rows, cols, raw) -> None:
+        """Take (user, column, score) into the users' lists."""
         if not len(rows):
             return
         mine = np.zeros(len(self.users), bool)
@@ -156,8 +163,9 @@ class _Best(Reducer):
         order = np.lexsort((-raw, rows))
         ordered = rows[order], raw[order]
         tied = (ordered[0][1:] == ordered[0][:-1]) & (ordered[1][1:] == ordered[1][:-1])
-        if tied.any():  # to compare pages takes longer than all the rest
-            order = np.lexsort((pages, -raw, rows))
+        if tied.any():  # pages are numbered in their order first: few differ where many tie
+            number = {p: k for k, p in enumerate(sorted(set(pages), key=lambda p: (p is not None, p or "")))}
+            order = np.lexsort((np.fromiter(map(number.__getitem__, pages), np.int64, len(pages)), -raw, rows))
         place = np.arange(len(order)) - np.searchsorted(rows[order], rows[order], side="left")
         order = order[place < self.wanted[rows[order]]]
         rows, raw, pages = (np.concatenate((x[rest], y[order])) for x, y in ((self.rows, rows), (self.raw, raw), (self.pages, pages)))
@@ -165,6 +173,32 @@ class _Best(Reducer):
         self.rows, self.raw, self.pages = rows[order], raw[order], pages[order]
         self._ended()
 
+    def _flatly(self, taken, block: Items):
+        """``_wholly`` for items that have the same score for all users: the best of them are picked once."""
+        unsound = taken[~self.own.sound[taken]]  # what is no number times 0 is no number
+        self.lo[unsound] = self.hi[unsound] = np.nan
+        taken, scores = taken[self.own.sound[taken]], np.round(block.biases, SCORE_DIGITS)
+        best = np.argsort(-scores, kind="stable")  # pages rise with the column
+        self.lo[taken] = np.minimum(self.lo[taken], scores.min())
+        self.hi[taken] = np.maximum(self.hi[taken], scores.max())
+        read = {}
+        for name, places in block.places.items():
+            for u, i in self.seen.get(name, ()):
+                read.setdefault(u, []).append(places[i])
+        free = taken[~np.isin(taken, list(read))] if read else taken
+        keep = best[: int(self.wanted.max())]
+        rows, cols = [np.repeat(free, len(keep))], [np.tile(keep, len(free))]
+        for u in taken[np.isin(taken, list(read))].tolist() if read else ():
+            some = best[: len(keep) + len(read[u])]
+            cols.append(some[~np.isin(some, read[u])][: len(keep)])
+            rows.append(np.full(len(cols[-1]), u))
+        rows, cols = np.concatenate(rows), np.concatenate(cols)
+        raw = scores[cols]
+        kept = raw > self.last[rows]
+        tied = np.flatnonzero(raw == self.last[rows])
+        kept[tied] = [p is None or (q is not None and p < q) for p, q in zip(block.pages[cols[tied]], self.page[rows[tied]])]
+        return rows[kept], cols[kept], raw[kept]
+
     def _nearly(self, taken, block: Items):
         """``_wholly`` for users with full lists: single precision names the pairs that may enter a list or widen a range."""
         if not len(taken):

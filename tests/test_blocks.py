@@ -102,3 +102,40 @@ def test_both_runs_rank_their_pairs_together(spark, sf, monkeypatch):
     with scratch(spark):
         runs = catalog.QUERIES["monitoring_runs"](spark, sf)
         assert len(ranked) == 1 and runs.count() == 2
+
+
+def test_flat_blocks_come_as_one():
+    """Items without a vector score alike for all users: a cell of them costs a user block one step, not one a block."""
+    rng = np.random.default_rng(3)
+    pages, biases = [f"p{k}" for k in rng.permutation(900)], rng.integers(0, 3, 900) / 4
+    rows = [SimpleNamespace(item_block=k // 100, pages=sorted(pages[k : k + 100]), item_matrix=np.zeros(400), biases=biases[k : k + 100]) for k in range(0, 900, 100)]
+    seen = [{"u": 3, "i": i, "item_block": b} for b in range(9) for i in range(0, 100, 2)]
+    users = SimpleNamespace(users=[str(k) for k in range(20)], user_matrix=rng.standard_normal(80), wanted=[5] * 19 + [2], seen=seen)
+    whole = blocks.Items.together([blocks.Items(r) for r in rows])
+    assert whole.flat and list(whole.pages) == sorted(pages) and all(whole.pages[whole.places[r.item_block][7]] == r.pages[7] for r in rows)
+    one, each = recommend._Best(users), recommend._Best(users)
+    one.add(whole)
+    for row in rows:
+        each.add(row)
+    out = one.result()
+    assert out.equals(each.result())
+    for u in (0, 3, 19):
+        items = [(-b, p) for r in rows for i, (p, b) in enumerate(zip(r.pages, r.biases)) if u != 3 or i % 2]
+        assert [(-s, p) for p, s in zip(out.page[out.user_id == str(u)], out.raw[out.user_id == str(u)])] == sorted(items)[: users.wanted[u]]
+
+
+def test_a_task_meets_flat_blocks_once(spark):
+    steps = spark.sparkContext.accumulator(0)
+
+    class Counting(recommend._Best):
+        def add(self, row):
+            steps.add(1)
+            super().add(row)
+
+    users, items = model(spark)
+    items = items.withColumn("factors", F.when(F.col("page") < "p2", F.col("factors")).otherwise(F.array_repeat(F.lit(0.0), 3)))
+    sides = blocks.user_blocks(users.withColumn("n", F.lit(3)), {"n": "wanted"}, rows=8), blocks.item_blocks(items, 8, by_norm=True)
+    found = blocks.map_blocks(blocks.meet(*sides, once=True), "user_id string, page string, raw double, lo double, hi double, n int", Counting)
+    assert found.count() == 3 * 30
+    with_vectors = sum(any(r.item_matrix) for r in sides[1].df.collect())
+    assert steps.value == sides[0].df.count() * (with_vectors + 1) < sides[0].df.count() * sides[1].df.count()
