@@ -139,3 +139,17 @@ def test_a_task_meets_flat_blocks_once(spark):
     assert found.count() == 3 * 30
     with_vectors = sum(any(r.item_matrix) for r in sides[1].df.collect())
     assert steps.value == sides[0].df.count() * (with_vectors + 1) < sides[0].df.count() * sides[1].df.count()
+
+
+def test_more_cells_of_items_ask_for_fewer_of_users(spark, monkeypatch):
+    """User blocks pass through a task one by one: what memory holds bounds the items' side, and does not multiply their copies."""
+    users, items = model(spark, n_users=64, n_items=160)
+    monkeypatch.setattr(blocks, "CELL_WORK", 1.0)
+
+    def cells(size):
+        monkeypatch.setattr(blocks, "CELL_BYTES", size * blocks.ROWS_PER_BLOCK * 8 * 3)
+        met = blocks.meet(blocks.user_blocks(users, {}, rows=4), blocks.item_blocks(items, rows=2))
+        rows = met.select("user_cell", "item_cell").distinct().collect()
+        return len({r.user_cell for r in rows}), len({r.item_cell for r in rows})
+
+    assert cells(100) == (4, 16) and cells(2) == (2, 40) and cells(1)[0] == 1
